@@ -63,33 +63,41 @@ def key_bucket(keys: Sequence[str], buckets: int = DEFAULT_BUCKETS) -> Column:
 def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                batch_id: int | str, order_by: Sequence[str | Column] = ("updated_dt",),
                buckets: int = DEFAULT_BUCKETS, null_keys: str = "quarantine") -> DataFrame:
-    """Upsert ``source`` into the Parquet table at ``path``; returns the batch's new rows.
+    """Upsert ``source`` into the Parquet table at ``path``; returns the rows applied.
 
     Layout: ``path/_kb=<bucket>/`` (bucket = xxhash64(keys) mod ``buckets``).
     Steps: (1) the new contents of the touched buckets are written to
     ``path/_staging/batch=<id>``; (2) they replace those buckets by dynamic
-    partition overwrite.  Re-running a batch id repeats both steps with the same
-    result (idempotent for non-NULL keys).  The staging copy also cuts the
-    lineage between the read of the table and its overwrite.
+    partition overwrite.  Untouched buckets are neither read nor rewritten.
+    Re-running a batch id repeats both steps with the same result (idempotent
+    for non-NULL keys).  The staged copy also cuts the lineage between the read
+    of the table and its overwrite, so an executor loss in step 2 recomputes
+    from the staged files, not from the table being replaced.
+    The returned frame (source after NULL-key handling and keep-latest) is
+    lazy; persist the source if it is expensive to recompute.
     """
     keys = list(keys)
-    src = source.withColumn(BUCKET_COL, key_bucket(keys, buckets))
+    src = source
+    if null_keys == "quarantine":
+        src = src.where(key_not_null(keys))
+    good = dedupe_latest(src.where(key_not_null(keys)), keys, order_by)
+    applied = good.unionByName(src.where(~key_not_null(keys))) if null_keys == "insert" else good
+    src_b = applied.withColumn(BUCKET_COL, key_bucket(keys, buckets))
     staging = os.path.join(path, "_staging", f"batch={batch_id}")
-    exists = _has_table(spark, path)
-    if exists:
+    if _has_table(spark, path):
         target = spark.read.parquet(path)
-        touched = src.select(BUCKET_COL).distinct()
-        # semi join on the bucket column: dynamic partition pruning keeps the
+        touched = src_b.select(BUCKET_COL).distinct()
+        # semi join on the partition column: dynamic partition pruning keeps the
         # scan to the touched buckets.
         tgt = target.join(touched, BUCKET_COL, "left_semi")
-        new = upsert(tgt, src.select(*tgt.columns), keys, order_by, null_keys=null_keys)
+        new = upsert(tgt, src_b.select(*tgt.columns), keys, order_by, dedupe=False, null_keys="insert")
     else:
-        new = upsert(src.limit(0), src, keys, order_by, null_keys=null_keys)
+        new = src_b
     new.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging)
     staged = spark.read.parquet(staging)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET_COL).parquet(path))
-    return staged
+    return applied
 
 
 def _has_table(spark: SparkSession, path: str) -> bool:

@@ -202,6 +202,56 @@ def q_job_runs_view(spark, sf):
     return monitor.flat_job_runs_view(d.job_runs(spark, sf), run_type="JOB_RUN")
 
 
+# --- streaming (stream = batch) ------------------------------------------------------
+
+def _run_dir(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from lakeshore.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def q_stream_silver_logs(spark, sf):
+    """Land the log lines as files, drain them through the bronze and silver streams,
+    read the silver table back.  Must equal the batch ``silver_logs``."""
+    import os
+
+    from lakeshore.sinks.landing import land_log_lines
+    from lakeshore.streaming import streams
+
+    root = _run_dir(spark, "stream_logs")
+    land = os.path.join(root, "landing")
+    land_log_lines(d.log_lines(spark, sf).repartition(4), land, d.LOAD_DATE)
+    bronze, silver = os.path.join(root, "bronze"), os.path.join(root, "silver")
+    streams.run_to_end(streams.start_bronze_logs_stream(
+        spark, land, bronze, os.path.join(root, "ck_bronze"), os.path.join(root, "quarantine"),
+        as_of=d.LOAD_DATE, load_ts=F.expr(f"TIMESTAMP '{d.LOAD_TS}'"), max_files_per_trigger=1))
+    streams.run_to_end(streams.start_silver_logs_stream(
+        spark, bronze, silver, os.path.join(root, "ck_silver"), d.geo_ranges(spark, sf),
+        max_files_per_trigger=2))
+    return streams.read_silver_logs(spark, silver)
+
+
+def q_stream_orders(spark, sf):
+    """Land the order documents as JSON, drain them through the orders stream
+    (bronze upsert + silver upsert per micro-batch), read silver back.
+    Equals the batch silver orders kept latest per (order_id, product_id)."""
+    import os
+
+    from lakeshore.sinks.landing import land_order_documents
+    from lakeshore.streaming import streams
+
+    root = _run_dir(spark, "stream_orders")
+    land = os.path.join(root, "landing")
+    land_order_documents(d.order_documents(spark, sf).repartition(4), land, d.LOAD_DATE)
+    silver = os.path.join(root, "silver")
+    streams.run_to_end(streams.start_orders_stream(
+        spark, land, os.path.join(root, "bronze"), silver, os.path.join(root, "ck"),
+        os.path.join(root, "quarantine"), load_date=d.LOAD_DATE,
+        load_ts=F.expr(f"TIMESTAMP '{d.LOAD_TS}'"), max_files_per_trigger=1, buckets=16))
+    return streams.read_silver_orders(spark, silver)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_login_countries": q_top_login_countries,
     "top_products_in_top_country": q_top_products_in_top_country,
@@ -230,4 +280,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hash_sample": q_hash_sample,
     "hash_sample_n": q_hash_sample_n,
     "job_runs_view": q_job_runs_view,
+    "stream_silver_logs": q_stream_silver_logs,
+    "stream_orders": q_stream_orders,
 }
