@@ -94,7 +94,8 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     else:
         new = src_b
     new.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging)
-    staged = spark.read.parquet(staging)
+    # Known schema: an empty batch leaves no data files to infer one from.
+    staged = spark.read.schema(new.schema).parquet(staging)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET_COL).parquet(path))
     return applied
