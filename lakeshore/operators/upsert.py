@@ -66,39 +66,58 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     """Upsert ``source`` into the Parquet table at ``path``; returns the rows applied.
 
     Layout: ``path/_kb=<bucket>/`` (bucket = xxhash64(keys) mod ``buckets``).
-    Steps: (1) the new contents of the touched buckets are written to
-    ``path/_staging/batch=<id>``; (2) they replace those buckets by dynamic
-    partition overwrite.  Untouched buckets are neither read nor rewritten.
-    Re-running a batch id repeats both steps with the same result (idempotent
-    for non-NULL keys).  The staged copy also cuts the lineage between the read
-    of the table and its overwrite, so an executor loss in step 2 recomputes
-    from the staged files, not from the table being replaced.
-    The returned frame (source after NULL-key handling and keep-latest) is
-    lazy; persist the source if it is expensive to recompute.
+
+    1. The source, NULL keys handled and kept latest per key, is staged once
+       under ``path/_staging/batch=<id>/source`` (this also cuts its lineage).
+    2. Its keys are matched against the target's key columns only (column
+       pruning); the buckets holding a matched key are the only ones rewritten.
+    3. Those buckets' new contents are staged, then replace them by dynamic
+       partition overwrite.  Source rows in other buckets are new keys and are
+       appended.
+
+    Replay of a batch id is safe: keys it appended before a failure are
+    matched the second time, so their buckets are rewritten rather than
+    appended twice.  NULL-key rows (``null_keys="insert"``) never match and are
+    appended again on a replay, as a MERGE would insert them again.
     """
     keys = list(keys)
     src = source
     if null_keys == "quarantine":
         src = src.where(key_not_null(keys))
-    good = dedupe_latest(src.where(key_not_null(keys)), keys, order_by)
-    applied = good.unionByName(src.where(~key_not_null(keys))) if null_keys == "insert" else good
+    elif null_keys != "insert":
+        raise ValueError("null_keys must be 'quarantine' or 'insert'")
+    applied = dedupe_latest(src.where(key_not_null(keys)), keys, order_by)
+    if null_keys == "insert":
+        applied = applied.unionByName(src.where(~key_not_null(keys)))
     src_b = applied.withColumn(BUCKET_COL, key_bucket(keys, buckets))
+    if not _has_table(spark, path):
+        src_b.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path)
+        return spark.read.parquet(path).drop(BUCKET_COL)
+
     staging = os.path.join(path, "_staging", f"batch={batch_id}")
-    if _has_table(spark, path):
-        target = spark.read.parquet(path)
-        touched = src_b.select(BUCKET_COL).distinct()
-        # semi join on the partition column: dynamic partition pruning keeps the
-        # scan to the touched buckets.
-        tgt = target.join(touched, BUCKET_COL, "left_semi")
-        new = upsert(tgt, src_b.select(*tgt.columns), keys, order_by, dedupe=False, null_keys="insert")
+    src_b.write.mode("overwrite").parquet(os.path.join(staging, "source"))
+    staged_src = spark.read.schema(src_b.schema).parquet(os.path.join(staging, "source"))
+
+    target = spark.read.parquet(path)
+    matched = staged_src.where(key_not_null(keys)).join(
+        target.select(*keys, BUCKET_COL), keys + [BUCKET_COL], "left_semi")
+    # At most `buckets` values: a bounded collect.
+    hit = sorted(r[0] for r in matched.select(BUCKET_COL).distinct().collect())
+    if hit:
+        in_hit = F.col(BUCKET_COL).isin(hit)
+        tgt = target.where(in_hit)                     # partition pruning to the hit buckets
+        new = upsert(tgt, staged_src.where(in_hit).select(*tgt.columns), keys, order_by,
+                     dedupe=False, null_keys="insert")
+        rewrite = os.path.join(staging, "rewrite")
+        new.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(rewrite)
+        (spark.read.schema(new.schema).parquet(rewrite)
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy(BUCKET_COL).parquet(path))
+        inserts = staged_src.where(~in_hit)
     else:
-        new = src_b
-    new.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging)
-    # Known schema: an empty batch leaves no data files to infer one from.
-    staged = spark.read.schema(new.schema).parquet(staging)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET_COL).parquet(path))
-    return applied
+        inserts = staged_src
+    inserts.write.mode("append").partitionBy(BUCKET_COL).parquet(path)
+    return staged_src.drop(BUCKET_COL)
 
 
 def _has_table(spark: SparkSession, path: str) -> bool:

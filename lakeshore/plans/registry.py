@@ -49,7 +49,10 @@ def silver_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 def changed_orders_raw(spark: SparkSession, sf: str) -> DataFrame:
     """The next day's re-sent documents: pending orders come back finished."""
-    raw = d.orders_raw(spark, sf)
+    pending = [k for k, v in d.STATUS_NAMES.items() if v == "pending"][0]
+    raw = d.order_documents(spark, sf, status_code=pending).select(
+        "*", F.lit(None).cast("string").alias("_rescued_data"),
+        F.lit(d.LOAD_DATE).cast("date").alias("record_timestamp"))
     return (raw.where(F.col("status") == "pending")
                .withColumn("status", F.lit("finished"))
                .withColumn("record_timestamp", F.date_add(F.col("record_timestamp"), 1)))
@@ -243,12 +246,12 @@ def q_stream_orders(spark, sf):
 
     root = _run_dir(spark, "stream_orders")
     land = os.path.join(root, "landing")
-    land_order_documents(d.order_documents(spark, sf).repartition(4), land, d.LOAD_DATE)
+    land_order_documents(d.order_documents(spark, sf), land, d.LOAD_DATE)
     silver = os.path.join(root, "silver")
     streams.run_to_end(streams.start_orders_stream(
         spark, land, os.path.join(root, "bronze"), silver, os.path.join(root, "ck"),
         os.path.join(root, "quarantine"), load_date=d.LOAD_DATE,
-        load_ts=F.expr(f"TIMESTAMP '{d.LOAD_TS}'"), max_files_per_trigger=1, buckets=16))
+        load_ts=F.expr(f"TIMESTAMP '{d.LOAD_TS}'"), max_files_per_trigger=4, buckets=16))
     return streams.read_silver_orders(spark, silver)
 
 

@@ -24,10 +24,15 @@ def _lit_or(value, default: Column) -> Column:
 
 
 def parse_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    """Lines -> ten string fields + ``_corrupt_record`` (+ any other input columns)."""
+    """Lines -> ten string fields + ``_corrupt_record`` (+ any other input columns).
+
+    The parse is materialised once through a generator (``inline`` of a
+    one-element array): without that barrier, predicate pushdown and the
+    null filters inferred for joins copy the whole ``from_csv`` call into
+    every filter conjunct, parsing each line several times.
+    """
     others = [c for c in lines.columns if c != line_col]
-    return lines.select(*others, parse_log_line(F.col(line_col)).alias("_p")).select(
-        *others, *[F.col("_p").getField(c).alias(c) for c in LOG_LINE_FIELDS + [CORRUPT_COL]])
+    return lines.select(*others, F.inline(F.array(parse_log_line(F.col(line_col)))))
 
 
 def good_lines(parsed: DataFrame) -> DataFrame:

@@ -62,7 +62,43 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+
+
+# Inputs smaller than this are left as they are (spreading them costs more than it saves).
+SPREAD_MIN_BYTES = 4 << 20
+
+
+def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Give an under-split scan at least the cluster's default parallelism.
+
+    A large file with a single row group is read by one task, and all the
+    per-row work fused into that stage (parse, joins, partial aggregates) runs
+    single-threaded.  When a scan has fewer partitions than the default
+    parallelism and is not tiny, rows are spread round-robin.  On a data set
+    with many files or row groups the scan is already split and nothing is
+    added.
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if target <= 1:
+        return df
+    size = _input_bytes(spark, df)
+    if size < min_bytes:
+        return df
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
+def _input_bytes(spark: SparkSession, df: DataFrame) -> int:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getContentSummary(p).getLength()
+    return total
 
 
 def _ts(text: str) -> Column:
@@ -169,13 +205,21 @@ def order_items_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(prod, li.l_partkey == prod.product_id, "inner")
 
 
-def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_documents(spark: SparkSession, sf_dir: str, status_code: str | None = None) -> DataFrame:
     """Nested order documents (schema ``ORDER_DOC``): one row per order, items as maps.
 
     Items are grouped per order key (a group is one order's items), totals are
     summed exactly in decimal.  Orders without items keep an empty list.
+    ``status_code`` keeps only orders of that driver status; their line items
+    are semi-joined to those orders before grouping, so no other order's items
+    are nested.
     """
     it = order_items_flat(spark, sf_dir)
+    o = table(spark, sf_dir, "orders")
+    if status_code is not None:
+        o = o.where(F.col("o_orderstatus") == status_code)
+        it = it.join(o.select(F.col("o_orderkey").alias("_ok")), it.l_orderkey == F.col("_ok"),
+                     "left_semi")
     amount = F.col("l_quantity").cast("int")
     # Sort structs of primitive fields (maps are not orderable), then make the maps.
     fields = {"cuit": F.col("cuit").cast("string"), "name": F.col("name"),
@@ -190,7 +234,6 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_map = lambda x: F.create_map(*[e for k in fields for e in (F.lit(k), x.getField(k))])
     per_order = per_order.select("l_orderkey", F.transform("_items", as_map).alias("items"), "_total")
 
-    o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     status = F.create_map(*[x for kv in STATUS_NAMES.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     j = (o.join(per_order, o.o_orderkey == per_order.l_orderkey, "left")
