@@ -124,6 +124,11 @@ def save_results(results: DataFrame, path: str) -> None:
     results.write.mode("append").partitionBy("run_id").parquet(path)
 
 
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """The result history, typed (run ids stay strings)."""
+    return spark.read.schema(RESULT_SCHEMA).parquet(path)
+
+
 def empty_results(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RESULT_SCHEMA)
 

@@ -208,6 +208,9 @@ SELECT order_id, status, items AS n_items, CAST(total_dec AS DECIMAL(18,2)) AS i
 SELECT ip_address, g.country FROM ({LOG_FIELDS}) l LEFT JOIN ({GEO}) g ON l.ipn BETWEEN g.ip_from AND g.ip_to"""
     q["device_label"] = f"""
 SELECT agent, {device_label_sql('agent')} AS device, count(*) AS n FROM ({_EVENTS_FIELDS}) GROUP BY agent"""
+    q["rescued_data"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, '{"priority":"' || o_orderpriority || '"}' AS _rescued_data,
+       CAST(0 AS INTEGER) AS n_bad_fields FROM orders"""
     q["log_quarantine"] = "SELECT count(*) AS good_lines, CAST(0 AS BIGINT) AS bad_lines FROM events"
     q["dedupe_latest"] = _dedupe(COMPANY_CHANGES, ["cuit"], ["updated_dt"], ["name"])
     q["upsert_companies"] = UPSERT_COMPANIES

@@ -116,6 +116,19 @@ def q_log_quarantine(spark, sf):
                       F.count_if(F.col(CORRUPT_COL).isNotNull()).alias("bad_lines"))
 
 
+def q_rescued_data(spark, sf):
+    """Order documents as the source system serialises them, with a field the stored
+    schema does not know (the order priority), parsed by the landing parser: the
+    field lands in ``_rescued_data``, nothing is quarantined."""
+    from lakeshore.sources.files import parse_order_lines
+
+    docs = d.order_documents_with_priority(spark, sf)
+    lines = docs.select(F.to_json(F.struct(*docs.columns)).alias("value"))
+    parsed = parse_order_lines(lines, load_date=d.LOAD_DATE)
+    return parsed.orders.select("order_id", "_rescued_data",
+                                F.size("_bad_fields").alias("n_bad_fields"))
+
+
 # --- keyed writes -----------------------------------------------------------------
 
 def q_dedupe_latest(spark, sf):
@@ -268,6 +281,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "geo_lookup": q_geo_lookup,
     "device_label": q_device_label,
     "log_quarantine": q_log_quarantine,
+    "rescued_data": q_rescued_data,
     "dedupe_latest": q_dedupe_latest,
     "upsert_companies": q_upsert_companies,
     "upsert_customers": q_upsert_customers,

@@ -250,6 +250,14 @@ def order_documents(spark: SparkSession, sf_dir: str, status_code: str | None =
         F.coalesce(F.col("_total"), F.lit(0).cast("decimal(15,2)")).cast("string").alias("total_price"))
 
 
+def order_documents_with_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents carrying one more field, ``priority``, than the stored schema."""
+    docs = order_documents(spark, sf_dir)
+    pr = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("_oid"),
+                                               F.col("o_orderpriority").alias("priority"))
+    return docs.join(pr, docs.order_id == pr._oid, "left").drop("_oid")
+
+
 def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze orders as the file stream would have loaded them."""
     return order_documents(spark, sf_dir).select(

@@ -56,9 +56,11 @@ def parse_order_lines(lines: DataFrame, load_date=None, line_col: str = "value")
     tagged = lines.select(F.col(line_col).alias("_line"), elems.alias("_elems"))
     blank = F.trim(F.col("_line")) == ""
     bad = tagged.where(F.col("_elems").isNull() & ~blank).select(F.col("_line").alias("value"))
-    docs = tagged.where(F.col("_elems").isNotNull()).select(F.explode("_elems").alias("_doc"))
-    parsed = docs.select(F.from_json("_doc", ORDER_DOC).alias("s"),
-                         F.from_json("_doc", "map<string,string>").alias("m"))
+    # Each element is parsed once, inside the generator: field accesses on a
+    # from_json result would otherwise each become their own pruned parse.
+    parsed = tagged.where(F.col("_elems").isNotNull()).select(F.inline(F.transform(
+        "_elems", lambda e: F.struct(F.from_json(e, ORDER_DOC).alias("s"),
+                                     F.from_json(e, "map<string,string>").alias("m")))))
     known = F.array(*[F.lit(c) for c in ORDER_DOC_FIELDS])
     extra = F.map_filter("m", lambda k, v: ~F.array_contains(known, k))
     rescued = F.when(F.size(extra) > 0, F.to_json(extra))
