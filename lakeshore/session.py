@@ -71,3 +71,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, name)
+
+
+def tune_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 128 << 20,
+                   min_partitions: int | None = None) -> int:
+    """Size shuffles for an input of ``input_bytes``.
+
+    Starts with enough shuffle partitions that each holds about
+    ``target_partition_bytes`` of input (so a partition fits an executor's
+    memory without spilling at 100 TB), never fewer than twice the cores; AQE
+    then coalesces small partitions and splits skewed ones at run time.
+    Returns the partition count set.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    floor = min_partitions if min_partitions is not None else 2 * cores
+    n = max(floor, -(-input_bytes // target_partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_partition_bytes, 64 << 20)))
+    return n
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes under a path (any Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
