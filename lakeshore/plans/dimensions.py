@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshore.operators.referential import orphans
-from lakeshore.operators.upsert import upsert
+from lakeshore.operators.upsert import DEFAULT_BUCKETS, merge_into, read_table, upsert
 from lakeshore.schemas import KEYS
 
 
@@ -43,3 +43,26 @@ def read_or_restore(spark: SparkSession, table_path: str, backup_path: str) -> D
     df = spark.read.parquet(snap)
     df.write.mode("overwrite").parquet(table_path)
     return spark.read.parquet(table_path)
+
+
+def daily_dimension_job(spark: SparkSession, name: str, table_path: str, backup_root: str,
+                        new_records: DataFrame, run_dt: str, buckets: int = DEFAULT_BUCKETS,
+                        null_keys: str = "quarantine") -> DataFrame:
+    """One day of a dimension: restore the table if it is missing, merge the day's records
+    (latest per key wins), write the dated backup.  Returns the records applied.
+
+    Re-running the same ``run_dt`` is safe: the merge is idempotent for non-NULL
+    keys and the day's snapshot is replaced, not appended.
+    """
+    from lakeshore.sinks.snapshots import backup_snapshot, latest_snapshot, path_exists
+
+    keys = KEYS[name]
+    if not path_exists(spark, table_path):
+        snap = latest_snapshot(spark, backup_root)
+        if snap is not None:
+            merge_into(spark, table_path, spark.read.parquet(snap), keys, batch_id=f"restore-{run_dt}",
+                       order_by=["updated_dt"], buckets=buckets, null_keys="insert")
+    applied = merge_into(spark, table_path, new_records, keys, batch_id=run_dt, order_by=["updated_dt"],
+                         buckets=buckets, null_keys=null_keys)
+    backup_snapshot(read_table(spark, table_path), backup_root, run_dt)
+    return applied

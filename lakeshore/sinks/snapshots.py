@@ -48,6 +48,11 @@ def latest_snapshot(spark: SparkSession, root: str) -> str | None:
     return snaps[-1] if snaps else None
 
 
+def read_snapshot(spark: SparkSession, root: str, run_dt: str) -> DataFrame:
+    """The table as it was backed up on ``run_dt`` (time travel by date)."""
+    return spark.read.parquet(os.path.join(root, f"run_dt={run_dt}"))
+
+
 def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     w = df.write.mode("append")
     if partition_by:

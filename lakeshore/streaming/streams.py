@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lakeshore.operators.quality import run_suite
 from lakeshore.operators.upsert import merge_into
 from lakeshore.plans.orders import silver_orders
+from lakeshore.plans.suites import ORDERS_RAW_SUITE, ORDERS_SUITE
 from lakeshore.plans.weblogs import bad_lines, bronze_logs, good_lines, parse_lines, silver_logs
 from lakeshore.schemas import KEYS, LOGS_COLUMNS, LOGS_RAW, ORDERS_COLUMNS
 from lakeshore.sources.files import parse_order_lines, text_files
@@ -44,11 +46,15 @@ def _write_batch_folder(df: DataFrame, root: str, batch_id: int) -> None:
 # --- orders ----------------------------------------------------------------------
 
 def orders_batch(df: DataFrame, batch_id: int, bronze_path: str, silver_path: str, quarantine_path: str,
-                 load_date=None, load_ts=None, buckets: int = 64) -> None:
+                 load_date=None, load_ts=None, buckets: int = 64, dq_path: str | None = None,
+                 fail_on_error: bool = False) -> None:
     """One micro-batch of landed order lines: quarantine, bronze upsert, silver upsert.
 
     Silver is computed from the batch's own upserted documents, not by
-    re-streaming the rewritten bronze table.
+    re-streaming the rewritten bronze table.  With ``dq_path`` the raw suite
+    runs on the batch's bronze rows before silver is written (a failing suite
+    stops the batch when ``fail_on_error``) and the silver suite after; results
+    go to the history under run id ``batch-<id>``.
     """
     spark = df.sparkSession
     lines = df.persist()
@@ -61,21 +67,40 @@ def orders_batch(df: DataFrame, batch_id: int, bronze_path: str, silver_path: st
         good = parsed.orders.drop("_bad_fields")
         applied = merge_into(spark, bronze_path, good, KEYS["orders_raw"], batch_id,
                              order_by=["record_timestamp"], buckets=buckets)
+        run_id = f"batch-{batch_id}"
+        if dq_path:
+            raw_dq = run_suite(applied, ORDERS_RAW_SUITE, run_id, fail_on_error=False)
+            _save_dq(raw_dq, dq_path, run_id, fail_on_error)
         items = silver_orders(applied, load_ts=load_ts)
-        merge_into(spark, silver_path, items, KEYS["orders"], batch_id,
-                   order_by=["record_timestamp"], buckets=buckets)
+        merged = merge_into(spark, silver_path, items, KEYS["orders"], batch_id,
+                            order_by=["record_timestamp"], buckets=buckets)
+        if dq_path:
+            _save_dq(run_suite(merged, ORDERS_SUITE, run_id), dq_path, run_id, False)
     finally:
         lines.unpersist()
 
 
+def _save_dq(results: DataFrame, dq_path: str, run_id: str, fail_on_error: bool) -> None:
+    # One folder per (suite, run id), overwritten on a replay; results are a few rows.
+    suite = results.select("suite").first()[0]
+    (results.drop("suite", "run_id").coalesce(1).write.mode("overwrite")
+            .parquet(os.path.join(dq_path, f"suite={suite}", f"run_id={run_id}")))
+    if fail_on_error:
+        bad = results.where(~F.col("success")).select("rule", "columns").collect()  # <= #rules rows
+        if bad:
+            raise AssertionError(f"quality gate failed for {run_id}: {[tuple(r) for r in bad]}")
+
+
 def start_orders_stream(spark: SparkSession, landing_path: str, bronze_path: str, silver_path: str,
                         checkpoint: str, quarantine_path: str, load_date=None, load_ts=None,
                         trigger: str | dict = "availableNow", max_files_per_trigger: int | None = None,
-                        buckets: int = 64) -> StreamingQuery:
+                        buckets: int = 64, dq_path: str | None = None,
+                        fail_on_error: bool = False) -> StreamingQuery:
     lines = text_files(spark, landing_path, stream=True, max_files_per_trigger=max_files_per_trigger)
 
     def fn(df, batch_id):
-        orders_batch(df, batch_id, bronze_path, silver_path, quarantine_path, load_date, load_ts, buckets)
+        orders_batch(df, batch_id, bronze_path, silver_path, quarantine_path, load_date, load_ts, buckets,
+                     dq_path, fail_on_error)
 
     w = lines.writeStream.foreachBatch(fn).outputMode("update").option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()

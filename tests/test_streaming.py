@@ -3,6 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from lakeshore.operators.quality import read_results
 from lakeshore.sources.files import read_order_documents, text_files
 from lakeshore.streaming import streams
 
@@ -36,10 +37,12 @@ def test_orders_stream_restart_reads_no_file_twice(spark, tmp_dir):
     write(os.path.join(land, "record_dt=2022-11-13/1.json"), json.dumps([doc("a", 1), doc("b", 2)]))
     write(os.path.join(land, "record_dt=2022-11-13/2.json"), '{"order_id": brok\n')
 
+    dq = os.path.join(tmp_dir, "dq")
+
     def drain():
         streams.run_to_end(streams.start_orders_stream(
             spark, land, bronze, silver, ck, quar, load_date="2022-11-14",
-            load_ts="2022-11-14 21:00:00", max_files_per_trigger=1, buckets=4))
+            load_ts="2022-11-14 21:00:00", max_files_per_trigger=1, buckets=4, dq_path=dq))
 
     drain()
     first = sorted(tuple(r) for r in streams.read_silver_orders(spark, silver).collect())
@@ -53,6 +56,9 @@ def test_orders_stream_restart_reads_no_file_twice(spark, tmp_dir):
     assert got == {("a", 1): 5, ("b", 2): 1, ("c", 3): 1}
     bad = spark.read.parquet(os.path.join(quar, "lines")).collect()
     assert [r.value for r in bad] == ['{"order_id": brok']
+    hist = read_results(spark, dq)
+    assert {r.suite for r in hist.collect()} == {"transactional_orders_raw", "transactional_orders_processed"}
+    assert hist.where("rule = 'expect_column_values_to_not_be_null' AND columns = 'order_id'").count() >= 2
     raw = spark.read.parquet(bronze)
     assert raw.count() == 3 and raw.where(F.col("order_id") == "a").first().record_timestamp is not None
 

@@ -7,7 +7,8 @@ from lakeshore.operators.changes import table_changes, table_history
 from lakeshore.operators.dedupe import dedupe_latest
 from lakeshore.operators.upsert import merge_into, null_key_rows, read_table, upsert
 from lakeshore.sinks.snapshots import backup_snapshot, latest_snapshot
-from lakeshore.plans.dimensions import read_or_restore, rename_one, orphan_products
+from lakeshore.plans.dimensions import daily_dimension_job, orphan_products, read_or_restore, rename_one
+from lakeshore.sinks.snapshots import read_snapshot
 
 DDL = "cuit bigint, name string, updated_dt timestamp"
 T0 = datetime.datetime(2022, 11, 13)
@@ -96,3 +97,16 @@ def test_orphan_products(spark):
     p = spark.createDataFrame([(1, 10), (2, 99), (3, None)], "product_id bigint, cuit bigint")
     c = spark.createDataFrame([(10, "x")], "cuit bigint, name string")
     assert sorted(r.product_id for r in orphan_products(p, c).collect()) == [2, 3]
+
+
+def test_daily_dimension_job_restores_merges_and_backs_up(spark, tmp_dir):
+    table, backup = os.path.join(tmp_dir, "companies"), os.path.join(tmp_dir, "backup")
+    backup_snapshot(spark.createDataFrame([(1, "a", T0), (2, "b", T0)], DDL), backup, "2022-11-13")
+    day = spark.createDataFrame([(2, "old", T0), (2, "b2", T1), (3, "c", T1)], DDL)
+    daily_dimension_job(spark, "companies", table, backup, day, "2022-11-14", buckets=4)
+    want = [(1, "a", T0), (2, "b2", T1), (3, "c", T1)]
+    assert rows(read_table(spark, table)) == want
+    assert rows(read_snapshot(spark, backup, "2022-11-14")) == want
+    daily_dimension_job(spark, "companies", table, backup, day, "2022-11-14", buckets=4)   # rerun the day
+    assert rows(read_table(spark, table)) == want
+    assert rows(read_snapshot(spark, backup, "2022-11-13")) == [(1, "a", T0), (2, "b", T0)]
