@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeshore.operators.changes import CHANGE_TYPE, INSERT, table_changes
 from lakeshore.operators.dedupe import dedupe_latest
 
 BUCKET_COL = "_kb"
@@ -62,7 +63,8 @@ def key_bucket(keys: Sequence[str], buckets: int = DEFAULT_BUCKETS) -> Column:
 
 def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                batch_id: int | str, order_by: Sequence[str | Column] = ("updated_dt",),
-               buckets: int = DEFAULT_BUCKETS, null_keys: str = "quarantine") -> DataFrame:
+               buckets: int = DEFAULT_BUCKETS, null_keys: str = "quarantine",
+               changes_path: str | None = None) -> DataFrame:
     """Upsert ``source`` into the Parquet table at ``path``; returns the rows applied.
 
     Layout: ``path/_kb=<bucket>/`` (bucket = xxhash64(keys) mod ``buckets``).
@@ -75,6 +77,11 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
        partition overwrite.  Source rows in other buckets are new keys and are
        appended.
 
+    With ``changes_path`` the batch's row-level change feed (see
+    ``changes.table_changes``) is written to ``changes_path/version=<batch id>``
+    before anything is replaced: a diff of the rewritten buckets only, plus the
+    appended keys as inserts.  A replay keeps a feed that was completed.
+
     Replay of a batch id is safe: keys it appended before a failure are
     matched the second time, so their buckets are rewritten rather than
     appended twice.  NULL-key rows (``null_keys="insert"``) never match and are
@@ -90,7 +97,12 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     if null_keys == "insert":
         applied = applied.unionByName(src.where(~key_not_null(keys)))
     src_b = applied.withColumn(BUCKET_COL, key_bucket(keys, buckets))
+    feed = os.path.join(changes_path, f"version={batch_id}") if changes_path else None
+    if feed and _is_complete(spark, feed):
+        feed = None
     if not _has_table(spark, path):
+        if feed:
+            applied.withColumn(CHANGE_TYPE, F.lit(INSERT)).write.mode("overwrite").parquet(feed)
         src_b.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path)
         return spark.read.parquet(path).drop(BUCKET_COL)
 
@@ -110,16 +122,35 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
                      dedupe=False, null_keys="insert")
         rewrite = os.path.join(staging, "rewrite")
         new.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(rewrite)
-        (spark.read.schema(new.schema).parquet(rewrite)
+        staged_new = spark.read.schema(new.schema).parquet(rewrite)
+        if feed:
+            # Written before the overwrite: the old rows of these buckets still exist.
+            diff = table_changes(tgt.drop(BUCKET_COL), staged_new.drop(BUCKET_COL), keys)
+            diff.unionByName(staged_src.where(~in_hit).drop(BUCKET_COL).withColumn(CHANGE_TYPE, F.lit(INSERT))) \
+                .write.mode("overwrite").parquet(feed)
+        (staged_new
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy(BUCKET_COL).parquet(path))
         inserts = staged_src.where(~in_hit)
     else:
         inserts = staged_src
+        if feed:
+            staged_src.drop(BUCKET_COL).withColumn(CHANGE_TYPE, F.lit(INSERT)).write.mode("overwrite").parquet(feed)
     inserts.write.mode("append").partitionBy(BUCKET_COL).parquet(path)
     return staged_src.drop(BUCKET_COL)
 
 
+def _is_complete(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
+def read_changes(spark: SparkSession, changes_path: str) -> DataFrame:
+    """The change feed of all merged batches, with a ``version`` column (the batch id)."""
+    return spark.read.parquet(changes_path)
+
+
 def _has_table(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)

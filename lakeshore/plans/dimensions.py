@@ -47,7 +47,7 @@ def read_or_restore(spark: SparkSession, table_path: str, backup_path: str) -> D
 
 def daily_dimension_job(spark: SparkSession, name: str, table_path: str, backup_root: str,
                         new_records: DataFrame, run_dt: str, buckets: int = DEFAULT_BUCKETS,
-                        null_keys: str = "quarantine") -> DataFrame:
+                        null_keys: str = "quarantine", changes_path: str | None = None) -> DataFrame:
     """One day of a dimension: restore the table if it is missing, merge the day's records
     (latest per key wins), write the dated backup.  Returns the records applied.
 
@@ -63,6 +63,6 @@ def daily_dimension_job(spark: SparkSession, name: str, table_path: str, backup_
             merge_into(spark, table_path, spark.read.parquet(snap), keys, batch_id=f"restore-{run_dt}",
                        order_by=["updated_dt"], buckets=buckets, null_keys="insert")
     applied = merge_into(spark, table_path, new_records, keys, batch_id=run_dt, order_by=["updated_dt"],
-                         buckets=buckets, null_keys=null_keys)
+                         buckets=buckets, null_keys=null_keys, changes_path=changes_path)
     backup_snapshot(read_table(spark, table_path), backup_root, run_dt)
     return applied

@@ -230,6 +230,7 @@ SELECT CAST(o_orderkey AS VARCHAR) AS order_id, '{"priority":"' || o_orderpriori
                           status_expr="'finished'")
     q["upsert_order_items"] = _upsert(day1, day2, ["order_id", "product_id"], ["record_timestamp"], _ITEM_TIE)
     q["table_changes"] = _changes(COMPANIES, UPSERT_COMPANIES, "cuit", ["name", "updated_dt"])
+    q["merge_change_feed"] = q["table_changes"]
     q["table_history"] = f"""
 WITH v1 AS ({COMPANIES}), ch AS ({_changes(COMPANIES, UPSERT_COMPANIES, "cuit", ["name", "updated_dt"])})
 SELECT CAST(1 AS INTEGER) AS version, (SELECT count(*) FROM v1) AS num_inserted, CAST(0 AS BIGINT) AS num_updated,

@@ -110,3 +110,20 @@ def test_daily_dimension_job_restores_merges_and_backs_up(spark, tmp_dir):
     daily_dimension_job(spark, "companies", table, backup, day, "2022-11-14", buckets=4)   # rerun the day
     assert rows(read_table(spark, table)) == want
     assert rows(read_snapshot(spark, backup, "2022-11-13")) == [(1, "a", T0), (2, "b", T0)]
+
+
+def test_merge_change_feed_covers_touched_buckets(spark, tmp_dir):
+    from lakeshore.operators.upsert import read_changes
+
+    path, feed = os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "feed")
+    base = spark.createDataFrame([(i, f"c{i}", T0) for i in range(50)], DDL)
+    merge_into(spark, path, base, ["cuit"], batch_id=1, buckets=8, changes_path=feed)
+    day = spark.createDataFrame([(5, "five", T1), (7, "c7", T0), (99, "new", T1)], DDL)
+    merge_into(spark, path, day, ["cuit"], batch_id=2, buckets=8, changes_path=feed)
+    merge_into(spark, path, day, ["cuit"], batch_id=2, buckets=8, changes_path=feed)   # replay keeps the feed
+    ch = read_changes(spark, feed)
+    v2 = sorted((r.cuit, r.name, r._change_type) for r in ch.where("version = 2").collect())
+    assert v2 == [(5, "c5", "update_preimage"), (5, "five", "update_postimage"), (99, "new", "insert")]
+    assert ch.where("version = 1 AND _change_type = 'insert'").count() == 50
+    h = {r.version: (r.num_inserted, r.num_updated) for r in table_history(ch).collect()}
+    assert h == {1: (50, 0), 2: (1, 1)}
