@@ -48,7 +48,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     if dedupe:
         good = src.where(key_not_null(keys))
         src = dedupe_latest(good, keys, order_by).unionByName(src.where(~key_not_null(keys)))
-    kept = target.join(src.select(*keys), keys, "left_anti")
+    kept = target.join(src.select(*keys), keys, "left_anti").select(*target.columns)
     return kept.unionByName(src)
 
 
