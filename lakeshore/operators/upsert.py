@@ -30,7 +30,7 @@ def key_not_null(keys: Sequence[str]) -> Column:
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
            order_by: Sequence[str | Column] = ("updated_dt",), dedupe: bool = True,
-           null_keys: str = "quarantine") -> DataFrame:
+           null_keys: str = "quarantine", how: str = "anti") -> DataFrame:
     """Rows of ``target`` whose key is not in ``source``, plus ``source`` (latest per key).
 
     Equivalent to MERGE with update-all / insert-all.  The anti join shuffles
@@ -38,6 +38,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     ``null_keys``: ``"quarantine"`` drops source rows with a NULL key part (see
     ``null_key_rows``), ``"insert"`` inserts them as MERGE would (they never
     match, so a replay inserts them again).
+
+    ``how``: ``"anti"`` (target anti-join source keys, union source) suits a
+    small source and a large target: the source broadcasts and the target is
+    not shuffled, but the source plan is evaluated twice (persist or stage an
+    expensive one).  ``"full"`` is one full outer join where source values win:
+    each side is read once, and when both sides are already hash-partitioned
+    by the keys (keep-latest windows are) the join adds no exchange.
     """
     keys = list(keys)
     src = source.select(*target.columns)
@@ -48,10 +55,24 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     if dedupe:
         good = src.where(key_not_null(keys))
         src = dedupe_latest(good, keys, order_by).unionByName(src.where(~key_not_null(keys)))
+    if how == "full":
+        return _upsert_full(target, src, keys)
+    if how != "anti":
+        raise ValueError("how must be 'anti' or 'full'")
     kept = target.join(src.select(*keys), keys, "left_anti").select(*target.columns)
     return kept.unionByName(src)
 
 
+def _upsert_full(target: DataFrame, src: DataFrame, keys: list[str]) -> DataFrame:
+    cols = target.columns
+    values = [c for c in cols if c not in keys]
+    s = src.select(*keys, *[F.col(c).alias(f"_src_{c}") for c in values], F.lit(True).alias("_src_hit"))
+    j = target.join(s, keys, "full_outer")
+    hit = F.col("_src_hit").isNotNull()
+    return j.select(*[F.col(c) if c in keys else F.when(hit, F.col(f"_src_{c}")).otherwise(F.col(c)).alias(c)
+                      for c in cols])
+
+
 def null_key_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows an upsert sends to quarantine."""
     return source.where(~key_not_null(keys))

@@ -156,11 +156,13 @@ def q_upsert_orders_raw(spark, sf):
 
 
 def q_upsert_order_items(spark, sf):
-    day1 = silver_orders(spark, sf)
-    target = upsert(day1.limit(0), day1, KEYS["orders"], order_by=["record_timestamp"])
+    # Day 1 loads the table (latest per key), day 2 merges the re-sent orders.  Both
+    # sides leave their keep-latest window hash-partitioned by the key, so the
+    # single-pass full-outer merge needs no further exchange.
+    target = dedupe_latest(silver_orders(spark, sf), KEYS["orders"], ["record_timestamp"])
     day2 = orders.silver_orders(changed_orders_raw(spark, sf),
                                 load_ts=F.expr(f"TIMESTAMP '{d.LOAD_TS}' + INTERVAL 1 DAY"))
-    return upsert(target, day2, KEYS["orders"], order_by=["record_timestamp"])
+    return upsert(target, day2, KEYS["orders"], order_by=["record_timestamp"], how="full")
 
 
 def q_table_changes(spark, sf):

@@ -127,3 +127,15 @@ def test_merge_change_feed_covers_touched_buckets(spark, tmp_dir):
     assert ch.where("version = 1 AND _change_type = 'insert'").count() == 50
     h = {r.version: (r.num_inserted, r.num_updated) for r in table_history(ch).collect()}
     assert h == {1: (50, 0), 2: (1, 1)}
+
+
+def test_full_outer_upsert_equals_anti_join_upsert(spark):
+    tgt = spark.createDataFrame([(1, "a", T0), (2, "b", T0), (None, "n", T0)], DDL)
+    src = spark.createDataFrame([(2, "b1", T1), (2, "b2", T2), (3, "c", T1), (None, "x", T1)], DDL)
+    for nk in ("quarantine", "insert"):
+        a = upsert(tgt, src, ["cuit"], null_keys=nk, how="anti")
+        f = upsert(tgt, src, ["cuit"], null_keys=nk, how="full")
+        assert f.columns == tgt.columns
+        assert rows(a) == rows(f)
+    assert rows(upsert(tgt, src, ["cuit"], how="full")) == [
+        (1, "a", T0), (2, "b2", T2), (3, "c", T1), (None, "n", T0)]
