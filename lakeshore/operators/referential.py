@@ -12,5 +12,7 @@ def orphans(child: DataFrame, parent: DataFrame, child_keys: Sequence[str],
             parent_keys: Sequence[str] | None = None) -> DataFrame:
     """Rows of ``child`` with no matching ``parent`` (anti join; NULL keys count as orphans)."""
     parent_keys = list(parent_keys or child_keys)
-    p = parent.select(*[F.col(pk).alias(ck) for pk, ck in zip(parent_keys, child_keys)])
+    # distinct: a hot parent key collapses map-side to one row per task, and the
+    # output is already hash-partitioned by the keys for the anti join.
+    p = parent.select(*[F.col(pk).alias(ck) for pk, ck in zip(parent_keys, child_keys)]).distinct()
     return child.join(p, list(child_keys), "left_anti")

@@ -58,13 +58,16 @@ def orders_batch(df: DataFrame, batch_id: int, bronze_path: str, silver_path: st
     """
     spark = df.sparkSession
     lines = df.persist()
+    parsed_orders = None
     try:
         parsed = parse_order_lines(lines, load_date)
+        # Parsed once for the batch: the field report and the merge both read it.
+        parsed_orders = parsed.orders.persist()
         _write_batch_folder(parsed.bad_records, os.path.join(quarantine_path, "lines"), batch_id)
-        _write_batch_folder(parsed.orders.where(F.size("_bad_fields") > 0)
+        _write_batch_folder(parsed_orders.where(F.size("_bad_fields") > 0)
                             .select("order_id", "_bad_fields"),
                             os.path.join(quarantine_path, "fields"), batch_id)
-        good = parsed.orders.drop("_bad_fields")
+        good = parsed_orders.drop("_bad_fields")
         applied = merge_into(spark, bronze_path, good, KEYS["orders_raw"], batch_id,
                              order_by=["record_timestamp"], buckets=buckets)
         run_id = f"batch-{batch_id}"
@@ -77,6 +80,8 @@ def orders_batch(df: DataFrame, batch_id: int, bronze_path: str, silver_path: st
         if dq_path:
             _save_dq(run_suite(merged, ORDERS_SUITE, run_id), dq_path, run_id, False)
     finally:
+        if parsed_orders is not None:
+            parsed_orders.unpersist()
         lines.unpersist()
 
 
