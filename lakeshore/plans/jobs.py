@@ -39,8 +39,7 @@ def weblogs_job(spark: SparkSession, lake: Lake, geo_ranges: DataFrame, as_of=No
     """Drain landed log files into ``logs_raw``, then ``logs_raw`` into ``logs``."""
     bronze = streams.start_bronze_logs_stream(
         spark, lake.landing("combined_log"), lake.table("logs_raw"), lake.checkpoint("logs_raw"),
-        lake.quarantine("logs"), as_of=as_of, load_ts=load_ts, trigger=trigger,
-        max_files_per_trigger=max_files_per_trigger)
+        as_of=as_of, load_ts=load_ts, trigger=trigger, max_files_per_trigger=max_files_per_trigger)
     if trigger not in ("availableNow", "once"):
         silver = streams.start_silver_logs_stream(spark, lake.table("logs_raw"), lake.table("logs"),
                                                   lake.checkpoint("logs"), geo_ranges, trigger=trigger)
@@ -71,8 +70,7 @@ def register_views(spark: SparkSession, lake: Lake) -> list[str]:
         streams.read_silver_logs(spark, lake.table("logs")).createOrReplaceTempView("logs")
         done.append("logs")
     if path_exists(spark, lake.table("logs_raw")):
-        spark.read.schema(streams.BRONZE_LOGS_SCHEMA).parquet(lake.table("logs_raw")) \
-             .createOrReplaceTempView("logs_raw")
+        streams.read_bronze_logs(spark, lake.table("logs_raw")).createOrReplaceTempView("logs_raw")
         done.append("logs_raw")
     return done
 

@@ -242,8 +242,8 @@ def q_stream_silver_logs(spark, sf):
     land_log_lines(d.log_lines(spark, sf).repartition(4), land, d.LOAD_DATE)
     bronze, silver = os.path.join(root, "bronze"), os.path.join(root, "silver")
     streams.run_to_end(streams.start_bronze_logs_stream(
-        spark, land, bronze, os.path.join(root, "ck_bronze"), os.path.join(root, "quarantine"),
-        as_of=d.LOAD_DATE, load_ts=F.expr(f"TIMESTAMP '{d.LOAD_TS}'"), max_files_per_trigger=1))
+        spark, land, bronze, os.path.join(root, "ck_bronze"),
+        as_of=d.LOAD_DATE, load_ts=F.expr(f"TIMESTAMP '{d.LOAD_TS}'"), max_files_per_trigger=2))
     streams.run_to_end(streams.start_silver_logs_stream(
         spark, bronze, silver, os.path.join(root, "ck_silver"), d.geo_ranges(spark, sf),
         max_files_per_trigger=2))

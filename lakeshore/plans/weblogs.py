@@ -57,6 +57,23 @@ def bronze_logs(parsed_good: DataFrame, as_of=None, load_ts=None) -> DataFrame:
         created.alias("created_dt"))
 
 
+QUARANTINED = "_quarantined"
+
+
+def bronze_log_rows(parsed: DataFrame, as_of=None, load_ts=None) -> DataFrame:
+    """Bronze rows for every parsed line (good and bad): the bronze columns plus
+    ``_corrupt_record`` (the text of a bad line) and ``_quarantined``."""
+    year = F.year(_lit_or(as_of, F.current_date()).cast("date"))
+    created = _lit_or(load_ts, F.current_timestamp()).cast("timestamp")
+    return parsed.select(
+        *LOG_LINE_FIELDS,
+        year.cast("int").alias("year"),
+        F.concat_ws(" ", "request_data", "request_time").alias("request_timestamp"),
+        created.alias("created_dt"),
+        F.col(CORRUPT_COL),
+        F.col(CORRUPT_COL).isNotNull().alias(QUARANTINED))
+
+
 def silver_logs(bronze: DataFrame, geo_ranges: DataFrame, broadcast_max_rows: int | None = 2_000_000) -> DataFrame:
     """Silver: timestamp parsed, device label, action and product from the path, country by IP.
 

@@ -22,11 +22,11 @@ from lakeshore.operators.quality import run_suite
 from lakeshore.operators.upsert import merge_into
 from lakeshore.plans.orders import silver_orders
 from lakeshore.plans.suites import ORDERS_RAW_SUITE, ORDERS_SUITE
-from lakeshore.plans.weblogs import bad_lines, bronze_logs, good_lines, parse_lines, silver_logs
+from lakeshore.functions.logline import CORRUPT_COL
+from lakeshore.plans.weblogs import QUARANTINED, bronze_log_rows, parse_lines, silver_logs
 from lakeshore.schemas import KEYS, LOGS_COLUMNS, LOGS_RAW, ORDERS_COLUMNS
 from lakeshore.sources.files import parse_order_lines, text_files
 
-BATCH_COL = "_batch"
 
 
 def _trigger(writer, trigger: str | dict):
@@ -113,38 +113,31 @@ def start_orders_stream(spark: SparkSession, landing_path: str, bronze_path: str
 
 # --- logs --------------------------------------------------------------------------
 
-BRONZE_LOGS_SCHEMA = T.StructType(LOGS_RAW.fields + [T.StructField(BATCH_COL, T.LongType())])
-
-
-def logs_batch(df: DataFrame, batch_id: int, bronze_path: str, quarantine_path: str,
-               as_of=None, load_ts=None) -> None:
-    """One micro-batch of log lines: bad lines to quarantine, good ones appended to bronze.
-
-    Bronze is partitioned by (year, batch); the batch's partitions are written
-    with dynamic overwrite, so a replay replaces them instead of appending twice.
-    """
-    parsed = parse_lines(df).persist()
-    try:
-        _write_batch_folder(bad_lines(parsed), quarantine_path, batch_id)
-        bronze = bronze_logs(good_lines(parsed), as_of, load_ts).withColumn(
-            BATCH_COL, F.lit(batch_id).cast("bigint"))
-        (bronze.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("year", BATCH_COL).parquet(bronze_path))
-    finally:
-        parsed.unpersist()
+BRONZE_LOGS_SCHEMA = T.StructType(LOGS_RAW.fields + [
+    T.StructField(CORRUPT_COL, T.StringType()), T.StructField(QUARANTINED, T.BooleanType())])
 
 
 def start_bronze_logs_stream(spark: SparkSession, landing_path: str, bronze_path: str, checkpoint: str,
-                             quarantine_path: str, as_of=None, load_ts=None,
-                             trigger: str | dict = "availableNow",
+                             as_of=None, load_ts=None, trigger: str | dict = "availableNow",
                              max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Landed log lines -> ``logs_raw`` with the exactly-once file sink.
+
+    Partitioned by (year, ``_quarantined``): bad lines stay in the same query
+    and the same commit as the good ones, under ``_quarantined=true``; readers
+    of good rows prune that partition.  No per-batch folders, so a trigger
+    every second does not multiply directories.
+    """
     lines = text_files(spark, landing_path, stream=True, max_files_per_trigger=max_files_per_trigger)
+    rows = bronze_log_rows(parse_lines(lines), as_of, load_ts)
+    w = (rows.writeStream.format("parquet").outputMode("append")
+             .partitionBy("year", QUARANTINED).option("checkpointLocation", checkpoint))
+    return _trigger(w, trigger).start(bronze_path)
 
-    def fn(df, batch_id):
-        logs_batch(df, batch_id, bronze_path, quarantine_path, as_of, load_ts)
 
-    w = lines.writeStream.foreachBatch(fn).outputMode("append").option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+def read_bronze_logs(spark: SparkSession, bronze_path: str, quarantined: bool = False) -> DataFrame:
+    """Good bronze rows (or, with ``quarantined=True``, the quarantined lines)."""
+    df = spark.read.schema(BRONZE_LOGS_SCHEMA).parquet(bronze_path).where(F.col(QUARANTINED) == quarantined)
+    return df.select(F.col(CORRUPT_COL).alias("value")) if quarantined else df.drop(CORRUPT_COL, QUARANTINED)
 
 
 def start_silver_logs_stream(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str,
@@ -158,7 +151,8 @@ def start_silver_logs_stream(spark: SparkSession, bronze_path: str, silver_path:
     reader = spark.readStream.schema(BRONZE_LOGS_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    silver = silver_logs(reader.parquet(bronze_path), geo_ranges)
+    bronze = reader.parquet(bronze_path).where(~F.col(QUARANTINED)).drop(CORRUPT_COL, QUARANTINED)
+    silver = silver_logs(bronze, geo_ranges)
     w = (silver.writeStream.format("parquet").outputMode("append").partitionBy("country")
                .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start(silver_path)

@@ -75,10 +75,12 @@ def test_logs_streams_partition_by_country(spark, tmp_dir):
     geo = spark.createDataFrame([(16777216, 16777216 + 255, "X")], "ip_from bigint, ip_to bigint, country string")
     for _ in range(2):   # second run: restart, nothing re-read
         streams.run_to_end(streams.start_bronze_logs_stream(
-            spark, land, bronze, os.path.join(tmp_dir, "ckb"), os.path.join(tmp_dir, "q"), as_of="2022-11-14"))
+            spark, land, bronze, os.path.join(tmp_dir, "ckb"), as_of="2022-11-14"))
         streams.run_to_end(streams.start_silver_logs_stream(spark, bronze, silver, os.path.join(tmp_dir, "cks"), geo))
     out = {r.ip_address: (r.country, r.action, r.product_id, r.year)
            for r in streams.read_silver_logs(spark, silver).collect()}
     assert out == {"1.0.0.1": ("X", "login", None, 2022), "9.9.9.9": (None, "product", "2", 2022)}
     assert os.path.isdir(os.path.join(silver, "country=X"))
-    assert spark.read.parquet(os.path.join(tmp_dir, "q")).count() == 1
+    assert [r.value for r in streams.read_bronze_logs(spark, bronze, quarantined=True).collect()] == ["short line"]
+    assert streams.read_bronze_logs(spark, bronze).count() == 2
+    assert os.path.isdir(os.path.join(bronze, "year=2022", "_quarantined=false"))
