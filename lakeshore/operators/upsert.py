@@ -89,6 +89,9 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     """Upsert ``source`` into the Parquet table at ``path``; returns the rows applied.
 
     Layout: ``path/_kb=<bucket>/`` (bucket = xxhash64(keys) mod ``buckets``).
+    ``buckets`` is fixed for the table's life; size it so a bucket holds about a
+    gigabyte (a 100 TB table: ~100k buckets), then a day's small batch touches
+    few buckets and a merge reads and rewrites only those.
 
     1. The source, NULL keys handled and kept latest per key, is staged once
        under ``path/_staging/batch=<id>/source`` (this also cuts its lineage).
@@ -132,8 +135,12 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     staged_src = spark.read.schema(src_b.schema).parquet(os.path.join(staging, "source"))
 
     target = spark.read.parquet(path)
+    # Buckets the source hashes into (at most `buckets` values): only their key
+    # columns are read to find the matches (partition pruning + column pruning).
+    src_buckets = sorted(r[0] for r in staged_src.select(BUCKET_COL).distinct().collect())
     matched = staged_src.where(key_not_null(keys)).join(
-        target.select(*keys, BUCKET_COL), keys + [BUCKET_COL], "left_semi")
+        target.where(F.col(BUCKET_COL).isin(src_buckets)).select(*keys, BUCKET_COL),
+        keys + [BUCKET_COL], "left_semi")
     # At most `buckets` values: a bounded collect.
     hit = sorted(r[0] for r in matched.select(BUCKET_COL).distinct().collect())
     if hit:
