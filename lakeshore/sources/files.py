@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshore.schemas import JOB_RUNS_LISTING, ORDER_DOC, ORDER_DOC_FIELDS
+from lakeshore.schemas import JOB_RUNS_LISTING, ORDER_DOC, ORDER_DOC_FIELDS, SCHEMAS
 
 
 def text_files(spark: SparkSession, path: str, stream: bool = False,
@@ -80,6 +80,12 @@ def read_order_documents(spark: SparkSession, path: str, load_date=None) -> Pars
     return parse_order_lines(text_files(spark, path), load_date)
 
 
+def read_records(spark: SparkSession, path: str, table: str, fmt: str = "json") -> DataFrame:
+    """A day's new records for ``table`` read with its stored schema (no inference,
+    so column order and types never depend on the data)."""
+    return spark.read.schema(SCHEMAS[table]).format(fmt).load(path)
+
+
 def read_job_runs(spark: SparkSession, path: str) -> DataFrame:
     """Landed job-run listings (``{"runs": [...]}`` per file) -> one row per run."""
     listing = spark.read.schema(JOB_RUNS_LISTING).option("multiLine", "true").json(path)

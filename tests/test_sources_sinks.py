@@ -9,7 +9,8 @@ from lakeshore.operators.quality import Suite, not_null, read_results, run_suite
 from lakeshore.operators.sample import bernoulli, hash_fraction, hash_sample_n
 from lakeshore.plans import monitor, reports, weblogs
 from lakeshore.sinks.landing import land_log_lines, land_order_documents
-from lakeshore.sources.files import parse_order_lines, read_job_runs, read_order_documents, schema_drift, text_files
+from lakeshore.sources.files import (parse_order_lines, read_job_runs, read_order_documents, read_records,
+                                     schema_drift, text_files)
 
 
 def test_job_run_listing_and_view(spark, tmp_dir):
@@ -105,3 +106,14 @@ def test_logs_from_lines_plan_is_python_free(spark):
     assert "Python" not in plan and "ArrowEval" not in plan
     assert plan.count("from_csv") == 1      # the line is parsed once
     assert out.first().country == "X"
+
+
+def test_read_records_uses_table_schema(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "new_companies")
+    os.makedirs(p)
+    with open(os.path.join(p, "a.json"), "w") as f:
+        f.write('{"name": "Acme", "updated_dt": "2022-11-14T10:00:00Z", "cuit": 30712345678}\n')
+    df = read_records(spark, p, "companies")
+    assert df.columns == ["cuit", "name", "updated_dt"]
+    r = df.first()
+    assert r.cuit == 30712345678 and r.updated_dt == datetime.datetime(2022, 11, 14, 10, 0)
