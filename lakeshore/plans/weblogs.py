@@ -43,35 +43,26 @@ def bad_lines(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col(CORRUPT_COL).isNotNull()).select(F.col(CORRUPT_COL).alias("value"))
 
 
-def bronze_logs(parsed_good: DataFrame, as_of=None, load_ts=None) -> DataFrame:
-    """Bronze: date and time tokens joined, load year and load timestamp stamped.
-
-    ``as_of`` (a date) gives ``year``; default the current date.
-    """
-    year = F.year(_lit_or(as_of, F.current_date()).cast("date"))
-    created = _lit_or(load_ts, F.current_timestamp()).cast("timestamp")
-    return parsed_good.select(
-        *LOG_LINE_FIELDS,
-        year.cast("int").alias("year"),
-        F.concat_ws(" ", "request_data", "request_time").alias("request_timestamp"),
-        created.alias("created_dt"))
-
-
 QUARANTINED = "_quarantined"
 
 
-def bronze_log_rows(parsed: DataFrame, as_of=None, load_ts=None) -> DataFrame:
-    """Bronze rows for every parsed line (good and bad): the bronze columns plus
-    ``_corrupt_record`` (the text of a bad line) and ``_quarantined``."""
+def bronze_logs(parsed: DataFrame, as_of=None, load_ts=None, keep_quarantine: bool = False) -> DataFrame:
+    """Bronze: date and time tokens joined, load year and load timestamp stamped.
+
+    ``as_of`` (a date) gives ``year``; default the current date.  With
+    ``keep_quarantine`` every parsed line is kept and flagged: ``_corrupt_record``
+    holds the text of a bad line and ``_quarantined`` marks it (the streaming
+    bronze table partitions on it); otherwise pass good lines only.
+    """
     year = F.year(_lit_or(as_of, F.current_date()).cast("date"))
     created = _lit_or(load_ts, F.current_timestamp()).cast("timestamp")
+    extra = [F.col(CORRUPT_COL), F.col(CORRUPT_COL).isNotNull().alias(QUARANTINED)] if keep_quarantine else []
     return parsed.select(
         *LOG_LINE_FIELDS,
         year.cast("int").alias("year"),
         F.concat_ws(" ", "request_data", "request_time").alias("request_timestamp"),
         created.alias("created_dt"),
-        F.col(CORRUPT_COL),
-        F.col(CORRUPT_COL).isNotNull().alias(QUARANTINED))
+        *extra)
 
 
 def silver_logs(bronze: DataFrame, geo_ranges: DataFrame, broadcast_max_rows: int | None = 2_000_000) -> DataFrame:

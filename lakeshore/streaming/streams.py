@@ -23,7 +23,7 @@ from lakeshore.operators.upsert import merge_into
 from lakeshore.plans.orders import silver_orders
 from lakeshore.plans.suites import ORDERS_RAW_SUITE, ORDERS_SUITE
 from lakeshore.functions.logline import CORRUPT_COL
-from lakeshore.plans.weblogs import QUARANTINED, bronze_log_rows, parse_lines, silver_logs
+from lakeshore.plans.weblogs import QUARANTINED, bronze_logs, parse_lines, silver_logs
 from lakeshore.schemas import KEYS, LOGS_COLUMNS, LOGS_RAW, ORDERS_COLUMNS
 from lakeshore.sources.files import parse_order_lines, text_files
 
@@ -130,7 +130,7 @@ def start_bronze_logs_stream(spark: SparkSession, landing_path: str, bronze_path
     every second does not multiply directories.
     """
     lines = text_files(spark, landing_path, stream=True, max_files_per_trigger=max_files_per_trigger)
-    rows = bronze_log_rows(parse_lines(lines), as_of, load_ts)
+    rows = bronze_logs(parse_lines(lines), as_of, load_ts, keep_quarantine=True)
     w = (rows.writeStream.format("parquet").outputMode("append")
              .partitionBy("year", QUARANTINED).option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start(bronze_path)
