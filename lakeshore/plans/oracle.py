@@ -277,6 +277,7 @@ SELECT job_id, run_id, number_in_job, setup_duration, creator_user_name, run_nam
        || state_message || '</td></tr>' AS table_row_tag,
        life_cycle_state, state_message
 FROM runs WHERE run_type = 'JOB_RUN'"""
+    q["submit_runs_view"] = q["job_runs_view"].replace("WHERE run_type = 'JOB_RUN'", "WHERE run_type = 'SUBMIT_RUN'")
     q["stream_silver_logs"] = SILVER_LOGS
     q["stream_orders"] = _dedupe(SILVER_ORDERS, ["order_id", "product_id"], ["record_timestamp"], _ITEM_TIE)
     return q

@@ -220,6 +220,10 @@ def q_job_runs_view(spark, sf):
     return monitor.flat_job_runs_view(d.job_runs(spark, sf), run_type="JOB_RUN")
 
 
+def q_submit_runs_view(spark, sf):
+    return monitor.flat_job_runs_view(d.job_runs(spark, sf), run_type="SUBMIT_RUN")
+
+
 # --- streaming (stream = batch) ------------------------------------------------------
 
 def _run_dir(spark: SparkSession, name: str) -> str:
@@ -318,6 +322,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hash_sample": q_hash_sample,
     "hash_sample_n": q_hash_sample_n,
     "job_runs_view": q_job_runs_view,
+    "submit_runs_view": q_submit_runs_view,
     "stream_silver_logs": q_stream_silver_logs,
     "stream_orders": q_stream_orders,
 }
