@@ -144,8 +144,8 @@ def company_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
-    # nation is a fixed 25-row table: broadcasting it is size-safe.
-    j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
+    # No hint: nation is tiny, and Spark broadcasts it from its measured size.
+    j = c.join(n, c.c_nationkey == n.n_nationkey, "left")
     return j.select(
         F.date_add(F.lit(BIRTH_DAY_ZERO).cast("date"),
                    (F.col("c_custkey") % BIRTH_DAY_SPAN).cast("int")).alias("birth_day"),
@@ -159,7 +159,7 @@ def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers in debt (negative balance) move to the next nation's country."""
     c = table(spark, sf_dir, "customer").where(F.col("c_acctbal") < 0)
     n = table(spark, sf_dir, "nation")
-    j = c.join(F.broadcast(n), (c.c_nationkey + 1) % 25 == n.n_nationkey, "left")
+    j = c.join(n, (c.c_nationkey + 1) % 25 == n.n_nationkey, "left")
     return j.select(
         F.date_add(F.lit(BIRTH_DAY_ZERO).cast("date"),
                    (F.col("c_custkey") % BIRTH_DAY_SPAN).cast("int")).alias("birth_day"),
