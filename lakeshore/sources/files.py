@@ -44,23 +44,27 @@ class ParsedOrders:
     bad_records: DataFrame  # value: lines that are not JSON orders
 
 
-def _array_text(value: Column) -> Column:
-    v = F.trim(value)
-    return (F.when(v.startswith("["), v)
-             .when(v.startswith("{"), F.concat(F.lit("["), v, F.lit("]"))))
-
-
 def parse_order_lines(lines: DataFrame, load_date=None, line_col: str = "value") -> ParsedOrders:
-    """Split landed order lines into parsed orders and quarantined lines."""
-    elems = F.from_json(_array_text(F.col(line_col)), "array<string>")
+    """Split landed order lines into parsed orders and quarantined records.
+
+    A line starting with ``[`` is split into its elements (one JSON parse to
+    raw element text); a line starting with ``{`` is its own single element,
+    with no extra parse.  Each element is then parsed once, inside the
+    generator (field accesses on a ``from_json`` result would otherwise each
+    become their own pruned parse).  Quarantined: lines that are neither,
+    arrays that do not parse, and elements that are not a JSON object.
+    """
+    v = F.trim(F.col(line_col))
+    elems = (F.when(v.startswith("["), F.from_json(v, "array<string>"))
+              .when(v.startswith("{"), F.array(v)))
     tagged = lines.select(F.col(line_col).alias("_line"), elems.alias("_elems"))
     blank = F.trim(F.col("_line")) == ""
-    bad = tagged.where(F.col("_elems").isNull() & ~blank).select(F.col("_line").alias("value"))
-    # Each element is parsed once, inside the generator: field accesses on a
-    # from_json result would otherwise each become their own pruned parse.
-    parsed = tagged.where(F.col("_elems").isNotNull()).select(F.inline(F.transform(
-        "_elems", lambda e: F.struct(F.from_json(e, ORDER_DOC).alias("s"),
+    bad_lines = tagged.where(F.col("_elems").isNull() & ~blank).select(F.col("_line").alias("value"))
+    docs = tagged.where(F.col("_elems").isNotNull()).select(F.inline(F.transform(
+        "_elems", lambda e: F.struct(e.alias("_doc"), F.from_json(e, ORDER_DOC).alias("s"),
                                      F.from_json(e, "map<string,string>").alias("m")))))
+    bad_docs = docs.where(F.col("m").isNull()).select(F.col("_doc").alias("value"))
+    parsed = docs.where(F.col("m").isNotNull())
     known = F.array(*[F.lit(c) for c in ORDER_DOC_FIELDS])
     extra = F.map_filter("m", lambda k, v: ~F.array_contains(known, k))
     rescued = F.when(F.size(extra) > 0, F.to_json(extra))
@@ -72,7 +76,7 @@ def parse_order_lines(lines: DataFrame, load_date=None, line_col: str = "value")
         *[F.col("s")[c].alias(c) for c in ORDER_DOC_FIELDS],
         rescued.alias("_rescued_data"), stamp.alias("record_timestamp"),
         bad_fields.alias("_bad_fields"))
-    return ParsedOrders(orders, bad)
+    return ParsedOrders(orders, bad_lines.unionByName(bad_docs))
 
 
 def read_order_documents(spark: SparkSession, path: str, load_date=None) -> ParsedOrders:
