@@ -48,3 +48,24 @@ def test_geo_range_join(spark):
     assert out.count() == 7
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+
+
+def test_geo_shuffle_fallback_with_a_hot_ip(spark):
+    ranges = spark.createDataFrame([(16777216, 16777216 + 0x2FFFF, "X"), (33554432, 33554432 + 10, "Y")],
+                                   "ip_from bigint, ip_to bigint, country string")
+    hot = [("1.0.0.1",)] * 30
+    cold = [("1.1.0.5",), ("2.0.0.3",), ("2.0.0.99",), ("junk",)] * 15
+    ips = spark.createDataFrame(hot + cold, "ip_address string")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = geo_lookup(ips, ranges, broadcast_max_rows=0)      # no hint, no auto broadcast: shuffle join
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and ("SortMergeJoin" in plan or "ShuffledHashJoin" in plan)
+        got = {}
+        for r in out.collect():
+            got[(r.ip_address, r.country)] = got.get((r.ip_address, r.country), 0) + 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert got == {("1.0.0.1", "X"): 30, ("1.1.0.5", "X"): 15, ("2.0.0.3", "Y"): 15, ("2.0.0.99", None): 15,
+                   ("junk", None): 15}
