@@ -148,8 +148,10 @@ def q_upsert_products(spark, sf):
 
 
 def q_upsert_orders_raw(spark, sf):
+    # The re-sent documents are a pipeline of their own and too many to
+    # broadcast: the single-pass merge evaluates them once.
     new = upsert(d.orders_raw(spark, sf), changed_orders_raw(spark, sf), KEYS["orders_raw"],
-                 order_by=["record_timestamp"])
+                 order_by=["record_timestamp"], how="full")
     return new.select("customer_birth_day", "customer_document_number", "customer_name", "order_dt",
                       "order_id", "status", "total_price", "record_timestamp",
                       F.size("items").alias("n_items"))
