@@ -6,6 +6,7 @@ from lakeshore.functions.fmt import (  # noqa: F401
     epoch_ms_to_string,
     html_row_tag,
 )
+from lakeshore.functions.ids import key_id  # noqa: F401
 from lakeshore.functions.ip import ipv4_to_long  # noqa: F401
 from lakeshore.functions.logline import (  # noqa: F401
     format_log_line,

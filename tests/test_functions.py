@@ -73,3 +73,13 @@ def test_device_label(spark):
         ("curl/7.88.1",), (None,)], "ua string")
     got = [r.d for r in ua.select(useragent.device_label("ua").alias("d")).collect()]
     assert got == ["iPhone Apple iPhone", "Samsung SM-S901B Samsung SM-S901B", "Other None None", None]
+
+
+def test_key_id_is_stable_and_separates_parts(spark):
+    from lakeshore.functions.ids import key_id
+
+    df = spark.createDataFrame([("a", "bc"), ("ab", "c"), ("a", None), ("a", "")], "x string, y string")
+    ids = [r.k for r in df.select(key_id("x", "y").alias("k")).collect()]
+    assert len(set(ids)) == 4 and all(len(i) == 64 for i in ids)
+    again = [r.k for r in df.select(key_id("x", "y").alias("k")).collect()]
+    assert ids == again
