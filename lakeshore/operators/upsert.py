@@ -131,6 +131,7 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
         return spark.read.parquet(path).drop(BUCKET_COL)
 
     staging = os.path.join(path, "_staging", f"batch={batch_id}")
+    _drop_older_staging(spark, os.path.join(path, "_staging"), f"batch={batch_id}")
     src_b.write.mode("overwrite").parquet(os.path.join(staging, "source"))
     staged_src = spark.read.schema(src_b.schema).parquet(os.path.join(staging, "source"))
 
@@ -168,6 +169,23 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     return staged_src.drop(BUCKET_COL)
 
 
+def _drop_older_staging(spark: SparkSession, root: str, keep: str) -> None:
+    """Remove staged copies of earlier batches.
+
+    Merges into one table run one at a time (one stream or one daily job), so
+    an earlier batch's merge has finished and its staged rows are no longer
+    read; the current batch's folder is kept (its rows are returned lazily).
+    """
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return
+    for st in fs.listStatus(p):
+        if st.getPath().getName() != keep:
+            fs.delete(st.getPath(), True)
+
+
 def _is_complete(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")

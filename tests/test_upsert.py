@@ -66,6 +66,9 @@ def test_merge_into_is_idempotent_and_touches_only_buckets(spark, tmp_dir):
     assert rows(read_table(spark, path)) == first
     assert len(first) == 201
     assert (5, "five", T1) in first and (500, "new", T1) in first
+    merge_into(spark, path, src, ["cuit"], batch_id=2, buckets=8)
+    assert os.listdir(os.path.join(path, "_staging")) == ["batch=2"]    # earlier staging removed
+    assert rows(read_table(spark, path)) == first
 
 
 def test_change_feed_and_history(spark):
