@@ -18,3 +18,15 @@ def ipv4_to_long(c) -> Column:
     for o in octets[1:]:
         in_range = in_range & (o <= 255)
     return F.when(col.rlike(_IPV4) & in_range, value)
+
+
+def cidr_range(c) -> tuple[Column, Column]:
+    """``'1.2.3.0/24'`` -> (first, last) address as bigints; malformed -> NULLs."""
+    col = F.col(c) if isinstance(c, str) else c
+    parts = F.split(col, "/")
+    base = ipv4_to_long(F.get(parts, F.lit(0)))
+    bits = F.get(parts, F.lit(1)).try_cast("int")
+    ok = base.isNotNull() & bits.between(0, 32)
+    size = F.pow(F.lit(2), F.lit(32) - bits).cast("bigint")   # exact: powers of two up to 2^32
+    first = F.when(ok, base - F.pmod(base, size))
+    return first, F.when(ok, first + size - 1)

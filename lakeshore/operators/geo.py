@@ -48,3 +48,17 @@ def geo_lookup(df: DataFrame, ranges: DataFrame, ip_col: str = "ip_address",
     out = left.join(buckets, cond, "left")
     return (out.withColumn(out_col, F.col("_geo_value"))
                .drop("_geo_ip", "_geo_b", "_geo_bucket", "_geo_lo", "_geo_hi", "_geo_value"))
+
+
+def ranges_from_cidr_blocks(blocks: DataFrame, locations: DataFrame, network_col: str = "network",
+                            id_col: str = "geoname_id", name_col: str = "country_name") -> DataFrame:
+    """Range table from country blocks (CIDR network, location id) and locations
+    (location id, country name), the layout of public GeoIP country CSV files.
+    Blocks without a location keep a NULL country."""
+    from lakeshore.functions.ip import cidr_range
+
+    lo, hi = cidr_range(F.col(network_col))
+    b = blocks.select(lo.alias("ip_from"), hi.alias("ip_to"), F.col(id_col).alias("_gid"))
+    loc = locations.select(F.col(id_col).alias("_gid"), F.col(name_col).alias("country"))
+    return (b.where(F.col("ip_from").isNotNull())
+             .join(loc, "_gid", "left").select("ip_from", "ip_to", "country"))

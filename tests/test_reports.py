@@ -69,3 +69,17 @@ def test_geo_shuffle_fallback_with_a_hot_ip(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
     assert got == {("1.0.0.1", "X"): 30, ("1.1.0.5", "X"): 15, ("2.0.0.3", "Y"): 15, ("2.0.0.99", None): 15,
                    ("junk", None): 15}
+
+
+
+def test_ranges_from_cidr_blocks(spark):
+    from lakeshore.operators.geo import ranges_from_cidr_blocks
+
+    blocks = spark.createDataFrame([("1.0.0.0/24", 10), ("1.0.2.0/23", 20), ("8.8.8.8/32", 30), ("bad/99", 10)],
+                                   "network string, geoname_id bigint")
+    locs = spark.createDataFrame([(10, "Australia"), (20, "China")], "geoname_id bigint, country_name string")
+    r = sorted(tuple(x) for x in ranges_from_cidr_blocks(blocks, locs).collect())
+    assert r == [(16777216, 16777471, "Australia"), (16777728, 16778239, "China"), (134744072, 134744072, None)]
+    ips = spark.createDataFrame([("1.0.0.7",), ("1.0.3.200",), ("1.0.1.1",)], "ip_address string")
+    got = {x.ip_address: x.country for x in geo_lookup(ips, ranges_from_cidr_blocks(blocks, locs)).collect()}
+    assert got == {"1.0.0.7": "Australia", "1.0.3.200": "China", "1.0.1.1": None}
