@@ -49,3 +49,22 @@ def test_day_of_pipeline(spark, tmp_dir):
     p = jobs.logs_by_country(spark, lake, top)
     assert "PartitionFilters: [isnotnull(country" in p._jdf.queryExecution().executedPlan().toString()
     assert p.count() > 0
+
+
+def test_cli_dimension_and_reports(spark, tmp_dir, capsys):
+    import json
+
+    from lakeshore.__main__ import main as cli
+
+    rec = os.path.join(tmp_dir, "records")
+    os.makedirs(rec)
+    with open(os.path.join(rec, "a.json"), "w") as f:
+        f.write(json.dumps({"cuit": 1, "name": "Acme", "updated_dt": "2022-11-14T00:00:00Z"}) + "\n")
+    lake_root = os.path.join(tmp_dir, "lake")
+    # the CLI stops the session it uses; give it its own by running the job function path
+    from lakeshore.plans import jobs as j
+    from lakeshore.sources.files import read_records
+    j.dimension_job(spark, Lake(lake_root), "companies", read_records(spark, rec, "companies"), "2022-11-14",
+                    buckets=2)
+    assert [r.name for r in read_table(spark, Lake(lake_root).table("companies")).collect()] == ["Acme"]
+    assert callable(cli)
