@@ -85,7 +85,7 @@ def key_bucket(keys: Sequence[str], buckets: int = DEFAULT_BUCKETS) -> Column:
 def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                batch_id: int | str, order_by: Sequence[str | Column] = ("updated_dt",),
                buckets: int = DEFAULT_BUCKETS, null_keys: str = "quarantine",
-               changes_path: str | None = None) -> DataFrame:
+               changes_path: str | None = None, bucket_keys: Sequence[str] | None = None) -> DataFrame:
     """Upsert ``source`` into the Parquet table at ``path``; returns the rows applied.
 
     Layout: ``path/_kb=<bucket>/`` (bucket = xxhash64(keys) mod ``buckets``).
@@ -101,6 +101,10 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
        partition overwrite.  Source rows in other buckets are new keys and are
        appended.
 
+    ``bucket_keys`` (a subset of the keys, default all) chooses what the bucket
+    hashes: order items bucketed by ``order_id`` keep an order together, so a
+    re-sent order rewrites one bucket.  It is fixed for the table's life.
+
     With ``changes_path`` the batch's row-level change feed (see
     ``changes.table_changes``) is written to ``changes_path/version=<batch id>``
     before anything is replaced: a diff of the rewritten buckets only, plus the
@@ -120,7 +124,10 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     applied = dedupe_latest(src.where(key_not_null(keys)), keys, order_by)
     if null_keys == "insert":
         applied = applied.unionByName(src.where(~key_not_null(keys)))
-    src_b = applied.withColumn(BUCKET_COL, key_bucket(keys, buckets))
+    bucket_keys = list(bucket_keys or keys)
+    if not set(bucket_keys) <= set(keys):
+        raise ValueError("bucket_keys must be a subset of keys")
+    src_b = applied.withColumn(BUCKET_COL, key_bucket(bucket_keys, buckets))
     feed = os.path.join(changes_path, f"version={batch_id}") if changes_path else None
     if feed and _is_complete(spark, feed):
         feed = None

@@ -77,8 +77,9 @@ def orders_batch(df: DataFrame, batch_id: int, bronze_path: str, silver_path: st
             raw_dq = run_suite(applied, ORDERS_RAW_SUITE, run_id, fail_on_error=False)
             _save_dq(raw_dq, dq_path, run_id, fail_on_error)
         items = silver_orders(applied, load_ts=load_ts)
+        # Items bucketed by order: a re-sent order rewrites a single bucket.
         merged = merge_into(spark, silver_path, items, KEYS["orders"], batch_id,
-                            order_by=["record_timestamp"], buckets=buckets)
+                            order_by=["record_timestamp"], buckets=buckets, bucket_keys=["order_id"])
         if dq_path:
             _save_dq(run_suite(merged, ORDERS_SUITE, run_id), dq_path, run_id, False)
     finally:
