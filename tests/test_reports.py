@@ -83,3 +83,13 @@ def test_ranges_from_cidr_blocks(spark):
     ips = spark.createDataFrame([("1.0.0.7",), ("1.0.3.200",), ("1.0.1.1",)], "ip_address string")
     got = {x.ip_address: x.country for x in geo_lookup(ips, ranges_from_cidr_blocks(blocks, locs)).collect()}
     assert got == {"1.0.0.7": "Australia", "1.0.3.200": "China", "1.0.1.1": None}
+
+
+
+def test_top_products_pct(spark):
+    logs = spark.createDataFrame([
+        ("A", "login", None, "x"), ("A", "product", "1", "x"), ("A", "product", "1", "x"),
+        ("A", "product", "2", "x"), ("A", "product", "3", "x"), ("B", "product", "2", "x")], LOGS)
+    prods = spark.createDataFrame([(1, "one"), (2, "two"), (3, "three")], "product_id bigint, name string")
+    got = [tuple(r) for r in reports.top_products_in_top_country(logs, prods, k=2, with_pct=True).collect()]
+    assert got == [(2, "1", "one", 50.0), (1, "2", "two", 25.0)]
