@@ -101,3 +101,17 @@ def test_device_label_matches_python_rules(spark, parts):
 
     got = spark.createDataFrame([(ua,)], "ua string").select(device_label("ua").alias("d")).first().d
     assert got == model(ua)
+
+
+@SETTINGS
+@given(cents=st.lists(st.integers(0, 10**9), min_size=1, max_size=30))
+def test_money_avg_is_exact_half_up(spark, cents):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from lakeshore.plans.reports import money_avg
+
+    prices = [c / 100 for c in cents]
+    df = spark.createDataFrame([(p,) for p in prices], "p double")
+    got = df.agg(money_avg("p").alias("a")).first().a
+    want = (Decimal(sum(cents)) / Decimal(len(cents)) / 100).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+    assert got == want
