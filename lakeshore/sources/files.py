@@ -42,6 +42,7 @@ def text_files(spark: SparkSession, path: str, stream: bool = False,
 class ParsedOrders:
     orders: DataFrame       # ORDERS_RAW columns (+ _bad_fields array)
     bad_records: DataFrame  # value: lines that are not JSON orders
+    docs: DataFrame         # per element: raw text, typed struct, string map (persist to parse once)
 
 
 def parse_order_lines(lines: DataFrame, load_date=None, line_col: str = "value") -> ParsedOrders:
@@ -76,7 +77,7 @@ def parse_order_lines(lines: DataFrame, load_date=None, line_col: str = "value")
         *[F.col("s")[c].alias(c) for c in ORDER_DOC_FIELDS],
         rescued.alias("_rescued_data"), stamp.alias("record_timestamp"),
         bad_fields.alias("_bad_fields"))
-    return ParsedOrders(orders, bad_lines.unionByName(bad_docs))
+    return ParsedOrders(orders, bad_lines.unionByName(bad_docs), docs)
 
 
 def read_order_documents(spark: SparkSession, path: str, load_date=None) -> ParsedOrders:

@@ -61,15 +61,16 @@ def orders_batch(df: DataFrame, batch_id: int, bronze_path: str, silver_path: st
     parsed_orders = None
     try:
         parsed = parse_order_lines(lines, load_date)
-        # Parsed once for the batch: the field report and the merge both read it.
-        parsed_orders = parsed.orders.persist()
+        # Elements parsed once for the batch: the quarantine check, the field
+        # report and the merge all read the cached parse.
+        parsed_orders = parsed.docs.persist()
         # Quarantine folders only for batches that have bad input.
         if not parsed.bad_records.isEmpty():
             _write_batch_folder(parsed.bad_records, os.path.join(quarantine_path, "lines"), batch_id)
-        field_errors = parsed_orders.where(F.size("_bad_fields") > 0).select("order_id", "_bad_fields")
+        field_errors = parsed.orders.where(F.size("_bad_fields") > 0).select("order_id", "_bad_fields")
         if not field_errors.isEmpty():
             _write_batch_folder(field_errors, os.path.join(quarantine_path, "fields"), batch_id)
-        good = parsed_orders.drop("_bad_fields")
+        good = parsed.orders.drop("_bad_fields")
         applied = merge_into(spark, bronze_path, good, KEYS["orders_raw"], batch_id,
                              order_by=["record_timestamp"], buckets=buckets)
         run_id = f"batch-{batch_id}"
