@@ -142,3 +142,41 @@ def test_full_outer_upsert_equals_anti_join_upsert(spark):
         assert rows(a) == rows(f)
     assert rows(upsert(tgt, src, ["cuit"], how="full")) == [
         (1, "a", T0), (2, "b2", T2), (3, "c", T1), (None, "n", T0)]
+
+
+def _crash_on_table_write(monkeypatch, table_path, nth):
+    """Make the nth parquet write to ``table_path`` raise (a lost driver mid-merge)."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    real = DataFrameWriter.parquet
+    calls = {"n": 0}
+
+    def flaky(self, path, *a, **k):
+        if os.path.normpath(str(path)) == os.path.normpath(table_path):
+            calls["n"] += 1
+            if calls["n"] == nth:
+                raise RuntimeError("simulated crash")
+        return real(self, path, *a, **k)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", flaky)
+
+
+def test_merge_replay_after_crash_is_exact(spark, tmp_dir, monkeypatch):
+    import pytest
+
+    base = spark.createDataFrame([(i, f"c{i}", T0) for i in range(40)], DDL)
+    day = spark.createDataFrame([(3, "three", T1), (4, "four", T1), (100, "new", T1), (101, "new2", T1)], DDL)
+    clean = os.path.join(tmp_dir, "clean")
+    merge_into(spark, clean, base, ["cuit"], batch_id=1, buckets=4)
+    merge_into(spark, clean, day, ["cuit"], batch_id=2, buckets=4)
+    want = rows(read_table(spark, clean))
+    # nth=1: crash before the matched buckets are replaced; nth=2: after, before the append
+    for nth in (1, 2):
+        path = os.path.join(tmp_dir, f"crash{nth}")
+        merge_into(spark, path, base, ["cuit"], batch_id=1, buckets=4)
+        with monkeypatch.context() as m:
+            _crash_on_table_write(m, path, nth)
+            with pytest.raises(RuntimeError):
+                merge_into(spark, path, day, ["cuit"], batch_id=2, buckets=4)
+        merge_into(spark, path, day, ["cuit"], batch_id=2, buckets=4)     # the replay
+        assert rows(read_table(spark, path)) == want
