@@ -115,3 +115,45 @@ def test_money_avg_is_exact_half_up(spark, cents):
     got = df.agg(money_avg("p").alias("a")).first().a
     want = (Decimal(sum(cents)) / Decimal(len(cents)) / 100).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
     assert got == want
+
+
+snap_st = st.dictionaries(st.integers(0, 8), st.tuples(st.sampled_from("abc"), st.sampled_from(T)), max_size=8)
+
+
+@SETTINGS
+@given(old=snap_st, new=snap_st)
+def test_table_changes_matches_python_diff(spark, old, new):
+    from lakeshore.operators.changes import table_changes
+
+    def df(d):
+        return spark.createDataFrame([(k, n, t) for k, (n, t) in d.items()], DDL)
+
+    want = []
+    for k in set(old) | set(new):
+        if k not in old:
+            want.append((k, *new[k], "insert"))
+        elif k not in new:
+            want.append((k, *old[k], "delete"))
+        elif old[k] != new[k]:
+            want += [(k, *old[k], "update_preimage"), (k, *new[k], "update_postimage")]
+    got = [tuple(r) for r in table_changes(df(old), df(new), ["cuit"]).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+@SETTINGS
+@given(pairs=st.lists(st.tuples(st.one_of(st.none(), st.integers(-5, 5)),
+                                st.one_of(st.none(), st.integers(-5, 5))), max_size=12))
+def test_quality_counters_match_python(spark, pairs):
+    from lakeshore.operators.quality import Suite, not_null, pair_greater, run_suite
+
+    df = spark.createDataFrame(pairs, "a int, b int")
+    s = Suite("s", [not_null("a"), pair_greater("a", "b"), pair_greater("a", "b", or_equal=True)])
+    got = [(r.total, r.failed, r.not_evaluated, r.success)
+           for r in run_suite(df, s, "r").orderBy("rule_index").collect()]
+    n = len(pairs)
+    nulls = sum(a is None for a, _ in pairs)
+    ne = sum(a is None or b is None for a, b in pairs)
+    gt_fail = sum(a is not None and b is not None and not a > b for a, b in pairs)
+    ge_fail = sum(a is not None and b is not None and not a >= b for a, b in pairs)
+    assert got == [(n, nulls, 0, nulls == 0), (n, gt_fail, ne, gt_fail == 0 and ne == 0),
+                   (n, ge_fail, ne, ge_fail == 0 and ne == 0)]
