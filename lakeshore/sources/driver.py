@@ -205,14 +205,15 @@ def order_items_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(prod, li.l_partkey == prod.product_id, "inner")
 
 
-def order_documents(spark: SparkSession, sf_dir: str, status_code: str | None = None) -> DataFrame:
+def order_documents(spark: SparkSession, sf_dir: str, status_code: str | None = None,
+                    with_priority: bool = False) -> DataFrame:
     """Nested order documents (schema ``ORDER_DOC``): one row per order, items as maps.
 
     Items are grouped per order key (a group is one order's items), totals are
     summed exactly in decimal.  Orders without items keep an empty list.
     ``status_code`` keeps only orders of that driver status; their line items
     are semi-joined to those orders before grouping, so no other order's items
-    are nested.
+    are nested.  ``with_priority`` adds the order priority as one more field.
     """
     it = order_items_flat(spark, sf_dir)
     o = table(spark, sf_dir, "orders")
@@ -247,15 +248,13 @@ def order_documents(spark: SparkSession, sf_dir: str, status_code: str | None =
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_dt"),
         F.col("o_orderkey").cast("string").alias("order_id"),
         status[F.col("o_orderstatus")].alias("status"),
-        F.coalesce(F.col("_total"), F.lit(0).cast("decimal(15,2)")).cast("string").alias("total_price"))
+        F.coalesce(F.col("_total"), F.lit(0).cast("decimal(15,2)")).cast("string").alias("total_price"),
+        *([F.col("o_orderpriority").alias("priority")] if with_priority else []))
 
 
 def order_documents_with_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents carrying one more field, ``priority``, than the stored schema."""
-    docs = order_documents(spark, sf_dir)
-    pr = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("_oid"),
-                                               F.col("o_orderpriority").alias("priority"))
-    return docs.join(pr, docs.order_id == pr._oid, "left").drop("_oid")
+    return order_documents(spark, sf_dir, with_priority=True)
 
 
 def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
