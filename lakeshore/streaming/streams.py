@@ -4,9 +4,10 @@
   and stops (the original's once / available-now jobs); ``processingTime``
   keeps running.  ``maxFilesPerTrigger`` bounds a micro-batch (on the reader).
 * Progress lives in ``checkpointLocation``; a restarted query reads no file
-  twice.  ``foreachBatch`` is at-least-once, so every write inside it is keyed
-  by the batch id (overwrite of that batch's folder / partitions, or an
-  idempotent upsert): a replayed batch replaces its own output.
+  twice.  The orders stream needs ``foreachBatch`` (for the merges), which is
+  at-least-once, so every write inside it is keyed by the batch id (overwrite
+  of that batch's folder, or an idempotent merge): a replayed batch replaces
+  its own output.  Both log tables use the exactly-once file sink.
 """
 
 from __future__ import annotations
@@ -18,11 +19,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lakeshore.functions.logline import CORRUPT_COL
 from lakeshore.operators.quality import run_suite
 from lakeshore.operators.upsert import merge_into
 from lakeshore.plans.orders import silver_orders
 from lakeshore.plans.suites import ORDERS_RAW_SUITE, ORDERS_SUITE
-from lakeshore.functions.logline import CORRUPT_COL
 from lakeshore.plans.weblogs import QUARANTINED, bronze_logs, parse_lines, silver_logs
 from lakeshore.schemas import KEYS, LOGS_COLUMNS, LOGS_RAW, ORDERS_COLUMNS
 from lakeshore.sources.files import parse_order_lines, text_files
