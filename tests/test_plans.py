@@ -60,3 +60,15 @@ def test_spread_only_under_split_inputs(spark, tmp_dir):
         assert spread(dm, min_bytes=1) is dm                             # already split: nothing added
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", prev)
+
+
+def test_dedupe_with_a_key_holding_a_third_of_rows(spark):
+    n = 30000
+    df = spark.range(0, n, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("updated_dt"))
+    out = dedupe_latest(df, ["k"])
+    hot = out.where("k = -1").collect()
+    assert [r.updated_dt for r in hot] == [n - 3]          # the newest of the hot key's 10,000 rows
+    assert out.count() == 1 + (n - n // 3)
+    assert "WindowGroupLimit" in plan(out)
