@@ -51,20 +51,21 @@ def test_day_of_pipeline(spark, tmp_dir):
     assert p.count() > 0
 
 
-def test_cli_dimension_and_reports(spark, tmp_dir, capsys):
+def test_command_line_dimension_and_reports(spark, tmp_dir):
     import json
+    import subprocess
+    import sys
 
-    from lakeshore.__main__ import main as cli
-
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     rec = os.path.join(tmp_dir, "records")
     os.makedirs(rec)
     with open(os.path.join(rec, "a.json"), "w") as f:
         f.write(json.dumps({"cuit": 1, "name": "Acme", "updated_dt": "2022-11-14T00:00:00Z"}) + "\n")
     lake_root = os.path.join(tmp_dir, "lake")
-    # the CLI stops the session it uses; give it its own by running the job function path
-    from lakeshore.plans import jobs as j
-    from lakeshore.sources.files import read_records
-    j.dimension_job(spark, Lake(lake_root), "companies", read_records(spark, rec, "companies"), "2022-11-14",
-                    buckets=2)
+    run = [sys.executable, "-m", "lakeshore", "dimension", "--lake", lake_root, "--table", "companies",
+           "--records", rec, "--date", "2022-11-14", "--buckets", "2"]
+    subprocess.run(run, cwd=repo, check=True, capture_output=True, timeout=600)
     assert [r.name for r in read_table(spark, Lake(lake_root).table("companies")).collect()] == ["Acme"]
-    assert callable(cli)
+    out = subprocess.run([sys.executable, "-m", "lakeshore", "reports", "--lake", lake_root],
+                         cwd=repo, check=True, capture_output=True, text=True, timeout=600)
+    assert "== top_login_countries: skipped" in out.stdout
