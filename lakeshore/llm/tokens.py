@@ -11,6 +11,7 @@ import base64
 import os
 import re
 import unicodedata
+from array import array
 from functools import lru_cache
 from itertools import islice
 
@@ -69,7 +70,7 @@ class ByteBpe:
         return np.frombuffer(b"".join(map(self.words.__getitem__, words)), "<u4")
 
     def _piece(self, piece: str) -> bytes:
-        return np.asarray(self.encode(piece), "<u4").tobytes()
+        return array("I", self.encode(piece)).tobytes()
 
     def is_plain(self, text: str) -> bool:
         return (text.isascii() or not _OTHER.search(text)) and not any(s in text for s in self.specials)
@@ -112,7 +113,7 @@ class PieceBpe:
         self.cache = _Cache(self._word)
 
     def _word(self, word: str) -> bytes:
-        return np.asarray(self.model.encode(word), "<u4").tobytes()
+        return array("I", self.model.encode(word)).tobytes()
 
     def ids(self, words: list[str]) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.cache.__getitem__, words)), "<u4")
