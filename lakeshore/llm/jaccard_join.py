@@ -53,7 +53,7 @@ SUBSET = 3
 COMPARE = 16.0
 #: Sizes considered for the boundary between small and large.
 MAX_BOUNDARY = 48
-#: A counted shingle in more rows than this is heavy; at most MAX_HEAVY are kept (a broadcast of 12 bytes each).
+#: A shingle in more rows than this is heavy; at most MAX_HEAVY are kept (a broadcast of 12 bytes each).
 HEAVY, MAX_HEAVY = 6, 1 << 20
 #: Bits of the filter of wanted ids that is broadcast (8 MB whatever the corpus).
 FILTER_BITS = 1 << 26
@@ -103,13 +103,8 @@ def linked(n: int, m: int, both: int) -> bool:
 # -- sizes and frequencies ---------------------------------------------------------------------------------------------
 
 
-def _counted(tokens: np.ndarray) -> np.ndarray:
-    """Half of all shingles by their own bits are counted; the others rank between the light and the heavy ones."""
-    return tokens[(tokens & np.uint64(1)) == 0]
-
-
 def read_sets(docs: DataFrame, ranges: int) -> DataFrame:
-    """One pass over the texts.  Rows of sets (doc_id, n, node) and rows of counted shingles (part, short, times).
+    """One pass over the texts.  Rows of sets (doc_id, n, node) and rows of shingle counts (part, short, times).
 
     A shingle is known by its range and 32 further bits; a task counts before it sends.
     """
@@ -122,8 +117,7 @@ def read_sets(docs: DataFrame, ranges: int) -> DataFrame:
             for at in range(0, len(texts), 2000):
                 sets = [shingles(t) for t in texts[at:at + 2000]]
                 sizes, nodes = [len(s) for s in sets], [node_of(s) if len(s) else None for s in sets]
-                counted = _counted(np.concatenate(sets)) if sets else np.empty(0, np.uint64)
-                part, short = _short(counted, ranges)
+                part, short = _short(np.concatenate(sets) if sets else np.empty(0, np.uint64), ranges)
                 both, times = np.unique((part.astype(np.uint64) << np.uint64(32)) | short, return_counts=True)
                 part, edge = np.unique((both >> np.uint64(32)).astype(np.int32), return_index=True)
                 edge = [*edge.tolist(), len(both)]
@@ -140,8 +134,8 @@ def read_sets(docs: DataFrame, ranges: int) -> DataFrame:
 
 
 def _short(tokens: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
-    """Range and 32-bit name of counted shingles."""
-    return ((tokens >> np.uint64(33)) % np.uint64(ranges)).astype(np.int32), (tokens >> np.uint64(1)) & np.uint64(0xFFFFFFFF)
+    """Range and 32-bit name of shingles."""
+    return ((tokens >> np.uint64(32)) % np.uint64(ranges)).astype(np.int32), tokens & np.uint64(0xFFFFFFFF)
 
 
 def token_counts(read: DataFrame) -> DataFrame:
@@ -211,16 +205,16 @@ class Fronts:
         self.ranges, self.boundary = ranges, boundary
 
     def ordered(self, tokens: np.ndarray) -> np.ndarray:
-        """Tokens in the global order: counted light ones, uncounted ones, heavy ones by frequency; by value within."""
-        level = np.where(tokens & np.uint64(1), np.uint64(1) << np.uint64(62), np.uint64(0)) | (tokens >> np.uint64(2))
+        """Tokens in the global order: light ones by value, then heavy ones by frequency."""
+        level = tokens >> np.uint64(1)
         if len(self.names):
             part, short = _short(tokens, self.ranges)
-            hit = np.flatnonzero(((tokens & np.uint64(1)) == 0) & self.maybe[(short & np.uint64((1 << 22) - 1)).astype(np.int64)])
+            hit = np.flatnonzero(self.maybe[(short & np.uint64((1 << 22) - 1)).astype(np.int64)])
             if len(hit):
                 names = (part[hit].astype(np.uint64) << np.uint64(32)) | short[hit]
                 at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
                 real = self.names[at] == names
-                level[hit[real]] = (np.uint64(2) << np.uint64(62)) | self.rank[at[real]]
+                level[hit[real]] = (np.uint64(1) << np.uint64(63)) | self.rank[at[real]]
         return tokens[np.argsort(level, kind="stable")]
 
     def keys(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
