@@ -15,7 +15,7 @@ from lakeshore.session import ensure_checkpoint_dir
 SPACE = r"\x20\x09-\x0D"
 WORD = re.compile(rf"[^{SPACE}]+")
 #: Entries a per-worker cache may hold before it is emptied.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 600_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,3 +72,17 @@ def unused(names: Iterable[str], name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+class Cache(dict):
+    """Computes a missing value; emptied when it holds ``entries``."""
+
+    def __init__(self, make, entries: int = CACHE_ENTRIES) -> None:
+        super().__init__()
+        self.make, self.entries = make, entries
+
+    def __missing__(self, key):
+        if len(self) >= self.entries:
+            self.clear()
+        value = self[key] = self.make(key)
+        return value

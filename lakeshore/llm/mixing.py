@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeshore.llm.common import WORD, materialise, sample_per_class, text_list, texts_of, unused
+from lakeshore.llm.common import materialise, sample_per_class, text_list, texts_of, unused
 from lakeshore.llm.toxicity import ToxicityModel, select_features
 
 DOMAINS = ("good", "poor", "toxic")
@@ -50,14 +50,13 @@ BINS = 16
 DENSE = len(_KINDS) + 3
 
 
-def dense_bins(text: str, n_words: int, n_types: int) -> list[int]:
+def dense_bins(raw: bytes, n_words: int, n_types: int) -> list[int]:
     """One feature index per dense measure: shares of byte kinds, distinct words, word length, words."""
     if not n_words:
         return [k * BINS for k in range(DENSE)]
-    raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-    shares = (np.bincount(raw, minlength=256) @ _TABLE) / len(raw)
+    shares = (np.bincount(np.frombuffer(raw, np.uint8), minlength=256) @ _TABLE) / len(raw)
     bins = np.where(shares > 0, 15 - np.minimum(14, -2 * np.log2(np.maximum(shares, 1e-9))), 0).astype(int).tolist()
-    bins += [int(15 * n_types / n_words), min(15, int(2 * len(text) / n_words) // 2), min(15, n_words.bit_length())]
+    bins += [int(15 * n_types / n_words), min(15, len(raw) // n_words), min(15, n_words.bit_length())]
     return [k * BINS + max(0, b) for k, b in enumerate(bins)]
 
 
@@ -73,9 +72,10 @@ class DomainModel:
 
     def indices(self, text: str) -> tuple[int, list[int]]:
         """Words of the text and its active features."""
-        words = WORD.findall(text)
+        raw = text.encode("utf-8", "replace")
+        words = raw.split()  # bytes split at ASCII white space
         lexical = sorted(DENSE * BINS + self.names[f] for f in self.words.active(text)) if self.names else []
-        return len(words), dense_bins(text, len(words), len(set(words))) + lexical
+        return len(words), dense_bins(raw, len(words), len(set(words))) + lexical
 
     def posteriors(self, text: str) -> tuple[int, list[float]]:
         n, at = self.indices(text)

@@ -18,14 +18,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshore.llm.common import CACHE_ENTRIES, id_remainder, materialise, one_label_per_doc, sample_per_class, text_list, texts_of
+from lakeshore.llm.common import Cache, id_remainder, materialise, one_label_per_doc, sample_per_class, text_list, texts_of
 
 #: Bounds of the training sample (rows per class) and of the model (features).
 ROWS_PER_CLASS, MAX_FEATURES = 2000, 4000
@@ -76,30 +76,20 @@ def counterfactual(text: str, place: int) -> str:
 class ToxicityModel:
     weights: dict[str, float]
     bias: float
-    names: list[str] = field(default_factory=list)
 
     def __post_init__(self) -> None:
-        self.known: dict[str, tuple[str, ...]] = {}
+        self.known = Cache(lambda w: tuple(f for f in features(w) if f in self.weights))
 
-    def __getstate__(self) -> dict:
-        return {"weights": self.weights, "bias": self.bias, "names": self.names}
+    def __getstate__(self) -> tuple:
+        return self.weights, self.bias
 
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        self.known = {}
+    def __setstate__(self, state: tuple) -> None:
+        self.weights, self.bias = state
+        self.__post_init__()
 
     def active(self, text: str) -> set[str]:
         """Features of the model that the text has."""
-        out: set[str] = set()
-        for w in set(words(text)):
-            got = self.known.get(w)
-            if got is None:
-                if len(self.known) >= CACHE_ENTRIES:
-                    self.known.clear()
-                got = self.known[w] = tuple(f for f in features(w) if f in self.weights)
-            if got:
-                out.update(got)
-        return out
+        return set().union(*set(map(self.known.__getitem__, set(words(text)))))
 
     def score(self, text: str) -> float:
         z = self.bias + sum(sorted(self.weights[f] for f in self.active(text)))
