@@ -20,8 +20,10 @@ judged alike; other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,8 @@ LEAST_WIDTH = {"byte_chars_per_token": 0.15, "piece_chars_per_token": 0.15, "fal
 #: Sides of the band that count: entropy and characters per token may be too low or too high, fallback only too high.
 UPPER_ONLY = ("fallback_share",)
 MEASURES = tuple(LEAST_WIDTH)
+#: Texts whose words are looked up together.
+BLOCK = 200
 #: Rows a band needs; a language or script with fewer rejects nothing.
 MIN_ROWS = 20
 
@@ -55,10 +59,7 @@ def repeated_words(words: list[str]) -> int:
     n = len(words) - WINDOW + 1
     if n < 2:
         return 0
-    names: dict[str, int] = {}
-    ids = np.fromiter((names.setdefault(w, len(names)) for w in words), np.uint64, len(words))
-    ids = (ids + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
-    ids ^= ids >> np.uint64(32)
+    ids = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
     h = np.zeros(n, np.uint64)
     for k in range(WINDOW):
         h += ids[k:k + n] * _MULTIPLIERS[k]
@@ -87,16 +88,24 @@ def _script(c: str) -> str:
 def script_of(words: list[str]) -> str:
     """The script of most words by their first letter-like character ('' without letters)."""
     counts: dict[str, int] = {}
-    for w in words:
-        s = _script(w[0])
+    for c, n in Counter(map(itemgetter(0), words)).items():
+        s = _script(c)
         if s:
-            counts[s] = counts.get(s, 0) + 1
+            counts[s] = counts.get(s, 0) + n
     return max(sorted(counts), key=counts.get) if counts else ""
 
 
-def measure(text: str, tokenizer_dir: str = TOKENIZER_DIR) -> tuple:
-    """The base counts and tokeniser measures of one text."""
-    words = WORD.findall(text)
+def measure_all(texts: list[str], tokenizer_dir: str = TOKENIZER_DIR) -> Iterator[tuple]:
+    """``measure`` of every text, learning the words of a block of texts at a time."""
+    for at in range(0, len(texts), BLOCK):
+        block = [(t, WORD.findall(t)) for t in texts[at:at + BLOCK]]
+        piece_bpe(tokenizer_dir).learn(set().union(*(w for _, w in block)))
+        for text, words in block:
+            yield measure(text, words, tokenizer_dir)
+
+
+def measure(text: str, words: list[str], tokenizer_dir: str = TOKENIZER_DIR) -> tuple:
+    """The base counts and tokeniser measures of one text with these words."""
     n = len(words)
     if not n:
         return (0, 0, sum(map(text.count, SYMBOLS)), 0, 0, 0, "", 0.0, 0.0, 0.0, 0.0)
@@ -118,7 +127,7 @@ def measure_table(docs: DataFrame, tokenizer_dir: str = TOKENIZER_DIR) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [measure(t, tokenizer_dir) for t in text_list(batch.column(1))]
+            rows = list(measure_all(text_list(batch.column(1)), tokenizer_dir))
             columns = list(zip(*rows)) if rows else [()] * len(types)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types)), batch.column(2)],
                                              names=["doc_id", *names, "lang"])

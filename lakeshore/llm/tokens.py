@@ -17,7 +17,7 @@ from itertools import islice
 
 import numpy as np
 
-from lakeshore.llm.common import CACHE_ENTRIES
+from lakeshore.llm.common import Cache
 
 #: Folder of the public vocabulary files (a parameter of every function that reads one).
 TOKENIZER_DIR = "/opt/tokenizers"
@@ -37,6 +37,8 @@ def _plain_pattern() -> re.Pattern:
 
 
 _OTHER = re.compile(rf"[^\x00-{chr(_PLAIN_END)}‐-…]")
+#: Entries of each word cache (about 100 MB a worker).
+WORDS = 600_000
 #: Pre-tokens turned into ids at a time in a very long text.
 _SLICE = 200_000
 
@@ -57,16 +59,16 @@ class ByteBpe:
         self.split, self.find = pattern.findall, pattern.finditer
         # A piece is encoded alone, so the pattern here only has to keep it whole.
         self.encode = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.cache: dict[str, bytes] = _Cache(self._piece)
+        self.cache: dict[str, bytes] = Cache(self._piece)
         ends = np.zeros(self.size, bool)
         for token, i in ranks.items():
             tail = token.rstrip(b" \"')]")
             ends[i] = tail.endswith((b".", b"!", b"?", b"\n"))
         self.sentence_end = ends
-        self.words = _Cache(lambda word: self.ids(f" {word}").tobytes())
+        self.words = Cache(lambda word: array("I", self.encode(f" {word}")).tobytes(), WORDS)
 
     def word_ids(self, words: list[str]) -> np.ndarray:
-        """Ids of the words, each with one space before it."""
+        """Ids of the words, each with one space before it (no token of the vocabulary crosses a pre-token's edge)."""
         return np.frombuffer(b"".join(map(self.words.__getitem__, words)), "<u4")
 
     def _piece(self, piece: str) -> bytes:
@@ -87,20 +89,6 @@ class ByteBpe:
         return np.frombuffer(b"".join(out), "<u4")
 
 
-class _Cache(dict):
-    """Computes a missing value; emptied when it holds CACHE_ENTRIES."""
-
-    def __init__(self, make, entries: int = CACHE_ENTRIES) -> None:
-        super().__init__()
-        self.make, self.entries = make, entries
-
-    def __missing__(self, key):
-        if len(self) >= self.entries:
-            self.clear()
-        value = self[key] = self.make(key)
-        return value
-
-
 class PieceBpe:
     """A sentencepiece vocabulary with byte fallback, word by word (its pieces never cross white space)."""
 
@@ -110,14 +98,19 @@ class PieceBpe:
         self.model = sentencepiece.SentencePieceProcessor(model_file=os.path.join(folder, f"{name}.model"))
         self.size = self.model.vocab_size()
         self.fallback = np.array([self.model.is_byte(i) or self.model.is_unknown(i) for i in range(self.size)])
-        self.cache = _Cache(self._word)
-
-    def _word(self, word: str) -> bytes:
-        return array("I", self.model.encode(word)).tobytes()
+        self.cache: dict[str, bytes] = {}
 
     def ids(self, words: list[str]) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.cache.__getitem__, words)), "<u4")
 
+    def learn(self, words: set[str]) -> None:
+        """Encode the words not yet known in one call; ``ids`` of a text needs its words learned."""
+        if len(self.cache) + len(words) > WORDS:
+            self.cache.clear()
+        missing = [w for w in words if w not in self.cache]
+        if missing:
+            self.cache.update(zip(missing, (array("I", x).tobytes() for x in self.model.encode(missing, num_threads=1))))
+
 
 @lru_cache(maxsize=4)
 def byte_bpe(folder: str = TOKENIZER_DIR) -> ByteBpe:
