@@ -129,7 +129,14 @@ def fit_weights(x: list[list[int]], twin: list[list[int]], y: np.ndarray, size:
     weight = np.where(y == 1, POSITIVE_WEIGHT * prior / (y == 1).sum(), (1 - prior) / (y == 0).sum()) * n
     start = float(np.log(prior / (1 - prior)))
     w, b, v, vb, t = np.zeros(size), start, np.zeros(size), start, 1.0
-    rate = 4.0 / (1 + max(1, max(map(len, x), default=1)) ** 0.5)
+    # The step is the inverse of the largest curvature, found by power iteration (the intercept is the last entry).
+    u, curve = np.ones(size + 1) / (size + 1) ** 0.5, 1.0
+    for _ in range(30):
+        s, d = 0.25 * weight * (dot(xr, xc, u[:-1]) + u[-1]) / n, 2 * COUNTERFACTUAL * (dot(xr, xc, u[:-1]) - dot(tr, tc, u[:-1])) / n
+        u = np.append(back(xr, xc, s + d) - back(tr, tc, d), s.sum())
+        curve = max(float(np.linalg.norm(u)), 1e-9)
+        u /= curve
+    rate = 0.9 / curve
     for _ in range(STEPS):
         z, zt = dot(xr, xc, v), dot(tr, tc, v)
         g = weight * (1 / (1 + np.exp(-np.clip(z + vb, -40, 40))) - y) / n
