@@ -18,6 +18,8 @@ from lakeshore.operators.changes import CHANGE_TYPE, INSERT, table_changes
 from lakeshore.operators.dedupe import dedupe_latest
 
 BUCKET_COL = "_kb"
+#: Marks a staged batch whose merge has finished.
+DONE = "_DONE"
 DEFAULT_BUCKETS = 64
 
 
@@ -53,8 +55,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     elif null_keys != "insert":
         raise ValueError("null_keys must be 'quarantine' or 'insert'")
     if dedupe:
-        good = src.where(key_not_null(keys))
-        src = dedupe_latest(good, keys, order_by).unionByName(src.where(~key_not_null(keys)))
+        latest = dedupe_latest(src.where(key_not_null(keys)), keys, order_by)
+        src = latest.unionByName(src.where(~key_not_null(keys))) if null_keys == "insert" else latest
     if how == "full":
         return _upsert_full(target, src, keys)
     if how != "anti":
@@ -110,9 +112,11 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     before anything is replaced: a diff of the rewritten buckets only, plus the
     appended keys as inserts.  A replay keeps a feed that was completed.
 
-    Replay of a batch id is safe: keys it appended before a failure are
-    matched the second time, so their buckets are rewritten rather than
-    appended twice.  NULL-key rows (``null_keys="insert"``) never match and are
+    Replay is safe.  Dynamic overwrite deletes a bucket before it renames the
+    new one in, so a merge that died there leaves buckets missing; its staged
+    rewrite is still whole, and the next merge first puts it in place again
+    (``_repair``).  Keys appended before a failure are then matched, so their
+    buckets are rewritten rather than appended twice.  NULL-key rows (``null_keys="insert"``) never match and are
     appended again on a replay, as a MERGE would insert them again.
     """
     keys = list(keys)
@@ -131,11 +135,13 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     feed = os.path.join(changes_path, f"version={batch_id}") if changes_path else None
     if feed and _is_complete(spark, feed):
         feed = None
+    _repair(spark, path)
     if not _has_table(spark, path):
         if feed:
             applied.withColumn(CHANGE_TYPE, F.lit(INSERT)).write.mode("overwrite").parquet(feed)
         src_b.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path)
-        return spark.read.parquet(path).drop(BUCKET_COL)
+        # The schema is given: a first batch without rows writes no file to infer it from.
+        return spark.read.schema(src_b.schema).parquet(path).drop(BUCKET_COL)
 
     staging = os.path.join(path, "_staging", f"batch={batch_id}")
     _drop_older_staging(spark, os.path.join(path, "_staging"), f"batch={batch_id}")
@@ -157,7 +163,8 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
         new = upsert(tgt, staged_src.where(in_hit).select(*tgt.columns), keys, order_by,
                      dedupe=False, null_keys="insert")
         rewrite = os.path.join(staging, "rewrite")
-        new.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(rewrite)
+        # Static mode: nothing of an earlier attempt stays, and the folder gets its completion marker.
+        new.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET_COL).parquet(rewrite)
         staged_new = spark.read.schema(new.schema).parquet(rewrite)
         if feed:
             # Written before the overwrite: the old rows of these buckets still exist.
@@ -173,9 +180,29 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
         if feed:
             staged_src.drop(BUCKET_COL).withColumn(CHANGE_TYPE, F.lit(INSERT)).write.mode("overwrite").parquet(feed)
     inserts.write.mode("append").partitionBy(BUCKET_COL).parquet(path)
+    fs, done = _file(spark, os.path.join(staging, DONE))
+    fs.create(done, True).close()
     return staged_src.drop(BUCKET_COL)
 
 
+def _file(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _repair(spark: SparkSession, path: str) -> None:
+    """Put the staged buckets of a merge that did not finish in place (again)."""
+    fs, root = _file(spark, os.path.join(path, "_staging"))
+    if not fs.exists(root):
+        return
+    for st in fs.listStatus(root):
+        staging = os.path.join(path, "_staging", st.getPath().getName())
+        rewrite = os.path.join(staging, "rewrite")
+        if _is_complete(spark, rewrite) and not fs.exists(_file(spark, os.path.join(staging, DONE))[1]):
+            (spark.read.parquet(rewrite).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(BUCKET_COL).parquet(path))
+
+
 def _drop_older_staging(spark: SparkSession, root: str, keep: str) -> None:
     """Remove staged copies of earlier batches.
 

@@ -59,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not cdir:
         cdir = spark.sparkContext.getCheckpointDir()
     if not cdir:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         cdir = tempfile.mkdtemp(prefix="lakeshore-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cdir)
     spark.sparkContext.setCheckpointDir(cdir)

@@ -180,3 +180,29 @@ def test_merge_replay_after_crash_is_exact(spark, tmp_dir, monkeypatch):
                 merge_into(spark, path, day, ["cuit"], batch_id=2, buckets=4)
         merge_into(spark, path, day, ["cuit"], batch_id=2, buckets=4)     # the replay
         assert rows(read_table(spark, path)) == want
+
+
+def test_merge_after_a_half_done_swap_loses_no_row(spark, tmp_dir):
+    import shutil
+    from pathlib import Path
+
+    path = f"{tmp_dir}/t"
+    rows = [(k, f"v{k}", 1) for k in range(100)]
+    frame = lambda r: spark.createDataFrame(r, "k long, v string, updated_dt int")
+    merge_into(spark, path, frame(rows), ["k"], 1, buckets=4)
+    change = frame([(7, "new", 2), (200, "added", 2)])
+    merge_into(spark, path, change, ["k"], 2, buckets=4)
+    staging = Path(path) / "_staging" / "batch=2"
+    (staging / "_DONE").unlink()
+    for hit in (staging / "rewrite").glob("_kb=*"):  # deleted, and not yet renamed in
+        shutil.rmtree(Path(path) / hit.name)
+    merge_into(spark, path, change, ["k"], 2, buckets=4)
+    got = {r.k: r.v for r in read_table(spark, path).collect()}
+    assert got == {k: v for k, v, _ in rows} | {7: "new", 200: "added"} and read_table(spark, path).count() == 101
+
+
+def test_first_merge_without_rows(spark, tmp_dir):
+    empty = spark.createDataFrame([], "k long, v string, updated_dt int")
+    assert merge_into(spark, f"{tmp_dir}/t", empty, ["k"], 1).count() == 0
+    merge_into(spark, f"{tmp_dir}/t", spark.createDataFrame([(1, "a", 1)], empty.schema), ["k"], 2)
+    assert read_table(spark, f"{tmp_dir}/t").count() == 1
