@@ -27,14 +27,13 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--records", help="JSON records of the day for --table")
     ap.add_argument("--geo-blocks", help="CSV with network, geoname_id")
     ap.add_argument("--geo-locations", help="CSV with geoname_id, country_name")
-    ap.add_argument("--buckets", type=int, default=64)
     ap.add_argument("--fail-on-error", action="store_true", help="stop orders when the raw suite fails")
     a = ap.parse_args(argv)
 
     spark = get_session()
     lake = Lake(a.lake)
     if a.job == "orders":
-        jobs.orders_job(spark, lake, load_date=a.date, buckets=a.buckets, fail_on_error=a.fail_on_error)
+        jobs.orders_job(spark, lake, load_date=a.date, fail_on_error=a.fail_on_error)
     elif a.job == "weblogs":
         from lakeshore.operators.geo import ranges_from_cidr_blocks
 
@@ -48,8 +47,7 @@ def main(argv: list[str] | None = None) -> int:
 
         if not (a.table and a.records):
             ap.error("dimension needs --table and --records")
-        jobs.dimension_job(spark, lake, a.table, read_records(spark, a.records, a.table), a.date,
-                           buckets=a.buckets)
+        jobs.dimension_job(spark, lake, a.table, read_records(spark, a.records, a.table), a.date)
     else:
         out = jobs.reports_job(spark, lake, as_of=a.date)
         for name in jobs.REPORT_TABLES:

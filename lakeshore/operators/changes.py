@@ -9,14 +9,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CHANGE_TYPE = "_change_type"
 INSERT, DELETE = "insert", "delete"
 UPDATE_PRE, UPDATE_POST = "update_preimage", "update_postimage"
 
 
+def comparable(value: Column, kind: T.DataType) -> Column:
+    """``value`` with every map in it as an array of entries sorted by key (maps can't be compared)."""
+    if isinstance(kind, T.MapType):
+        # Sorted by key alone: the value may hold maps.
+        keys = F.array_sort(F.map_keys(value))
+        return F.transform(keys, lambda k: F.struct(k.alias("key"), comparable(F.element_at(value, k), kind.valueType).alias("value")))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: comparable(x, kind.elementType)) if _has_map(kind.elementType) else value
+    if isinstance(kind, T.StructType) and _has_map(kind):
+        # A NULL struct stays NULL.
+        return F.when(value.isNotNull(), F.struct(*[comparable(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]))
+    return value
+
+
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType)
+
+
 def table_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Changed rows with ``_change_type`` in insert / delete / update_preimage / update_postimage.
 
@@ -28,9 +51,11 @@ def table_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFr
     o = old.select(*keys, F.struct(*values).alias("_o"), F.lit(True).alias("_in_o"))
     n = new.select(*keys, F.struct(*[F.col(c) for c in values]).alias("_n"), F.lit(True).alias("_in_n"))
     j = o.join(n, keys, "full_outer")
+    image_of = old.select(F.struct(*values)).schema[0].dataType
+    same = comparable(F.col("_o"), image_of).eqNullSafe(comparable(F.col("_n"), image_of))
     kind = (F.when(F.col("_in_o").isNull(), F.array(F.lit(INSERT)))
              .when(F.col("_in_n").isNull(), F.array(F.lit(DELETE)))
-             .when(~F.col("_o").eqNullSafe(F.col("_n")), F.array(F.lit(UPDATE_PRE), F.lit(UPDATE_POST))))
+             .when(~same, F.array(F.lit(UPDATE_PRE), F.lit(UPDATE_POST))))
     j = j.where(kind.isNotNull()).select(*keys, "_o", "_n", F.explode(kind).alias(CHANGE_TYPE))
     image = F.when(F.col(CHANGE_TYPE).isin(DELETE, UPDATE_PRE), F.col("_o")).otherwise(F.col("_n"))
     return j.select(*keys, *[image.getField(c).alias(c) for c in values], CHANGE_TYPE)

@@ -1,15 +1,15 @@
 """Keyed upsert (MERGE ... WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *).
 
 ``upsert`` is the pure DataFrame form: the new table contents.  ``merge_into``
-applies it to a Parquet table partitioned by a key bucket, rewriting only the
-buckets the source touches (dynamic partition overwrite), with a staged copy so
-a crash or a replay cannot lose or double rows.
+keeps a Parquet table of appended batch folders, ``read_table`` puts the newest
+row of each key together, and ``write_snapshot`` writes that out now and then.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from lakeshore.operators.changes import CHANGE_TYPE, INSERT, table_changes
 from lakeshore.operators.dedupe import dedupe_latest
 
-BUCKET_COL = "_kb"
-#: Marks a staged batch whose merge has finished.
-DONE = "_DONE"
-DEFAULT_BUCKETS = 64
+#: Folder names: a running number, and below it a batch or a snapshot.
+SEQ, BATCH, SNAPSHOT = "_seq", "_batch", "_snapshot"
+#: Batches merged before the table is written out as a snapshot.
+SNAPSHOT_AFTER = 64
 
 
 def key_not_null(keys: Sequence[str]) -> Column:
@@ -80,44 +80,30 @@ def null_key_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source.where(~key_not_null(keys))
 
 
-def key_bucket(keys: Sequence[str], buckets: int = DEFAULT_BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-
-
 def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                batch_id: int | str, order_by: Sequence[str | Column] = ("updated_dt",),
-               buckets: int = DEFAULT_BUCKETS, null_keys: str = "quarantine",
-               changes_path: str | None = None, bucket_keys: Sequence[str] | None = None) -> DataFrame:
-    """Upsert ``source`` into the Parquet table at ``path``; returns the rows applied.
-
-    Layout: ``path/_kb=<bucket>/`` (bucket = xxhash64(keys) mod ``buckets``).
-    ``buckets`` is fixed for the table's life; size it so a bucket holds about a
-    gigabyte (a 100 TB table: ~100k buckets), then a day's small batch touches
-    few buckets and a merge reads and rewrites only those.
-
-    1. The source, NULL keys handled and kept latest per key, is staged once
-       under ``path/_staging/batch=<id>/source`` (this also cuts its lineage).
-    2. Its keys are matched against the target's key columns only (column
-       pruning); the buckets holding a matched key are the only ones rewritten.
-    3. Those buckets' new contents are staged, then replace them by dynamic
-       partition overwrite.  Source rows in other buckets are new keys and are
-       appended.
-
-    ``bucket_keys`` (a subset of the keys, default all) chooses what the bucket
-    hashes: order items bucketed by ``order_id`` keep an order together, so a
-    re-sent order rewrites one bucket.  It is fixed for the table's life.
+               null_keys: str = "quarantine", changes_path: str | None = None,
+               snapshot_after: int = SNAPSHOT_AFTER) -> DataFrame:
+    """Upsert ``source`` into the table at ``path``; returns the rows applied.
+
+    The batch, NULL keys handled and kept latest per key, is appended as one
+    folder ``path/_seq=<n>/_batch=<id>``.  Nothing that a reader may use is
+    replaced or deleted: a folder counts once its ``_SUCCESS`` marker is there,
+    so a merge that died leaves the table as it was.  ``read_table`` puts the
+    newest row of each key together.
+
+    A batch id that is merged again gets a new folder, which replaces the
+    earlier one when it is complete, so a replay is exact (rows with a NULL key
+    under ``null_keys="insert"`` included, unless a snapshot has been written
+    since).
 
     With ``changes_path`` the batch's row-level change feed (see
-    ``changes.table_changes``) is written to ``changes_path/version=<batch id>``
-    before anything is replaced: a diff of the rewritten buckets only, plus the
-    appended keys as inserts.  A replay keeps a feed that was completed.
-
-    Replay is safe.  Dynamic overwrite deletes a bucket before it renames the
-    new one in, so a merge that died there leaves buckets missing; its staged
-    rewrite is still whole, and the next merge first puts it in place again
-    (``_repair``).  Keys appended before a failure are then matched, so their
-    buckets are rewritten rather than appended twice.  NULL-key rows (``null_keys="insert"``) never match and are
-    appended again on a replay, as a MERGE would insert them again.
+    ``changes.table_changes``) is written to ``changes_path/version=<batch id>``:
+    the batch against the table without it, at the batch's own keys.  A replay
+    keeps a feed that was completed.
+
+    After ``snapshot_after`` batches the table is written out as a snapshot
+    (``write_snapshot``).  Merges into one table run one at a time.
     """
     keys = list(keys)
     src = source
@@ -128,102 +114,61 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     applied = dedupe_latest(src.where(key_not_null(keys)), keys, order_by)
     if null_keys == "insert":
         applied = applied.unionByName(src.where(~key_not_null(keys)))
-    bucket_keys = list(bucket_keys or keys)
-    if not set(bucket_keys) <= set(keys):
-        raise ValueError("bucket_keys must be a subset of keys")
-    src_b = applied.withColumn(BUCKET_COL, key_bucket(bucket_keys, buckets))
-    feed = os.path.join(changes_path, f"version={batch_id}") if changes_path else None
-    if feed and _is_complete(spark, feed):
-        feed = None
-    _repair(spark, path)
-    if not _has_table(spark, path):
-        if feed:
-            applied.withColumn(CHANGE_TYPE, F.lit(INSERT)).write.mode("overwrite").parquet(feed)
-        src_b.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(path)
-        # The schema is given: a first batch without rows writes no file to infer it from.
-        return spark.read.schema(src_b.schema).parquet(path).drop(BUCKET_COL)
-
-    staging = os.path.join(path, "_staging", f"batch={batch_id}")
-    _drop_older_staging(spark, os.path.join(path, "_staging"), f"batch={batch_id}")
-    src_b.write.mode("overwrite").parquet(os.path.join(staging, "source"))
-    staged_src = spark.read.schema(src_b.schema).parquet(os.path.join(staging, "source"))
-
-    target = spark.read.parquet(path)
-    # Buckets the source hashes into (at most `buckets` values): only their key
-    # columns are read to find the matches (partition pruning + column pruning).
-    src_buckets = sorted(r[0] for r in staged_src.select(BUCKET_COL).distinct().collect())
-    matched = staged_src.where(key_not_null(keys)).join(
-        target.where(F.col(BUCKET_COL).isin(src_buckets)).select(*keys, BUCKET_COL),
-        keys + [BUCKET_COL], "left_semi")
-    # At most `buckets` values: a bounded collect.
-    hit = sorted(r[0] for r in matched.select(BUCKET_COL).distinct().collect())
-    if hit:
-        in_hit = F.col(BUCKET_COL).isin(hit)
-        tgt = target.where(in_hit)                     # partition pruning to the hit buckets
-        new = upsert(tgt, staged_src.where(in_hit).select(*tgt.columns), keys, order_by,
-                     dedupe=False, null_keys="insert")
-        rewrite = os.path.join(staging, "rewrite")
-        # Static mode: nothing of an earlier attempt stays, and the folder gets its completion marker.
-        new.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET_COL).parquet(rewrite)
-        staged_new = spark.read.schema(new.schema).parquet(rewrite)
-        if feed:
-            # Written before the overwrite: the old rows of these buckets still exist.
-            diff = table_changes(tgt.drop(BUCKET_COL), staged_new.drop(BUCKET_COL), keys)
-            diff.unionByName(staged_src.where(~in_hit).drop(BUCKET_COL).withColumn(CHANGE_TYPE, F.lit(INSERT))) \
-                .write.mode("overwrite").parquet(feed)
-        (staged_new
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy(BUCKET_COL).parquet(path))
-        inserts = staged_src.where(~in_hit)
-    else:
-        inserts = staged_src
-        if feed:
-            staged_src.drop(BUCKET_COL).withColumn(CHANGE_TYPE, F.lit(INSERT)).write.mode("overwrite").parquet(feed)
-    inserts.write.mode("append").partitionBy(BUCKET_COL).parquet(path)
-    fs, done = _file(spark, os.path.join(staging, DONE))
-    fs.create(done, True).close()
-    return staged_src.drop(BUCKET_COL)
+    name = f"{BATCH}={quote(str(batch_id), safe='')}"
+    before = _contents(spark, path, [f for f in _live(spark, path) if f[1] != name], keys)
+    if before is not None:
+        applied = applied.select(*before.columns)
+    folder = os.path.join(path, f"{SEQ}={_next_seq(spark, path)}", name)
+    applied.write.parquet(folder)
+    written = spark.read.schema(applied.schema).parquet(folder)
 
-
-def _file(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _repair(spark: SparkSession, path: str) -> None:
-    """Put the staged buckets of a merge that did not finish in place (again)."""
-    fs, root = _file(spark, os.path.join(path, "_staging"))
-    if not fs.exists(root):
+    feed = os.path.join(changes_path, f"version={batch_id}") if changes_path else None
+    if feed and not _is_complete(spark, feed):
+        if before is None:
+            diff = written.withColumn(CHANGE_TYPE, F.lit(INSERT))
+        else:
+            diff = table_changes(before.join(written.select(*keys), keys, "left_semi"), written, keys)
+        diff.write.mode("overwrite").parquet(feed)
+    if len(_live(spark, path)) > snapshot_after:
+        write_snapshot(spark, path, keys)
+    return written
+
+
+def write_snapshot(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
+    """Write the table's contents as one folder, which stands for all folders before it once complete.
+
+    Folders older than the snapshot before this one are deleted, so a reader
+    that listed the table before the call still finds its files.
+    """
+    live = _live(spark, path)
+    contents = _contents(spark, path, live, list(keys))
+    if contents is None:
         return
-    for st in fs.listStatus(root):
-        staging = os.path.join(path, "_staging", st.getPath().getName())
-        rewrite = os.path.join(staging, "rewrite")
-        if _is_complete(spark, rewrite) and not fs.exists(_file(spark, os.path.join(staging, DONE))[1]):
-            (spark.read.parquet(rewrite).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BUCKET_COL).parquet(path))
+    older = [seq for seq, name in _complete(spark, path) if name.startswith(SNAPSHOT)]
+    seq = _next_seq(spark, path)
+    contents.write.parquet(os.path.join(path, f"{SEQ}={seq}", f"{SNAPSHOT}={seq}"))
+    if older:
+        fs, root = _file(spark, path)
+        for n in _sequence_numbers(spark, path):
+            if n < max(older):
+                fs.delete(_file(spark, os.path.join(path, f"{SEQ}={n}"))[1], True)
 
 
-def _drop_older_staging(spark: SparkSession, root: str, keep: str) -> None:
-    """Remove staged copies of earlier batches.
+def read_table(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Current contents of a table written by ``merge_into``.
 
-    Merges into one table run one at a time (one stream or one daily job), so
-    an earlier batch's merge has finished and its staged rows are no longer
-    read; the current batch's folder is kept (its rows are returned lazily).
+    The newest snapshot (or first batch) is not shuffled unless the batches
+    after it are too large to broadcast: it is anti-joined with their keys.
     """
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return
-    for st in fs.listStatus(p):
-        if st.getPath().getName() != keep:
-            fs.delete(st.getPath(), True)
+    contents = _contents(spark, path, _live(spark, path), list(keys))
+    if contents is None:
+        raise FileNotFoundError(f"no merged table at {path}")
+    return contents
 
 
-def _is_complete(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+def has_table(spark: SparkSession, path: str) -> bool:
+    """Whether a merge into ``path`` has finished."""
+    return bool(_complete(spark, path))
 
 
 def read_changes(spark: SparkSession, changes_path: str) -> DataFrame:
@@ -231,15 +176,47 @@ def read_changes(spark: SparkSession, changes_path: str) -> DataFrame:
     return spark.read.parquet(changes_path)
 
 
-def _has_table(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return False
-    return any(st.getPath().getName().startswith(BUCKET_COL + "=") for st in fs.listStatus(hpath))
+def _contents(spark: SparkSession, path: str, folders: list[tuple[int, str]], keys: list[str]) -> DataFrame | None:
+    if not folders:
+        return None
+    first, *later = [os.path.join(path, f"{SEQ}={seq}", name) for seq, name in folders]
+    base = spark.read.parquet(first)
+    if not later:
+        return base
+    rows = spark.read.schema(base.schema).option("basePath", path).parquet(*later)
+    newest = dedupe_latest(rows.where(key_not_null(keys)), keys, [SEQ], tie_break=[])
+    return upsert(base, newest.unionByName(rows.where(~key_not_null(keys))), keys, dedupe=False, null_keys="insert")
+
+
+def _live(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, name) of the folders that make up the table, oldest first."""
+    complete = _complete(spark, path)
+    start = max((seq for seq, name in complete if name.startswith(SNAPSHOT)), default=-1)
+    newest = {name: seq for seq, name in complete if seq >= start}
+    return sorted((seq, name) for name, seq in newest.items())
+
+
+def _complete(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    fs, marker = _file(spark, os.path.join(path, f"{SEQ}=*", "*", "_SUCCESS"))
+    found = [st.getPath().getParent() for st in fs.globStatus(marker) or []]
+    return sorted((int(f.getParent().getName().split("=")[1]), f.getName()) for f in found)
+
+
+def _sequence_numbers(spark: SparkSession, path: str) -> list[int]:
+    fs, folders = _file(spark, os.path.join(path, f"{SEQ}=*"))
+    return sorted(int(st.getPath().getName().split("=")[1]) for st in fs.globStatus(folders) or [])
+
 
+def _next_seq(spark: SparkSession, path: str) -> int:
+    """Past every folder, unfinished ones included."""
+    return max(_sequence_numbers(spark, path), default=0) + 1
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Current contents of a table written by ``merge_into`` (without the bucket column)."""
-    return spark.read.parquet(path).drop(BUCKET_COL)
+
+def _file(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _is_complete(spark: SparkSession, path: str) -> bool:
+    fs, marker = _file(spark, os.path.join(path, "_SUCCESS"))
+    return bool(fs.exists(marker))

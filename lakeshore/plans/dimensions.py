@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshore.operators.referential import orphans
-from lakeshore.operators.upsert import DEFAULT_BUCKETS, merge_into, read_table, upsert
+from lakeshore.operators.upsert import has_table, merge_into, read_table, upsert
 from lakeshore.schemas import KEYS
+from lakeshore.sinks.snapshots import backup_snapshot, latest_snapshot
 
 
 def upsert_dimension(name: str, target: DataFrame, changes: DataFrame,
@@ -31,38 +34,30 @@ def orphan_products(products: DataFrame, companies: DataFrame) -> DataFrame:
     return orphans(products, companies, ["cuit"])
 
 
-def read_or_restore(spark: SparkSession, table_path: str, backup_path: str) -> DataFrame:
-    """Read the table; if it is missing, restore it from the newest backup snapshot."""
-    from lakeshore.sinks.snapshots import latest_snapshot, path_exists  # local: avoids a cycle
-
-    if path_exists(spark, table_path):
-        return spark.read.parquet(table_path)
-    snap = latest_snapshot(spark, backup_path)
-    if snap is None:
-        raise FileNotFoundError(f"neither {table_path} nor a snapshot under {backup_path}")
-    df = spark.read.parquet(snap)
-    df.write.mode("overwrite").parquet(table_path)
-    return spark.read.parquet(table_path)
+def read_or_restore(spark: SparkSession, table_path: str, backup_path: str, keys: list[str]) -> DataFrame:
+    """Read the keyed table; if it is missing, merge the newest backup snapshot into it first."""
+    if not has_table(spark, table_path):
+        snap = latest_snapshot(spark, backup_path)
+        if snap is None:
+            raise FileNotFoundError(f"neither {table_path} nor a snapshot under {backup_path}")
+        merge_into(spark, table_path, spark.read.parquet(snap), keys, batch_id=f"restore-{os.path.basename(snap)}",
+                   null_keys="insert")
+    return read_table(spark, table_path, keys)
 
 
 def daily_dimension_job(spark: SparkSession, name: str, table_path: str, backup_root: str,
-                        new_records: DataFrame, run_dt: str, buckets: int = DEFAULT_BUCKETS,
-                        null_keys: str = "quarantine", changes_path: str | None = None) -> DataFrame:
+                        new_records: DataFrame, run_dt: str, null_keys: str = "quarantine",
+                        changes_path: str | None = None) -> DataFrame:
     """One day of a dimension: restore the table if it is missing, merge the day's records
     (latest per key wins), write the dated backup.  Returns the records applied.
 
-    Re-running the same ``run_dt`` is safe: the merge is idempotent for non-NULL
-    keys and the day's snapshot is replaced, not appended.
+    Re-running the same ``run_dt`` is safe: the day's batch and the day's
+    snapshot are replaced, not appended.
     """
-    from lakeshore.sinks.snapshots import backup_snapshot, latest_snapshot, path_exists
-
     keys = KEYS[name]
-    if not path_exists(spark, table_path):
-        snap = latest_snapshot(spark, backup_root)
-        if snap is not None:
-            merge_into(spark, table_path, spark.read.parquet(snap), keys, batch_id=f"restore-{run_dt}",
-                       order_by=["updated_dt"], buckets=buckets, null_keys="insert")
+    if latest_snapshot(spark, backup_root) is not None:
+        read_or_restore(spark, table_path, backup_root, keys)
     applied = merge_into(spark, table_path, new_records, keys, batch_id=run_dt, order_by=["updated_dt"],
-                         buckets=buckets, null_keys=null_keys, changes_path=changes_path)
-    backup_snapshot(read_table(spark, table_path), backup_root, run_dt)
+                         null_keys=null_keys, changes_path=changes_path)
+    backup_snapshot(read_table(spark, table_path, keys), backup_root, run_dt)
     return applied

@@ -13,22 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshore.catalog import Lake
-from lakeshore.operators.upsert import read_table
+from lakeshore.operators.upsert import has_table, read_table
 from lakeshore.plans import dimensions, reports
+from lakeshore.schemas import KEYS
 from lakeshore.sinks.snapshots import path_exists
 from lakeshore.streaming import streams
 
 
 def orders_job(spark: SparkSession, lake: Lake, load_date=None, load_ts=None,
                trigger: str | dict = "availableNow", max_files_per_trigger: int | None = None,
-               fail_on_error: bool = False, buckets: int = 64):
+               fail_on_error: bool = False):
     """Drain landed order documents into ``orders_raw`` and ``orders`` (stops when drained
     with the default trigger; returns the running query otherwise)."""
     q = streams.start_orders_stream(
         spark, lake.landing("orders"), lake.table("orders_raw"), lake.table("orders"),
         lake.checkpoint("orders"), lake.quarantine("orders"), load_date=load_date, load_ts=load_ts,
-        trigger=trigger, max_files_per_trigger=max_files_per_trigger, buckets=buckets,
-        dq_path=lake.quality(), fail_on_error=fail_on_error)
+        trigger=trigger, max_files_per_trigger=max_files_per_trigger,
+        dq_path=lake.quality(), fail_on_error=fail_on_error, changes_path=lake.changes("orders_raw"))
     if trigger in ("availableNow", "once"):
         streams.run_to_end(q)
     return q
@@ -42,7 +43,8 @@ def weblogs_job(spark: SparkSession, lake: Lake, geo_ranges: DataFrame, as_of=No
         as_of=as_of, load_ts=load_ts, trigger=trigger, max_files_per_trigger=max_files_per_trigger)
     if trigger not in ("availableNow", "once"):
         silver = streams.start_silver_logs_stream(spark, lake.table("logs_raw"), lake.table("logs"),
-                                                  lake.checkpoint("logs"), geo_ranges, trigger=trigger)
+                                                  lake.checkpoint("logs"), geo_ranges, trigger=trigger,
+                                                  max_files_per_trigger=max_files_per_trigger)
         return bronze, silver
     streams.run_to_end(bronze)
     if path_exists(spark, lake.table("logs_raw")):
@@ -52,19 +54,18 @@ def weblogs_job(spark: SparkSession, lake: Lake, geo_ranges: DataFrame, as_of=No
     return None
 
 
-def dimension_job(spark: SparkSession, lake: Lake, name: str, new_records: DataFrame, run_dt: str,
-                  buckets: int = 64) -> DataFrame:
+def dimension_job(spark: SparkSession, lake: Lake, name: str, new_records: DataFrame, run_dt: str) -> DataFrame:
     """Restore-or-read, merge the day's records, back up; the change feed goes to the lake."""
     return dimensions.daily_dimension_job(spark, name, lake.table(name), lake.backup(name), new_records,
-                                          run_dt, buckets=buckets, changes_path=lake.changes(name))
+                                          run_dt, changes_path=lake.changes(name))
 
 
 def register_views(spark: SparkSession, lake: Lake) -> list[str]:
     """Temp views named after the tables (``logs``, ``products``, ``orders``, ...) for SQL users."""
     done = []
     for name in ["companies", "customers", "products", "orders_raw", "orders"]:
-        if path_exists(spark, lake.table(name)):
-            read_table(spark, lake.table(name)).createOrReplaceTempView(name)
+        if has_table(spark, lake.table(name)):
+            read_table(spark, lake.table(name), KEYS[name]).createOrReplaceTempView(name)
             done.append(name)
     if path_exists(spark, lake.table("logs")):
         streams.read_silver_logs(spark, lake.table("logs")).createOrReplaceTempView("logs")

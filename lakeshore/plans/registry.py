@@ -272,24 +272,21 @@ def q_stream_orders(spark, sf):
     streams.run_to_end(streams.start_orders_stream(
         spark, land, os.path.join(root, "bronze"), silver, os.path.join(root, "ck"),
         os.path.join(root, "quarantine"), load_date=d.LOAD_DATE,
-        load_ts=F.expr(f"TIMESTAMP '{d.LOAD_TS}'"), max_files_per_trigger=4, buckets=16))
+        load_ts=F.expr(f"TIMESTAMP '{d.LOAD_TS}'"), max_files_per_trigger=4))
     return streams.read_silver_orders(spark, silver)
 
 
 def q_merge_change_feed(spark, sf):
-    """The companies table kept by the bucketed merge: day 1 loads it, day 2 merges the
-    day's records; the change feed written by the day-2 merge (rewritten buckets
-    plus appended keys) must equal the diff of the two full snapshots."""
+    """The companies table kept by merges: day 1 loads it, day 2 merges the day's
+    records; the change feed written by the day-2 merge must equal the diff of the two full snapshots."""
     import os
 
     from lakeshore.operators.upsert import merge_into, read_changes
 
     root = _run_dir(spark, "merge_feed")
     table, feed = os.path.join(root, "companies"), os.path.join(root, "changes")
-    merge_into(spark, table, d.companies(spark, sf), KEYS["companies"], batch_id=1, buckets=16,
-               changes_path=feed)
-    merge_into(spark, table, d.company_changes(spark, sf), KEYS["companies"], batch_id=2, buckets=16,
-               changes_path=feed)
+    merge_into(spark, table, d.companies(spark, sf), KEYS["companies"], batch_id=1, changes_path=feed)
+    merge_into(spark, table, d.company_changes(spark, sf), KEYS["companies"], batch_id=2, changes_path=feed)
     return read_changes(spark, feed).where(F.col("version") == 2).select("cuit", "name", "updated_dt",
                                                                          "_change_type")
 

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakeshore.functions.logline import CORRUPT_COL
 from lakeshore.operators.quality import run_suite
-from lakeshore.operators.upsert import merge_into
+from lakeshore.operators.upsert import merge_into, read_table
 from lakeshore.plans.orders import silver_orders
 from lakeshore.plans.suites import ORDERS_RAW_SUITE, ORDERS_SUITE
 from lakeshore.plans.weblogs import QUARANTINED, bronze_logs, parse_lines, silver_logs
@@ -47,15 +47,16 @@ def _write_batch_folder(df: DataFrame, root: str, batch_id: int) -> None:
 # --- orders ----------------------------------------------------------------------
 
 def orders_batch(df: DataFrame, batch_id: int, bronze_path: str, silver_path: str, quarantine_path: str,
-                 load_date=None, load_ts=None, buckets: int = 64, dq_path: str | None = None,
-                 fail_on_error: bool = False) -> None:
+                 load_date=None, load_ts=None, dq_path: str | None = None,
+                 fail_on_error: bool = False, changes_path: str | None = None) -> None:
     """One micro-batch of landed order lines: quarantine, bronze upsert, silver upsert.
 
     Silver is computed from the batch's own upserted documents, not by
     re-streaming the rewritten bronze table.  With ``dq_path`` the raw suite
     runs on the batch's bronze rows before silver is written (a failing suite
     stops the batch when ``fail_on_error``) and the silver suite after; results
-    go to the history under run id ``batch-<id>``.
+    go to the history under run id ``batch-<id>``.  ``changes_path`` receives
+    the row-level change feed of the bronze table.
     """
     spark = df.sparkSession
     lines = df.persist()
@@ -73,30 +74,30 @@ def orders_batch(df: DataFrame, batch_id: int, bronze_path: str, silver_path: st
             _write_batch_folder(field_errors, os.path.join(quarantine_path, "fields"), batch_id)
         good = parsed.orders.drop("_bad_fields")
         applied = merge_into(spark, bronze_path, good, KEYS["orders_raw"], batch_id,
-                             order_by=["record_timestamp"], buckets=buckets)
+                             order_by=["record_timestamp"], changes_path=changes_path)
         run_id = f"batch-{batch_id}"
         if dq_path:
             raw_dq = run_suite(applied, ORDERS_RAW_SUITE, run_id, fail_on_error=False)
-            _save_dq(raw_dq, dq_path, run_id, fail_on_error)
+            _save_dq(raw_dq, dq_path, ORDERS_RAW_SUITE.name, run_id, fail_on_error)
         items = silver_orders(applied, load_ts=load_ts)
-        # Items bucketed by order: a re-sent order rewrites a single bucket.
         merged = merge_into(spark, silver_path, items, KEYS["orders"], batch_id,
-                            order_by=["record_timestamp"], buckets=buckets, bucket_keys=["order_id"])
+                            order_by=["record_timestamp"])
         if dq_path:
-            _save_dq(run_suite(merged, ORDERS_SUITE, run_id), dq_path, run_id, False)
+            _save_dq(run_suite(merged, ORDERS_SUITE, run_id), dq_path, ORDERS_SUITE.name, run_id, False)
     finally:
         if parsed_orders is not None:
             parsed_orders.unpersist()
         lines.unpersist()
 
 
-def _save_dq(results: DataFrame, dq_path: str, run_id: str, fail_on_error: bool) -> None:
+def _save_dq(results: DataFrame, dq_path: str, suite: str, run_id: str, fail_on_error: bool) -> None:
     # One folder per (suite, run id), overwritten on a replay; results are a few rows.
-    suite = results.select("suite").first()[0]
-    (results.drop("suite", "run_id").coalesce(1).write.mode("overwrite")
-            .parquet(os.path.join(dq_path, f"suite={suite}", f"run_id={run_id}")))
+    folder = os.path.join(dq_path, f"suite={suite}", f"run_id={run_id}")
+    rows = results.drop("suite", "run_id").coalesce(1)
+    rows.write.mode("overwrite").parquet(folder)
     if fail_on_error:
-        bad = results.where(~F.col("success")).select("rule", "columns").collect()  # <= #rules rows
+        written = results.sparkSession.read.schema(rows.schema).parquet(folder)
+        bad = written.where(~F.col("success")).select("rule", "columns").collect()  # <= #rules rows
         if bad:
             raise AssertionError(f"quality gate failed for {run_id}: {[tuple(r) for r in bad]}")
 
@@ -104,13 +105,13 @@ def _save_dq(results: DataFrame, dq_path: str, run_id: str, fail_on_error: bool)
 def start_orders_stream(spark: SparkSession, landing_path: str, bronze_path: str, silver_path: str,
                         checkpoint: str, quarantine_path: str, load_date=None, load_ts=None,
                         trigger: str | dict = "availableNow", max_files_per_trigger: int | None = None,
-                        buckets: int = 64, dq_path: str | None = None,
-                        fail_on_error: bool = False) -> StreamingQuery:
+                        dq_path: str | None = None,
+                        fail_on_error: bool = False, changes_path: str | None = None) -> StreamingQuery:
     lines = text_files(spark, landing_path, stream=True, max_files_per_trigger=max_files_per_trigger)
 
     def fn(df, batch_id):
-        orders_batch(df, batch_id, bronze_path, silver_path, quarantine_path, load_date, load_ts, buckets,
-                     dq_path, fail_on_error)
+        orders_batch(df, batch_id, bronze_path, silver_path, quarantine_path, load_date, load_ts,
+                     dq_path, fail_on_error, changes_path)
 
     w = lines.writeStream.foreachBatch(fn).outputMode("update").option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()
@@ -174,7 +175,7 @@ def read_silver_logs(spark: SparkSession, silver_path: str) -> DataFrame:
 
 
 def read_silver_orders(spark: SparkSession, silver_path: str) -> DataFrame:
-    return spark.read.parquet(silver_path).select(*ORDERS_COLUMNS)
+    return read_table(spark, silver_path, KEYS["orders"]).select(*ORDERS_COLUMNS)
 
 
 def run_to_end(q: StreamingQuery) -> None:

@@ -8,6 +8,7 @@ from lakeshore.catalog import Lake
 from lakeshore.operators.upsert import read_changes, read_table, upsert
 from lakeshore.operators.quality import read_results
 from lakeshore.plans import jobs, registry
+from lakeshore.schemas import KEYS
 from lakeshore.sinks.landing import land_log_lines, land_order_documents
 from lakeshore.sources import driver as d
 
@@ -23,17 +24,17 @@ def test_day_of_pipeline(spark, tmp_dir):
     land_order_documents(d.order_documents(spark, SF), lake.landing("orders"), d.LOAD_DATE)
     land_log_lines(d.log_lines(spark, SF), lake.landing("combined_log"), d.LOAD_DATE)
 
-    jobs.orders_job(spark, lake, load_date=d.LOAD_DATE, load_ts=d.LOAD_TS, buckets=4)
+    jobs.orders_job(spark, lake, load_date=d.LOAD_DATE, load_ts=d.LOAD_TS)
     jobs.weblogs_job(spark, lake, d.geo_ranges(spark, SF), as_of=d.LOAD_DATE)
-    jobs.dimension_job(spark, lake, "companies", d.companies(spark, SF), "2022-11-13", buckets=4)
-    jobs.dimension_job(spark, lake, "companies", d.company_changes(spark, SF), "2022-11-14", buckets=4)
-    jobs.dimension_job(spark, lake, "products", d.products(spark, SF), "2022-11-13", buckets=4)
+    jobs.dimension_job(spark, lake, "companies", d.companies(spark, SF), "2022-11-13")
+    jobs.dimension_job(spark, lake, "companies", d.company_changes(spark, SF), "2022-11-14")
+    jobs.dimension_job(spark, lake, "products", d.products(spark, SF), "2022-11-13")
     jobs.weblogs_job(spark, lake, d.geo_ranges(spark, SF), as_of=d.LOAD_DATE)   # nothing new: no-op
 
     silver = registry.silver_orders(spark, SF)
     want_items = upsert(silver.limit(0), silver, ["order_id", "product_id"], order_by=["record_timestamp"])
-    assert rows(read_table(spark, lake.table("orders"))) == rows(want_items)
-    assert rows(read_table(spark, lake.table("companies"))) == rows(registry.q_upsert_companies(spark, SF))
+    assert rows(read_table(spark, lake.table("orders"), KEYS["orders"])) == rows(want_items)
+    assert rows(read_table(spark, lake.table("companies"), KEYS["companies"])) == rows(registry.q_upsert_companies(spark, SF))
     feed = read_changes(spark, lake.changes("companies")).where("version = '2022-11-14'")
     assert rows(feed.drop("version")) == rows(registry.q_table_changes(spark, SF).select(*feed.drop("version").columns))
     assert read_results(spark, lake.quality()).count() > 0
@@ -63,9 +64,9 @@ def test_command_line_dimension_and_reports(spark, tmp_dir):
         f.write(json.dumps({"cuit": 1, "name": "Acme", "updated_dt": "2022-11-14T00:00:00Z"}) + "\n")
     lake_root = os.path.join(tmp_dir, "lake")
     run = [sys.executable, "-m", "lakeshore", "dimension", "--lake", lake_root, "--table", "companies",
-           "--records", rec, "--date", "2022-11-14", "--buckets", "2"]
+           "--records", rec, "--date", "2022-11-14"]
     subprocess.run(run, cwd=repo, check=True, capture_output=True, timeout=600)
-    assert [r.name for r in read_table(spark, Lake(lake_root).table("companies")).collect()] == ["Acme"]
+    assert [r.name for r in read_table(spark, Lake(lake_root).table("companies"), KEYS["companies"]).collect()] == ["Acme"]
     out = subprocess.run([sys.executable, "-m", "lakeshore", "reports", "--lake", lake_root],
                          cwd=repo, check=True, capture_output=True, text=True, timeout=600)
     assert "== top_login_countries: skipped" in out.stdout
