@@ -25,7 +25,9 @@ def to_bigint(c) -> Column:
 
 
 def to_double(c) -> Column:
-    return _c(c).try_cast("double")
+    """String -> finite double; junk, ``'NaN'`` and infinities give NULL."""
+    d = _c(c).try_cast("double")
+    return F.when(F.abs(d) < float("inf"), d)
 
 
 def to_date(c) -> Column:

@@ -18,7 +18,7 @@ DEVICE_RULES: list[tuple[str, str, str, str]] = [
     ("iPhone", "iPhone", "Apple", "iPhone"),
     ("(?i)(bot|crawler|spider)", "Spider", "Spider", "Desktop"),
     ("Android [0-9.]+; (SM-[A-Z0-9]+)", "Samsung {1}", "Samsung", "{1}"),
-    ("Android [0-9.]+; Pixel ([0-9]+)", "Pixel {1}", "Google", "Pixel {1}"),
+    ("Android [0-9.]+; Pixel ([0-9]+[a-z]?(?: (?:Pro|XL|Fold))*)", "Pixel {1}", "Google", "Pixel {1}"),
     ("Android", "Generic Smartphone", "Generic", "Smartphone"),
     ("Macintosh", "Mac", "Apple", "Mac"),
 ]

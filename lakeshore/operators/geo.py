@@ -4,9 +4,11 @@ Spark has no range join, so ranges are cut at /16 boundaries: each range
 yields one row per /16 bucket it touches, and an IP joins on its bucket
 (equi-join) plus ``ip BETWEEN ip_from AND ip_to``.  For non-overlapping ranges
 the bucketed table has at most ``#ranges + 65,536`` rows (each /16 boundary
-splits at most one range), a bound that does not grow with the logs; it is
-broadcast when its measured row count is under ``broadcast_max_rows``,
-otherwise the join shuffles on the bucket and AQE splits hot buckets.
+splits at most one range), a bound that does not grow with the logs.  Spark
+broadcasts it when its measured bytes are under the session's threshold,
+otherwise the join shuffles on the bucket and AQE splits hot buckets.  Rows
+without a valid IP match no range; they are dealt to buckets of their own by
+their text, so that different ones do not meet in one task.
 """
 
 from __future__ import annotations
@@ -17,9 +19,8 @@ from pyspark.sql import functions as F
 from lakeshore.functions.ip import ipv4_to_long
 
 BUCKET_BITS = 16
-# About 50 bytes a bucketed row: 2M rows is ~100 MB broadcast.  A public
-# country table (~0.4M networks) buckets to well under 1M rows.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+#: Buckets (below 0, so no range has them) of the rows without a valid IP.
+NO_IP_BUCKETS = 4096
 
 
 def bucket_ranges(ranges: DataFrame, lo: str = "ip_from", hi: str = "ip_to") -> DataFrame:
@@ -30,8 +31,7 @@ def bucket_ranges(ranges: DataFrame, lo: str = "ip_from", hi: str = "ip_to") ->
 
 
 def geo_lookup(df: DataFrame, ranges: DataFrame, ip_col: str = "ip_address",
-               out_col: str = "country", value_col: str = "country",
-               broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+               out_col: str = "country", value_col: str = "country") -> DataFrame:
     """Left-join each row of ``df`` to the range containing its IP; no range or junk IP -> NULL.
 
     Works on batch and streaming ``df`` (stream-static left outer join).
@@ -39,12 +39,9 @@ def geo_lookup(df: DataFrame, ranges: DataFrame, ip_col: str = "ip_address",
     buckets = bucket_ranges(ranges).select(
         F.col("_geo_bucket"), F.col("ip_from").alias("_geo_lo"), F.col("ip_to").alias("_geo_hi"),
         F.col(value_col).alias("_geo_value"))
-    if broadcast_max_rows is not None:
-        # The range table is a small dimension: measuring it is one cheap job.
-        if buckets.count() <= broadcast_max_rows:
-            buckets = F.broadcast(buckets)
     ipn = ipv4_to_long(F.col(ip_col))
-    left = df.withColumn("_geo_ip", ipn).withColumn("_geo_b", F.shiftright("_geo_ip", BUCKET_BITS))
+    no_ip = -1 - F.pmod(F.xxhash64(F.col(ip_col)), F.lit(NO_IP_BUCKETS))
+    left = df.withColumn("_geo_ip", ipn).withColumn("_geo_b", F.coalesce(F.shiftright("_geo_ip", BUCKET_BITS), no_ip))
     cond = ((left["_geo_b"] == buckets["_geo_bucket"])
             & left["_geo_ip"].between(buckets["_geo_lo"], buckets["_geo_hi"]))
     out = left.join(buckets, cond, "left")

@@ -129,10 +129,6 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RESULT_SCHEMA).parquet(path)
 
 
-def empty_results(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], RESULT_SCHEMA)
-
-
 def suite_rules_sql(table: str, suite: Suite, run_id: str, types: dict[str, str] | None = None) -> str:
     """The same counters as ANSI SQL (``count(*) FILTER``), one UNION ALL branch per rule."""
     types = types or {}
@@ -161,9 +157,3 @@ def suite_rules_sql(table: str, suite: Suite, run_id: str, types: dict[str, str]
             f"CAST({f} AS BIGINT) AS failed, CAST({n} AS BIGINT) AS not_evaluated, "
             f"({f} = 0 AND {n} = 0) AS success FROM {table}")
     return "\nUNION ALL\n".join(parts)
-
-
-def check_columns(df: DataFrame, columns: Sequence[str]) -> None:
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"columns not in frame: {missing}")

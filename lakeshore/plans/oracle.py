@@ -178,13 +178,15 @@ def oracle_sql() -> dict[str, str]:
 SELECT COUNT(country) AS number_of_users, country FROM {logs} WHERE action = 'login'
 GROUP BY country ORDER BY number_of_users DESC, country ASC NULLS LAST LIMIT 10"""
     q["top_products_in_top_country"] = f"""
-WITH logs AS {logs}, products AS ({PRODUCTS}),
-top_login_country AS (SELECT COUNT(country) c, country FROM logs WHERE action = 'login'
-                      GROUP BY country ORDER BY c DESC, country ASC NULLS LAST LIMIT 1)
-SELECT COUNT(l.product_id) AS c, l.product_id, p.name AS product_name
-FROM logs l JOIN products p ON p.product_id = TRY_CAST(l.product_id AS BIGINT)
-WHERE action = 'product' AND country = (SELECT country FROM top_login_country)
-GROUP BY l.product_id, p.name ORDER BY c DESC, l.product_id ASC NULLS LAST, product_name ASC NULLS LAST LIMIT 5"""
+WITH logs AS {logs},
+logins AS (SELECT country, row_number() OVER (ORDER BY count(country) DESC, country NULLS LAST) AS place
+           FROM logs WHERE action = 'login' GROUP BY country),
+views AS (SELECT v.product_id, count(*) AS c FROM logs v JOIN logins w ON v.country = w.country AND w.place = 1
+          WHERE v.action = 'product' AND v.product_id IS NOT NULL GROUP BY v.product_id),
+ranked AS (SELECT c, v.product_id, p.name AS product_name,
+                  row_number() OVER (ORDER BY c DESC, v.product_id, p.name NULLS LAST) AS place
+           FROM views v JOIN ({PRODUCTS}) p ON p.product_id = TRY_CAST(v.product_id AS BIGINT))
+SELECT c, product_id, product_name FROM ranked WHERE place <= 5"""
     q["main_devices"] = f"""
 SELECT COUNT(user_agent) AS device_number, user_agent FROM {logs} GROUP BY user_agent
 ORDER BY device_number DESC, user_agent ASC NULLS LAST LIMIT 5"""
@@ -230,6 +232,11 @@ SELECT CAST(o_orderkey AS VARCHAR) AS order_id, '{"priority":"' || o_orderpriori
                           status_expr="'finished'")
     q["upsert_order_items"] = _upsert(day1, day2, ["order_id", "product_id"], ["record_timestamp"], _ITEM_TIE)
     q["table_changes"] = _changes(COMPANIES, UPSERT_COMPANIES, "cuit", ["name", "updated_dt"])
+    q["orders_raw_changes"] = f"""
+WITH resent AS (SELECT order_id, total_price, items AS n_items, record_timestamp AS day FROM ({ORDERS_RAW}) WHERE status = 'pending')
+SELECT order_id, 'pending' AS status, day AS record_timestamp, total_price, n_items, 'update_preimage' AS _change_type FROM resent
+UNION ALL
+SELECT order_id, 'finished', CAST(day + 1 AS DATE), total_price, n_items, 'update_postimage' FROM resent"""
     q["merge_change_feed"] = q["table_changes"]
     q["table_history"] = f"""
 WITH v1 AS ({COMPANIES}), ch AS ({_changes(COMPANIES, UPSERT_COMPANIES, "cuit", ["name", "updated_dt"])})

@@ -291,6 +291,22 @@ def q_merge_change_feed(spark, sf):
                                                                          "_change_type")
 
 
+def q_orders_raw_changes(spark, sf):
+    """The change feed of the order documents (items are maps): day 1 loads them, day 2
+    merges the re-sent ones."""
+    import os
+
+    from lakeshore.operators.upsert import merge_into, read_changes
+
+    root = _run_dir(spark, "orders_raw_feed")
+    table, feed = os.path.join(root, "orders_raw"), os.path.join(root, "changes")
+    merge_into(spark, table, d.orders_raw(spark, sf), KEYS["orders_raw"], batch_id=1, order_by=["record_timestamp"])
+    merge_into(spark, table, changed_orders_raw(spark, sf), KEYS["orders_raw"], batch_id=2,
+               order_by=["record_timestamp"], changes_path=feed)
+    return read_changes(spark, feed).select("order_id", "status", "record_timestamp", "total_price",
+                                            F.size("items").alias("n_items"), "_change_type")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_login_countries": q_top_login_countries,
     "top_products_in_top_country": q_top_products_in_top_country,
@@ -314,6 +330,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_changes": q_table_changes,
     "table_history": q_table_history,
     "merge_change_feed": q_merge_change_feed,
+    "orders_raw_changes": q_orders_raw_changes,
     "orphan_products": q_orphan_products,
     "orphan_summary": q_orphan_summary,
     "dq_orders_raw": q_dq_orders_raw,

@@ -24,7 +24,7 @@ def _lit_or(value, default: Column) -> Column:
 
 
 def parse_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    """Lines -> ten string fields + ``_corrupt_record`` (+ any other input columns).
+    """Lines -> ten string fields + ``_corrupt_record`` (+ any other input columns); blank lines give no row.
 
     The parse is materialised once through a generator (``inline`` of a
     one-element array): without that barrier, predicate pushdown and the
@@ -32,7 +32,7 @@ def parse_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     every filter conjunct, parsing each line several times.
     """
     others = [c for c in lines.columns if c != line_col]
-    return lines.select(*others, F.inline(F.array(parse_log_line(F.col(line_col)))))
+    return lines.where(F.col(line_col).rlike(r"\S")).select(*others, F.inline(F.array(parse_log_line(F.col(line_col)))))
 
 
 def good_lines(parsed: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def bronze_logs(parsed: DataFrame, as_of=None, load_ts=None, keep_quarantine: bo
         *extra)
 
 
-def silver_logs(bronze: DataFrame, geo_ranges: DataFrame, broadcast_max_rows: int | None = 2_000_000) -> DataFrame:
+def silver_logs(bronze: DataFrame, geo_ranges: DataFrame) -> DataFrame:
     """Silver: timestamp parsed, device label, action and product from the path, country by IP.
 
     All column expressions; the only join is the bucketed range join to the
@@ -77,8 +77,7 @@ def silver_logs(bronze: DataFrame, geo_ranges: DataFrame, broadcast_max_rows: in
         parse_log_timestamp(F.col("request_timestamp")).alias("request_timestamp"),
         request_product_id(F.col("request")).alias("product_id"),
         request_action(F.col("request")).alias("action"))
-    df = geo_lookup(df, geo_ranges, ip_col="ip_address", out_col="country",
-                    broadcast_max_rows=broadcast_max_rows)
+    df = geo_lookup(df, geo_ranges, ip_col="ip_address", out_col="country")
     return df.select(*LOGS_COLUMNS)
 
 

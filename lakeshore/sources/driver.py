@@ -61,41 +61,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations"]
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool = True) -> DataFrame:
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread(df) if spread_rows else df
-
-
-# Inputs smaller than this are left as they are (spreading them costs more than it saves).
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def spread(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Give an under-split scan at least the cluster's default parallelism.
-
-    A large file with a single row group is read by one task, and all the
-    per-row work fused into that stage (parse, joins, partial aggregates) runs
-    single-threaded.  When a scan has fewer partitions than the default
-    parallelism and is not tiny, rows are spread round-robin.  On a data set
-    with many files or row groups the scan is already split and nothing is
-    added.
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if target <= 1:
-        return df
-    size = _input_bytes(spark, df)
-    if size < min_bytes:
-        return df
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
-def _input_bytes(spark: SparkSession, df: DataFrame) -> int:
-    """Size estimate from the optimizer's statistics (the file index already
-    listed the files; no further file-system calls, whatever the file count)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _ts(text: str) -> Column:
@@ -196,11 +163,7 @@ def product_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_items_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line item with its product record (the flat form of the documents)."""
-    # Hash-partitioned by order: the nesting groups on this key, so this is the
-    # only shuffle of the line items (collect_list has no map-side reduction).
-    li = (table(spark, sf_dir, "lineitem", spread_rows=False)
-          .select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
-          .repartition("l_orderkey"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     prod = products(spark, sf_dir).drop("updated_dt")
     return li.join(prod, li.l_partkey == prod.product_id, "inner")
 

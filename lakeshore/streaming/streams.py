@@ -59,6 +59,8 @@ def orders_batch(df: DataFrame, batch_id: int, bronze_path: str, silver_path: st
     the row-level change feed of the bronze table.
     """
     spark = df.sparkSession
+    # Of an order's documents in a batch: the latest load date, then order time, then any status before "pending".
+    newest_order = ["record_timestamp", "order_dt", F.col("status").eqNullSafe("pending").asc()]
     lines = df.persist()
     parsed_orders = None
     try:
@@ -74,7 +76,7 @@ def orders_batch(df: DataFrame, batch_id: int, bronze_path: str, silver_path: st
             _write_batch_folder(field_errors, os.path.join(quarantine_path, "fields"), batch_id)
         good = parsed.orders.drop("_bad_fields")
         applied = merge_into(spark, bronze_path, good, KEYS["orders_raw"], batch_id,
-                             order_by=["record_timestamp"], changes_path=changes_path)
+                             order_by=newest_order, changes_path=changes_path)
         run_id = f"batch-{batch_id}"
         if dq_path:
             raw_dq = run_suite(applied, ORDERS_RAW_SUITE, run_id, fail_on_error=False)

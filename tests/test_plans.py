@@ -40,26 +40,11 @@ def test_dedupe_pre_limits_before_shuffle(spark):
     assert sorted(r.updated_dt for r in out.collect()) == list(range(990, 1000))
 
 
-def test_spread_only_under_split_inputs(spark, tmp_dir):
-    from lakeshore.sources.driver import spread
+def test_no_forced_shuffle_of_the_driver_tables(spark):
+    from lakeshore.plans import registry
 
-    n = spark.sparkContext.defaultParallelism
-    one = os.path.join(tmp_dir, "one")
-    spark.range(0, 200000).selectExpr("id", "repeat('x', 40) AS pad").coalesce(1).write.parquet(one)
-    df = spark.read.parquet(one)
-    assert df.rdd.getNumPartitions() < n
-    assert spread(df, min_bytes=1).rdd.getNumPartitions() == n          # under-split: spread
-    assert spread(df, min_bytes=1 << 40) is df                           # tiny input: left alone
-    many = os.path.join(tmp_dir, "many")
-    spark.range(0, 200000).repartition(2 * n).write.parquet(many)
-    prev = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")          # one split per file
-    try:
-        dm = spark.read.parquet(many)
-        assert dm.rdd.getNumPartitions() >= n
-        assert spread(dm, min_bytes=1) is dm                             # already split: nothing added
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", prev)
+    for name in ("order_documents", "upsert_orders_raw", "bronze_logs"):
+        assert "RoundRobin" not in plan(registry.QUERIES[name](spark, "/root/testdata/sf0.001"))
 
 
 def test_dedupe_with_a_key_holding_a_third_of_rows(spark):

@@ -1,5 +1,7 @@
 import datetime
 
+from pyspark.sql import functions as F
+
 from lakeshore.operators.geo import geo_lookup
 from lakeshore.plans import reports
 
@@ -59,7 +61,7 @@ def test_geo_shuffle_fallback_with_a_hot_ip(spark):
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        out = geo_lookup(ips, ranges, broadcast_max_rows=0)      # no hint, no auto broadcast: shuffle join
+        out = geo_lookup(ips, ranges)      # no auto broadcast: shuffle join
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plan and ("SortMergeJoin" in plan or "ShuffledHashJoin" in plan)
         got = {}
@@ -93,3 +95,31 @@ def test_top_products_pct(spark):
     prods = spark.createDataFrame([(1, "one"), (2, "two"), (3, "three")], "product_id bigint, name string")
     got = [tuple(r) for r in reports.top_products_in_top_country(logs, prods, k=2, with_pct=True).collect()]
     assert got == [(2, "1", "one", 50.0), (1, "2", "two", 25.0)]
+
+
+def test_monthly_means_of_bad_and_negative_totals(spark):
+    from lakeshore.functions.casts import to_double
+
+    texts = [("2022-10-01", "NaN"), ("2022-10-02", "Infinity"), ("2022-10-03", "10.01"), ("2022-10-04", "x"),
+             ("2022-09-01", "-1.01"), ("2022-08-01", "NaN"), ("2022-07-01", "1e300")]
+    rows = spark.createDataFrame(texts, "order_dt string, total string").select(
+        F.col("order_dt").cast("date").alias("order_dt"), to_double("total").alias("order_total_price"))
+    got = {r.month: (r.total_orders, r.total_price and str(r.total_price))
+           for r in reports.monthly_sales_last_year(rows, as_of="2022-11-14").collect()}
+    assert got == {7: (1, None), 8: (1, None), 9: (1, "-1.01"), 10: (4, "10.01")}
+
+
+def test_blank_log_lines_give_no_row(spark):
+    from lakeshore.plans.weblogs import parse_lines
+
+    lines = spark.createDataFrame([("",), ("  \t",), (None,), ("broken",)], "value string")
+    assert [r._corrupt_record for r in parse_lines(lines).collect()] == ["broken"]
+
+
+def test_pixel_models_stay_apart(spark):
+    from lakeshore.functions.useragent import device_label
+
+    agents = spark.createDataFrame([(f"Mozilla/5.0 (Linux; Android 12; {m}) AppleWebKit",) for m in
+                                    ("Pixel 6", "Pixel 6a", "Pixel 6 Pro", "Pixel 7 Build/X")], "ua string")
+    assert [r[0] for r in agents.select(device_label("ua")).collect()] == [
+        "Pixel 6 Google Pixel 6", "Pixel 6a Google Pixel 6a", "Pixel 6 Pro Google Pixel 6 Pro", "Pixel 7 Google Pixel 7"]

@@ -66,12 +66,12 @@ def test_landing_roundtrip(spark, tmp_dir):
     assert [r.value for r in text_files(spark, logs).collect()] == ["x y"]
 
 
-def test_report_sql_matches_dataframe(spark):
+def test_report_over_a_view(spark):
     logs = spark.createDataFrame([("A", "login", None, "u1"), ("A", "login", None, "u1"),
                                   ("B", "login", None, "u2")],
                                  "country string, action string, product_id string, user_agent string")
     logs.createOrReplaceTempView("logs")
-    a = [tuple(r) for r in reports.run_report_sql(spark, "top_login_countries").collect()]
+    a = [tuple(r) for r in reports.top_login_countries(spark.table("logs")).collect()]
     b = [tuple(r) for r in reports.top_login_countries(logs).collect()]
     assert a == b == [(2, "A"), (1, "B")]
 
@@ -117,3 +117,12 @@ def test_read_records_uses_table_schema(spark, tmp_dir):
     assert df.columns == ["cuit", "name", "updated_dt"]
     r = df.first()
     assert r.cuit == 30712345678 and r.updated_dt == datetime.datetime(2022, 11, 14, 10, 0)
+
+
+def test_append_table_keeps_earlier_rows(spark, tmp_dir):
+    from lakeshore.sinks.snapshots import append_table
+
+    path = os.path.join(tmp_dir, "t")
+    for day in ("a", "b"):
+        append_table(spark.createDataFrame([(1, day)], "k int, day string"), path, partition_by=["day"])
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (1, "b")]

@@ -52,7 +52,7 @@ def test_orders_stream_restart_reads_no_file_twice(spark, tmp_dir):
     drain()                                    # restart on the same checkpoint: nothing new
     assert sorted(tuple(r) for r in streams.read_silver_orders(spark, silver).collect()) == first
     # a new file updates order a (new amount) and adds c
-    write(os.path.join(land, "record_dt=2022-11-14/3.json"), json.dumps([doc("a", 1, amount=5), doc("c", 3)]))
+    write(os.path.join(land, "record_dt=2022-11-14/3.json"), json.dumps([doc("a", 1, amount=5), doc("c", 3), doc("c", 3) | {"status": "pending"}]))
     drain()
     got = {(r.order_id, r.product_id): r.amount for r in streams.read_silver_orders(spark, silver).collect()}
     assert got == {("a", 1): 5, ("b", 2): 1, ("c", 3): 1}
@@ -62,6 +62,7 @@ def test_orders_stream_restart_reads_no_file_twice(spark, tmp_dir):
     assert {r.suite for r in hist.collect()} == {"transactional_orders_raw", "transactional_orders_processed"}
     assert hist.where("rule = 'expect_column_values_to_not_be_null' AND columns = 'order_id'").count() >= 2
     raw = read_table(spark, bronze, KEYS["orders_raw"])
+    assert raw.where("order_id = 'c'").first().status == "finished"      # of one load: any status before pending
     assert raw.count() == 3 and raw.where(F.col("order_id") == "a").first().record_timestamp is not None
 
 
