@@ -44,6 +44,8 @@ UPPER_ONLY = ("fallback_share",)
 MEASURES = tuple(LEAST_WIDTH)
 #: Texts whose words are looked up together.
 BLOCK = 200
+#: Parts that the rows of one band are dealt to, as one language may hold most rows.
+SALTS = 64
 #: Rows a band needs; a language or script with fewer rejects nothing.
 MIN_ROWS = 20
 
@@ -158,7 +160,9 @@ def judge(docs: DataFrame, tokenizer_dir: str = TOKENIZER_DIR) -> DataFrame:
         "size": F.floor(F.log(2.0, F.greatest(F.col("n_tokens"), F.lit(1)))).cast("int"),
     })
     rows = materialise(rows, "fertility")
-    joined = rows.join(bands(rows), ["grp", "size"], "left")
+    parts = bands(rows).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("doc_id", "n_tokens", "entropy"), F.lit(SALTS)).cast("int")
+    joined = rows.withColumn("_salt", salt).join(parts, ["grp", "size", "_salt"], "left")
     within = lambda m, name: F.coalesce(F.col(m).between(F.col(f"lo_{name}_{m}"), F.col(f"hi_{name}_{m}")), F.lit(True))
     monotonous = F.coalesce(F.col("entropy") < F.col("q1_entropy"), F.lit(False))
     rejected = F.coalesce(F.col("entropy") < F.col("lo_in_entropy"), F.lit(False))
