@@ -16,6 +16,8 @@ SPACE = r"\x20\x09-\x0D"
 WORD = re.compile(rf"[^{SPACE}]+")
 #: Entries a per-worker cache may hold before it is emptied.
 CACHE_ENTRIES = 600_000
+#: Parts in which a class is ranked before it is ranked whole.
+SAMPLE_PARTS = 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,12 +50,17 @@ def one_label_per_doc(labels: DataFrame, label: str) -> DataFrame:
 def sample_per_class(rows: DataFrame, per_class: int, max_classes: int = 256) -> DataFrame:
     """At most ``per_class`` rows of each ``label`` and ``max_classes`` labels, chosen by a hash of doc_id.
 
-    The bound of a training sample.  The rank is cut before the shuffle (Spark
-    plans a group limit), so a class holding most rows moves few of them.
+    The bound of a training sample.  Each rank is cut before its shuffle (Spark
+    plans a group limit).  A class is first cut in SAMPLE_PARTS parts, so the
+    task that ranks it whole reads at most SAMPLE_PARTS * per_class rows,
+    however many rows and input partitions hold the class.
     """
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    ranked = rows.withColumn("_r", F.row_number().over(Window.partitionBy("label").orderBy(*order)))
-    return ranked.where(F.col("_r") <= per_class).drop("_r").limit(per_class * max_classes)
+    part = F.pmod(F.hash("doc_id"), F.lit(SAMPLE_PARTS))
+    for by in (["label", part], ["label"]):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        rows = rows.withColumn("_r", rank).where(F.col("_r") <= per_class).drop("_r")
+    return rows.limit(per_class * max_classes)
 
 
 def texts_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:

@@ -264,3 +264,16 @@ def test_empty_tables(spark, odd):
 def test_pipeline_keeps_clean_documents(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 100 and [n for n, _ in corpus_pipeline.STAGES][-1] == "packing"
+
+
+def test_sample_per_class_is_the_first_by_hash(spark):
+    from pyspark.sql import functions as F
+
+    from lakeshore.llm.common import sample_per_class
+
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 3 == 0).cast("int").alias("label"))
+    want = [r.doc_id for label in (0, 1)
+            for r in rows.where(F.col("label") == label).orderBy(F.xxhash64("doc_id")).limit(700).collect()]
+    got = sample_per_class(rows, 700, 2).collect()
+    assert sorted(r.doc_id for r in got) == sorted(want)
+    assert sample_per_class(rows.limit(0), 700).count() == 0
