@@ -38,10 +38,11 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from lakeshore.llm.common import materialise, text_list
+from lakeshore.llm.common import materialise, text_list, unused
 from lakeshore.llm.components import components
 
 WORDS = 5
@@ -339,8 +340,8 @@ def confirm(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, set_id (the shared name of equal sets) for every row."""
+def named_sets(docs: DataFrame) -> DataFrame:
+    """doc_id, n, node (the shared name of equal sets), comp (one node of the component) for every row; NULL names for empty sets."""
     spark = docs.sparkSession
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     read = materialise(read_sets(docs, ranges), "sets")
@@ -362,7 +363,12 @@ def near_groups(docs: DataFrame) -> DataFrame:
     roots = components(links)
 
     named = sets.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node"))
-    named = materialise(named.select("doc_id", "n", "node", "comp"), "named")
+    return materialise(named.select("doc_id", "n", "node", "comp"), "named")
+
+
+def near_groups(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, set_id (the shared name of equal sets) for every row."""
+    named = named_sets(docs)
     first = named.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     full = named.where("n > 0").join(first, "comp").select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id",
                                                            F.col("node").alias("set_id"))
@@ -371,8 +377,43 @@ def near_groups(docs: DataFrame) -> DataFrame:
     return full.unionByName(empty)
 
 
+def with_sets(docs: DataFrame, name: str) -> DataFrame:
+    """All columns, and ``name``: the name of the row's set (NULL if empty)."""
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = map(shingles, text_list(batch.column(place)))
+            nodes = pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, nodes], names=[*batch.schema.names, name])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+
+
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """One document of each component (the smallest id), with all columns; of repeated (id, set) rows one stays."""
-    groups = materialise(near_groups(docs), "near")
-    leaving = groups.where("n_shingles > 0 and not (doc_id <=> component_id)").select("doc_id").distinct()
-    return docs.join(leaving, docs["doc_id"].eqNullSafe(leaving["doc_id"]), "left_anti")
+    """One row of each component, with all columns, and every row without a set.
+
+    The row with the smallest known id stays; of several sets with that id the
+    smallest named, and of repeated (id, set) rows the first by its columns.
+    """
+    full = named_sets(docs).where("n > 0")
+    first = full.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "node")).alias("c"))
+    stays = F.col("doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("node") == F.col("c.node"))
+    fate = full.groupBy("doc_id", "node", "comp").agg(F.count(F.lit(1)).alias("times")).join(first, "comp")
+    fate = materialise(fate.select("doc_id", "node", stays.alias("stays"), "times").where("not stays or times > 1"), "fate")
+    again = materialise(fate.where("stays").select("doc_id", "node"), "again")
+
+    name = unused(docs.columns, "_set")
+
+    def same(rows: DataFrame, other: DataFrame):
+        return rows["doc_id"].eqNullSafe(other["doc_id"]) & (rows[name] == other["node"])
+
+    every = with_sets(docs, name)
+    once = every.join(fate, same(every, fate), "left_anti")
+    # Repeated rows: only texts under their ids are read as sets again.
+    ids = again.select("doc_id").distinct()
+    some = with_sets(docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi"), name)
+    place = unused(some.columns, "_place")
+    rank = F.row_number().over(Window.partitionBy("doc_id", name).orderBy("text", F.to_json(F.struct(*docs.columns))))
+    one = some.join(again, same(some, again), "left_semi").withColumn(place, rank).where(F.col(place) == 1).drop(place)
+    return once.unionByName(one).select(*docs.columns)

@@ -82,6 +82,22 @@ def test_near_groups_match_brute_force(spark, odd):
     assert got == want
 
 
+def test_one_row_of_each_component_stays(spark):
+    """NULL and repeated ids: rows are judged by (id, set), not by id alone."""
+    words = PROSE.split()
+    a = " ".join(words * 3 + [f"a{k}" for k in range(60)])
+    c, x, y, z = (" ".join(f"{name}{k}" for k in range(40)) for name in "cxyz")
+    texts = [(None, a), (5, a + " tail"), (None, c), (7, x + " end"), (7, y), (3, x), (None, None), (9, ""),
+             (4, z), (4, z + " end"), (4, z.upper()), (4, z), (None, "only null"), (None, "ONLY  null")]
+    docs = docs_of(spark, texts)
+    out = jaccard_join.drop_near_copies(docs)
+    got = sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+    left = [(i, t) for i, t in got if i != 4 and (t or "").lower().split() != ["only", "null"]]
+    assert out.columns == docs.columns
+    assert left == sorted([(5, a + " tail"), (None, c), (7, y), (3, x), (None, None), (9, "")], key=str)
+    assert len([t for i, t in got if i == 4]) == 1 and len(got) == len(left) + 2
+
+
 def test_boundary_follows_cost():
     assert jaccard_join.choose_boundary({}, 0.0) == 0
     sizes = dict.fromkeys(range(1, 61), 100)
