@@ -180,7 +180,7 @@ def choose_boundary(sizes: dict[int, int], scan: float) -> int:
 
     ``sizes`` has the number of sets of each size up to beyond MAX_BOUNDARY / 0.8;
     ``scan`` is the mean number of other rows in the list of a light shingle, each
-    a candidate; a shared subset is hardly ever more than a link.
+    a candidate; a shared subset that its positions allow is hardly ever more than a link.
     """
     def front(n: int) -> int:
         return n - least_overlap(n)
@@ -219,7 +219,7 @@ class Fronts:
         return tokens[np.argsort(level, kind="stable")]
 
     def keys(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Keys and, for each, how many tokens of the set stand at or after it (an upper bound of the overlap)."""
+        """Keys and, for each, the most tokens shared with a set whose first common tokens these are (an upper bound of the overlap)."""
         n = len(tokens)
         if n < NUM:  # linked with equal sets only, which are one node
             return np.empty(0, np.uint64), np.empty(0, np.int32)
@@ -230,7 +230,8 @@ class Fronts:
             chosen = np.array(list(combinations(range(front + SUBSET), SUBSET)))
             subsets = np.sort(ranked[chosen], axis=1)
             keys.append(mix((subsets * _M[:SUBSET]).sum(axis=1) + np.uint64(1)))
-            reach.append(np.full(len(chosen), n, np.int32))
+            # Linked sets meet at their first three common tokens; what else they share stands after the last of these.
+            reach.append((SUBSET + n - 1 - chosen[:, -1]).astype(np.int32))
         if DEN * n > NUM * self.boundary:
             keys.append(ranked[:front + 1])
             reach.append(np.arange(n, n - front - 1, -1, dtype=np.int32))

@@ -82,6 +82,23 @@ def test_near_groups_match_brute_force(spark, odd):
     assert got == want
 
 
+@pytest.mark.parametrize("words, place, links", [(12, 11, 0), (24, 2, 0), (24, 0, 1)])
+def test_templates_with_one_varying_word_make_no_pairs(spark, words, place, links):
+    """200 texts that differ in one word: either none is linked and no pair is made, or all are and the stars suffice."""
+    n = 200
+    texts = [(k, " ".join(f"v{k}" if j == place else f"t{j}" for j in range(words))) for k in range(n)]
+    docs = docs_of(spark, texts)
+    read = jaccard_join.read_sets(docs, 8)
+    heavy = jaccard_join.heavy_tokens(jaccard_join.token_counts(read))
+    lists = jaccard_join.list_rows(docs, jaccard_join.Fronts(heavy, 8, jaccard_join.MAX_BOUNDARY)).localCheckpoint()
+    none = spark.createDataFrame([], "a long, b long")
+    stars = jaccard_join.star_pairs(lists)
+    roots = components(stars if links else none)
+    assert jaccard_join.remaining_pairs(lists, roots, none).count() == 0
+    assert (n - 1 <= stars.count() < 8 * n) if links else stars.count() == 0
+    assert len({r.component_id for r in jaccard_join.near_groups(docs).collect()}) == (1 if links else n)
+
+
 def test_one_row_of_each_component_stays(spark):
     """NULL and repeated ids: rows are judged by (id, set), not by id alone."""
     words = PROSE.split()
