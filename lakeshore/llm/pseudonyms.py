@@ -9,6 +9,12 @@ pseudonym in every document without any shared table.  The permutation is
 ``P^-1(P(x) + k)`` for a Feistel network P under cycle walking: a bijection
 that maps no value to itself.
 
+A match may hold digit groups beside the value (an expiry date, a security code,
+a list number).  The value is then sought between group edges, usual forms
+first.  Where a pseudonym would make another span of the match valid, it is
+permuted on, so there it may differ from the same value's elsewhere.  Phones of
+countries with numbers of many lengths may take following groups in.
+
 Defined cases: NULL text stays NULL; text without personal data is returned
 unchanged; values that fail validation stay; repeated rows get equal results;
 other columns are ignored.
@@ -46,6 +52,22 @@ VALUE = re.compile(r"""
   | (?P<card>(?<![\d.-])\d(?:[ -]?\d){12,18}(?![\d-]))
 """, re.X)
 EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])([A-Za-z0-9._%+-]++)@([A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8})")
+#: A card match with the digit groups after it, where a card may go on.
+RUN = re.compile(r"\d+(?:[ -]\d+){0,40}")
+GROUP = re.compile(r"[A-Z0-9]+")
+#: Kinds whose match may hold digit groups of its neighbours.
+GROUPED = ("card", "iban", "phone")
+#: Digit groups that cards are written in, besides one group.
+CARD_GROUPS = ((4, 4, 4, 4), (4, 6, 5), (4, 6, 4))
+#: Characters of an IBAN by country.
+IBAN_CHARS = {c: int(n) for n, cs in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FI,FO,GL,NL 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,XK 21:CH,HR,LI,LV 22:BG,BH,DE,GB,GE,IE,ME,RS 23:AE,GI,IL "
+    "24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:PT 26:IS,TR 27:FR,GR,IT,MC,SM 28:AL,AZ,CY,DO,GT,HU,LB,PL 29:BR,PS,QA 30:JO,KW,MU 31:MT").split())
+    for c in cs.split(",")}
+#: Digits of a phone number, country code included, by its first two digits (plans of one length or nearly so).
+PHONE_DIGITS = {c: tuple(map(int, n.split("/"))) for n, cs in (x.split(":") for x in (
+    "10:45,47 11:27,31,33,34,41,48,61 10/11:32 11/12:44 12:52,81,82,90,91,92,20,63 12/13:49,55,86").split())
+    for c in cs.split(",")} | {f"7{d}": (11,) for d in range(10)}
 CLASSES = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
 
@@ -222,9 +244,78 @@ class Pseudonyms:
         if "@" in text:
             text = EMAIL.sub(lambda m: put("email", m.group()), text)
         if any(d in text for d in "0123456789"):
-            text = VALUE.sub(lambda m: put(m.lastgroup, m.group()), text)
+            text = "".join(self._parts(text, put, found))
         return text, found
 
+    def _parts(self, text: str, put, found: Counter) -> Iterator[str]:
+        """The text in pieces, with pseudonyms."""
+        done = at = 0
+        while m := VALUE.search(text, at):
+            kind, low, high = m.lastgroup, m.start(), m.end()
+            if kind not in GROUPED:
+                yield text[done:low] + put(kind, m.group())
+                done = at = high
+                continue
+            value = m.group()
+            if kind == "card":
+                value = RUN.match(text, low).group()
+            span = self._span(kind, value, high - low)
+            if span is None:  # what follows the first group may be a value of its own
+                at = low + GROUP.search(value).end()
+                continue
+            a, b = span
+            yield text[done:low]
+            yield from self._parts(value[:a], put, found) if a else ()
+            yield self._moved(kind, value, span, high - low)
+            found[kind] += 1
+            done = at = low + b
+        yield text[done:]
+
+    def _span(self, kind: str, value: str, within: int) -> tuple[int, int] | None:
+        """Where the valid value stands in a match, from group edge to group edge, by the first ``within`` characters' starts.
+
+        Spans of the usual form come first, so that a neighbour which happens to
+        validate together with the value takes no part in it.
+        """
+        for span in _spans(kind, value, within):
+            if self._value(kind, value[slice(*span)]) is not None:
+                return span
+        return None
+
+    def _moved(self, kind: str, value: str, span: tuple[int, int], within: int) -> str:
+        """The pseudonym of the value in ``span``, permuted on while another span would be read in its place, so that ``undo`` finds it."""
+        new = self._value(kind, value[slice(*span)])
+        while self._span(kind, value[:span[0]] + new + value[span[1]:], within) != span:
+            new = self._value(kind, new)
+        return new
+
+
+def _spans(kind: str, value: str, within: int) -> list[tuple[int, int]]:
+    """Spans of whole groups that may be a value, the usual forms first, then by start, longest first."""
+    groups = [g.span() for g in GROUP.finditer(value)]
+    if kind == "phone" and value[0] != "+":
+        return [(0, len(value))]
+    out = []
+    for i, (a, _) in enumerate(groups):
+        if a >= within or kind == "phone" and i:
+            break
+        plain, sizes = "", []
+        for c, b in groups[i:]:
+            plain += value[c:b]
+            sizes.append(b - c)
+            if len(plain) > 34 or kind == "card" and len(plain) > 19:
+                break
+            if kind == "card":
+                usual = len(sizes) == 1 or tuple(sizes) in CARD_GROUPS
+                fits = len(plain) >= 13
+            elif kind == "iban":
+                usual, fits = IBAN_CHARS.get(plain[:2]) == len(plain), len(plain) >= 15 and plain[:2].isalpha() and plain[2:4].isdigit()
+            else:
+                usual, fits = len(plain) in PHONE_DIGITS.get(plain[:2], ()), len(plain) >= 8
+            if fits:
+                out.append((not usual, a, -b))
+    return [(0 if kind == "phone" else a, -b) for _, a, b in sorted(out)]
+
 
 def _same_case(old: str, new: str) -> str:
     return "".join(n.upper() if o.isupper() and o.isascii() else n for o, n in zip(old, new))

@@ -252,6 +252,30 @@ def test_pseudonyms_round_trip_and_link(spark, odd):
     assert got[3] is None and got[1] == PROSE
 
 
+def test_pseudonyms_beside_other_digits():
+    card, iban, phone = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332", "+44 20 7946 0958"
+    work, back = pseudonyms.Pseudonyms(), pseudonyms.Pseudonyms(undo=True)
+    alone = {v: work.text(v)[0] for v in (card, iban, phone, "+1 988 555 2485", "345-678-9012")}
+    cases = [(card, "{} 12/25"), (card, "{} 123"), (card, "2 {}"), (card, "99 {} 12"), (card, "1234 99 {}"), (card, "{}-12"),
+             (iban, "{} EUR"), (iban, "{} BANK CODE"), (iban, "AB12 {}"), (phone, "{} 12"), (phone, "{} 4111"),
+             ("+1 988 555 2485", "{} 12"), ("345-678-9012", "12 {} 55")]
+    for value, shape in cases:
+        old = f"see {shape.format(value)}, please"
+        new, found = work.text(old)
+        assert new == f"see {shape.format(alone[value])}, please" and sum(found.values()) == 1, (old, new)
+        assert back.text(new)[0] == old
+    both = f"{phone} {card} 12/25, {card} {card}"
+    assert work.text(both)[0] == f"{alone[phone]} {alone[card]} 12/25, {alone[card]} {alone[card]}"
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        body = "".join(map(str, rng.integers(0, 10, 15)))
+        number = body + pseudonyms.luhn_digit(body)
+        old = f"{rng.integers(0, 999)} {' '.join(number[k:k + 4] for k in range(0, 16, 4))} {rng.integers(0, 999)}"
+        new, _ = work.text(old)
+        assert new != old and back.text(new)[0] == old
+    assert work.text("1 2 3 4 " * 5)[0].count(" ") == 20
+
+
 def test_html_main_text(spark):
     model = html_content.train(html_content.labelled_pages())
     page = ('<html><head><title>T</title><script>var t="</p>";</script></head><body><nav><ul><li><a href="/a">Home</a></li></ul></nav>'
