@@ -7,7 +7,9 @@ prose of its own language (shouted, symbol-ridden, looping, or of characters
 the vocabulary lacks) leaves the band that the whole corpus sets for the
 language, or, without one, for the script: quartiles widened by a multiple of
 their distance, never narrower than a stated width.  Texts of similar token
-count share a band, because entropy depends on length.  A text is rejected
+count share a band, because entropy depends on length; a band of few rows takes
+in the nearest size classes, up to the whole language, failing that the same of
+the script, then of the corpus (all of it, if it has few rows).  A text is rejected
 outside twice the band of any measure, below the band of entropy, or outside a
 characters-per-token band when its entropy lies in the lowest quarter as well
 (numbers, names and addresses make good prose less fertile, but not monotonous).
@@ -27,7 +29,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeshore.llm.common import WORD, materialise, text_list
@@ -46,7 +48,7 @@ MEASURES = tuple(LEAST_WIDTH)
 BLOCK = 200
 #: Parts that the rows of one band are dealt to, as one language may hold most rows.
 SALTS = 64
-#: Rows a band needs; a language or script with fewer rejects nothing.
+#: Rows a band needs; with fewer, neighbouring size classes join it, then the script's and at last the whole corpus's rows are taken.
 MIN_ROWS = 20
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -137,19 +139,48 @@ def measure_table(docs: DataFrame, tokenizer_dir: str = TOKENIZER_DIR) -> DataFr
     return docs.select("doc_id", "text", F.col("lang").cast("string")).mapInArrow(run, schema)
 
 
+def _levels() -> F.Column:
+    """Where a row may be judged: among its language (or script), its script, all rows."""
+    keys = (F.col("grp"), F.col("script"), F.lit(""))
+    return F.array(*(F.struct(F.lit(k).alias("level"), key.alias("key")) for k, key in enumerate(keys)))
+
+
+def reaches(counts: DataFrame) -> DataFrame:
+    """(grp, script, size, level, key, reach): the first level, and there the fewest size classes to either side, with MIN_ROWS rows.
+
+    ``counts`` has the rows of each (grp, script, size) as ``n``.  Every one of
+    its rows gets a band: the last level takes what there is.
+    """
+    placed = counts.select("grp", "script", "size", "n", F.explode(_levels()).alias("p")).select("grp", "script", "size", "n", "p.*")
+    cells = placed.groupBy("level", "key", "size").agg(F.sum("n").alias("n"))
+    other = cells.select("level", "key", F.col("size").alias("other"), F.col("n").alias("m"))
+    far = (cells.join(other, ["level", "key"]).groupBy("level", "key", "size", F.abs(F.col("size") - F.col("other")).alias("d"))
+           .agg(F.sum("m").alias("m")))
+    held = F.sum("m").over(Window.partitionBy("level", "key", "size").orderBy("d"))
+    reach = (far.withColumn("held", held).groupBy("level", "key", "size")
+             .agg(F.min(F.when(F.col("held") >= MIN_ROWS, F.col("d"))).alias("enough"), F.max("d").alias("all")))
+    reach = reach.withColumn("reach", F.coalesce("enough", F.when(F.col("level") == 2, F.col("all")))).where("reach is not null")
+    best = placed.join(reach, ["level", "key", "size"]).groupBy("grp", "script", "size").agg(F.min(F.struct("level", "key", "reach")).alias("b"))
+    return best.select("grp", "script", "size", "b.*")
+
+
 def bands(rows: DataFrame) -> DataFrame:
-    """(grp, size, lo_*, hi_*): the band of each language or script and size class, from all rows that pass the base rule."""
+    """(grp, script, size, lo_*, hi_*): the band of each language or script and size class, from all rows that pass the base rule."""
+    passed = rows.where(~F.col("base_failed"))
+    chosen = materialise(reaches(passed.groupBy("grp", "script", "size").agg(F.count(F.lit(1)).alias("n"))), "reaches")
+    # At most a few rows for each language with MIN_ROWS rows.
+    wanted = F.broadcast(chosen.select("level", "key", "size", "reach").distinct())
+    near = passed.select(F.col("size").alias("own"), *MEASURES, F.explode(_levels()).alias("p")).select("own", *MEASURES, "p.*")
+    near = near.join(wanted, ["level", "key"]).where(F.abs(F.col("own") - F.col("size")) <= F.col("reach"))
     quartiles = [F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 2000).alias(f"q_{m}") for m in MEASURES]
-    got = rows.where(~F.col("base_failed")).groupBy("grp", "size").agg(F.count(F.lit(1)).alias("band_rows"), *quartiles)
-    few = F.col("band_rows") < MIN_ROWS
-    out = ["grp", "size", F.when(few, F.lit(float("-inf"))).otherwise(F.col("q_entropy")[0]).alias("q1_entropy")]
+    got = near.groupBy("level", "key", "size", "reach").agg(*quartiles)
+    out = ["grp", "script", "size", F.col("q_entropy")[0].alias("q1_entropy")]
     for m, least in LEAST_WIDTH.items():
         q1, q2, q3 = (F.col(f"q_{m}")[k] for k in range(3))
         for k, name in ((1, "in"), (2, "out")):
             low, high = F.least(q1 - k * SPREAD * (q3 - q1), q2 - k * least), F.greatest(q3 + k * SPREAD * (q3 - q1), q2 + k * least)
-            out += [F.when(few | F.lit(m in UPPER_ONLY), F.lit(float("-inf"))).otherwise(low).alias(f"lo_{name}_{m}"),
-                    F.when(few, F.lit(float("inf"))).otherwise(high).alias(f"hi_{name}_{m}")]
-    return got.select(*out)
+            out += [F.when(F.lit(m in UPPER_ONLY), F.lit(float("-inf"))).otherwise(low).alias(f"lo_{name}_{m}"), high.alias(f"hi_{name}_{m}")]
+    return chosen.join(got, ["level", "key", "size", "reach"]).select(*out)
 
 
 def judge(docs: DataFrame, tokenizer_dir: str = TOKENIZER_DIR) -> DataFrame:
@@ -162,7 +193,7 @@ def judge(docs: DataFrame, tokenizer_dir: str = TOKENIZER_DIR) -> DataFrame:
     rows = materialise(rows, "fertility")
     parts = bands(rows).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salt = F.pmod(F.xxhash64("doc_id", "n_tokens", "entropy"), F.lit(SALTS)).cast("int")
-    joined = rows.withColumn("_salt", salt).join(parts, ["grp", "size", "_salt"], "left")
+    joined = rows.withColumn("_salt", salt).join(parts, ["grp", "script", "size", "_salt"], "left")
     within = lambda m, name: F.coalesce(F.col(m).between(F.col(f"lo_{name}_{m}"), F.col(f"hi_{name}_{m}")), F.lit(True))
     monotonous = F.coalesce(F.col("entropy") < F.col("q1_entropy"), F.lit(False))
     rejected = F.coalesce(F.col("entropy") < F.col("lo_in_entropy"), F.lit(False))

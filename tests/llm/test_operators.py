@@ -186,6 +186,25 @@ def test_base_counts_match_brute_force(spark, odd):
         assert g.base_failed == (len(w) < 20 or 100 * len(covered) > 30 * len(w)) and not (g.kept and g.base_failed)
 
 
+def test_thin_bands_fall_back(spark):
+    """Long junk in a small corpus, and junk of a rare language, leave a band of neighbouring sizes, of the script or of the corpus."""
+    rng = np.random.default_rng(8)
+    vocabulary = [w for w in PROSE.lower().split()] + "house water people small light under stone green morning letter paper music".split()
+    prose = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    junk = lambda n: " ".join(f"{rng.integers(10 ** 9):x}#$|{rng.integers(10 ** 9):x}" for _ in range(n))
+    rows = [(k, prose(60 + k % 20), "en") for k in range(60)] + [(101, junk(900), "en"), (102, junk(60), "xx")]
+    docs = spark.createDataFrame([(i, t, lang) for i, t, lang in rows], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.kept for r in fertility.judge(docs).collect()}
+    assert len(got) == len(rows) and not got[101] and not got[102]
+    assert sum(got[k] for k in range(60)) >= 55
+    counts = spark.createDataFrame([("en", "LATIN", 6, 30), ("en", "LATIN", 7, 5), ("en", "LATIN", 12, 1), ("xx", "LATIN", 7, 3), ("yy", "HAN", 9, 2)],
+                                   "grp string, script string, size int, n long")
+    got = {(r.grp, r.size): (r.level, r.key, r.reach) for r in fertility.reaches(counts).collect()}
+    assert got == {("en", 6): (0, "en", 0), ("en", 7): (0, "en", 1), ("en", 12): (0, "en", 6), ("xx", 7): (1, "LATIN", 1), ("yy", 9): (2, "", 3)}
+    few = {r.doc_id: r.kept for r in fertility.judge(docs.where("doc_id < 3")).collect()}
+    assert len(few) == 3
+
+
 def test_language_id(spark, odd):
     model = langid.train([("en", np.concatenate(list(langid.buckets(b" the quick brown fox ")))),
                           ("de", np.concatenate(list(langid.buckets(" über straße käse ".encode()))))] * 20, [])
