@@ -44,4 +44,27 @@ FROM documents d LEFT JOIN size s ON s.doc_id = d.doc_id JOIN reach r ON r.x = d
 GROUP BY d.doc_id, s.n
 """
 
-ORACLE_SQL = {"op2_ngram_jaccard_join": NEAR_GROUPS, "op8_exact_dedup": EXACT_DEDUP}
+def _words(text: str) -> str:
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+CONTAMINATION = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_words("text")} AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_words("text")} AS w FROM benchmark),
+g AS (
+  SELECT DISTINCT item, size, array_to_string(w[s:s + size - 1], ' ') AS gram
+  FROM (SELECT item, w, least(len(w), 10) AS size, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT rid, s, size, array_to_string(w[s:s + size - 1], ' ') AS gram
+  FROM (SELECT rid, w, size, unnest(range(1, len(w) - size + 2)) AS s
+        FROM d, (SELECT DISTINCT size FROM g) WHERE len(w) >= size)
+), hit AS (SELECT DISTINCT dw.rid, dw.s, dw.size, g.item FROM dw JOIN g ON dw.size = g.size AND dw.gram = g.gram),
+n_hit AS (SELECT rid, count(DISTINCT place) AS n FROM (SELECT rid, unnest(range(s, s + size)) AS place FROM hit) GROUP BY rid),
+items AS (SELECT rid, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT rid, item FROM hit) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(items.list, '')) AS items_sha256, coalesce(n_hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN n_hit ON n_hit.rid = d.rid LEFT JOIN items ON items.rid = d.rid
+"""
+
+ORACLE_SQL = {"op2_ngram_jaccard_join": NEAR_GROUPS, "op8_exact_dedup": EXACT_DEDUP, "op13_benchmark_decontamination": CONTAMINATION}

@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeshore.llm import (
     chunk_dedup,
+    decontamination,
     fertility,
     html_content,
     jaccard_join,
     langid,
     mixing,
     packing,
+    periodic_runs,
     pseudonyms,
     quality_gam,
     toxicity,
+    whitening,
 )
 from lakeshore.llm.common import id_remainder, table
 
@@ -71,8 +74,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", _held_out(5, 0), "score", "predicted")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(rows, whitening.fit(rows))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.plant_periods(table(spark, sf_dir, "documents")))
+
+
+def op13_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_tokeniser_fertility, op2_ngram_jaccard_join, op3_quality_gam, op4_soft_membership_mixing,
-                            op5_language_id, op6_feistel_pseudonyms, op7_packing, op8_exact_dedup, op9_html_main_text, op10_toxicity)}
+                            op5_language_id, op6_feistel_pseudonyms, op7_packing, op8_exact_dedup, op9_html_main_text, op10_toxicity,
+                            op11_embedding_whitening, op12_periodic_runs, op13_benchmark_decontamination)}
 
 __all__ = ["QUERIES", *QUERIES]
