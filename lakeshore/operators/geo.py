@@ -8,12 +8,14 @@ splits at most one range), a bound that does not grow with the logs.  Spark
 broadcasts it when its measured bytes are under the session's threshold,
 otherwise the join shuffles on the bucket and AQE splits hot buckets.  Rows
 without a valid IP match no range; they are dealt to buckets of their own by
-their text, so that different ones do not meet in one task.
+all their columns, so that lines with one and the same junk address do not meet
+in one task.  Ranges that overlap give a row more than once: see
+``operators.networks`` for nested ranges and IPv6.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeshore.functions.ip import ipv4_to_long
@@ -30,6 +32,12 @@ def bucket_ranges(ranges: DataFrame, lo: str = "ip_from", hi: str = "ip_to") ->
     return ranges.select("*", b.alias("_geo_bucket"))
 
 
+def no_match_bucket(df: DataFrame) -> Column:
+    """A bucket below 0 by the row's columns (maps, which can't be hashed, aside)."""
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return -1 - F.pmod(F.xxhash64(*plain), F.lit(NO_IP_BUCKETS))
+
+
 def geo_lookup(df: DataFrame, ranges: DataFrame, ip_col: str = "ip_address",
                out_col: str = "country", value_col: str = "country") -> DataFrame:
     """Left-join each row of ``df`` to the range containing its IP; no range or junk IP -> NULL.
@@ -40,7 +48,7 @@ def geo_lookup(df: DataFrame, ranges: DataFrame, ip_col: str = "ip_address",
         F.col("_geo_bucket"), F.col("ip_from").alias("_geo_lo"), F.col("ip_to").alias("_geo_hi"),
         F.col(value_col).alias("_geo_value"))
     ipn = ipv4_to_long(F.col(ip_col))
-    no_ip = -1 - F.pmod(F.xxhash64(F.col(ip_col)), F.lit(NO_IP_BUCKETS))
+    no_ip = no_match_bucket(df)
     left = df.withColumn("_geo_ip", ipn).withColumn("_geo_b", F.coalesce(F.shiftright("_geo_ip", BUCKET_BITS), no_ip))
     cond = ((left["_geo_b"] == buckets["_geo_bucket"])
             & left["_geo_ip"].between(buckets["_geo_lo"], buckets["_geo_hi"]))

@@ -1,8 +1,10 @@
-"""Keyed upsert (MERGE ... WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *).
+"""Keyed upsert (MERGE ... WHEN MATCHED UPDATE * / DELETE WHEN NOT MATCHED INSERT *).
 
 ``upsert`` is the pure DataFrame form: the new table contents.  ``merge_into``
 keeps a Parquet table of appended batch folders, ``read_table`` puts the newest
-row of each key together, and ``write_snapshot`` writes that out now and then.
+row of each key together (now, or as of an earlier version or time), and
+``write_snapshot`` writes that out now and then.  Each of them leaves a commit
+record, which ``commit_history`` lists.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeshore.operators.changes import CHANGE_TYPE, INSERT, table_changes
 from lakeshore.operators.dedupe import dedupe_latest
@@ -21,6 +24,13 @@ from lakeshore.operators.dedupe import dedupe_latest
 SEQ, BATCH, SNAPSHOT = "_seq", "_batch", "_snapshot"
 #: Batches merged before the table is written out as a snapshot.
 SNAPSHOT_AFTER = 64
+#: Marks the rows of a batch that delete their key.
+DELETED = "_deleted"
+#: Commit records: one row per version (the running number of its folder).
+COMMITS = "_commits"
+COMMIT_COLUMNS = ("batch string, operation string, committed_at timestamp, num_source_rows long, num_inserted long, "
+                  "num_updated long, num_deleted long, new_columns array<string>")
+MERGED, SNAPSHOTTED = "MERGE", "SNAPSHOT"
 
 
 def key_not_null(keys: Sequence[str]) -> Column:
@@ -83,7 +93,8 @@ def null_key_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
 def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                batch_id: int | str, order_by: Sequence[str | Column] = ("updated_dt",),
                null_keys: str = "quarantine", changes_path: str | None = None,
-               snapshot_after: int = SNAPSHOT_AFTER) -> DataFrame:
+               snapshot_after: int = SNAPSHOT_AFTER, delete_when: Column | None = None,
+               new_columns: str = "fail", count_changes: bool = True, committed_at=None) -> DataFrame:
     """Upsert ``source`` into the table at ``path``; returns the rows applied.
 
     The batch, NULL keys handled and kept latest per key, is appended as one
@@ -97,11 +108,25 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     under ``null_keys="insert"`` included, unless a snapshot has been written
     since).
 
+    ``delete_when``: rows for which it holds delete their key (a tombstone in
+    the batch; a later batch may insert the key again).  The rows returned then
+    have a ``_deleted`` column.
+
+    ``new_columns``: what happens to source columns the table lacks: ``"fail"``,
+    ``"drop"``, or ``"add"`` (they are appended to the table's columns, rows
+    written before read NULL, and a later source without them is filled up).  A
+    column of another type than the table's always fails.
+
     With ``changes_path`` the batch's row-level change feed (see
     ``changes.table_changes``) is written to ``changes_path/version=<batch id>``:
     the batch against the table without it, at the batch's own keys.  A replay
     keeps a feed that was completed.
 
+    The version's commit record has the rows in the batch and, with
+    ``count_changes`` (a join of the batch's keys with the table's), how many
+    keys were new, there before, and deleted.  ``committed_at`` stands for the
+    present time in it.
+
     After ``snapshot_after`` batches the table is written out as a snapshot
     (``write_snapshot``).  Merges into one table run one at a time.
     """
@@ -116,29 +141,76 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
         applied = applied.unionByName(src.where(~key_not_null(keys)))
     name = f"{BATCH}={quote(str(batch_id), safe='')}"
     before = _contents(spark, path, [f for f in _live(spark, path) if f[1] != name], keys)
+    added: list[str] = []
     if before is not None:
-        applied = applied.select(*before.columns)
-    folder = os.path.join(path, f"{SEQ}={_next_seq(spark, path)}", name)
+        _record_missing(spark, path)
+        columns, added = _fitted(applied, before.schema, new_columns)
+        gone = [F.coalesce(delete_when, F.lit(False)).alias(DELETED)] if delete_when is not None else []
+        applied = applied.select(*columns, *gone)
+    elif delete_when is not None:
+        applied = applied.withColumn(DELETED, F.coalesce(delete_when, F.lit(False)))
+    seq = _next_seq(spark, path)
+    folder = os.path.join(path, f"{SEQ}={seq}", name)
     applied.write.parquet(folder)
     written = spark.read.schema(applied.schema).parquet(folder)
+    kept = written.where(~F.col(DELETED)).drop(DELETED) if delete_when is not None else written
 
     feed = os.path.join(changes_path, f"version={batch_id}") if changes_path else None
     if feed and not _is_complete(spark, feed):
         if before is None:
-            diff = written.withColumn(CHANGE_TYPE, F.lit(INSERT))
+            diff = kept.withColumn(CHANGE_TYPE, F.lit(INSERT))
         else:
-            diff = table_changes(before.join(written.select(*keys), keys, "left_semi"), written, keys)
+            old = before.select("*", *[F.lit(None).cast(kept.schema[c].dataType).alias(c) for c in added])
+            diff = table_changes(old.join(written.select(*keys), keys, "left_semi"), kept, keys)
         diff.write.mode("overwrite").parquet(feed)
+    counts = _counts(before, written, keys, delete_when is not None) if count_changes else (None, None, None)
+    _record(spark, path, seq, name, MERGED, committed_at, written.count(), counts, added)
     if len(_live(spark, path)) > snapshot_after:
-        write_snapshot(spark, path, keys)
+        write_snapshot(spark, path, keys, committed_at=committed_at)
     return written
 
 
-def write_snapshot(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
+def _fitted(source: DataFrame, table: T.StructType, new_columns: str) -> tuple[list[Column], list[str]]:
+    """(the source's columns in the table's order, names of columns the table gets)."""
+    if new_columns not in ("fail", "drop", "add"):
+        raise ValueError("new_columns must be 'fail', 'drop' or 'add'")
+    extra = [c for c in source.columns if c not in table.names]
+    missing = [c for c in table.names if c not in source.columns]
+    if (extra and new_columns == "fail") or (missing and new_columns != "add"):
+        raise ValueError(f"source and table differ: columns only in the source {extra}, only in the table {missing}")
+    other = [f.name for f in table.fields if f.name in source.columns and not _same_type(source.schema[f.name].dataType, f.dataType)]
+    if other:
+        raise ValueError(f"columns of another type than the table's: {other}")
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) if f.name in missing else F.col(f.name) for f in table.fields]
+    added = extra if new_columns == "add" else []
+    return columns + [F.col(c) for c in added], added
+
+
+def _same_type(a: T.DataType, b: T.DataType) -> bool:
+    return a.simpleString() == b.simpleString()
+
+
+def _counts(before: DataFrame | None, written: DataFrame, keys: list[str], deletes: bool) -> tuple[int, int, int]:
+    """Keys of the batch that are (new, there before, deleted); rows without a key are new."""
+    gone = F.col(DELETED) if deletes else F.lit(False)
+    rows = written.select(*keys, gone.alias("_gone"))
+    if before is None:
+        rows = rows.withColumn("_hit", F.lit(None).cast("boolean"))
+    else:
+        # Only the batch's own keys leave the table's side.
+        found = before.select(*keys).join(rows.select(*keys), keys, "left_semi").distinct().withColumn("_hit", F.lit(True))
+        rows = rows.join(found, keys, "left")
+    hit = F.col("_hit").isNotNull()
+    r = rows.agg(F.count_if(~hit & ~F.col("_gone")), F.count_if(hit & ~F.col("_gone")), F.count_if(hit & F.col("_gone"))).first()
+    return tuple(r)
+
+
+def write_snapshot(spark: SparkSession, path: str, keys: Sequence[str], keep: int = 2, committed_at=None) -> None:
     """Write the table's contents as one folder, which stands for all folders before it once complete.
 
-    Folders older than the snapshot before this one are deleted, so a reader
-    that listed the table before the call still finds its files.
+    Folders older than the last ``keep`` snapshots are deleted, so a reader
+    that listed the table before the call still finds its files (``keep`` of 2
+    at least), and versions before the oldest kept snapshot can't be read any more.
     """
     live = _live(spark, path)
     contents = _contents(spark, path, live, list(keys))
@@ -146,21 +218,36 @@ def write_snapshot(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
         return
     older = [seq for seq, name in _complete(spark, path) if name.startswith(SNAPSHOT)]
     seq = _next_seq(spark, path)
-    contents.write.parquet(os.path.join(path, f"{SEQ}={seq}", f"{SNAPSHOT}={seq}"))
-    if older:
+    name = f"{SNAPSHOT}={seq}"
+    contents.write.parquet(os.path.join(path, f"{SEQ}={seq}", name))
+    _record(spark, path, seq, name, SNAPSHOTTED, committed_at, None, (0, 0, 0), [])
+    if len(older) >= max(1, keep - 1):
         fs, root = _file(spark, path)
         for n in _sequence_numbers(spark, path):
-            if n < max(older):
+            if n < older[-max(1, keep - 1)]:
                 fs.delete(_file(spark, os.path.join(path, f"{SEQ}={n}"))[1], True)
 
 
-def read_table(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Current contents of a table written by ``merge_into``.
+def read_table(spark: SparkSession, path: str, keys: Sequence[str], version: int | None = None, as_of=None) -> DataFrame:
+    """Contents of a table written by ``merge_into``: now, as of a version, or as of a time.
 
     The newest snapshot (or first batch) is not shuffled unless the batches
     after it are too large to broadcast: it is anti-joined with their keys.
+    A version is the number that ``commit_history`` lists; ``as_of`` (a
+    timestamp or its text) takes the last version committed by then.
     """
-    contents = _contents(spark, path, _live(spark, path), list(keys))
+    if as_of is not None:
+        if version is not None:
+            raise ValueError("give a version or a time, not both")
+        by_then = commit_history(spark, path).where(F.col("committed_at") <= F.lit(as_of).cast("timestamp"))
+        version = by_then.agg(F.max("version")).first()[0]
+        if version is None:
+            raise ValueError(f"no version of {path} as of {as_of}")
+    if version is not None and _complete(spark, path):
+        oldest, newest = min(_sequence_numbers(spark, path)), max(seq for seq, _ in _complete(spark, path))
+        if not oldest <= version <= newest:
+            raise ValueError(f"version {version} of {path} can't be read: {oldest} to {newest} are kept")
+    contents = _contents(spark, path, _live(spark, path, version), list(keys))
     if contents is None:
         raise FileNotFoundError(f"no merged table at {path}")
     return contents
@@ -171,26 +258,60 @@ def has_table(spark: SparkSession, path: str) -> bool:
     return bool(_complete(spark, path))
 
 
+def commit_history(spark: SparkSession, path: str) -> DataFrame:
+    """The commit records of a merged table: ``version`` and COMMIT_COLUMNS, those of deleted folders included."""
+    return spark.read.schema(f"{COMMIT_COLUMNS}, version long").json(_commits_path(path))
+
+
 def read_changes(spark: SparkSession, changes_path: str) -> DataFrame:
     """The change feed of all merged batches, with a ``version`` column (the batch id)."""
     return spark.read.parquet(changes_path)
 
 
+def _commits_path(path: str) -> str:
+    folder, name = os.path.split(path.rstrip("/"))
+    return os.path.join(folder, COMMITS, name)
+
+
+def _record(spark: SparkSession, path: str, seq: int, name: str, operation: str, committed_at,
+            rows: int | None, counts: tuple, added: list[str]) -> None:
+    at = F.current_timestamp() if committed_at is None else F.lit(committed_at).cast("timestamp")
+    row = spark.range(1, numPartitions=1).select(
+        F.lit(name.split("=", 1)[1]).alias("batch"), F.lit(operation).alias("operation"), at.alias("committed_at"),
+        *[F.lit(v).cast("long").alias(c) for c, v in zip(("num_source_rows", "num_inserted", "num_updated", "num_deleted"), (rows, *counts))],
+        F.array(*map(F.lit, added)).cast("array<string>").alias("new_columns"))
+    row.write.mode("overwrite").json(os.path.join(_commits_path(path), f"version={seq}"))
+
+
+def _record_missing(spark: SparkSession, path: str) -> None:
+    """Records, without counts, for folders whose writer died before it wrote theirs."""
+    fs, pattern = _file(spark, os.path.join(_commits_path(path), "version=*", "_SUCCESS"))
+    there = {int(st.getPath().getParent().getName().split("=")[1]) for st in fs.globStatus(pattern) or []}
+    for seq, name in _complete(spark, path):
+        if seq not in there:
+            fs, marker = _file(spark, os.path.join(path, f"{SEQ}={seq}", name, "_SUCCESS"))
+            at = F.timestamp_millis(F.lit(fs.getFileStatus(marker).getModificationTime()))
+            _record(spark, path, seq, name, SNAPSHOTTED if name.startswith(SNAPSHOT) else MERGED, at, None, (None, None, None), [])
+
+
 def _contents(spark: SparkSession, path: str, folders: list[tuple[int, str]], keys: list[str]) -> DataFrame | None:
     if not folders:
         return None
-    first, *later = [os.path.join(path, f"{SEQ}={seq}", name) for seq, name in folders]
-    base = spark.read.parquet(first)
-    if not later:
-        return base
-    rows = spark.read.schema(base.schema).option("basePath", path).parquet(*later)
-    newest = dedupe_latest(rows.where(key_not_null(keys)), keys, [SEQ], tie_break=[])
-    return upsert(base, newest.unionByName(rows.where(~key_not_null(keys))), keys, dedupe=False, null_keys="insert")
-
-
-def _live(spark: SparkSession, path: str) -> list[tuple[int, str]]:
-    """(number, name) of the folders that make up the table, oldest first."""
-    complete = _complete(spark, path)
+    first, *later = paths = [os.path.join(path, f"{SEQ}={seq}", name) for seq, name in folders]
+    # Columns are only ever added, so the newest folder has all of them.
+    columns = [f for f in spark.read.parquet(paths[-1]).schema.fields if f.name != DELETED]
+    schema = T.StructType([*columns, T.StructField(DELETED, T.BooleanType())])
+    base = spark.read.schema(schema).parquet(first)
+    if later:
+        rows = spark.read.schema(schema).option("basePath", path).parquet(*later)
+        newest = dedupe_latest(rows.where(key_not_null(keys)), keys, [SEQ], tie_break=[])
+        base = upsert(base, newest.unionByName(rows.where(~key_not_null(keys))), keys, dedupe=False, null_keys="insert")
+    return base.where(~F.coalesce(DELETED, F.lit(False))).drop(DELETED)
+
+
+def _live(spark: SparkSession, path: str, version: int | None = None) -> list[tuple[int, str]]:
+    """(number, name) of the folders that make up the table (as of a version), oldest first."""
+    complete = [(seq, name) for seq, name in _complete(spark, path) if version is None or seq <= version]
     start = max((seq for seq, name in complete if name.startswith(SNAPSHOT)), default=-1)
     newest = {name: seq for seq, name in complete if seq >= start}
     return sorted((seq, name) for name, seq in newest.items())

@@ -286,5 +286,73 @@ SELECT job_id, run_id, number_in_job, setup_duration, creator_user_name, run_nam
 FROM runs WHERE run_type = 'JOB_RUN'"""
     q["submit_runs_view"] = q["job_runs_view"].replace("WHERE run_type = 'JOB_RUN'", "WHERE run_type = 'SUBMIT_RUN'")
     q["stream_silver_logs"] = SILVER_LOGS
+    lo, hi = d.CLOSED_ACCOUNTS
+    closed_ts = f"TIMESTAMP '{d.CLOSED_UPDATED_TS}'"
+    v2 = f"SELECT cuit, name, updated_dt FROM ({UPSERT_COMPANIES})"
+    v4 = f"""
+SELECT v.cuit, v.name, v.updated_dt FROM ({v2}) v LEFT JOIN supplier ON v.cuit = s_suppkey
+WHERE s_suppkey IS NULL OR (s_acctbal >= 2000 AND NOT s_acctbal BETWEEN {lo} AND {hi})
+UNION ALL SELECT CAST(s_suppkey AS BIGINT), s_name || ' Group', {closed_ts} FROM supplier WHERE s_acctbal < 2000"""
+    reads = {"version 1": COMPANIES, "version 2": v2, "2022-11-15 09:00:00": v2, "now": v4}
+    q["table_as_of"] = "\nUNION ALL ".join(f"SELECT cuit, name, updated_dt, '{label}' AS as_of FROM ({sql})" for label, sql in reads.items())
+    small, big, gone = (f"(SELECT count(*) FROM supplier WHERE {w})" for w in ("s_acctbal < 2000", "s_acctbal > 9000", f"s_acctbal BETWEEN {lo} AND {hi}"))
+    q["commit_history"] = f"""
+SELECT v AS version, op AS operation, CAST(done AS TIMESTAMP) AS committed_at, n AS num_source_rows, i AS num_inserted,
+       u AS num_updated, x AS num_deleted
+FROM (VALUES (1::BIGINT, 'MERGE', '2022-11-13 21:00:00', (SELECT count(*) FROM supplier), (SELECT count(*) FROM supplier), 0::BIGINT, 0::BIGINT),
+             (2, 'MERGE', '2022-11-14 21:00:00', {small} + {big}, {big}, {small}, 0),
+             (3, 'SNAPSHOT', '2022-11-14 23:00:00', NULL, 0, 0, 0),
+             (4, 'MERGE', '2022-11-15 21:00:00', {small} + {gone}, 0, {small}, {gone})) AS t(v, op, done, n, i, u, x)"""
+    late = f"o_orderkey % 10 = {d.LATE_ORDER_DIGIT}"
+    pending = [k for k, v in d.STATUS_NAMES.items() if v == "pending"][0]
+    cancelled = [k for k, v in d.STATUS_NAMES.items() if v == "cancelled"][0]
+    final = _silver_orders(status_filter=f"""WHERE {late} OR (o_orderstatus = '{pending}' AND CAST(l_quantity AS INTEGER) >= {d.RESENT_LEAST_AMOUNT})
+   OR o_orderstatus NOT IN ('{pending}', '{cancelled}')""", status_expr=f"CASE WHEN o_orderstatus = '{pending}' AND NOT {late} THEN 'finished' ELSE {_STATUS} END")
+    q["stream_orders_from_changes"] = _dedupe(final, ["order_id", "product_id"], ["record_timestamp"], _ITEM_TIE)
+    first = [("customer_birth_day", "date"), ("customer_document_number", "string"), ("customer_name", "string"),
+             ("items", "array<map<string,string>>"), ("order_dt", "string"), ("order_id", "string"), ("status", "string"), ("total_price", "string")]
+    listed = [(1, i, c, t, True) for i, (c, t) in enumerate(first)]
+    listed += [(2, i, c, t, False) for i, (c, t) in enumerate(first)] + [(2, len(first), "priority", "string", True)]
+    q["schema_versions"] = "SELECT * FROM (VALUES " + ", ".join(
+        f"({v}::INTEGER, {i}::INTEGER, '{c}', '{t}', {a})" for v, i, c, t, a in listed) + ") AS t(version, position, \"column\", type, added)"
+    q["orders_after_drift"] = f"""
+SELECT order_id, status, total_price, CASE WHEN {late} THEN o_orderpriority END AS priority, CAST(NULL AS VARCHAR) AS _rescued_data,
+       CASE WHEN {late} THEN 2::INTEGER ELSE 1::INTEGER END AS schema_version
+FROM ({ORDERS_RAW}) r JOIN orders ON r.order_id = CAST(o_orderkey AS VARCHAR)"""
+    # Networks as (first address, bits) numbers; the address space is IPv6's, IPv4 at ::ffff:0:0.
+    v4_at, v6_at = "(65535::HUGEINT * 4294967296)", "(536939960::HUGEINT * 79228162514264337593543950336)"
+    group = lambda n: f"({2 ** n}::HUGEINT)"
+    after = "(SELECT (n_nationkey + 24) % 25 AS k, n_name FROM nation)"
+    q["geo_lookup_nested"] = f"""
+WITH net AS (
+  SELECT {v4_at} + r_regionkey * 8 * 16777216 AS a, 32 - 5 AS free, r_name AS country FROM region
+  UNION ALL SELECT {v6_at} + r_regionkey * 256 * {group(80)}, 128 - 40, r_name FROM region
+  UNION ALL SELECT {v4_at} + (n_nationkey + 1) * 16777216, 32 - 9, n_name FROM nation
+  UNION ALL SELECT {v4_at} + (n_nationkey + 1) * 16777216 + 128 * 65536, 32 - 10, n_name FROM nation
+  UNION ALL SELECT {v6_at} + n_nationkey * {group(80)}, 128 - 48, n_name FROM nation
+  UNION ALL SELECT {v4_at} + (s_nationkey + 1) * 16777216 + (s_suppkey * 11 % 256) * 65536 + s_suppkey % 16 * 16 * 256, 32 - 20, n_name
+            FROM supplier JOIN {after} ON k = s_nationkey
+  UNION ALL SELECT {v4_at} + (c_nationkey + 1) * 16777216 + (c_custkey * 37 % 256) * 65536 + (c_custkey * 7 % 256) * 256, 32 - 24, n_name
+            FROM customer JOIN {after} ON k = c_nationkey
+  UNION ALL SELECT {v6_at} + c_nationkey * {group(80)} + (c_custkey % 64) * {group(64)}, 128 - 64, n_name
+            FROM customer JOIN {after} ON k = c_nationkey
+), range AS (SELECT DISTINCT a, a + (2::HUGEINT ** free)::HUGEINT - 1 AS b, free, country FROM net),
+visit AS (
+  SELECT event_id, CASE WHEN event_id % 50 = 0 THEN '-' WHEN event_id % 3 = 1
+      THEN printf('2001:db8:%x:%x::%x', user_id % {d.IP_BLOCKS}, event_id % 96, event_id % 65536)
+      ELSE printf('%d.%d.%d.%d', user_id % {d.IP_BLOCKS} + 1, user_id * 37 % 256, event_id % 256, event_id * 13 % 256) END AS ip_address,
+    CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 3 = 1
+      THEN {v6_at} + (user_id % {d.IP_BLOCKS}) * {group(80)} + (event_id % 96) * {group(64)} + event_id % 65536
+      ELSE {v4_at} + (user_id % {d.IP_BLOCKS} + 1) * 16777216 + (user_id * 37 % 256) * 65536 + (event_id % 256) * 256 + event_id * 13 % 256 END AS ip
+  FROM events
+), best AS (SELECT event_id, arg_min(country, (free, country)) AS country FROM visit JOIN range ON ip BETWEEN a AND b GROUP BY event_id)
+SELECT v.event_id, v.ip_address, best.country FROM visit v LEFT JOIN best ON best.event_id = v.event_id"""
+    q["device_rules"] = """
+SELECT device, count(*) AS n FROM (
+  SELECT CASE WHEN event_id % 7 = 0 THEN 'Other None None' WHEN event_id % 4 = 3 THEN 'Tablet Generic Tablet'
+              WHEN p_size <= 40 THEN printf('Phone BR%sS%d Brand%s BR%sS%d', b, p_size, b, b, p_size)
+              ELSE printf('Generic Brand%s Brand%s Smartphone', b, b) END AS device
+  FROM events JOIN (SELECT *, replace(p_brand, 'Brand#', '') AS b FROM part) ON p_partkey = event_id % (SELECT count(*) FROM part))
+GROUP BY device"""
     q["stream_orders"] = _dedupe(SILVER_ORDERS, ["order_id", "product_id"], ["record_timestamp"], _ITEM_TIE)
     return q

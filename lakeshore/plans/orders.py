@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeshore.functions.casts import to_bigint, to_date, to_double, to_int
-from lakeshore.schemas import ORDERS_COLUMNS
+from lakeshore.operators.changes import CHANGE_TYPE, DELETE, UPDATE_PRE
+from lakeshore.operators.dedupe import dedupe_latest
+from lakeshore.operators.upsert import DELETED
+from lakeshore.schemas import KEYS, ORDERS_COLUMNS
 
 
 def silver_orders(orders_raw: DataFrame, load_ts=None, reference_compat: bool = False,
-                  with_product_name: bool = False) -> DataFrame:
+                  with_product_name: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """One row per order item, typed (lenient casts: bad values -> NULL).
 
     Orders whose ``items`` is empty or NULL produce no row (``explode``).
     ``customer_name`` keeps the order's customer; the original pipeline
     overwrote it with the product name, which ``reference_compat=True`` gives.
+    ``keep`` names further columns of the documents to carry along.
     """
     ts = load_ts if isinstance(load_ts, Column) else (
         F.current_timestamp() if load_ts is None else F.lit(load_ts).cast("timestamp"))
@@ -39,7 +45,21 @@ def silver_orders(orders_raw: DataFrame, load_ts=None, reference_compat: bool =
     out = [cols[c].alias(c) for c in ORDERS_COLUMNS]
     if with_product_name:
         out.append(item["name"].alias("product_name"))
-    return df.select(*out)
+    return df.select(*out, *keep)
+
+
+def item_changes(changes: DataFrame, load_ts=None) -> DataFrame:
+    """A change feed of order documents -> the last change of each of their items.
+
+    ``changes`` has the documents' columns, ``_change_type`` and ``version``.
+    Pre-images and deleted documents take their items away, post-images and
+    inserted ones bring theirs; of an item's changes the highest version wins,
+    and within a version the one that brings it.  So an item that a new version
+    of its order no longer has ends as a tombstone (``_deleted``).
+    """
+    gone = F.col(CHANGE_TYPE).isin(DELETE, UPDATE_PRE)
+    items = silver_orders(changes.select("*", gone.alias(DELETED)), load_ts, keep=["version", DELETED])
+    return dedupe_latest(items, KEYS["orders"], ["version", F.col(DELETED).asc()]).drop("version")
 
 
 def dropped_orders(orders_raw: DataFrame) -> DataFrame:

@@ -245,7 +245,7 @@ def q_stream_silver_logs(spark, sf):
 
     root = _run_dir(spark, "stream_logs")
     land = os.path.join(root, "landing")
-    land_log_lines(d.log_lines(spark, sf).repartition(4), land, d.LOAD_DATE)
+    land_log_lines(d.log_lines(spark, sf), land, d.LOAD_DATE)
     bronze, silver = os.path.join(root, "bronze"), os.path.join(root, "silver")
     streams.run_to_end(streams.start_bronze_logs_stream(
         spark, land, bronze, os.path.join(root, "ck_bronze"),
@@ -307,6 +307,143 @@ def q_orders_raw_changes(spark, sf):
                                             F.size("items").alias("n_items"), "_change_type")
 
 
+# --- versions, change feeds, evolution ---------------------------------------------------
+
+def _staged(df: DataFrame, root: str, name: str) -> DataFrame:
+    """``df`` written once under the run's folder and read back."""
+    import os
+
+    path = os.path.join(root, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _companies_over_three_days(spark: SparkSession, sf: str) -> str:
+    """The companies table: loaded (version 1), the day's records merged (2), written out
+    as a snapshot (3), and on the third day closures and renames merged (4)."""
+    import os
+
+    from lakeshore.operators.upsert import merge_into, write_snapshot
+
+    path = os.path.join(_run_dir(spark, "versions"), "companies")
+    keys = KEYS["companies"]
+    merge_into(spark, path, d.companies(spark, sf), keys, batch_id=1, committed_at="2022-11-13 21:00:00")
+    merge_into(spark, path, d.company_changes(spark, sf), keys, batch_id=2, committed_at="2022-11-14 21:00:00")
+    write_snapshot(spark, path, keys, committed_at="2022-11-14 23:00:00")
+    merge_into(spark, path, d.closed_companies(spark, sf), keys, batch_id=3, delete_when=F.col("closed"), new_columns="drop",
+               committed_at="2022-11-15 21:00:00")
+    return path
+
+
+def q_table_as_of(spark, sf):
+    """A merged table read as of versions 1 and 2, as of a time after its snapshot, and now."""
+    from lakeshore.operators.upsert import read_table
+
+    path, keys = _companies_over_three_days(spark, sf), KEYS["companies"]
+    reads = {"version 1": {"version": 1}, "version 2": {"version": 2}, "2022-11-15 09:00:00": {"as_of": "2022-11-15 09:00:00"}, "now": {}}
+    parts = [read_table(spark, path, keys, **how).withColumn("as_of", F.lit(label)) for label, how in reads.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def q_commit_history(spark, sf):
+    """The commit records of the same table."""
+    from lakeshore.operators.upsert import commit_history
+
+    return commit_history(spark, _companies_over_three_days(spark, sf)).select(
+        "version", "operation", "committed_at", "num_source_rows", "num_inserted", "num_updated", "num_deleted")
+
+
+def q_stream_orders_from_changes(spark, sf):
+    """Silver orders kept by the change feed of the order documents.
+
+    Day 1 loads the orders that are not late.  Day 2 re-sends the pending ones
+    as finished, some items fewer, brings the late ones and deletes the
+    cancelled ones.  The feed both merges wrote is drained by the stream, one
+    file a micro-batch at the least; silver must equal the one computed from the
+    documents that remain.
+    """
+    import os
+
+    from lakeshore.operators.upsert import merge_into
+    from lakeshore.streaming import streams
+
+    root = _run_dir(spark, "orders_from_changes")
+    docs = _staged(d.orders_raw(spark, sf), root, "documents")
+    late = F.col("order_id").cast("bigint") % 10 == d.LATE_ORDER_DIGIT
+    day1 = docs.where(~late)
+    enough = lambda m: m["amount"].cast("int") >= d.RESENT_LEAST_AMOUNT
+    resent = day1.where(F.col("status") == "pending").withColumn("status", F.lit("finished")).withColumn("items", F.filter("items", enough))
+    day2 = resent.unionByName(docs.where(late)).unionByName(day1.where(F.col("status") == "cancelled").withColumn("status", F.lit("purged")))
+    bronze, feed, silver = (os.path.join(root, x) for x in ("orders_raw", "changes", "orders"))
+    for n, day in ((1, day1), (2, day2)):
+        merge_into(spark, bronze, day, KEYS["orders_raw"], batch_id=n, order_by=["record_timestamp"], changes_path=feed,
+                   delete_when=F.col("status") == "purged", count_changes=False)
+        streams.run_to_end(streams.start_silver_from_changes_stream(
+            spark, feed, silver, os.path.join(root, "ck"), load_ts=F.expr(f"TIMESTAMP '{d.LOAD_TS}'"), max_files_per_trigger=100))
+    return streams.read_silver_orders(spark, silver)
+
+
+def _two_days_of_documents(spark: SparkSession, sf: str, root: str) -> dict[int, DataFrame]:
+    """Landed lines: day 1 without, day 2 (the late orders) with a field the schema does not know."""
+    docs = _staged(d.order_documents_with_priority(spark, sf), root, "documents")
+    late = F.col("order_id").cast("bigint") % 10 == d.LATE_ORDER_DIGIT
+    line = lambda df: df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    return {1: line(docs.where(~late).drop("priority")), 2: line(docs.where(late))}
+
+
+def q_schema_versions(spark, sf):
+    """The stored schema's versions after a two-day load whose second day brings a new field."""
+    import os
+
+    from lakeshore.schemas import ORDER_DOC
+    from lakeshore.sources import schema_history
+
+    root = _run_dir(spark, "schema_versions")
+    path = os.path.join(root, "history")
+    for lines in _two_days_of_documents(spark, sf, root).values():
+        schema_history.evolve(spark, path, lines, ORDER_DOC)
+    return schema_history.schema_versions(spark, path)
+
+
+def q_orders_after_drift(spark, sf):
+    """Order documents loaded over those two days into a merged table that takes the new column in."""
+    import os
+
+    from lakeshore.operators.upsert import merge_into, read_table
+    from lakeshore.schemas import ORDER_DOC
+    from lakeshore.sources import schema_history
+
+    root = _run_dir(spark, "orders_after_drift")
+    path, history = os.path.join(root, "orders_raw"), os.path.join(root, "history")
+    for day, lines in _two_days_of_documents(spark, sf, root).items():
+        version, parsed = schema_history.load_orders(spark, history, lines, ORDER_DOC, d.LOAD_DATE)
+        rows = parsed.orders.drop("_bad_fields").withColumn("schema_version", F.lit(version))
+        merge_into(spark, path, rows, KEYS["orders_raw"], batch_id=day, order_by=["record_timestamp"], new_columns="add", count_changes=False)
+    return read_table(spark, path, KEYS["orders_raw"]).select("order_id", "status", "total_price", "priority", "_rescued_data", "schema_version")
+
+
+# --- look-up tables ----------------------------------------------------------------------
+
+def q_geo_lookup_nested(spark, sf):
+    """Country of every visitor's address (IPv4 and IPv6) by the most specific of nested networks."""
+    from lakeshore.operators.networks import lookup, networks, segments
+
+    root = _run_dir(spark, "networks")
+    table = _staged(segments(networks(d.country_networks(spark, sf))), root, "segments")
+    return lookup(d.visitor_addresses(spark, sf), table)
+
+
+def q_device_rules(spark, sf):
+    """Devices of the visitors' agents by a table of about a thousand rules."""
+    from lakeshore.operators.device_rules import with_device
+
+    labelled = with_device(d.visitor_agents(spark, sf), d.device_rules(spark, sf))
+    return labelled.groupBy("device").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_login_countries": q_top_login_countries,
     "top_products_in_top_country": q_top_products_in_top_country,
@@ -341,4 +478,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "submit_runs_view": q_submit_runs_view,
     "stream_silver_logs": q_stream_silver_logs,
     "stream_orders": q_stream_orders,
+    "table_as_of": q_table_as_of,
+    "commit_history": q_commit_history,
+    "stream_orders_from_changes": q_stream_orders_from_changes,
+    "schema_versions": q_schema_versions,
+    "orders_after_drift": q_orders_after_drift,
+    "geo_lookup_nested": q_geo_lookup_nested,
+    "device_rules": q_device_rules,
 }

@@ -35,6 +35,12 @@ SALES_AS_OF = "2001-08-01"
 BIRTH_DAY_ZERO = "1950-01-01"
 BIRTH_DAY_SPAN = 18000
 NEW_COMPANY_CUIT_OFFSET = 30000000000
+CLOSED_UPDATED_TS = "2022-11-15 10:00:00"
+# Suppliers with an account from .. to are closed on the third day.
+CLOSED_ACCOUNTS = (3000, 5000)
+# Orders whose key ends in this digit arrive a day late; re-sent orders keep items of this amount or more.
+LATE_ORDER_DIGIT = 3
+RESENT_LEAST_AMOUNT = 10
 # First octet of an event's IP cycles over 27 blocks; nations own blocks 1..25
 # up to x.191.255.255, so blocks 26, 27 and x.192+ are gaps (unknown country).
 IP_BLOCKS = 27
@@ -108,6 +114,16 @@ def company_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return renamed_new.unionByName(renamed_old).unionByName(new)
 
 
+def closed_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The third day's records: companies that close, and one new line for each that was renamed the day before."""
+    s = table(spark, sf_dir, "supplier")
+    closed = F.col("s_acctbal").between(*CLOSED_ACCOUNTS)
+    return s.where(closed | (F.col("s_acctbal") < 2000)).select(
+        F.col("s_suppkey").cast("bigint").alias("cuit"),
+        F.when(closed, F.col("s_name")).otherwise(F.concat(F.col("s_name"), F.lit(" Group"))).alias("name"),
+        _ts(CLOSED_UPDATED_TS).alias("updated_dt"), closed.alias("closed"))
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
@@ -260,6 +276,71 @@ def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("country"))
 
 
+def country_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(network, country): networks inside networks, IPv4 and IPv6.
+
+    Regions own a /5 and a /40, nations two neighbouring IPv4 networks (the range of
+    ``geo_ranges``) and a /48 in them, suppliers a /20 and customers a /24 and a
+    /64 inside a nation's, each for the country after their own.
+    """
+    nation = table(spark, sf_dir, "nation")
+    k, name = F.col("n_nationkey"), F.col("n_name")
+    net = lambda template, *cols: F.format_string(template, *[c.cast("bigint") for c in cols])
+    region = table(spark, sf_dir, "region").withColumn("k", F.col("r_regionkey"))
+    rows = [region.select(net("%d.0.0.0/5", F.col("k") * 8), F.col("r_name")),
+            region.select(net("2001:db8:%x00::/40", F.col("k")), F.col("r_name")),
+            nation.select(net("%d.0.0.0/9", k + 1), name), nation.select(net("%d.128.0.0/10", k + 1), name),
+            nation.select(net("2001:db8:%x::/48", k), name)]
+    after = nation.select(((k + 24) % 25).alias("before"), name.alias("next_name"))
+    s = table(spark, sf_dir, "supplier").join(after, F.col("s_nationkey") == F.col("before"))
+    rows.append(s.select(net("%d.%d.%d.0/20", F.col("s_nationkey") + 1, F.col("s_suppkey") * 11 % 256, F.col("s_suppkey") % 16 * 16),
+                         F.col("next_name")))
+    c = table(spark, sf_dir, "customer").join(after, F.col("c_nationkey") == F.col("before"))
+    key = F.col("c_custkey")
+    rows.append(c.select(net("%d.%d.%d.0/24", F.col("c_nationkey") + 1, key * 37 % 256, key * 7 % 256), F.col("next_name")))
+    rows.append(c.select(net("2001:db8:%x:%x::/64", F.col("c_nationkey"), key % 64), F.col("next_name")))
+    out = rows[0].toDF("network", "country")
+    for r in rows[1:]:
+        out = out.unionByName(r.toDF("network", "country"))
+    return out
+
+
+def visitor_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, ip_address): the log lines' addresses, every third of them IPv6, every 50th none."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id")
+    n, u = F.col("event_id"), F.col("user_id")
+    v4 = F.format_string("%d.%d.%d.%d", u % IP_BLOCKS + 1, u * 37 % 256, n % 256, n * 13 % 256)
+    v6 = F.format_string("2001:db8:%x:%x::%x", u % IP_BLOCKS, n % 96, n % 65536)
+    return e.select("event_id", F.when(n % 50 == 0, F.lit("-")).when(n % 3 == 1, v6).otherwise(v4).alias("ip_address"))
+
+
+def device_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Device rules (``operators.device_rules.RULE_COLUMNS``): one per brand and size up to 40, one per brand, one for tablets."""
+    p = table(spark, sf_dir, "part").select(F.replace("p_brand", F.lit("Brand#"), F.lit("")).alias("b"), F.col("p_size").cast("int").alias("z"))
+    code = F.concat(F.lit("BR"), "b", F.lit("S"), "z")
+    brand, number = F.concat(F.lit("Brand"), "b"), F.col("b").cast("int")
+    devices = p.where(F.col("z") <= 40).distinct().select(
+        (1000 + number * 100 + F.col("z")).alias("priority"), F.lower(code).alias("token"),
+        F.concat(F.lit("Android [0-9]+; ("), code, F.lit(") Build")).alias("pattern"), F.lit("Phone {1}").alias("family"),
+        brand.alias("brand"), F.lit("{1}").alias("model"))
+    brands = p.select("b").distinct().select(
+        (100000 + number).alias("priority"), F.lower(brand).alias("token"), F.concat(brand, F.lit("/[0-9.]+")).alias("pattern"),
+        F.concat(F.lit("Generic "), brand).alias("family"), brand.alias("brand"), F.lit("Smartphone").alias("model"))
+    tablets = spark.range(1).select(F.lit(1).alias("priority"), F.lit(None).cast("string").alias("token"), F.lit("Build/T").alias("pattern"),
+                                    F.lit("Tablet").alias("family"), F.lit("Generic").alias("brand"), F.lit("Tablet").alias("model"))
+    return devices.unionByName(brands).unionByName(tablets)
+
+
+def visitor_agents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(event_id, user_agent): agents that name a part's brand and size; every seventh is a command line tool."""
+    e, n = table(spark, sf_dir, "events").select("event_id"), F.col("event_id")
+    p = table(spark, sf_dir, "part").select("p_partkey", F.replace("p_brand", F.lit("Brand#"), F.lit("")).alias("b"), "p_size")
+    j = e.join(p, n % _part_count(spark, sf_dir) == F.col("p_partkey"))
+    agent = F.format_string("Mozilla/5.0 (Linux; Android %d; BR%sS%d Build/%s) Brand%s/4.2 Mobile Safari/537.36",
+                            10 + n % 3, "b", "p_size", F.element_at(F.array(*map(F.lit, "ABCT")), (n % 4 + 1).cast("int")), "b")
+    return j.select("event_id", F.when(n % 7 == 0, F.lit("curl/7.88.1")).otherwise(agent).alias("user_agent"))
+
+
 # --- job runs --------------------------------------------------------------
 
 def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

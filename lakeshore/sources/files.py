@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshore.schemas import JOB_RUNS_LISTING, ORDER_DOC, ORDER_DOC_FIELDS, SCHEMAS
+from lakeshore.schemas import JOB_RUNS_LISTING, ORDER_DOC, SCHEMAS
 
 
 def text_files(spark: SparkSession, path: str, stream: bool = False,
@@ -45,9 +45,11 @@ class ParsedOrders:
     docs: DataFrame         # per element: raw text, typed struct, string map (persist to parse once)
 
 
-def parse_order_lines(lines: DataFrame, load_date=None, line_col: str = "value") -> ParsedOrders:
+def parse_order_lines(lines: DataFrame, load_date=None, line_col: str = "value", schema: T.StructType = ORDER_DOC) -> ParsedOrders:
     """Split landed order lines into parsed orders and quarantined records.
 
+    ``schema`` is the stored schema the documents are read under.
+
     A line starting with ``[`` is split into its elements (one JSON parse to
     raw element text); a line starting with ``{`` is its own single element,
     with no extra parse.  Each element is then parsed once, inside the
@@ -62,19 +64,19 @@ def parse_order_lines(lines: DataFrame, load_date=None, line_col: str = "value")
     blank = F.trim(F.col("_line")) == ""
     bad_lines = tagged.where(F.col("_elems").isNull() & ~blank).select(F.col("_line").alias("value"))
     docs = tagged.where(F.col("_elems").isNotNull()).select(F.inline(F.transform(
-        "_elems", lambda e: F.struct(e.alias("_doc"), F.from_json(e, ORDER_DOC).alias("s"),
+        "_elems", lambda e: F.struct(e.alias("_doc"), F.from_json(e, schema).alias("s"),
                                      F.from_json(e, "map<string,string>").alias("m")))))
     bad_docs = docs.where(F.col("m").isNull()).select(F.col("_doc").alias("value"))
     parsed = docs.where(F.col("m").isNotNull())
-    known = F.array(*[F.lit(c) for c in ORDER_DOC_FIELDS])
+    known = F.array(*[F.lit(c) for c in schema.names])
     extra = F.map_filter("m", lambda k, v: ~F.array_contains(known, k))
     rescued = F.when(F.size(extra) > 0, F.to_json(extra))
     # A field present in the document that did not convert to its type.
     bad_fields = F.array_compact(F.array(*[
-        F.when(F.col("m")[c].isNotNull() & F.col("s")[c].isNull(), F.lit(c)) for c in ORDER_DOC_FIELDS]))
+        F.when(F.col("m")[c].isNotNull() & F.col("s")[c].isNull(), F.lit(c)) for c in schema.names]))
     stamp = F.current_date() if load_date is None else F.lit(load_date).cast("date")
     orders = parsed.select(
-        *[F.col("s")[c].alias(c) for c in ORDER_DOC_FIELDS],
+        *[F.col("s")[c].alias(c) for c in schema.names],
         rescued.alias("_rescued_data"), stamp.alias("record_timestamp"),
         bad_fields.alias("_bad_fields"))
     return ParsedOrders(orders, bad_lines.unionByName(bad_docs), docs)

@@ -20,12 +20,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from lakeshore.functions.logline import CORRUPT_COL
+from lakeshore.operators.changes import CHANGE_TYPE
 from lakeshore.operators.quality import run_suite
-from lakeshore.operators.upsert import merge_into, read_table
-from lakeshore.plans.orders import silver_orders
+from lakeshore.operators.upsert import DELETED, merge_into, read_table
+from lakeshore.plans.orders import item_changes, silver_orders
 from lakeshore.plans.suites import ORDERS_RAW_SUITE, ORDERS_SUITE
 from lakeshore.plans.weblogs import QUARANTINED, bronze_logs, parse_lines, silver_logs
-from lakeshore.schemas import KEYS, LOGS_COLUMNS, LOGS_RAW, ORDERS_COLUMNS
+from lakeshore.schemas import KEYS, LOGS_COLUMNS, LOGS_RAW, ORDERS_COLUMNS, ORDERS_RAW
 from lakeshore.sources.files import parse_order_lines, text_files
 
 
@@ -76,14 +77,14 @@ def orders_batch(df: DataFrame, batch_id: int, bronze_path: str, silver_path: st
             _write_batch_folder(field_errors, os.path.join(quarantine_path, "fields"), batch_id)
         good = parsed.orders.drop("_bad_fields")
         applied = merge_into(spark, bronze_path, good, KEYS["orders_raw"], batch_id,
-                             order_by=newest_order, changes_path=changes_path)
+                             order_by=newest_order, changes_path=changes_path, count_changes=bool(changes_path))
         run_id = f"batch-{batch_id}"
         if dq_path:
             raw_dq = run_suite(applied, ORDERS_RAW_SUITE, run_id, fail_on_error=False)
             _save_dq(raw_dq, dq_path, ORDERS_RAW_SUITE.name, run_id, fail_on_error)
         items = silver_orders(applied, load_ts=load_ts)
         merged = merge_into(spark, silver_path, items, KEYS["orders"], batch_id,
-                            order_by=["record_timestamp"])
+                            order_by=["record_timestamp"], count_changes=False)
         if dq_path:
             _save_dq(run_suite(merged, ORDERS_SUITE, run_id), dq_path, ORDERS_SUITE.name, run_id, False)
     finally:
@@ -119,6 +120,34 @@ def start_orders_stream(spark: SparkSession, landing_path: str, bronze_path: str
     return _trigger(w, trigger).start()
 
 
+def orders_changes_batch(df: DataFrame, batch_id: int, silver_path: str, load_ts=None, changes_path: str | None = None) -> None:
+    """One micro-batch of the bronze change feed applied to silver, deletions included."""
+    merge_into(df.sparkSession, silver_path, item_changes(df, load_ts), KEYS["orders"], batch_id,
+               order_by=[F.col(DELETED).asc()], delete_when=F.col(DELETED), new_columns="drop",
+               changes_path=changes_path, count_changes=False)
+
+
+def start_silver_from_changes_stream(spark: SparkSession, changes_path: str, silver_path: str, checkpoint: str,
+                                     load_ts=None, trigger: str | dict = "availableNow",
+                                     max_files_per_trigger: int | None = None,
+                                     silver_changes_path: str | None = None) -> StreamingQuery:
+    """Silver orders kept by the change feed of the bronze table (``merge_into(..., changes_path=)``).
+
+    The feed's files are read in the order they were written, so a micro-batch
+    holds no older version than the one before it; versions that meet in one
+    micro-batch are put in order there (``plans.orders.item_changes``).  The
+    rows of a document and version share a file.  A replayed micro-batch
+    replaces its own folder.
+    """
+    schema = T.StructType([*ORDERS_RAW.fields, T.StructField(CHANGE_TYPE, T.StringType()), T.StructField("version", T.LongType())])
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    fn = lambda df, batch_id: orders_changes_batch(df, batch_id, silver_path, load_ts, silver_changes_path)
+    w = reader.parquet(changes_path).writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
 # --- logs --------------------------------------------------------------------------
 
 BRONZE_LOGS_SCHEMA = T.StructType(LOGS_RAW.fields + [
