@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from lakeshore.session import ensure_checkpoint_dir
 SPACE = r"\x20\x09-\x0D"
 WORD = re.compile(rf"[^{SPACE}]+")
 #: Entries a per-worker cache may hold before it is emptied.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 300_000
 #: Parts in which a class is ranked before it is ranked whole.
 SAMPLE_PARTS = 32
 
@@ -47,25 +47,36 @@ def one_label_per_doc(labels: DataFrame, label: str) -> DataFrame:
             .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")))
 
 
-def sample_per_class(rows: DataFrame, per_class: int, max_classes: int = 256) -> DataFrame:
-    """At most ``per_class`` rows of each ``label`` and ``max_classes`` labels, chosen by a hash of doc_id.
+def sample_per_class(rows: DataFrame, per_class: int, max_classes: int | None = None, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """At most ``per_class`` rows of each ``label``, the first by a hash of ``keys``.
 
-    The bound of a training sample.  Each rank is cut before its shuffle (Spark
+    The bound of a training sample.  Where ``max_classes`` is given, only the labels with
+    most rows (ties: by label) are taken.  Each rank is cut before its shuffle (Spark
     plans a group limit).  A class is first cut in SAMPLE_PARTS parts, so the
     task that ranks it whole reads at most SAMPLE_PARTS * per_class rows,
     however many rows and input partitions hold the class.
     """
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    part = F.pmod(F.hash("doc_id"), F.lit(SAMPLE_PARTS))
+    if max_classes is not None:
+        # At most max_classes rows.
+        taken = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_classes).select("label")
+        rows = rows.join(F.broadcast(taken), "label", "left_semi")
+    order = [F.xxhash64(*keys), *map(F.col, keys)]
+    part = F.pmod(F.hash(*keys), F.lit(SAMPLE_PARTS))
     for by in (["label", part], ["label"]):
         rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
         rows = rows.withColumn("_r", rank).where(F.col("_r") <= per_class).drop("_r")
-    return rows.limit(per_class * max_classes)
+    return rows
 
 
-def texts_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(doc_id, text, label) of the chosen (doc_id, label) rows."""
-    return docs.select("doc_id", "text").join(chosen, "doc_id")
+def texts_of(docs: DataFrame, chosen: DataFrame, per_class: int) -> DataFrame:
+    """(doc_id, text, label) of the chosen rows: at most ``per_class`` of each label, however often an id repeats.
+
+    ``chosen`` is a bounded sample; its columns but ``label`` are the key, and
+    ``docs`` has them.
+    """
+    keys = [c for c in chosen.columns if c != "label"]
+    rows = docs.select(*keys, "text").join(F.broadcast(chosen.distinct()), keys).withColumn("_text", F.xxhash64("text"))
+    return sample_per_class(rows, per_class, keys=(*keys, "_text")).select("doc_id", "text", "label")
 
 
 def text_list(column) -> list[str]:
@@ -73,6 +84,12 @@ def text_list(column) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def some_texts(column, rows: int = 500) -> Iterator[list[str]]:
+    """The same, some rows at a time."""
+    for at in range(0, len(column), rows):
+        yield text_list(column.slice(at, rows))
+
+
 def unused(names: Iterable[str], name: str) -> str:
     """``name``, lengthened until no column has it."""
     taken = {n.lower() for n in names}

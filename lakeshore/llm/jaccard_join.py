@@ -32,17 +32,18 @@ component; other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lakeshore.llm.common import materialise, text_list, unused
+from lakeshore.llm.common import materialise, some_texts, text_list, unused
 from lakeshore.llm.components import components
 
 WORDS = 5
@@ -104,34 +105,43 @@ def linked(n: int, m: int, both: int) -> bool:
 # -- sizes and frequencies ---------------------------------------------------------------------------------------------
 
 
+def text_print() -> F.Column:
+    return F.xxhash64(F.coalesce("text", F.lit(""))).alias("print")
+
+
 def read_sets(docs: DataFrame, ranges: int) -> DataFrame:
-    """One pass over the texts.  Rows of sets (doc_id, n, node) and rows of shingle counts (part, short, times).
+    """One pass over the texts.  Rows of sets (doc_id, print, n, node) and rows of shingle counts (part, short, times).
+
+    ``print`` is a fingerprint of the text: with the id it tells rows apart.
 
     A shingle is known by its range and 32 further bits; a task counts before it sends.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = pa.schema([("n", pa.int32()), ("node", pa.int64()), ("part", pa.int32()), ("short", pa.binary()), ("times", pa.binary())])
+    schema = pa.schema([("print", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("part", pa.int32()), ("short", pa.binary()), ("times", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), text_list(batch.column(1))
-            for at in range(0, len(texts), 2000):
-                sets = [shingles(t) for t in texts[at:at + 2000]]
+            ids, prints, at = batch.column(0), batch.column(2), 0
+            for texts in some_texts(batch.column(1), 2000):
+                sets = [shingles(t) for t in texts]
                 sizes, nodes = [len(s) for s in sets], [node_of(s) if len(s) else None for s in sets]
                 part, short = _short(np.concatenate(sets) if sets else np.empty(0, np.uint64), ranges)
                 both, times = np.unique((part.astype(np.uint64) << np.uint64(32)) | short, return_counts=True)
                 part, edge = np.unique((both >> np.uint64(32)).astype(np.int32), return_index=True)
                 edge = [*edge.tolist(), len(both)]
                 low, times = both.astype(np.uint32), np.minimum(times, 0xFFFF).astype(np.uint16)
-                columns = (pa.array([*sizes, *[None] * len(part)], pa.int32()), pa.array([*nodes, *[None] * len(part)], pa.int64()),
+                mine = prints.slice(at, len(sets))
+                columns = (pa.concat_arrays([mine, pa.nulls(len(part), mine.type)]), pa.array([*sizes, *[None] * len(part)], pa.int32()), pa.array([*nodes, *[None] * len(part)], pa.int64()),
                            pa.array([*[None] * len(sets), *part.tolist()], pa.int32()),
                            pa.array([*[None] * len(sets), *(low[i:j].tobytes() for i, j in zip(edge, edge[1:]))], pa.binary()),
                            pa.array([*[None] * len(sets), *(times[i:j].tobytes() for i, j in zip(edge, edge[1:]))], pa.binary()))
                 own = ids.slice(at, len(sets))
                 own = pa.concat_arrays([own, pa.nulls(len(part), own.type)])
+                at += len(sets)
                 yield pa.RecordBatch.from_arrays([own, *columns], names=["doc_id", *schema.names])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n int, node long, part int, short binary, times binary")
+    rows = docs.select("doc_id", "text", text_print())
+    return rows.mapInArrow(run, f"doc_id {kind}, print long, n int, node long, part int, short binary, times binary")
 
 
 def _short(tokens: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
@@ -240,14 +250,16 @@ class Fronts:
 
 def list_rows(docs: DataFrame, fronts: Fronts) -> DataFrame:
     """(key, node, n, reach): every key of every set."""
-    sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast(fronts)
+    return _listed(docs, docs.sparkSession.sparkContext.broadcast(fronts))
+
+
+def _listed(docs: DataFrame, shared: Broadcast) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
             keys, nodes, sizes, reach, held = [], [], [], [], 0
-            for text in [*text_list(batch.column(0)), None]:
+            for text in chain(chain.from_iterable(some_texts(batch.column(0))), [None]):
                 if text is not None:
                     tokens = shingles(text)
                     k, r = known.keys(tokens)
@@ -299,42 +311,48 @@ def remaining_pairs(lists: DataFrame, roots: DataFrame, tested: DataFrame) -> Da
     return pairs.select(F.col("node").alias("a"), F.col("node2").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
 
 
-def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that may have an id of ``ids`` (doc_id), by a filter of FILTER_BITS bits.
+def _wanted(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that may have a key of ``keys`` (doc_id, print), by a filter of FILTER_BITS bits.
 
     Spares the shuffle of texts that no pair needs; the join that follows is exact.
     """
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)) + 1
-    bits = ids.select(bit.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("_bucket")).agg(
+    bit = F.pmod(F.xxhash64("doc_id", "print"), F.lit(FILTER_BITS)) + 1
+    bits = keys.select(bit.alias("h")).groupBy(F.bitmap_bucket_number("h").alias("_bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("_bits"))
     # At most FILTER_BITS / 32768 rows of 4 KB.
-    marked = docs.select("doc_id", "text", bit.alias("_h")).withColumn("_bucket", F.bitmap_bucket_number("_h"))
+    marked = docs.select("doc_id", "text", text_print()).select("*", bit.alias("_h")).withColumn("_bucket", F.bitmap_bucket_number("_h"))
     place = F.bitmap_bit_position("_h")
     byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     hit = F.getbit(byte, (place % 8).cast("int")) == 1
-    return marked.join(F.broadcast(bits), "_bucket").where(hit).select("doc_id", "text")
+    return marked.join(F.broadcast(bits), "_bucket").where(hit).select("doc_id", "print", "text")
 
 
 def confirm(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are linked, by comparing the whole sets."""
+    """The pairs (a, b) that are linked, by comparing the whole sets.
+
+    One row stands for each set: of those with the smallest id the one with the
+    smallest fingerprint, and of rows equal in both one text, so an id that
+    repeats brings each pair of texts once.
+    """
     nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-    where = materialise(sets.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(nodes, "node"), "where")
-    placed = (pairs.join(where.select(F.col("node").alias("a"), F.col("doc_id").alias("id_a")), "a")
-              .join(where.select(F.col("node").alias("b"), F.col("doc_id").alias("id_b")), "b"))
-    texts = _wanted(docs, where.select("doc_id"))
-    first = placed.join(texts.withColumnRenamed("text", "text_a"), F.col("id_a").eqNullSafe(F.col("doc_id"))).drop("doc_id", "id_a")
-    both = first.join(texts.withColumnRenamed("text", "text_b"), F.col("id_b").eqNullSafe(F.col("doc_id"))).select("a", "b", "text_a", "text_b")
+    where = sets.where("n > 0").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "print")).alias("row"))
+    where = materialise(where.join(nodes, "node").select("node", "row.doc_id", "row.print"), "where")
+    texts = _wanted(docs, where).groupBy("doc_id", "print").agg(F.first("text").alias("text"))
+    named = where.join(texts, where["doc_id"].eqNullSafe(texts["doc_id"]) & (where["print"] == texts["print"])).select("node", "text")
+    first = pairs.join(named.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    both = first.join(named.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple = (None, None)
         for batch in batches:
             out = []
-            for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns)):
-                s, last = (last[1], last) if last[0] == (a, x) else (t := shingles(x or ""), ((a, x), t))
-                t = shingles(y or "")
-                # An id that several texts carry brings rows of other sets along; they are no pair.
-                if node_of(s) == a and node_of(t) == b and linked(len(s), len(t), len(np.intersect1d(s, t, assume_unique=True))):
-                    out.append((a, b))
+            for at in range(0, batch.num_rows, 500):
+                for a, b, x, y in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns)):
+                    s, last = (last[1], last) if last[0] == (a, x) else (t := shingles(x or ""), ((a, x), t))
+                    t = shingles(y or "")
+                    # Fingerprints of texts that clash would bring another set along; it is no pair.
+                    if node_of(s) == a and node_of(t) == b and linked(len(s), len(t), len(np.intersect1d(s, t, assume_unique=True))):
+                        out.append((a, b))
             a, b = zip(*out) if out else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -346,15 +364,17 @@ def named_sets(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     read = materialise(read_sets(docs, ranges), "sets")
-    sets = read.where(F.col("part").isNull()).select("doc_id", "n", "node")
+    sets = read.where(F.col("part").isNull()).select("doc_id", "print", "n", "node")
     counts = materialise(token_counts(read), "counts")
     light = counts.agg(F.sum("light"), F.sum("squares")).first()
     most = MAX_BOUNDARY * DEN // NUM + 1
     sizes = {r[0]: r[1] for r in sets.where(F.col("n") <= most).groupBy("n").count().collect()}
     boundary = choose_boundary(sizes, (light[1] or 0) / max(1, light[0] or 0) - 1 if light[0] else 0.0)
-    rows = list_rows(docs, Fronts(heavy_tokens(counts), ranges, boundary))
+    fronts = spark.sparkContext.broadcast(Fronts(heavy_tokens(counts), ranges, boundary))
+    rows = _listed(docs, fronts)
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key")
     lists = materialise(rows.join(shared, "key"), "lists")
+    fronts.unpersist()  # the lists are written; a lost executor would fetch it again
 
     tested = materialise(star_pairs(lists), "stars")
     links = materialise(confirm(docs, sets, tested), "links")
@@ -384,7 +404,7 @@ def with_sets(docs: DataFrame, name: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = map(shingles, text_list(batch.column(place)))
+            sets = (shingles(t) for part in some_texts(batch.column(place)) for t in part)
             nodes = pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, nodes], names=[*batch.schema.names, name])
 

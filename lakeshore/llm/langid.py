@@ -16,6 +16,7 @@ filter keeps them).
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshore.llm.common import id_remainder, sample_per_class, text_list, texts_of
+from lakeshore.llm.common import id_remainder, sample_per_class, some_texts, text_list, texts_of
 
 UND = "und"
 ORDERS = (2, 3, 4, 5)
@@ -32,13 +33,17 @@ BUCKETS = 1 << 16
 DIM = 16
 #: Bound of the training sample: rows per language, passages per row, letters per passage.
 ROWS_PER_LANG, PASSAGES, PASSAGE_CHARS = 400, 6, 400
+#: Languages learned at most: those with most rows (the model's table has BUCKETS numbers for each).
+MAX_LANGS = 1024
 EPOCHS, RATE, SEED = 4, 0.6, 7
 #: Share of known-language calibration passages that may fall below the rejection threshold, and its ceiling.
 REJECT_SHARE, REJECT_CEILING = 0.001, 0.5
 #: Bytes hashed at a time.
 BLOCK = 1 << 20
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Numbers that count as word characters without being letters (such as superscripts, fractions, circled digits).
+_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isdecimal() and unicodedata.category(c)[0] != "L")
+LETTERS = re.compile(rf"[^\W\d_{re.escape(_NUMBERS)}]+")
 
 
 def letters(text: str) -> str:
@@ -139,12 +144,27 @@ def _calibrate(table: np.ndarray, bias: np.ndarray, held: list[tuple[int, np.nda
     return s, min(REJECT_CEILING, float(np.quantile(best, REJECT_SHARE)))
 
 
-def fit(docs: DataFrame, per_lang: int = ROWS_PER_LANG) -> LanguageModel:
-    """Train on rows with a language whose id remainder (mod 4) is not 2."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (id_remainder("doc_id", 4) != 2))
-    chosen = sample_per_class(known.select("doc_id", F.col("lang").alias("label")), per_lang)
-    # At most per_lang rows a language are chosen, so this side is small whatever the corpus.
-    rows = texts_of(docs, F.broadcast(chosen)).select("label", (F.xxhash64("doc_id") % 5 == 0).alias("held"), "text")
+def _known(docs: DataFrame) -> DataFrame:
+    return docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (id_remainder("doc_id", 4) != 2))
+
+
+def unlearned(docs: DataFrame, max_langs: int = MAX_LANGS) -> DataFrame:
+    """(lang, n): the languages beyond the ``max_langs`` with most rows, which ``fit`` leaves out."""
+    counts = _known(docs).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    taken = counts.orderBy(F.desc("n"), "lang").limit(max_langs)
+    return counts.join(F.broadcast(taken.select("lang")), "lang", "left_anti")
+
+
+def fit(docs: DataFrame, per_lang: int = ROWS_PER_LANG, max_langs: int = MAX_LANGS) -> LanguageModel:
+    """Train on rows with a language whose id remainder (mod 4) is not 2, of the ``max_langs`` languages with most rows."""
+    known = _known(docs)
+    # The key holds the text's fingerprint, so a repeated id does not take the places of other rows.
+    keyed = known.select("doc_id", F.col("lang").alias("label"), F.xxhash64("text").alias("print"), "text")
+    chosen = sample_per_class(keyed.drop("text"), per_lang, max_langs, ("doc_id", "print"))
+    # At most per_lang rows a language, so small whatever the corpus.
+    mine = keyed.withColumnRenamed("label", "lang")
+    rows = texts_of(mine, chosen.withColumn("lang", F.col("label")), per_lang)
+    rows = rows.select("label", (F.xxhash64("doc_id") % 5 == 0).alias("held"), "text")
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -181,6 +201,6 @@ def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array([not model.predict(t)[2] for t in text_list(batch.column(place))], pa.bool_()))
+            yield batch.filter(pa.array([not model.predict(t)[2] for part in some_texts(batch.column(place)) for t in part], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

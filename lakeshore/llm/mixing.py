@@ -4,10 +4,14 @@ A softmax classifier, trained on the labelled table, gives every document
 posterior probabilities over the domains (good, poor, toxic).  Document rates r
 are then fitted so that the expected token totals of the domains,
 sum_i r_i t_i p_id, match their targets in least squares, with 0 <= r_i <=
-``max_rate``.  The fit is projected gradient descent run as Spark jobs: an
-iteration is one aggregate of as many sums as there are domains.  A rate
-follows from its posteriors and the short list of gradients so far, so nothing
-per document is stored between iterations, and no document leaves its task.
+``max_rate``.  The fit is projected gradient descent run as Spark jobs, with
+distances between rates weighed by the documents' tokens: the step is the
+inverse of the largest eigenvalue of the domains' Gram matrix sum_i t_i p_i p_i'
+(so a plain step never raises the residual), an extrapolated step that raises it
+is taken back, and the fit ends when the duality gap, which bounds how far the
+squared residual is from the least one, is small.  An iteration is one aggregate
+of a few sums per domain.  A rate follows from its posteriors and the list of
+steps; after every SETTLED steps the rates are written, so a job applies few.
 
 Targets: the weights times the largest total for which no domain asks for more
 tokens than it has, or, with ``anchor``, the total at which that domain stays
@@ -31,17 +35,20 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakeshore.llm.common import materialise, sample_per_class, text_list, texts_of, unused
-from lakeshore.llm.toxicity import ToxicityModel, select_features
+from lakeshore.llm.common import Cache, materialise, sample_per_class, some_texts, text_list, texts_of, unused
+from lakeshore.llm.toxicity import features, select_features, words
 
 DOMAINS = ("good", "poor", "toxic")
 TARGETS = {"good": 0.90, "poor": 0.07, "toxic": 0.03}
 #: Bounds of the training sample (rows per domain) and of the lexical features.
 ROWS_PER_DOMAIN, MAX_FEATURES = 1500, 1500
 STEPS, SHRINK = 300, 0.02
-#: Iterations of the rate fit at most, and the residual (as a share of the target total) that ends it.
-ITERATIONS, CLOSE = 40, 1e-3
+#: Iterations of the rate fit at most; it ends when the residual is within CLOSE of the target total of the least one.
+ITERATIONS, CLOSE = 300, 1e-3
+#: Steps after which the rates so far are written.
+SETTLED = 12
 
 _KINDS = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"#*$%&<>@^~=+_{}[]\\/", b"|", b"!", b".?", b",;:", b"\n"]
 _TABLE = np.stack([np.isin(np.arange(256), list(k)) for k in _KINDS], axis=1).astype(float)
@@ -68,14 +75,27 @@ class DomainModel:
     bias: np.ndarray | None = None
 
     def __post_init__(self) -> None:
-        self.words = ToxicityModel(dict.fromkeys(self.names, 0.0), 0.0)
+        self.known = Cache(self._features_of)
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "known"}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.__post_init__()
+
+    def _features_of(self, word: bytes) -> tuple[int, ...]:
+        """Lexical features of what stands between two white spaces."""
+        found = {f for w in words(word.decode("utf-8", "replace")) for f in features(w)}
+        return tuple(DENSE * BINS + self.names[f] for f in found if f in self.names)
 
     def indices(self, text: str) -> tuple[int, list[int]]:
         """Words of the text and its active features."""
         raw = text.encode("utf-8", "replace")
-        words = raw.split()  # bytes split at ASCII white space
-        lexical = sorted(DENSE * BINS + self.names[f] for f in self.words.active(text)) if self.names else []
-        return len(words), dense_bins(raw, len(words), len(set(words))) + lexical
+        split = raw.split()  # bytes split at ASCII white space
+        types = set(split)
+        lexical = sorted(set().union(*map(self.known.__getitem__, types))) if self.names else []
+        return len(split), dense_bins(raw, len(split), len(types)) + lexical
 
     def posteriors(self, text: str) -> tuple[int, list[float]]:
         n, at = self.indices(text)
@@ -120,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_domain: int = ROWS_PER_DOMAIN) -
     if not totals:
         return DomainModel(DOMAINS[:1])
     # At most per_domain rows of each of three domains: small whatever the corpus.
-    sample = materialise(texts_of(docs, F.broadcast(sample_per_class(known, per_domain, len(DOMAINS)))).select("label", "text"), "mix-sample")
+    sample = materialise(texts_of(docs, sample_per_class(known, per_domain), per_domain).select("label", "text"), "mix-sample")
     got = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     present = sorted(got)
     if len(present) < 2:
@@ -147,7 +167,7 @@ def posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [model.posteriors(t) for t in text_list(batch.column(1))]
+            got = [model.posteriors(t) for part in some_texts(batch.column(1)) for t in part]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for n, _ in got], pa.int64()),
                                               pa.array([p for _, p in got], pa.list_(pa.float64()))], names=["doc_id", "tokens", "p"])
 
@@ -157,61 +177,98 @@ def posteriors(docs: DataFrame, model: DomainModel) -> DataFrame:
 
 @dataclass
 class Rates:
-    """The rates as a function of the posteriors: r starts at 1 and takes the projected steps in order."""
+    """The rates as a function of the posteriors: from r = 1 take the steps (gradient, extrapolation) in order."""
 
-    steps: list[list[float]]
+    steps: list[tuple[list[float], float]]
     max_rate: float
     targets: list[float]
     totals: list[float]
+    residuals: list[float] = field(default_factory=list)  # half the squared residual after each step
+
+    def column(self, p: Column | None = None) -> Column:
+        """The rate of a row with the posteriors ``p`` (by default its column p)."""
+        return _moved(F.lit(1.0), F.lit(1.0), self.steps, self.max_rate, F.col("p") if p is None else p)["r"]
+
 
-    def column(self) -> Column:
-        p = F.col("p")
-        move = lambda r, s: F.greatest(F.lit(0.0), F.least(F.lit(self.max_rate), r - _dot(p, s)))
-        if not self.steps:
-            return F.lit(1.0)
-        size = range(len(self.steps[0]))
-        return F.aggregate(F.array(*(F.array(*map(F.lit, s)) for s in self.steps)), F.lit(1.0),
-                           lambda r, s: move(r, [s[d] for d in size]))
+def _moved(prev: Column, now: Column, steps: list[tuple[list[float], float]], max_rate: float, p: Column) -> Column:
+    """struct(prev, r) after the steps: r' = box(r + beta (r - prev) - p . gradient)."""
+    start = F.struct(prev.alias("prev"), now.alias("r"))
+    if not steps:
+        return start
+    size = range(len(steps[0][0]))
 
-    def of(self, p: list[float]) -> float:
-        r = 1.0
-        for s in self.steps:
-            r = max(0.0, min(self.max_rate, r - sum(a * b for a, b in zip(p, s))))
-        return r
+    def move(at: Column, s: Column) -> Column:
+        y = at["r"] + s["beta"] * (at["r"] - at["prev"])
+        new = F.greatest(F.lit(0.0), F.least(F.lit(max_rate), y - _dot(p, [s["g"][d] for d in size])))
+        return F.struct(at["r"].alias("prev"), new.alias("r"))
+
+    listed = F.array(*(F.struct(F.array(*map(F.lit, g)).alias("g"), F.lit(float(b)).alias("beta")) for g, b in steps))
+    return F.aggregate(listed, start, move)
 
 
 def _dot(p: Column, s: list) -> Column:
     return reduce(lambda a, b: a + b, (p[d] * v for d, v in enumerate(s)))
 
 
+def target_totals(mass: np.ndarray, domains: tuple[str, ...], weights: dict[str, float], max_rate: float, anchor: str | None) -> np.ndarray:
+    """Token totals the domains should have (zeros where nothing can be weighed)."""
+    share = np.array([max(0.0, weights.get(d, 0.0)) for d in domains])
+    share = np.where(mass > 0, share, 0.0)
+    if not share.sum():
+        return np.zeros(len(domains))
+    share /= share.sum()
+    total = min(max_rate * m / s for m, s in zip(mass, share) if s > 0)
+    if anchor in domains and share[domains.index(anchor)] > 0:
+        total = mass[domains.index(anchor)] / share[domains.index(anchor)]
+    return share * total
+
+
 def fit_rates(rows: DataFrame, domains: tuple[str, ...], weights: dict[str, float] = TARGETS, max_rate: float = 1.0,
               anchor: str | None = None) -> Rates:
-    """Projected gradient least squares over (tokens, p); each domain's residual is scaled by its own curvature."""
+    """Projected gradient least squares over (tokens, p); see the module's head."""
     k = len(domains)
     t, p = F.col("tokens"), F.col("p")
-    first = rows.agg(*(F.sum(t * p[d]).alias(f"m{d}") for d in range(k)), *(F.sum(t * p[d] * p[d]).alias(f"h{d}") for d in range(k))).first()
+    pairs = [(d, e) for d in range(k) for e in range(d, k)]
+    first = rows.agg(*(F.sum(t * p[d]).alias(f"m{d}") for d in range(k)), *(F.sum(t * p[d] * p[e]).alias(f"h{d}_{e}") for d, e in pairs)).first()
     mass = np.array([first[f"m{d}"] or 0.0 for d in range(k)])
-    curve = np.array([first[f"h{d}"] or 0.0 for d in range(k)])
-    share = np.array([max(0.0, weights.get(d, 0.0)) for d in domains])
-    if not mass.sum() or not share.sum():
-        return Rates([], max_rate, [0.0] * k, mass.tolist())
-    share = np.where(mass > 0, share, 0.0) / max(share[mass > 0].sum(), 1e-12)
-    total = min(max_rate * m / s for m, s in zip(mass, share) if s > 0)
-    if anchor in domains and share[domains.index(anchor)] > 0:
-        total = mass[domains.index(anchor)] / share[domains.index(anchor)]
-    targets = share * total
+    gram = np.zeros((k, k))
+    for d, e in pairs:
+        gram[d, e] = gram[e, d] = first[f"h{d}_{e}"] or 0.0
+    curve = float(np.linalg.eigvalsh(gram)[-1])
+    targets = target_totals(mass, domains, weights, max_rate, anchor)
     rates = Rates([], max_rate, targets.tolist(), mass.tolist())
-    now = mass
-    for _ in range(ITERATIONS):
-        residual = now - targets
-        if np.abs(residual).sum() <= CLOSE * targets.sum():
-            break
-        rates.steps.append((residual / np.maximum(curve, 1e-12)).tolist())
-        r = rates.column()
-        before = now
-        now = np.array([x or 0.0 for x in rows.select((t * r).alias("w"), "p").agg(*(F.sum(F.col("w") * p[d]) for d in range(k))).first()])
-        if np.abs(now - before).sum() <= 0.1 * CLOSE * targets.sum():
+    if not targets.sum() or curve <= 0:
+        return rates
+    close = 0.5 * (CLOSE * float(targets.sum())) ** 2
+    state, waiting = rows.select("tokens", "p", F.lit(1.0).alias("prev"), F.lit(1.0).alias("r")), []
+    now, before, momentum = mass, mass, 1.0
+    error = lambda totals: 0.5 * float(np.square(totals - targets).sum())
+    rates.residuals.append(error(now))
+    fresh = True
+    while len(rates.steps) < ITERATIONS:
+        grow = (1 + (1 + 4 * momentum ** 2) ** 0.5) / 2
+        beta = 0.0 if fresh else (momentum - 1) / grow
+        ahead = now + beta * (now - before)
+        step = (((ahead - targets) / curve).tolist(), beta)
+        moved = state.select("tokens", "p", _moved(F.col("prev"), F.col("r"), [*waiting, step], max_rate, p).alias("m"))
+        r, at = F.col("m.r"), F.col("m.prev")
+        # The gap of the rates before this step: how much the linearised residual could still fall within the box.
+        slope = _dot(p, [float(x) for x in now - targets])
+        gap = F.sum(t * (slope * at - F.least(F.lit(0.0), slope * max_rate)))
+        got = moved.agg(*(F.sum(t * r * p[d]) for d in range(k)), gap).first()
+        new = np.array([x or 0.0 for x in got[:k]])
+        if got[k] <= close:
             break
+        if error(new) > error(now) and not fresh:
+            fresh, momentum = True, 1.0  # taken back; the next step is plain
+            continue
+        rates.steps.append(step)
+        waiting.append(step)
+        before, now, momentum, fresh = now, new, grow, False
+        rates.residuals.append(error(now))
+        if len(waiting) >= SETTLED:
+            done = state.select("tokens", "p", _moved(F.col("prev"), F.col("r"), waiting, max_rate, p).alias("m"))
+            state, waiting = materialise(done.select("tokens", "p", F.col("m.prev").alias("prev"), F.col("m.r").alias("r")), "rates"), []
     rates.totals = now.tolist()
     return rates
 
@@ -235,16 +292,23 @@ def rate_documents(docs: DataFrame, labels: DataFrame, weights: dict[str, float]
 
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float] = TARGETS, max_rate: float = 1.0,
         anchor: str | None = DOMAINS[0]) -> DataFrame:
-    """The rows of ``docs`` as often as their rate says, with all columns, in a second pass over the texts."""
+    """The rows of ``docs`` as often as their rate says, with all columns.
+
+    The posteriors are written beside the rows, so every text is scored once.
+    """
     model = fit(docs, labels)
-    rates = fit_rates(materialise(posteriors(docs, model), "posteriors"), model.domains, weights, max_rate, anchor)
-    names, place = docs.columns, docs.columns.index("text")
+    place, names = docs.columns.index("text"), docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            u = batch.column(len(names)).to_pylist()
-            copies = [int(rates.of(model.posteriors(t)[1]) + x) for t, x in zip(text_list(batch.column(place)), u)]
-            out = batch.take(pa.array(np.repeat(np.arange(len(copies)), copies), pa.int64()))
-            yield pa.RecordBatch.from_arrays(out.columns[:len(names)], names=names)
-
-    return docs.select("*", draw().alias(unused(names, "draw"))).mapInArrow(run, docs.schema)
+            got = [model.posteriors(t) for part in some_texts(batch.column(place)) for t in part]
+            made = pa.StructArray.from_arrays([pa.array([n for n, _ in got], pa.int64()), pa.array([p for _, p in got], pa.list_(pa.float64()))],
+                                              names=["tokens", "p"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, scored])
+
+    scored, copies = unused(names, "scored"), unused(names, "copies")
+    made = T.StructType([T.StructField("tokens", T.LongType()), T.StructField("p", T.ArrayType(T.DoubleType()))])
+    rows = materialise(docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(scored, made)])), "scored")
+    rates = fit_rates(rows.select(f"{scored}.tokens", f"{scored}.p"), model.domains, weights, max_rate, anchor)
+    times = F.floor(rates.column(F.col(f"{scored}.p")) + draw()).cast("int")
+    return rows.select(*names, F.explode(F.array_repeat(F.lit(True), times)).alias(copies)).select(*names)

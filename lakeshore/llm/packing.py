@@ -2,8 +2,7 @@
 
 Documents stay in input order.  Each task reads its partition as a stream and
 holds one segment of tokens; a dynamic program over the segment's possible cuts
-(document ends, sentence ends, and a grid inside sentences longer than a
-window) minimises padding plus a penalty per truncated document.  The best
+(document ends, sentence ends, and a grid inside longer sentences) minimises padding plus a penalty per truncated document.  The best
 predecessor of a cut lies in a sliding range, so a monotone queue finds it in
 amortised constant time.  All but the last window of a segment are committed;
 the rest is carried into the next segment.  Nothing is shuffled.
@@ -34,7 +33,7 @@ END_ID = 1
 SENTENCE_CUT, HARD_CUT, PER_WINDOW = 12.0, 128.0, 4.0
 #: Tokens planned at a time.
 SEGMENT = 1 << 18
-#: Distance of the possible cuts inside a sentence longer than a window.
+#: Distance of the possible cuts inside a sentence.
 GRID = 128
 
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
@@ -95,8 +94,8 @@ def _candidates(ids: np.ndarray, doc_ends: np.ndarray, sentence_end: np.ndarray,
     cost[doc_ends] = 0.0
     cost[[0, len(ids)]] = 0.0
     places = np.flatnonzero(np.isfinite(cost))
-    for k in np.flatnonzero(np.diff(places) > window).tolist():
-        inside = np.arange(places[k] + GRID, places[k + 1], GRID)
+    for k in np.flatnonzero(np.diff(places) > min(GRID, window)).tolist():
+        inside = np.arange(places[k] + min(GRID, window), places[k + 1], min(GRID, window))
         cost[inside] = HARD_CUT
     places = np.flatnonzero(np.isfinite(cost))
     return places, cost[places]

@@ -175,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     known = one_label_per_doc(labels, label).where(id_remainder("doc_id", 4) != 2)
     totals = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     # At most per_class rows of each of two classes: small whatever the corpus.
-    sample = texts_of(docs, F.broadcast(sample_per_class(known, per_class, 2)))
+    sample = texts_of(docs, sample_per_class(known, per_class), per_class)
     got = measure_rows(sample.select("label", "text"), "label").toArrow().to_pydict()
     y, rows = np.array(got["key"], float), got["x"]
     if not (y == 1).any() or not (y == 0).any():

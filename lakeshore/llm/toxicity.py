@@ -156,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     known = one_label_per_doc(labels, label).where(id_remainder("doc_id", 5) != 0)
     totals = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     # At most per_class rows of each of two classes: small whatever the corpus.
-    sample = materialise(texts_of(docs, F.broadcast(sample_per_class(known, per_class, 2))).select("label", "text"), "toxic-sample")
+    sample = materialise(texts_of(docs, sample_per_class(known, per_class), per_class).select("label", "text"), "toxic-sample")
     got = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if not got.get(0) or not got.get(1):
         share = totals.get(1, 0) / max(1, sum(totals.values()))
