@@ -41,13 +41,16 @@ REJECT_SHARE, REJECT_CEILING = 0.001, 0.5
 #: Bytes hashed at a time.
 BLOCK = 1 << 20
 
-#: Numbers that count as word characters without being letters (such as superscripts, fractions, circled digits).
-_NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isdecimal() and unicodedata.category(c)[0] != "L")
-LETTERS = re.compile(rf"[^\W\d_{re.escape(_NUMBERS)}]+")
+LETTERS = re.compile(r"[^\W\d_]+")
+#: Numbers that LETTERS takes for letters (such as superscripts, fractions, circled digits), and a table that blanks them.
+_NUMBERS = frozenset(c for c in map(chr, range(0x80, 0x20000)) if c.isalnum() and not c.isdecimal() and unicodedata.category(c)[0] != "L")
+_BLANK = dict.fromkeys(map(ord, _NUMBERS), " ")
 
 
 def letters(text: str) -> str:
     """Lower-case letter runs with one space around each."""
+    if not (text.isascii() or _NUMBERS.isdisjoint(text)):
+        text = text.translate(_BLANK)
     found = LETTERS.findall(text)
     return f" {' '.join(found).lower()} " if found else ""
 

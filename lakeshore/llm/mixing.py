@@ -9,9 +9,12 @@ distances between rates weighed by the documents' tokens: the step is the
 inverse of the largest eigenvalue of the domains' Gram matrix sum_i t_i p_i p_i'
 (so a plain step never raises the residual), an extrapolated step that raises it
 is taken back, and the fit ends when the duality gap, which bounds how far the
-squared residual is from the least one, is small.  An iteration is one aggregate
-of a few sums per domain.  A rate follows from its posteriors and the list of
-steps; after every SETTLED steps the rates are written, so a job applies few.
+squared residual is from the least one, is small.  The first steps are found on a
+summary, the token totals of the cells of a grid over the posteriors (at most
+CELLS a side, whatever the corpus); then every iteration is one aggregate of a
+few sums per domain over all rows, and only these end the fit.  A rate follows
+from its posteriors and the list of steps; after every SETTLED steps the rates
+are written, so a job applies few.
 
 Targets: the weights times the largest total for which no domain asks for more
 tokens than it has, or, with ``anchor``, the total at which that domain stays
@@ -32,6 +35,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +53,8 @@ STEPS, SHRINK = 300, 0.02
 ITERATIONS, CLOSE = 300, 1e-3
 #: Steps after which the rates so far are written.
 SETTLED = 12
+#: Cells of the grid over each posterior, and steps taken on it at most.
+CELLS, CELL_STEPS = 512, 400
 
 _KINDS = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"#*$%&<>@^~=+_{}[]\\/", b"|", b"!", b".?", b",;:", b"\n"]
 _TABLE = np.stack([np.isin(np.arange(256), list(k)) for k in _KINDS], axis=1).astype(float)
@@ -185,9 +191,22 @@ class Rates:
     totals: list[float]
     residuals: list[float] = field(default_factory=list)  # half the squared residual after each step
 
+    def of(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rates of rows of posteriors before the last step and after it."""
+        prev = now = np.ones(len(p))
+        for g, beta in self.steps:
+            prev, now = now, np.clip(now + beta * (now - prev) - p @ np.array(g), 0.0, self.max_rate)
+        return prev, now
+
     def column(self, p: Column | None = None) -> Column:
         """The rate of a row with the posteriors ``p`` (by default its column p)."""
-        return _moved(F.lit(1.0), F.lit(1.0), self.steps, self.max_rate, F.col("p") if p is None else p)["r"]
+        steps = self
+
+        @F.pandas_udf("double")
+        def rate(values: pd.Series) -> pd.Series:
+            return pd.Series(steps.of(np.array(values.tolist(), float).reshape(len(values), -1))[1])
+
+        return rate(F.col("p") if p is None else p) if self.steps else F.lit(1.0)
 
 
 def _moved(prev: Column, now: Column, steps: list[tuple[list[float], float]], max_rate: float, p: Column) -> Column:
@@ -223,6 +242,51 @@ def target_totals(mass: np.ndarray, domains: tuple[str, ...], weights: dict[str,
     return share * total
 
 
+def cell_steps(rows: DataFrame, targets: np.ndarray, curve: float, max_rate: float, close: float) -> list[tuple[list[float], float]]:
+    """Projected gradient steps found on the token totals of the cells of a grid over the posteriors."""
+    k = len(targets)
+    t, p = F.col("tokens"), F.col("p")
+    place = [F.floor(p[d] * CELLS).cast("int").alias(f"c{d}") for d in range(k - 1)]
+    sums = [F.sum(t).cast("double").alias("t"), *(F.sum(t * p[d]).alias(f"m{d}") for d in range(k))]
+    got = rows.where(t > 0).groupBy(*place).agg(*sums).toArrow()  # a row per cell in use
+    total = got.column("t").to_numpy()
+    p = np.stack([got.column(f"m{d}").to_numpy() for d in range(k)], axis=1) / total[:, None]
+    order = np.lexsort(p.T)
+    total, p = total[order], p[order]
+    weighed = p * total[:, None]
+    error = lambda r: 0.5 * float(np.square(r @ weighed - targets).sum())
+    steps: list[tuple[list[float], float]] = []
+    prev = now = np.ones(len(total))
+    momentum, fresh = 1.0, True
+    while len(steps) < CELL_STEPS:
+        residual = now @ weighed - targets
+        slope = weighed @ residual
+        if float((slope * now - np.minimum(0.0, slope * max_rate)).sum()) <= 0.1 * close:
+            break
+        grow = (1 + (1 + 4 * momentum ** 2) ** 0.5) / 2
+        beta = 0.0 if fresh else (momentum - 1) / grow
+        ahead = now + beta * (now - prev)
+        g = (ahead @ weighed - targets) / curve
+        new = np.clip(ahead - p @ g, 0.0, max_rate)
+        if error(new) > error(now) and not fresh:
+            fresh, momentum = True, 1.0
+            continue
+        steps.append((g.tolist(), beta))
+        prev, now, momentum, fresh = now, new, grow, False
+    return steps
+
+
+def _settled(rows: DataFrame, rates: Rates) -> DataFrame:
+    """tokens, p, prev, r: the rows with their rates before and after the last step."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prev, now = rates.of(np.array(batch.column(1).to_pylist(), float).reshape(batch.num_rows, -1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prev), pa.array(now)], names=["tokens", "p", "prev", "r"])
+
+    return rows.select(F.col("tokens").cast("long"), "p").mapInArrow(run, "tokens long, p array<double>, prev double, r double")
+
+
 def fit_rates(rows: DataFrame, domains: tuple[str, ...], weights: dict[str, float] = TARGETS, max_rate: float = 1.0,
               anchor: str | None = None) -> Rates:
     """Projected gradient least squares over (tokens, p); see the module's head."""
@@ -240,12 +304,22 @@ def fit_rates(rows: DataFrame, domains: tuple[str, ...], weights: dict[str, floa
     if not targets.sum() or curve <= 0:
         return rates
     close = 0.5 * (CLOSE * float(targets.sum())) ** 2
-    state, waiting = rows.select("tokens", "p", F.lit(1.0).alias("prev"), F.lit(1.0).alias("r")), []
-    now, before, momentum = mass, mass, 1.0
     error = lambda totals: 0.5 * float(np.square(totals - targets).sum())
+    now, before, momentum, fresh = mass, mass, 1.0, True
     rates.residuals.append(error(now))
-    fresh = True
-    while len(rates.steps) < ITERATIONS:
+    state, waiting = rows.select("tokens", "p", F.lit(1.0).alias("prev"), F.lit(1.0).alias("r")), []
+    rates.steps = cell_steps(rows, targets, curve, max_rate, close)
+    if rates.steps:
+        state = materialise(_settled(rows, rates), "rates")
+        now = np.array([x or 0.0 for x in state.agg(*(F.sum(t * F.col("r") * p[d]) for d in range(k))).first()])
+        if error(now) <= rates.residuals[0]:
+            before = now
+            rates.residuals.append(error(now))
+        else:  # the summary misled
+            rates.steps, now = [], mass
+            state = rows.select("tokens", "p", F.lit(1.0).alias("prev"), F.lit(1.0).alias("r"))
+    last = len(rates.steps) + ITERATIONS
+    while len(rates.steps) < last:
         grow = (1 + (1 + 4 * momentum ** 2) ** 0.5) / 2
         beta = 0.0 if fresh else (momentum - 1) / grow
         ahead = now + beta * (now - before)
