@@ -49,8 +49,8 @@ TARGETS = {"good": 0.90, "poor": 0.07, "toxic": 0.03}
 #: Bounds of the training sample (rows per domain) and of the lexical features.
 ROWS_PER_DOMAIN, MAX_FEATURES = 1500, 1500
 STEPS, SHRINK = 300, 0.02
-#: Iterations of the rate fit at most; it ends when the residual is within CLOSE of the target total of the least one.
-ITERATIONS, CLOSE = 300, 1e-3
+#: Iterations of the rate fit at most, those on the grid included; it ends when the residual is within CLOSE of the target total of the least one.
+ITERATIONS, CLOSE = 700, 1e-3
 #: Steps after which the rates so far are written.
 SETTLED = 12
 #: Cells of the grid over each posterior, and steps taken on it at most.
@@ -318,8 +318,7 @@ def fit_rates(rows: DataFrame, domains: tuple[str, ...], weights: dict[str, floa
         else:  # the summary misled
             rates.steps, now = [], mass
             state = rows.select("tokens", "p", F.lit(1.0).alias("prev"), F.lit(1.0).alias("r"))
-    last = len(rates.steps) + ITERATIONS
-    while len(rates.steps) < last:
+    while len(rates.steps) < ITERATIONS:
         grow = (1 + (1 + 4 * momentum ** 2) ** 0.5) / 2
         beta = 0.0 if fresh else (momentum - 1) / grow
         ahead = now + beta * (now - before)
