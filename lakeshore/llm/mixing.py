@@ -191,7 +191,11 @@ class Rates:
     totals: list[float]
     residuals: list[float] = field(default_factory=list)  # half the squared residual after each step
 
-    def of(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, p: list[float]) -> float:
+        """The rate of one row."""
+        return float(self.of_rows(np.array([p], float))[1][0])
+
+    def of_rows(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rates of rows of posteriors before the last step and after it."""
         prev = now = np.ones(len(p))
         for g, beta in self.steps:
@@ -204,7 +208,7 @@ class Rates:
 
         @F.pandas_udf("double")
         def rate(values: pd.Series) -> pd.Series:
-            return pd.Series(steps.of(np.array(values.tolist(), float).reshape(len(values), -1))[1])
+            return pd.Series(steps.of_rows(np.array(values.tolist(), float).reshape(len(values), -1))[1])
 
         return rate(F.col("p") if p is None else p) if self.steps else F.lit(1.0)
 
@@ -281,7 +285,7 @@ def _settled(rows: DataFrame, rates: Rates) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prev, now = rates.of(np.array(batch.column(1).to_pylist(), float).reshape(batch.num_rows, -1))
+            prev, now = rates.of_rows(np.array(batch.column(1).to_pylist(), float).reshape(batch.num_rows, -1))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prev), pa.array(now)], names=["tokens", "p", "prev", "r"])
 
     return rows.select(F.col("tokens").cast("long"), "p").mapInArrow(run, "tokens long, p array<double>, prev double, r double")
