@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,6 +129,77 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RESULT_SCHEMA).parquet(path)
 
 
+# --- column profiles ------------------------------------------------------------------
+
+PROFILE_SCHEMA = T.StructType([
+    T.StructField("column", T.StringType()), T.StructField("total", T.LongType()), T.StructField("nulls", T.LongType()),
+    T.StructField("distinct_sketch", T.BinaryType()), T.StructField("quantile_sketch", T.BinaryType()),
+])
+#: Sketch sizes: distinct counts within about 3 % (two standard errors at 2^12 buckets), ranks within about 1.7 %.
+DISTINCT_BITS, QUANTILE_SIZE = 12, 200
+
+
+def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row per column (PROFILE_SCHEMA): rows, NULLs and mergeable sketches, in one pass over ``df``.
+
+    Distinct values are sketched for every column (compared as text), quantiles
+    for numbers; a column of another kind, or without values, has a NULL quantile
+    sketch.  NaN counts as NULL in the quantiles.
+    """
+    aggs = [F.count(F.lit(1)).alias("total")]
+    for i, c in enumerate(columns):
+        aggs += [F.count(F.col(c)).alias(f"n{i}"), F.hll_sketch_agg(F.col(c).cast("string"), DISTINCT_BITS).alias(f"d{i}")]
+        if isinstance(df.schema[c].dataType, T.NumericType):
+            number = F.col(c).cast("double")
+            aggs += [F.kll_sketch_agg_double(F.when(~F.isnan(number), number), QUANTILE_SIZE).alias(f"q{i}"),
+                     F.count_if(~F.isnan(number)).alias(f"m{i}")]
+    wide = df.agg(*aggs)
+    rows = [F.struct(F.lit(c).alias("column"), F.col("total"), (F.col("total") - F.col(f"n{i}")).alias("nulls"),
+                     F.col(f"d{i}").alias("distinct_sketch"),
+                     (F.when(F.col(f"m{i}") > 0, F.col(f"q{i}")) if f"q{i}" in wide.columns else F.lit(None).cast("binary"))
+                     .alias("quantile_sketch")) for i, c in enumerate(columns)]
+    return wide.select(F.inline(F.array(*rows)))
+
+
+def save_profile(profiled: DataFrame, path: str, run_id: str) -> None:
+    """Keep a run's profile in the history at ``path``; the same run id replaces its own."""
+    profiled.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_id={run_id}")
+
+
+def read_profiles(spark: SparkSession, path: str) -> DataFrame:
+    """The profile history, with the run id as text."""
+    return spark.read.schema(T.StructType([*PROFILE_SCHEMA.fields, T.StructField("run_id", T.StringType())])).parquet(path)
+
+
+def merged_profile(profiles: DataFrame) -> DataFrame:
+    """The profile of all runs together, per column, from their sketches alone."""
+    return profiles.groupBy("column").agg(
+        F.sum("total").alias("total"), F.sum("nulls").alias("nulls"), F.hll_union_agg("distinct_sketch").alias("distinct_sketch"),
+        F.when(F.count("quantile_sketch") > 0, F.kll_merge_agg_double("quantile_sketch")).alias("quantile_sketch"))
+
+
+def drift(profiles: DataFrame, null_share: float = 0.05, distinct_ratio: float = 0.25, median_ratio: float = 0.25) -> DataFrame:
+    """Each run's columns compared with the run before (by run id).
+
+    ``null_drift``: the share of NULLs moved by more than ``null_share``;
+    ``distinct_drift`` and ``median_drift``: the estimate moved by more than that
+    part of the earlier one's size.  A column's first run, and values one of the
+    two runs lacks, give NULL.  Keep the ratios well over the sketches' errors.
+    The history has a row per run and column, so its windows are small.
+    """
+    before = Window.partitionBy("column").orderBy("run_id")
+    median = F.when(F.col("quantile_sketch").isNotNull(), F.kll_sketch_get_quantile_double("quantile_sketch", F.lit(0.5)))
+    share = F.try_divide(F.col("nulls").cast("double"), F.col("total"))
+    measured = profiles.select("run_id", "column", "total", "nulls", share.alias("_share"),
+                               F.hll_sketch_estimate("distinct_sketch").alias("distinct_estimate"), median.alias("median_estimate"))
+    moved = lambda c: F.abs(F.col(c) - F.lag(c).over(before))
+    part = lambda c, ratio: moved(c) > ratio * F.abs(F.lag(c).over(before))
+    return measured.select("run_id", "column", "total", "nulls", "distinct_estimate", "median_estimate",
+                           (moved("_share") > null_share).alias("null_drift"),
+                           part("distinct_estimate", distinct_ratio).alias("distinct_drift"),
+                           part("median_estimate", median_ratio).alias("median_drift"))
+
+
 def suite_rules_sql(table: str, suite: Suite, run_id: str, types: dict[str, str] | None = None) -> str:
     """The same counters as ANSI SQL (``count(*) FILTER``), one UNION ALL branch per rule."""
     types = types or {}

@@ -354,5 +354,62 @@ SELECT device, count(*) AS n FROM (
               ELSE printf('Generic Brand%s Brand%s Smartphone', b, b) END AS device
   FROM events JOIN (SELECT *, replace(p_brand, 'Brand#', '') AS b FROM part) ON p_partkey = event_id % (SELECT count(*) FROM part))
 GROUP BY device"""
+    hit = {k: f"event_id % {n} = 0" for k, n in d.DAMAGE.items()}
+    q["quarantine_reasons"] = f"""
+SELECT reasons, count(*) AS n_lines FROM (
+  SELECT CASE WHEN {hit['cut']} THEN 'bad_line' ELSE concat_ws('+', CASE WHEN {hit['time']} THEN 'bad_time' END,
+    CASE WHEN {hit['address']} THEN 'bad_address' END, CASE WHEN {hit['status']} THEN 'bad_status' END) END AS reasons FROM events)
+GROUP BY reasons"""
+    twice = """(SELECT DISTINCT l_orderkey FROM (SELECT l_orderkey FROM lineitem JOIN part ON l_partkey = p_partkey
+               GROUP BY l_orderkey, l_partkey HAVING count(*) > 1))"""
+    broken = {k: f"CAST(order_id AS BIGINT) % {d.DAMAGE[k]} = 0" for k in ("time", "cut")}
+    damaged = f"({broken['time']} OR {broken['cut']})"
+    repeated = f"CAST(order_id AS BIGINT) IN {twice}"
+    # Documents with a repeated item stay in quarantine; the others come through, damaged ones a day later.
+    q["orders_after_replay"] = f"""
+SELECT order_id, order_dt, status, total_price, CASE WHEN {damaged} THEN DATE '2022-11-15' ELSE record_timestamp END AS record_timestamp,
+       items AS n_items FROM ({ORDERS_RAW}) WHERE NOT {repeated}"""
+    q["quarantine_after_replay"] = f"""
+SELECT reasons, status, CASE WHEN status = 'replayed' THEN '15' END AS replayed_in, count(*) AS n_records FROM (
+  SELECT CASE WHEN {damaged} AND NOT {repeated} THEN 'replayed' ELSE 'open' END AS status,
+         CASE WHEN {repeated} AND {damaged} THEN 'repeated_item' WHEN {broken['cut']} THEN 'bad_json'
+              ELSE concat_ws('+', CASE WHEN {broken['time']} THEN 'bad_time' END, CASE WHEN {repeated} THEN 'repeated_item' END) END AS reasons
+  FROM ({ORDERS_RAW}) WHERE {damaged} OR {repeated})
+GROUP BY reasons, status"""
+    q["orphan_ledger"] = f"""
+WITH n AS (SELECT count(*) AS s FROM supplier),
+company AS (SELECT s_suppkey AS k, CASE WHEN s_acctbal >= {d.PROMPT_BALANCE} THEN 1 WHEN s_suppkey % 2 = 1 THEN 2 END AS came FROM supplier),
+item AS (SELECT p_partkey AS k, p_size > 45 AS moves, CASE WHEN p_partkey % 10 = {d.LATE_PRODUCT_DIGIT} THEN 2 ELSE 1 END AS day,
+                p_partkey % s AS c1, (p_partkey + 1) % s AS c2 FROM part, n),
+seen AS (SELECT i.*, coalesce(a.came, 9) AS came1, coalesce(b.came, 9) AS came2
+         FROM item i LEFT JOIN company a ON a.k = c1 LEFT JOIN company b ON b.k = c2),
+-- after day 2: opened on the day of arrival, closed on day 2 if the company came then
+two AS (SELECT *, CASE WHEN came1 > day THEN day END AS o, CASE WHEN came1 = 2 AND day = 1 THEN 2 END AS x FROM seen),
+three AS (SELECT k, CASE WHEN NOT moves OR came2 < 9 THEN c1 ELSE c2 END AS c,
+                 CASE WHEN moves AND came2 = 9 AND (o IS NULL OR x IS NOT NULL) THEN 3 ELSE o END AS o,
+                 CASE WHEN NOT moves THEN x WHEN came2 = 9 THEN NULL WHEN x IS NOT NULL THEN x ELSE 3 END AS x FROM two)
+SELECT CAST(k AS BIGINT) AS product_id, CAST(c AS BIGINT) AS cuit, CASE WHEN x IS NULL THEN 'open' ELSE 'resolved' END AS status,
+       TIMESTAMP '2022-11-12 21:00:00' + to_days(CAST(o AS INTEGER)) AS opened_at,
+       TIMESTAMP '2022-11-12 21:00:00' + to_days(CAST(x AS INTEGER)) AS closed_at
+FROM three WHERE o IS NOT NULL"""
+    q["dq_history"] = """
+WITH item AS (SELECT l_orderkey % 3 AS day, l_partkey AS p, CAST(l_quantity AS DOUBLE) AS amount, CAST(l_extendedprice AS DOUBLE) AS price,
+                     l_linenumber AS line FROM lineitem),
+batch AS (SELECT CAST(20221113 + day AS VARCHAR) AS run_id, CASE WHEN day = 2 THEN p % 20 ELSE p END AS product_id,
+                 CASE WHEN day = 1 AND p % 3 = 0 THEN NULL ELSE amount END AS amount,
+                 CASE WHEN day = 1 THEN price * 3 ELSE price END AS price, line FROM item),
+long AS (SELECT run_id, 'product_id' AS c, CAST(product_id AS DOUBLE) AS v FROM batch
+         UNION ALL SELECT run_id, 'amount', amount FROM batch UNION ALL SELECT run_id, 'price', price FROM batch
+         UNION ALL SELECT run_id, 'line', CAST(line AS DOUBLE) FROM batch),
+measured AS (SELECT run_id, c, count(*) AS total, count(*) - count(v) AS nulls, count(DISTINCT v) AS n, median(v) AS m FROM long GROUP BY run_id, c),
+paired AS (SELECT *, lag(total) OVER w AS total0, lag(nulls) OVER w AS nulls0, lag(n) OVER w AS n0, lag(m) OVER w AS m0
+           FROM measured WINDOW w AS (PARTITION BY c ORDER BY run_id))
+SELECT run_id, c AS "column", total, nulls, abs(nulls / total - nulls0 / total0) > 0.05 AS null_drift,
+       abs(n - n0) > 0.25 * n0 AS distinct_drift, abs(m - m0) > 0.25 * abs(m0) AS median_drift
+FROM paired"""
+    q["products_after_restore"] = f"""
+SELECT *, '2022-11-13' AS run_dt FROM ({PRODUCTS})
+UNION ALL SELECT *, '2022-11-14' FROM ({_upsert(PRODUCTS, PRODUCT_CHANGES, ["product_id"], ["updated_dt"], ["name"])})"""
+    q["stream_top_login_countries"] = q["top_login_countries"]
     q["stream_orders"] = _dedupe(SILVER_ORDERS, ["order_id", "product_id"], ["record_timestamp"], _ITEM_TIE)
     return q

@@ -444,6 +444,119 @@ def q_device_rules(spark, sf):
     return labelled.groupBy("device").agg(F.count(F.lit(1)).alias("n"))
 
 
+# --- quarantine, ledgers, a day with a restore, kept reports ----------------------------------
+
+def q_quarantine_reasons(spark, sf):
+    """Damaged log lines, tagged with every rule they violate."""
+    from lakeshore.sources.quarantine import REASONS, tag_log_lines
+
+    tagged = tag_log_lines(d.damaged_log_lines(spark, sf))
+    return tagged.groupBy(F.concat_ws("+", REASONS).alias("reasons")).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def _orders_with_replay(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Damaged documents loaded on one day, corrections for them replayed on the two days after, sent twice."""
+    import os
+
+    from lakeshore.operators.upsert import merge_into
+    from lakeshore.sources import quarantine as q
+
+    root = _run_dir(spark, "replay")
+    lines = _staged(d.order_lines(spark, sf), root, "lines")
+    table, kept = os.path.join(root, "orders_raw"), os.path.join(root, "quarantine")
+    tagged = _staged(q.tag_order_lines(lines.select(F.col("damaged").alias("value")), d.LOAD_DATE), root, "tagged")
+    merge_into(spark, table, q.clean(tagged), KEYS["orders_raw"], batch_id=1, order_by=["record_timestamp"], count_changes=False)
+    q.keep_quarantined(spark, kept, tagged, batch_id=1)
+    corrections = lines.where(F.col("damaged") != F.col("value")).select(q.record_id("damaged").alias(q.RECORD), "value")
+    for day in (15, 16):
+        q.replay_orders(spark, kept, corrections, table, KEYS["orders_raw"], batch_id=day, load_date=f"2022-11-{day}")
+    return table, kept
+
+
+def q_orders_after_replay(spark, sf):
+    """Order documents after the replay: corrected ones bear the date of the first replay only."""
+    from lakeshore.operators.upsert import read_table
+
+    table, _ = _orders_with_replay(spark, sf)
+    return read_table(spark, table, KEYS["orders_raw"]).select("order_id", "order_dt", "status", "total_price", "record_timestamp",
+                                                               F.size("items").alias("n_items"))
+
+
+def q_quarantine_after_replay(spark, sf):
+    """The quarantine table after the replay, by reasons and status."""
+    from lakeshore.operators.upsert import read_table
+    from lakeshore.sources.quarantine import RECORD
+
+    _, kept = _orders_with_replay(spark, sf)
+    return (read_table(spark, kept, [RECORD]).groupBy(F.concat_ws("+", "reasons").alias("reasons"), "status", "replayed_in")
+            .agg(F.count(F.lit(1)).alias("n_records")))
+
+
+def q_orphan_ledger(spark, sf):
+    """Products without their company over three loads: late companies, late products, products that change company."""
+    import os
+
+    from lakeshore.operators.referential import update_ledger
+
+    path = os.path.join(_run_dir(spark, "orphans"), "ledger")
+    companies, loads = d.late_companies(spark, sf), d.product_loads(spark, sf)
+    for day, load in loads.items():
+        ledger = update_ledger(spark, path, load, companies[min(day, 2)], "product_id", "cuit",
+                               loaded_at=f"2022-11-{12 + day} 21:00:00", batch_id=day)
+    return ledger
+
+
+def q_dq_history(spark, sf):
+    """Column profiles of three batches kept as sketches, each compared with the batch before.
+
+    The counts are exact; whether the distinct and median estimates drifted is
+    read off the sketches (thresholds well over their error).
+    """
+    import os
+
+    from lakeshore.operators.quality import drift, profile, read_profiles, save_profile
+
+    path = os.path.join(_run_dir(spark, "dq_history"), "profiles")
+    for run_id, batch in d.line_item_batches(spark, sf).items():
+        save_profile(profile(batch, ["product_id", "amount", "price", "line"]), path, run_id)
+    return drift(read_profiles(spark, path)).drop("distinct_estimate", "median_estimate")
+
+
+def q_products_after_restore(spark, sf):
+    """Two days of the products job; the table is lost in between and restored from the first day's backup.
+
+    Returns both days' backups.
+    """
+    import os
+
+    from lakeshore.sinks.snapshots import read_snapshot
+
+    root = _run_dir(spark, "restore")
+    backups = os.path.join(root, "backups")
+    days = {"2022-11-13": ("table", d.products(spark, sf)), "2022-11-14": ("table_after_loss", d.product_changes(spark, sf))}
+    parts = []
+    for day, (place, records) in days.items():
+        dimensions.daily_dimension_job(spark, "products", os.path.join(root, place), backups, records, day)
+        parts.append(read_snapshot(spark, backups, day).withColumn("run_dt", F.lit(day)))
+    return parts[0].unionByName(parts[1])
+
+
+def q_stream_top_login_countries(spark, sf):
+    """The login report kept by a stream over the silver log table, which grows while the stream is down."""
+    import os
+
+    from lakeshore.streaming import streams
+
+    root = _run_dir(spark, "kept_report")
+    logs = _staged(silver_logs(spark, sf), root, "logs")
+    silver, report = os.path.join(root, "silver"), os.path.join(root, "report")
+    early = F.second("request_timestamp") < 30
+    for part in (early, ~F.coalesce(early, F.lit(False))):
+        logs.where(part).write.mode("append").parquet(silver)
+        streams.run_to_end(streams.start_login_countries_stream(spark, silver, report, os.path.join(root, "ck")))
+    return streams.read_login_countries(spark, report)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_login_countries": q_top_login_countries,
     "top_products_in_top_country": q_top_products_in_top_country,
@@ -485,4 +598,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders_after_drift": q_orders_after_drift,
     "geo_lookup_nested": q_geo_lookup_nested,
     "device_rules": q_device_rules,
+    "quarantine_reasons": q_quarantine_reasons,
+    "orders_after_replay": q_orders_after_replay,
+    "quarantine_after_replay": q_quarantine_after_replay,
+    "orphan_ledger": q_orphan_ledger,
+    "dq_history": q_dq_history,
+    "products_after_restore": q_products_after_restore,
+    "stream_top_login_countries": q_stream_top_login_countries,
 }

@@ -41,6 +41,12 @@ CLOSED_ACCOUNTS = (3000, 5000)
 # Orders whose key ends in this digit arrive a day late; re-sent orders keep items of this amount or more.
 LATE_ORDER_DIGIT = 3
 RESENT_LEAST_AMOUNT = 10
+# Log lines and order documents whose key these divide are damaged on their way in.
+DAMAGE = {"time": 11, "cut": 13, "address": 17, "status": 19}
+# Products whose key ends in this digit arrive a day late.
+LATE_PRODUCT_DIGIT = 3
+# Companies with a lower balance come late or never.
+PROMPT_BALANCE = 3000
 # First octet of an event's IP cycles over 27 blocks; nations own blocks 1..25
 # up to x.191.255.255, so blocks 26, 27 and x.192+ are gaps (unknown country).
 IP_BLOCKS = 27
@@ -245,8 +251,8 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- web logs --------------------------------------------------------------
 
-def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One combined-log text line per event (column ``value``), like a landed log file.
+def event_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One combined-log text line (``value``) per ``event_id``.
 
     signup -> login request; view/click/purchase -> product request;
     error -> product request answered 500.
@@ -265,7 +271,63 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     nbytes = (F.col("event_id") * 7919 % 65536).cast("string")
     line = format_log_line(ip, F.concat(F.lit("user"), F.col("user_id").cast("string")),
                            F.col("ts"), action, product, status, nbytes, agent)
-    return e.select(line.alias("value"))
+    return e.select("event_id", line.alias("value"))
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' log lines (column ``value``), like a landed log file."""
+    return event_log_lines(spark, sf_dir).select("value")
+
+
+def damaged_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log lines with a month 13, a missing end, no address or no status number where DAMAGE says so."""
+    lines, value = event_log_lines(spark, sf_dir), F.col("value")
+    for kind, pattern, new in (("time", r"\[(\d\d)/\d\d/", "[$1/13/"), ("address", r"^\S+", "-"),
+                               ("status", r'" \d{3} ', '" OK '), ("cut", r' - "[^"]*"$', "")):
+        value = F.when(F.col("event_id") % DAMAGE[kind] == 0, F.regexp_replace(value, pattern, new)).otherwise(value)
+    return lines.select(value.alias("value"))
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(order_id, value, damaged): order documents as JSON lines, and as they came in: with an unreadable
+    time or without their end where DAMAGE says so."""
+    docs, key = order_documents(spark, sf_dir), F.col("order_id").cast("bigint")
+    struct = lambda when: F.to_json(F.struct(*[when if c == "order_dt" else F.col(c) for c in docs.columns]))
+    late = F.when(key % DAMAGE["time"] == 0, F.concat(F.lit("day "), "order_dt")).otherwise(F.col("order_dt")).alias("order_dt")
+    out = docs.select("order_id", struct(F.col("order_dt")).alias("value"), struct(late).alias("damaged"))
+    cut = F.when(key % DAMAGE["cut"] == 0, F.expr("left(damaged, length(damaged) - 9)")).otherwise(F.col("damaged"))
+    return out.withColumn("damaged", cut)
+
+
+def line_item_batches(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Line items as three days' batches: the second day with prices three times as high and a third of the
+    quantities missing, the third with few products."""
+    li = table(spark, sf_dir, "lineitem")
+    day = F.pmod(F.col("l_orderkey"), F.lit(3))
+    first = li.select(day.alias("day"), F.col("l_partkey").alias("product_id"), F.col("l_quantity").cast("double").alias("amount"),
+                      F.col("l_extendedprice").cast("double").alias("price"), F.col("l_linenumber").alias("line"))
+    missing = F.pmod(F.col("product_id"), F.lit(3)) == 0
+    return {"20221113": first.where("day = 0"),
+            "20221114": first.where("day = 1").withColumn("price", F.col("price") * 3).withColumn("amount", F.when(~missing, F.col("amount"))),
+            "20221115": first.where("day = 2").withColumn("product_id", F.col("product_id") % 20)}
+
+
+def late_companies(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
+    """The companies there on days 1 and 2: those with a low balance come on day 2 if their key is odd, else never."""
+    s = table(spark, sf_dir, "supplier")
+    prompt = F.col("s_acctbal") >= PROMPT_BALANCE
+    there = {1: prompt, 2: prompt | (F.col("s_suppkey") % 2 == 1)}
+    return {day: s.where(w).select(F.col("s_suppkey").cast("bigint").alias("cuit")) for day, w in there.items()}
+
+
+def product_loads(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
+    """(product_id, cuit) as loaded on days 1 and 2 (late products) and 3 (large parts move to the next company)."""
+    p = table(spark, sf_dir, "part")
+    key, n = F.col("p_partkey").cast("bigint"), _supplier_count(spark, sf_dir)
+    late = key % 10 == LATE_PRODUCT_DIGIT
+    load = lambda df, cuit: df.select(key.alias("product_id"), cuit.alias("cuit"))
+    return {1: load(p.where(~late), key % n), 2: load(p.where(late), key % n),
+            3: load(p.where(F.col("p_size") > 45), (key + 1) % n)}
 
 
 def geo_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:

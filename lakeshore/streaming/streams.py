@@ -195,14 +195,60 @@ def start_silver_logs_stream(spark: SparkSession, bronze_path: str, silver_path:
     return _trigger(w, trigger).start(silver_path)
 
 
+SILVER_LOGS_SCHEMA = T.StructType([
+    T.StructField("ip_address", T.StringType()), T.StructField("request", T.StringType()),
+    T.StructField("status_code", T.StringType()), T.StructField("user_agent", T.StringType()),
+    T.StructField("request_timestamp", T.TimestampType()), T.StructField("year", T.IntegerType()),
+    T.StructField("product_id", T.StringType()), T.StructField("action", T.StringType()),
+    T.StructField("country", T.StringType())])
+
+
 def read_silver_logs(spark: SparkSession, silver_path: str) -> DataFrame:
-    schema = T.StructType([
-        T.StructField("ip_address", T.StringType()), T.StructField("request", T.StringType()),
-        T.StructField("status_code", T.StringType()), T.StructField("user_agent", T.StringType()),
-        T.StructField("request_timestamp", T.TimestampType()), T.StructField("year", T.IntegerType()),
-        T.StructField("product_id", T.StringType()), T.StructField("action", T.StringType()),
-        T.StructField("country", T.StringType())])
-    return spark.read.schema(schema).parquet(silver_path).select(*LOGS_COLUMNS)
+    return spark.read.schema(SILVER_LOGS_SCHEMA).parquet(silver_path).select(*LOGS_COLUMNS)
+
+
+# --- reports kept by a stream --------------------------------------------------------
+
+#: The text that names a group of a kept report, NULL groups included.
+GROUP = "_group"
+
+
+def start_counts_stream(rows: DataFrame, by: str, count_name: str, report_path: str, checkpoint: str,
+                        trigger: str | dict = "availableNow") -> StreamingQuery:
+    """Counts of a stream's rows per value of ``by``, kept in a merged table at ``report_path``.
+
+    A stateful aggregation in update mode: the state store under ``checkpoint``
+    holds one count per value, a micro-batch reads its own rows only and merges
+    the counts that changed.  A replayed micro-batch starts from the state before
+    it and replaces its own folder, so no row counts twice.  As in the reports,
+    rows where ``by`` is NULL make a group whose count is 0.
+    """
+    counts = rows.groupBy(by).agg(F.count(by).alias(count_name))
+
+    def fn(df, batch_id):
+        group = F.coalesce(F.concat(F.lit("="), F.col(by)), F.lit("NULL")).alias(GROUP)
+        merge_into(df.sparkSession, report_path, df.select(group, by, count_name), [GROUP], batch_id,
+                   order_by=[count_name], count_changes=False)
+
+    w = counts.writeStream.outputMode("update").foreachBatch(fn).option("checkpointLocation", checkpoint)
+    return _trigger(w, trigger).start()
+
+
+def start_login_countries_stream(spark: SparkSession, silver_path: str, report_path: str, checkpoint: str,
+                                 trigger: str | dict = "availableNow", max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Logins per country, kept from the silver log table as it grows."""
+    reader = spark.readStream.schema(SILVER_LOGS_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    logins = reader.parquet(silver_path).where(F.col("action") == "login")
+    return start_counts_stream(logins, "country", "number_of_users", report_path, checkpoint, trigger)
+
+
+def read_login_countries(spark: SparkSession, report_path: str, k: int = 10) -> DataFrame:
+    """The report ``reports.top_login_countries``, from the kept counts."""
+    kept = read_table(spark, report_path, [GROUP])
+    return (kept.orderBy(F.col("number_of_users").desc(), F.col("country").asc_nulls_last())
+                .limit(k).select("number_of_users", "country"))
 
 
 def read_silver_orders(spark: SparkSession, silver_path: str) -> DataFrame:
