@@ -23,6 +23,7 @@ import html as html_lib
 import math
 import random
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -33,15 +34,16 @@ from pyspark.sql import DataFrame
 from lakeshore.llm.common import text_list
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>|<[a-zA-Z][^>]*\Z|([^<]+|<)", re.S)
-NAME = re.compile(r"(?:class|id|role|itemprop|data-main)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)"
+    r"|<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<([a-zA-Z][^\s/>]*+)([^>]*+)>|<[a-zA-Z][^>]*+\Z|([^<]+|<)", re.S)
+NAME = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 LABEL = re.compile(r'data-main="([01])"')
 PART = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 #: Fixed values of the HTML standard.
-RAW = frozenset("script style title textarea noscript template iframe svg math object select option button".split())
+RAW = frozenset("script style title textarea noscript template iframe svg annotation annotation-xml object select option button".split())
 TO_END = frozenset("script style title textarea".split())
+CONTROLS = frozenset("select option button".split())
 BLOCKS = frozenset(("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer "
                     "form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre section summary table tbody "
                     "td tfoot th thead tr ul").split())
@@ -88,9 +90,30 @@ def _hints(attributes: str) -> frozenset:
     return frozenset(found)
 
 
+def _element_ends(html: str, name: str) -> dict[int, int]:
+    """Where the elements of a name end, by where their opening tag's name starts; unclosed ones are left out."""
+    ends, open_ = {}, []
+    for m in re.compile(rf"<(/?)({re.escape(name)})(?![^\s/>])(?:[^<>]*>)?", re.I).finditer(html):
+        if not m.group(1):
+            open_.append(m.start(2))
+        elif open_:
+            ends[open_.pop()] = m.end()
+    return ends
+
+
 def parse(html: str) -> Page:
+    """The page's blocks and runs of text.
+
+    What a raw element holds is skipped up to its own closing tag.  One that is
+    never closed holds nothing, but that an unclosed control's label goes, and
+    that script, style, title and textarea reach to the end.  Time is linear in
+    the page's length, however deep its blocks nest.
+    """
     page = Page()
     stack, inside_links, buffer, linked = [0], 0, [], 0
+    # Where in the stack the open blocks of a tag are; where raw elements end, by name.
+    depths: defaultdict[str, list[int]] = defaultdict(list)
+    ends: dict[str, dict[int, int]] = {}
 
     def close_run() -> None:
         nonlocal buffer, linked
@@ -104,15 +127,18 @@ def parse(html: str) -> Page:
                 page.stops[node] += len(re.findall(r"[.!?](?:\s|$)", text))
             buffer, linked = [], 0
 
+    def innermost(names: tuple[str, ...]) -> int:
+        return max((depths[n][-1] for n in names if depths[n]), default=0)
+
+    def pop_from(k: int) -> None:
+        close_run()
+        while len(stack) > k:
+            depths[page.tags[stack.pop()]].pop()
+
     def pop_to(names: tuple[str, ...], limit: tuple[str, ...] = ()) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            tag = page.tags[stack[k]]
-            if tag in names:
-                close_run()
-                del stack[k:]
-                return
-            if tag in limit:
-                return
+        k = innermost(names)
+        if k and k > innermost(limit):
+            pop_from(k)
 
     at, end = 0, len(html)
     while at < end and (m := TOKEN.match(html, at)):
@@ -127,15 +153,19 @@ def parse(html: str) -> Page:
         if name:
             attributes = attributes if opening else attributes2
             if name in RAW:
-                if not attributes.endswith("/"):
-                    shut = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
-                    at = shut.end() if shut else end if name in TO_END else at
+                if name in TO_END and not attributes.endswith("/"):
+                    shut = re.compile(rf"</{name}\b[^<>]*+>", re.I).search(html, at)
+                    at = shut.end() if shut else end
+                elif not attributes.endswith("/"):
+                    if name not in ends:
+                        ends[name] = _element_ends(html, name)
+                    unclosed = html.find("<", at) if name in CONTROLS else at
+                    at = max(at, ends[name].get(m.start(2 if opening else 4), unclosed if unclosed >= 0 else end))
                 buffer.append(" ")
             elif name in BLOCKS:
                 pop_to(("p",), ("td", "th", "button", "object"))
                 if name in HEADINGS and page.tags[stack[-1]] in HEADINGS:
-                    close_run()
-                    stack.pop()
+                    pop_from(len(stack) - 1)
                 if name in CLOSES:
                     pop_to(CLOSES[name], ("ul", "ol", "menu", "dl", "table"))
                 close_run()
@@ -150,6 +180,7 @@ def parse(html: str) -> Page:
                 page.own.append(0)
                 page.linked.append(0)
                 page.stops.append(0)
+                depths[name].append(len(stack))
                 stack.append(len(page.tags) - 1)
             elif name == "a":
                 inside_links = 1
