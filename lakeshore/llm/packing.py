@@ -54,32 +54,40 @@ def plan_cuts(places: np.ndarray, penalty: np.ndarray, window: int = WINDOW) ->
     f(i) + places[i] is what a predecessor costs, kept ascending in the queue.
     """
     n = len(places)
-    exact: dict[int, list[int]] = {}
+    ends, starts = [], []
     size = 1
     while size <= window:
         at = np.searchsorted(places, places - size)
-        hit = (at < n) & (places - size >= 0)
-        hit[hit] = places[at[hit]] == places[hit] - size
-        for j in np.flatnonzero(hit).tolist():
-            exact.setdefault(j, []).append(int(at[j]))
+        hit = np.flatnonzero(places >= size)
+        hit = hit[places[at[hit]] == places[hit] - size]
+        ends.append(hit)
+        starts.append(at[hit])
         size *= 2
-    where, fine = places.tolist(), penalty.tolist()
+    end = np.concatenate(ends)
+    # Windows of an exact size that end at j: before[first[j]:first[j + 1]].
+    before = np.concatenate(starts)[np.argsort(end, kind="stable")].tolist()
+    first = np.concatenate([[0], np.cumsum(np.bincount(end, minlength=n))]).tolist()
+    where, fine = places.tolist(), (penalty + PER_WINDOW).tolist()
     f, back = [0.0] * n, [0] * n
-    queue: deque[tuple[float, int]] = deque([(0.0, 0)])
+    queue: deque[tuple[float, int, int]] = deque([(0.0, 0, 0)])
     for j in range(1, n):
         here = where[j]
-        while where[queue[0][1]] < here - window:
+        low = here - window
+        while queue[0][2] < low:
             queue.popleft()
-        best, i = queue[0]
-        best += window - here
-        for k in exact.get(j, ()):
-            if f[k] < best:
-                best, i = f[k], k
-        f[j], back[j] = best + fine[j] + PER_WINDOW, i
-        entry = f[j] + here
+        best, i, _ = queue[0]
+        best -= low
+        a, b = first[j], first[j + 1]
+        if a < b:
+            for k in before[a:b]:
+                if f[k] < best:
+                    best, i = f[k], k
+        best += fine[j]
+        f[j], back[j] = best, i
+        entry = best + here
         while queue and queue[-1][0] >= entry:
             queue.pop()
-        queue.append((entry, j))
+        queue.append((entry, j, here))
     cuts, j = [], n - 1
     while j:
         cuts.append(j)
