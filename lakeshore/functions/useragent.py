@@ -47,25 +47,3 @@ def device_label(c, rules: list[tuple[str, str, str, str]] | None = None) -> Col
                             _template(brand, ua, pattern), _template(model, ua, pattern))
         expr = expr.when(ua.rlike(pattern), label)
     return expr.otherwise(F.lit(UNKNOWN_DEVICE))
-
-
-def device_label_sql(col: str, rules: list[tuple[str, str, str, str]] | None = None) -> str:
-    """The same rules as an ANSI CASE for other engines (regexp_matches / regexp_extract)."""
-    rules = DEVICE_RULES if rules is None else rules
-
-    def tmpl(text: str, pattern: str) -> str:
-        if "{1}" not in text:
-            return "'" + text + "'"
-        pieces = text.split("{1}")
-        grp = f"regexp_extract({col}, '{pattern}', 1)"
-        parts = ["'" + pieces[0] + "'"]
-        for p in pieces[1:]:
-            parts += [grp, "'" + p + "'"]
-        return "(" + " || ".join(parts) + ")"
-
-    whens = [f"WHEN {col} IS NULL THEN NULL"]
-    for pattern, family, brand, model in rules:
-        whens.append(
-            f"WHEN regexp_matches({col}, '{pattern}') THEN "
-            f"{tmpl(family, pattern)} || ' ' || {tmpl(brand, pattern)} || ' ' || {tmpl(model, pattern)}")
-    return "CASE " + " ".join(whens) + f" ELSE '{UNKNOWN_DEVICE}' END"

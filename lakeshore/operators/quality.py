@@ -198,33 +198,3 @@ def drift(profiles: DataFrame, null_share: float = 0.05, distinct_ratio: float =
                            (moved("_share") > null_share).alias("null_drift"),
                            part("distinct_estimate", distinct_ratio).alias("distinct_drift"),
                            part("median_estimate", median_ratio).alias("median_drift"))
-
-
-def suite_rules_sql(table: str, suite: Suite, run_id: str, types: dict[str, str] | None = None) -> str:
-    """The same counters as ANSI SQL (``count(*) FILTER``), one UNION ALL branch per rule."""
-    types = types or {}
-    parts = []
-    for i, r in enumerate(suite.rules):
-        cols = ",".join(r.columns)
-        if r.kind == "not_null":
-            f = f"count(*) FILTER (WHERE {r.columns[0]} IS NULL)"
-            n = "CAST(0 AS BIGINT)"
-            total = "count(*)"
-        elif r.kind == "pair_greater":
-            a, b = r.columns
-            if a in types:
-                a = f"TRY_CAST({a} AS {types[a]})"
-            if b in types:
-                b = f"TRY_CAST({b} AS {types[b]})"
-            op = ">=" if r.params.get("or_equal") else ">"
-            f = f"count(*) FILTER (WHERE NOT ({a} {op} {b}))"
-            n = f"count(*) FILTER (WHERE ({a} {op} {b}) IS NULL)"
-            total = "count(*)"
-        else:
-            raise ValueError("max_between has no SQL form here")
-        parts.append(
-            f"SELECT '{run_id}' AS run_id, '{suite.name}' AS suite, CAST({i} AS INTEGER) AS rule_index, "
-            f"'{r.name}' AS rule, '{cols}' AS columns, CAST({total} AS BIGINT) AS total, "
-            f"CAST({f} AS BIGINT) AS failed, CAST({n} AS BIGINT) AS not_evaluated, "
-            f"({f} = 0 AND {n} = 0) AS success FROM {table}")
-    return "\nUNION ALL\n".join(parts)

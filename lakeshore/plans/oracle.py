@@ -8,11 +8,8 @@ oracle checks the Spark path end to end rather than repeating it.
 
 from __future__ import annotations
 
-from lakeshore.functions.useragent import device_label_sql
-from lakeshore.operators.quality import suite_rules_sql
 from lakeshore.operators.sample import ARITH_MOD, ARITH_MULT
 from lakeshore.plans import registry as r
-from lakeshore.plans.suites import ORDERS_RAW_SUITE, ORDERS_SUITE
 from lakeshore.sources import driver as d
 
 _TS0 = f"TIMESTAMP '{d.BASE_UPDATED_TS}'"
@@ -24,6 +21,11 @@ _STATUS = ("CASE o_orderstatus " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in
            + " END")
 _AGENTS = "[" + ", ".join("'" + a + "'" for a in d.USER_AGENTS) + "]"
 
+# What each agent of the log lines is, in the order of the agents.
+_DEVICES = ["iPhone Apple iPhone", "Samsung SM-S901B Samsung SM-S901B", "Pixel 6 Google Pixel 6", "Other None None", "Mac Apple Mac",
+            "iPad Apple iPad", "Other None None", "Spider Spider Desktop", "Other None None"]
+_DEVICE = "[" + ", ".join(f"'{x}'" for x in _DEVICES) + f"][list_position({_AGENTS}, agent)]"
+
 COMPANIES = f"SELECT CAST(s_suppkey AS BIGINT) AS cuit, s_name AS name, {_TS0} AS updated_dt FROM supplier"
 
 COMPANY_CHANGES = f"""
@@ -117,7 +119,7 @@ SELECT ip_address, '-' AS client_identity, 'user' || CAST(user_id AS VARCHAR) AS
 FROM ({LOG_FIELDS})"""
 
 SILVER_LOGS = f"""
-SELECT ip_address, request, g.country, status_code, {device_label_sql('agent')} AS user_agent,
+SELECT ip_address, request, g.country, status_code, {_DEVICE} AS user_agent,
        date_trunc('second', ts) AS request_timestamp, CAST(year(DATE '{d.LOAD_DATE}') AS INTEGER) AS year,
        CASE WHEN request LIKE '%product%' THEN pid END AS product_id, action
 FROM ({LOG_FIELDS}) l LEFT JOIN ({GEO}) g ON l.ipn BETWEEN g.ip_from AND g.ip_to"""
@@ -171,6 +173,23 @@ def _money_avg(col: str) -> str:
     return f"CAST(CAST(({cents} * 2 + {n}) // ({n} * 2) AS DOUBLE) / 100 AS DECIMAL(18,2))"
 
 
+# The order suites' rules, by hand.
+_NOT_NULL_ORDER = [("customer_birth_day", "customer_birth_day IS NULL"), ("customer_document_number", "customer_document_number IS NULL"),
+                   ("customer_name", "customer_name IS NULL")]
+
+
+def _checked(rows: str, suite: str, not_null: list[tuple[str, str]], greater: list[tuple[str, str, str]]) -> str:
+    rules = [("expect_column_values_to_not_be_null", c, bad, "false") for c, bad in not_null]
+    rules += [("expect_column_pair_values_a_to_be_greater_than_b", f"{a},{b}", f"{left} <= {b}", f"{left} IS NULL OR {b} IS NULL")
+              for a, b, left in greater]
+    return f"WITH checked AS ({rows})" + "\nUNION ALL ".join(
+        f"""
+SELECT '{r.RUN_ID}' AS run_id, '{suite}' AS suite, CAST({i} AS INTEGER) AS rule_index, '{rule}' AS rule, '{columns}' AS "columns",
+       count(*) AS total, count(*) FILTER (WHERE {bad}) AS failed, count(*) FILTER (WHERE {unknown}) AS not_evaluated,
+       count(*) FILTER (WHERE {bad}) + count(*) FILTER (WHERE {unknown}) = 0 AS success FROM checked"""
+        for i, (rule, columns, bad, unknown) in enumerate(rules))
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     logs = f"({SILVER_LOGS})"
@@ -209,7 +228,7 @@ SELECT order_id, status, items AS n_items, CAST(total_dec AS DECIMAL(18,2)) AS i
     q["geo_lookup"] = f"""
 SELECT ip_address, g.country FROM ({LOG_FIELDS}) l LEFT JOIN ({GEO}) g ON l.ipn BETWEEN g.ip_from AND g.ip_to"""
     q["device_label"] = f"""
-SELECT agent, {device_label_sql('agent')} AS device, count(*) AS n FROM ({_EVENTS_FIELDS}) GROUP BY agent"""
+SELECT agent, {_DEVICE} AS device, count(*) AS n FROM ({_EVENTS_FIELDS}) GROUP BY agent"""
     q["rescued_data"] = """
 SELECT CAST(o_orderkey AS VARCHAR) AS order_id, '{"priority":"' || o_orderpriority || '"}' AS _rescued_data,
        CAST(0 AS INTEGER) AS n_bad_fields FROM orders"""
@@ -252,11 +271,14 @@ SELECT * FROM p WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.cuit = p.cuit)"""
     q["orphan_summary"] = f"""
 SELECT count(*) AS child_rows, count(*) FILTER (WHERE p.product_id IS NULL) AS orphan_rows
 FROM ({SILVER_ORDERS}) so LEFT JOIN ({PRODUCTS}) p ON so.product_id = p.product_id"""
-    raw_dq = f"SELECT * EXCLUDE (total_dec) FROM ({ORDERS_RAW})"
-    q["dq_orders_raw"] = (f"WITH orders_raw AS ({raw_dq})\n"
-                          + suite_rules_sql("orders_raw", ORDERS_RAW_SUITE, r.RUN_ID))
-    q["dq_orders"] = (f"WITH orders AS ({SILVER_ORDERS})\n"
-                      + suite_rules_sql("orders", ORDERS_SUITE, r.RUN_ID, types={"order_id": "BIGINT"}))
+    q["dq_orders_raw"] = _checked(f"SELECT * FROM ({ORDERS_RAW})", "transactional_orders_raw", [
+        *_NOT_NULL_ORDER, ("items", "items IS NULL"), ("order_dt", "order_dt IS NULL"), ("order_id", "order_id IS NULL"),
+        ("status", "status IS NULL"), ("total_price", "total_price IS NULL"), ("record_timestamp", "record_timestamp IS NULL")], [])
+    q["dq_orders"] = _checked(SILVER_ORDERS, "transactional_orders_processed", [
+        *_NOT_NULL_ORDER, ("product_id", "product_id IS NULL"), ("order_dt", "order_dt IS NULL"), ("order_id", "order_id IS NULL"),
+        ("status", "status IS NULL"), ("order_total_price", "order_total_price IS NULL"), ("record_timestamp", "record_timestamp IS NULL")],
+        [("order_total_price", "item_price_default", "order_total_price"), ("item_price", "item_price_default", "item_price"),
+         ("order_id", "product_id", "TRY_CAST(order_id AS BIGINT)")])
     q["hash_sample"] = f"""
 SELECT * FROM ({PRODUCTS})
 WHERE {_arith_hash('product_id', r.SAMPLE_SEED)} < {int(r.SAMPLE_FRACTION * ARITH_MOD)}"""
@@ -412,4 +434,19 @@ SELECT *, '2022-11-13' AS run_dt FROM ({PRODUCTS})
 UNION ALL SELECT *, '2022-11-14' FROM ({_upsert(PRODUCTS, PRODUCT_CHANGES, ["product_id"], ["updated_dt"], ["name"])})"""
     q["stream_top_login_countries"] = q["top_login_countries"]
     q["stream_orders"] = _dedupe(SILVER_ORDERS, ["order_id", "product_id"], ["record_timestamp"], _ITEM_TIE)
+    q["silver_log_files"] = f"""
+SELECT country, count(*) AS n_rows, CAST(ceil(count(*) / {r.LOG_ROWS_PER_FILE}) AS BIGINT) AS n_files, true AS bounded
+FROM {logs} GROUP BY country"""
+    q["upsert_landed_companies"] = UPSERT_COMPANIES
+    q["job_runs_listing"] = q["job_runs_view"].replace("WHERE run_type = 'JOB_RUN'", "")
+    q["sql_top_products"] = q["top_products_in_top_country"]
+    q["rename_one_company"] = f"""
+SELECT cuit, CASE WHEN first THEN 'New Name!!' ELSE name END AS name, CASE WHEN first THEN {_TS1} ELSE updated_dt END AS updated_dt
+FROM (SELECT *, cuit = min(cuit) OVER () AS first FROM ({COMPANIES}))"""
+    q["order_item_ids"] = f"""
+SELECT order_id, product_id, sha256(order_id || chr(31) || CAST(product_id AS VARCHAR)) AS item_id FROM ({SILVER_ORDERS})"""
+    q["daily_cancelled_orders"] = f"""
+WITH o AS (SELECT order_dt AS day, count(DISTINCT order_id) AS n FROM ({SILVER_ORDERS}) WHERE status = 'cancelled' GROUP BY order_dt),
+spine AS (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM o)
+SELECT day, coalesce(n, 0) AS n_orders FROM spine LEFT JOIN o USING (day)"""
     return q

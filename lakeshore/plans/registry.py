@@ -29,6 +29,7 @@ RUN_ID = "20221114"
 SAMPLE_FRACTION = 0.3
 SAMPLE_SEED = 42
 SAMPLE_N = 5
+LOG_ROWS_PER_FILE = 100
 
 
 # --- shared derivations --------------------------------------------------------
@@ -557,6 +558,84 @@ def q_stream_top_login_countries(spark, sf):
     return streams.read_login_countries(spark, report)
 
 
+# --- small operators ----------------------------------------------------------------------------
+
+def q_silver_log_files(spark, sf):
+    """Rows and files per country of silver logs written with a bound on the rows of a file."""
+    import os
+
+    from lakeshore.sinks.partitioned import SLACK, write_bounded
+    from lakeshore.streaming.streams import SILVER_LOGS_SCHEMA
+
+    root = _run_dir(spark, "log_files")
+    path = os.path.join(root, "by_country")
+    write_bounded(_staged(silver_logs(spark, sf), root, "logs"), path, ["country"], LOG_ROWS_PER_FILE)
+    files = (spark.read.schema(SILVER_LOGS_SCHEMA).parquet(path)
+             .groupBy("country", F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n")))
+    return files.groupBy("country").agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_files"),
+                                        (F.max("n") <= int(SLACK * LOG_ROWS_PER_FILE)).alias("bounded"))
+
+
+def q_upsert_landed_companies(spark, sf):
+    """A day's company records landed as JSON, read under the stored schema and merged."""
+    import os
+
+    from lakeshore.sources.files import read_records
+
+    path = os.path.join(_run_dir(spark, "records"), "companies")
+    d.company_changes(spark, sf).write.json(path)
+    return dimensions.upsert_dimension("companies", d.companies(spark, sf), read_records(spark, path, "companies"))
+
+
+def q_job_runs_listing(spark, sf):
+    """The monitor's table of all runs, from landed listings of the jobs service."""
+    import os
+
+    from lakeshore.sources.files import read_job_runs
+
+    path = os.path.join(_run_dir(spark, "listings"), "job_runs")
+    d.job_run_pages(spark, sf).write.json(path)
+    return monitor.flat_job_runs_view(read_job_runs(spark, path, multi_line=False), run_type=None)
+
+
+def q_sql_top_products(spark, sf):
+    """The products report as a SQL user writes it, over the views of a lake."""
+    from lakeshore.catalog import Lake
+    from lakeshore.operators.upsert import merge_into
+    from lakeshore.plans import jobs
+
+    lake = Lake(_run_dir(spark, "views"))
+    silver_logs(spark, sf).write.partitionBy("country").parquet(lake.table("logs"))
+    merge_into(spark, lake.table("products"), d.products(spark, sf), KEYS["products"], batch_id=1, count_changes=False)
+    jobs.register_views(spark, lake)
+    return spark.sql("""
+        WITH top AS (SELECT country FROM logs WHERE action = 'login' GROUP BY country
+                     ORDER BY count(country) DESC, country NULLS LAST LIMIT 1),
+        viewed AS (SELECT l.product_id, count(*) AS c FROM logs l JOIN top ON l.country = top.country
+                   WHERE l.action = 'product' GROUP BY l.product_id)
+        SELECT c, v.product_id, p.name AS product_name
+        FROM viewed v JOIN products p ON p.product_id = try_cast(v.product_id AS BIGINT)
+        ORDER BY c DESC, v.product_id, product_name NULLS LAST LIMIT 5""")
+
+
+def q_rename_one_company(spark, sf):
+    """The companies table after the daily change of one record."""
+    companies = d.companies(spark, sf)
+    return dimensions.upsert_dimension("companies", companies, dimensions.rename_one(companies, "cuit", ts=d.CHANGE_UPDATED_TS))
+
+
+def q_order_item_ids(spark, sf):
+    """Row ids of the order items, from their keys."""
+    from lakeshore.functions.ids import key_id
+
+    return silver_orders(spark, sf).select("order_id", "product_id", key_id("order_id", "product_id").alias("item_id"))
+
+
+def q_daily_cancelled_orders(spark, sf):
+    """Cancelled orders per day, days without any included."""
+    return reports.daily_orders(silver_orders(spark, sf), status="cancelled")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_login_countries": q_top_login_countries,
     "top_products_in_top_country": q_top_products_in_top_country,
@@ -605,4 +684,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_history": q_dq_history,
     "products_after_restore": q_products_after_restore,
     "stream_top_login_countries": q_stream_top_login_countries,
+    "silver_log_files": q_silver_log_files,
+    "upsert_landed_companies": q_upsert_landed_companies,
+    "job_runs_listing": q_job_runs_listing,
+    "sql_top_products": q_sql_top_products,
+    "rename_one_company": q_rename_one_company,
+    "order_item_ids": q_order_item_ids,
+    "daily_cancelled_orders": q_daily_cancelled_orders,
 }

@@ -29,15 +29,15 @@ def backup_snapshot(df: DataFrame, root: str, run_dt: str) -> str:
     return out
 
 
-def list_snapshots(spark: SparkSession, root: str) -> list[str]:
-    """Complete snapshot folders (with a ``_SUCCESS`` marker), oldest first."""
+def list_snapshots(spark: SparkSession, root: str, prefix: str = "run_dt=") -> list[str]:
+    """Complete snapshot folders (with a ``_SUCCESS`` marker), oldest first by name."""
     fs, p = _fs(spark, root)
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("run_dt="):
+        if st.isDirectory() and name.startswith(prefix):
             if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
                 out.append(name)
     return [os.path.join(root, n) for n in sorted(out)]

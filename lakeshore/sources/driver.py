@@ -427,3 +427,10 @@ def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit("/run/"), F.col("event_id").cast("string")).alias("run_page_url"),
         F.when(F.col("event_type").isin("purchase", "signup"), "SUBMIT_RUN")
         .otherwise("JOB_RUN").alias("run_type"))
+
+
+def job_run_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same runs as listings of up to 25 (column ``runs``), as the jobs service answers page by page."""
+    runs = job_runs(spark, sf_dir)
+    return (runs.groupBy(F.floor(F.col("run_id") / 25).alias("page"))
+                .agg(F.collect_list(F.struct(*runs.columns)).alias("runs")).select("runs"))

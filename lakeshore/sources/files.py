@@ -93,9 +93,9 @@ def read_records(spark: SparkSession, path: str, table: str, fmt: str = "json")
     return spark.read.schema(SCHEMAS[table]).format(fmt).load(path)
 
 
-def read_job_runs(spark: SparkSession, path: str) -> DataFrame:
-    """Landed job-run listings (``{"runs": [...]}`` per file) -> one row per run."""
-    listing = spark.read.schema(JOB_RUNS_LISTING).option("multiLine", "true").json(path)
+def read_job_runs(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Landed job-run listings (``{"runs": [...]}`` per file, or per line without ``multi_line``) -> one row per run."""
+    listing = spark.read.schema(JOB_RUNS_LISTING).option("multiLine", str(multi_line).lower()).json(path)
     return listing.select(F.inline("runs"))
 
 

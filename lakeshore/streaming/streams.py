@@ -27,6 +27,8 @@ from lakeshore.plans.orders import item_changes, silver_orders
 from lakeshore.plans.suites import ORDERS_RAW_SUITE, ORDERS_SUITE
 from lakeshore.plans.weblogs import QUARANTINED, bronze_logs, parse_lines, silver_logs
 from lakeshore.schemas import KEYS, LOGS_COLUMNS, LOGS_RAW, ORDERS_COLUMNS, ORDERS_RAW
+from lakeshore.sinks.partitioned import ROWS_PER_FILE, write_bounded
+from lakeshore.sinks.snapshots import list_snapshots
 from lakeshore.sources.files import parse_order_lines, text_files
 
 
@@ -177,6 +179,13 @@ def read_bronze_logs(spark: SparkSession, bronze_path: str, quarantined: bool =
     return df.select(F.col(CORRUPT_COL).alias("value")) if quarantined else df.drop(CORRUPT_COL, QUARANTINED)
 
 
+def _bronze_logs_stream(spark: SparkSession, bronze_path: str, max_files_per_trigger: int | None) -> DataFrame:
+    reader = spark.readStream.schema(BRONZE_LOGS_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.parquet(bronze_path).where(~F.col(QUARANTINED)).drop(CORRUPT_COL, QUARANTINED)
+
+
 def start_silver_logs_stream(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str,
                              geo_ranges: DataFrame, trigger: str | dict = "availableNow",
                              max_files_per_trigger: int | None = None) -> StreamingQuery:
@@ -185,11 +194,7 @@ def start_silver_logs_stream(spark: SparkSession, bronze_path: str, silver_path:
     The file sink is exactly-once (its metadata log names the committed files).
     The geo table joins as a stream-static left join (broadcast when small).
     """
-    reader = spark.readStream.schema(BRONZE_LOGS_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    bronze = reader.parquet(bronze_path).where(~F.col(QUARANTINED)).drop(CORRUPT_COL, QUARANTINED)
-    silver = silver_logs(bronze, geo_ranges)
+    silver = silver_logs(_bronze_logs_stream(spark, bronze_path, max_files_per_trigger), geo_ranges)
     w = (silver.writeStream.format("parquet").outputMode("append").partitionBy("country")
                .option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start(silver_path)
@@ -203,6 +208,36 @@ SILVER_LOGS_SCHEMA = T.StructType([
     T.StructField("country", T.StringType())])
 
 
+def start_bounded_logs_stream(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str,
+                              geo_ranges: DataFrame, rows_per_file: int = ROWS_PER_FILE, trigger: str | dict = "availableNow",
+                              max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Silver logs partitioned by country, with files sized by each micro-batch's own rows per country.
+
+    A micro-batch writes the folder ``batch=<id>`` as a whole, so a replay
+    replaces it; ``read_bounded_logs`` reads the folders that are complete.
+    Meant for large micro-batches (``availableNow``): each adds one file or more
+    per country.
+    """
+    def fn(df, batch_id):
+        # The counts and the rows come from one parse of the batch.
+        rows = silver_logs(df, geo_ranges).persist()
+        try:
+            write_bounded(rows, os.path.join(silver_path, f"batch={batch_id}"), ["country"], rows_per_file, mode="overwrite")
+        finally:
+            rows.unpersist()
+
+    stream = _bronze_logs_stream(spark, bronze_path, max_files_per_trigger)
+    return _trigger(stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint), trigger).start()
+
+
+def read_bounded_logs(spark: SparkSession, silver_path: str) -> DataFrame:
+    """The rows of all complete micro-batches of ``start_bounded_logs_stream``."""
+    folders = list_snapshots(spark, silver_path, "batch=")
+    if not folders:
+        return spark.createDataFrame([], SILVER_LOGS_SCHEMA).select(*LOGS_COLUMNS)
+    return spark.read.schema(SILVER_LOGS_SCHEMA).option("basePath", silver_path).parquet(*folders).select(*LOGS_COLUMNS)
+
+
 def read_silver_logs(spark: SparkSession, silver_path: str) -> DataFrame:
     return spark.read.schema(SILVER_LOGS_SCHEMA).parquet(silver_path).select(*LOGS_COLUMNS)
 
