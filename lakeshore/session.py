@@ -99,3 +99,8 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def partitions_for(spark: SparkSession, nbytes: int, partition_bytes: int) -> int:
+    """Shuffle partitions for ``nbytes``: as many as set, and more where one would hold over ``partition_bytes``."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-nbytes // partition_bytes))

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeshore.functions.logline import format_log_line
+from lakeshore.session import partitions_for, path_bytes
 
 # Fixed values of the derivation (part of the model, shared with the SQL oracles).
 BASE_UPDATED_TS = "2022-11-13 00:00:00"
@@ -52,6 +53,9 @@ PROMPT_BALANCE = 3000
 IP_BLOCKS = 27
 NATION_RANGE_SIZE = 0xC00000
 
+# Bytes of the order tables' files that one task nests (about 600,000 items).
+DOCUMENT_PARTITION_BYTES = 12 << 20
+
 # Order status codes of the driver data -> shop statuses.
 STATUS_NAMES = {"F": "finished", "O": "pending", "P": "cancelled"}
 
@@ -190,6 +194,12 @@ def order_items_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(prod, li.l_partkey == prod.product_id, "inner")
 
 
+def document_partitions(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions of the documents, by the size of their tables, so that a task's share stays the same."""
+    size = sum(path_bytes(spark, os.path.join(sf_dir, f"{t}.parquet")) for t in ("orders", "lineitem"))
+    return partitions_for(spark, size, DOCUMENT_PARTITION_BYTES)
+
+
 def order_documents(spark: SparkSession, sf_dir: str, status_code: str | None = None,
                     with_priority: bool = False) -> DataFrame:
     """Nested order documents (schema ``ORDER_DOC``): one row per order, items as maps.
@@ -199,31 +209,37 @@ def order_documents(spark: SparkSession, sf_dir: str, status_code: str | None =
     ``status_code`` keeps only orders of that driver status; their line items
     are semi-joined to those orders before grouping, so no other order's items
     are nested.  ``with_priority`` adds the order priority as one more field.
+
+    The items are shuffled once, flat and by ``order_id``, and nested where they
+    arrive: the documents leave partitioned by ``order_id``, so keep-latest
+    windows and joins on it move them no more.
     """
-    it = order_items_flat(spark, sf_dir)
+    n = document_partitions(spark, sf_dir)
+    it = (order_items_flat(spark, sf_dir)
+          .select(F.col("l_orderkey").cast("string").alias("_oid"), F.col("l_linenumber").alias("_ln"), F.col("product_id").alias("_pid"),
+                  "cuit", "name", "price", "price_default", F.col("l_quantity").cast("int").alias("amount"))
+          .repartition(n, "_oid"))
     o = table(spark, sf_dir, "orders")
     if status_code is not None:
         o = o.where(F.col("o_orderstatus") == status_code)
-        it = it.join(o.select(F.col("o_orderkey").alias("_ok")), it.l_orderkey == F.col("_ok"),
-                     "left_semi")
-    amount = F.col("l_quantity").cast("int")
+        it = it.join(o.select(F.col("o_orderkey").cast("string").alias("_ok")), F.col("_oid") == F.col("_ok"), "left_semi")
+    # Collected as they are and made text afterwards: the lists are sorted as structs of text.
+    text = lambda x: F.struct(x["_ln"].alias("_ln"), x["_pid"].alias("_pid"), x["cuit"].cast("string").alias("cuit"), x["name"].alias("name"),
+                              *[x[k].cast("string").alias(k) for k in ("price", "price_default")],
+                              x["_pid"].cast("string").alias("product_id"), x["amount"].cast("string").alias("amount"))
+    per_order = it.groupBy("_oid").agg(
+        F.collect_list(F.struct("_ln", "_pid", "cuit", "name", "price", "price_default", "amount")).alias("_items"),
+        F.sum(F.col("price").cast("decimal(15,2)") * F.col("amount")).alias("_total"))
     # Sort structs of primitive fields (maps are not orderable), then make the maps.
-    fields = {"cuit": F.col("cuit").cast("string"), "name": F.col("name"),
-              "price": F.col("price").cast("string"),
-              "price_default": F.col("price_default").cast("string"),
-              "product_id": F.col("product_id").cast("string"), "amount": amount.cast("string")}
-    item = F.struct(F.col("l_linenumber").alias("_ln"), F.col("product_id").alias("_pid"),
-                    *[v.alias(k) for k, v in fields.items()])
-    per_order = it.groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list(item)).alias("_items"),
-        F.sum(F.col("price").cast("decimal(15,2)") * amount).alias("_total"))
+    fields = ("cuit", "name", "price", "price_default", "product_id", "amount")
     as_map = lambda x: F.create_map(*[e for k in fields for e in (F.lit(k), x.getField(k))])
-    per_order = per_order.select("l_orderkey", F.transform("_items", as_map).alias("items"), "_total")
+    per_order = per_order.select("_oid", F.transform(F.sort_array(F.transform("_items", text)), as_map).alias("items"), "_total")
 
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     status = F.create_map(*[x for kv in STATUS_NAMES.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    j = (o.join(per_order, o.o_orderkey == per_order.l_orderkey, "left")
-          .join(c, o.o_custkey == c.c_custkey, "left"))
+    # The customers join the orders while these are narrow.
+    o = o.join(c, o.o_custkey == c.c_custkey, "left").withColumn("order_id", F.col("o_orderkey").cast("string"))
+    j = o.join(per_order, F.col("order_id") == F.col("_oid"), "left")
     return j.select(
         F.date_add(F.lit(BIRTH_DAY_ZERO).cast("date"),
                    (F.col("c_custkey") % BIRTH_DAY_SPAN).cast("int")).alias("customer_birth_day"),
@@ -231,7 +247,7 @@ def order_documents(spark: SparkSession, sf_dir: str, status_code: str | None =
         F.col("c_name").alias("customer_name"),
         F.coalesce(F.col("items"), F.array().cast("array<map<string,string>>")).alias("items"),
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_dt"),
-        F.col("o_orderkey").cast("string").alias("order_id"),
+        "order_id",
         status[F.col("o_orderstatus")].alias("status"),
         F.coalesce(F.col("_total"), F.lit(0).cast("decimal(15,2)")).cast("string").alias("total_price"),
         *([F.col("o_orderpriority").alias("priority")] if with_priority else []))
@@ -289,9 +305,14 @@ def damaged_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lines_of`` all order documents."""
+    return lines_of(order_documents(spark, sf_dir))
+
+
+def lines_of(docs: DataFrame) -> DataFrame:
     """(order_id, value, damaged): order documents as JSON lines, and as they came in: with an unreadable
     time or without their end where DAMAGE says so."""
-    docs, key = order_documents(spark, sf_dir), F.col("order_id").cast("bigint")
+    key = F.col("order_id").cast("bigint")
     struct = lambda when: F.to_json(F.struct(*[when if c == "order_dt" else F.col(c) for c in docs.columns]))
     late = F.when(key % DAMAGE["time"] == 0, F.concat(F.lit("day "), "order_dt")).otherwise(F.col("order_dt")).alias("order_dt")
     out = docs.select("order_id", struct(F.col("order_dt")).alias("value"), struct(late).alias("damaged"))
