@@ -160,12 +160,13 @@ def q_upsert_orders_raw(spark, sf):
 
 def q_upsert_order_items(spark, sf):
     # Day 1 loads the table (latest per key), day 2 merges the re-sent orders.  Both
-    # sides leave their keep-latest window hash-partitioned by the key, so the
-    # single-pass full-outer merge needs no further exchange.
-    target = dedupe_latest(silver_orders(spark, sf), KEYS["orders"], ["record_timestamp"])
+    # sides are dealt by the whole key, into partitions that the input's size sets, so
+    # the keep-latest windows and the single-pass full-outer merge need no further exchange.
+    dealt = lambda df: df.repartition(d.document_partitions(spark, sf), *KEYS["orders"])
+    target = dedupe_latest(dealt(silver_orders(spark, sf)), KEYS["orders"], ["record_timestamp"])
     day2 = orders.silver_orders(changed_orders_raw(spark, sf),
                                 load_ts=F.expr(f"TIMESTAMP '{d.LOAD_TS}' + INTERVAL 1 DAY"))
-    return upsert(target, day2, KEYS["orders"], order_by=["record_timestamp"], how="full")
+    return upsert(target, dealt(day2), KEYS["orders"], order_by=["record_timestamp"], how="full")
 
 
 def q_table_changes(spark, sf):
