@@ -26,6 +26,12 @@ def _order(order_by: Sequence[str | Column]) -> list[Column]:
     return out
 
 
+def tie_break_columns(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> list[str]:
+    """The columns that break ties where none are named: the others that can be ordered."""
+    ordered = {c for c in order_by if isinstance(c, str)}
+    return [f.name for f in df.schema.fields if f.name not in keys and f.name not in ordered and _orderable(f.dataType)]
+
+
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] = ("updated_dt",),
                   tie_break: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the one with the greatest ``order_by`` (strings sort descending).
@@ -36,8 +42,6 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | C
     """
     keys = list(keys)
     if tie_break is None:
-        ordered = {c for c in order_by if isinstance(c, str)}
-        tie_break = [f.name for f in df.schema.fields
-                     if f.name not in keys and f.name not in ordered and _orderable(f.dataType)]
+        tie_break = tie_break_columns(df, keys, order_by)
     w = Window.partitionBy(*keys).orderBy(*_order(order_by), *[F.col(c).desc_nulls_last() for c in tie_break])
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")

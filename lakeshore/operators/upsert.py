@@ -10,7 +10,7 @@ record, which ``commit_history`` lists.
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,12 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeshore.operators.changes import CHANGE_TYPE, INSERT, table_changes
-from lakeshore.operators.dedupe import dedupe_latest
+from lakeshore.operators.dedupe import dedupe_latest, tie_break_columns
 
 #: Folder names: a running number, and below it a batch or a snapshot.
 SEQ, BATCH, SNAPSHOT = "_seq", "_batch", "_snapshot"
 #: Batches merged before the table is written out as a snapshot.
 SNAPSHOT_AFTER = 64
+#: Where a batch with repeated keys waits until its latest rows are written.
+REPEATS = "_repeats"
+#: Repeated keys up to which their rows are picked out by a broadcast; with more, all rows are shuffled.
+BROADCAST_KEYS = 1_000_000
 #: Marks the rows of a batch that delete their key.
 DELETED = "_deleted"
 #: Commit records: one row per version (the running number of its folder).
@@ -94,7 +98,7 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
                batch_id: int | str, order_by: Sequence[str | Column] = ("updated_dt",),
                null_keys: str = "quarantine", changes_path: str | None = None,
                snapshot_after: int = SNAPSHOT_AFTER, delete_when: Column | None = None,
-               new_columns: str = "fail", count_changes: bool = True, committed_at=None) -> DataFrame:
+               new_columns: str = "fail", count_changes: bool = True, committed_at=None, one_per_key: bool = False) -> DataFrame:
     """Upsert ``source`` into the table at ``path``; returns the rows applied.
 
     The batch, NULL keys handled and kept latest per key, is appended as one
@@ -103,6 +107,11 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     so a merge that died leaves the table as it was.  ``read_table`` puts the
     newest row of each key together.
 
+    Whole rows are shuffled only where keys repeat: the batch is written as it
+    comes, the keys alone are counted, and if some repeat, their rows are put in
+    order and the folder is written anew, before it is marked complete.
+    ``one_per_key`` says that the source has no repeated keys (NULL ones aside).
+
     A batch id that is merged again gets a new folder, which replaces the
     earlier one when it is complete, so a replay is exact (rows with a NULL key
     under ``null_keys="insert"`` included, unless a snapshot has been written
@@ -136,22 +145,34 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
         src = src.where(key_not_null(keys))
     elif null_keys != "insert":
         raise ValueError("null_keys must be 'quarantine' or 'insert'")
-    applied = dedupe_latest(src.where(key_not_null(keys)), keys, order_by)
-    if null_keys == "insert":
-        applied = applied.unionByName(src.where(~key_not_null(keys)))
+    tie_break = tie_break_columns(src, keys, order_by)
+
+    def latest(df: DataFrame) -> DataFrame:
+        kept = dedupe_latest(df.where(key_not_null(keys)), keys, order_by, tie_break)
+        return kept.unionByName(df.where(~key_not_null(keys))) if null_keys == "insert" else kept
+
     name = f"{BATCH}={quote(str(batch_id), safe='')}"
     before = _contents(spark, path, [f for f in _live(spark, path) if f[1] != name], keys)
     added: list[str] = []
+    gone = [F.coalesce(delete_when, F.lit(False)).alias(DELETED)] if delete_when is not None else []
     if before is not None:
         _record_missing(spark, path)
-        columns, added = _fitted(applied, before.schema, new_columns)
-        gone = [F.coalesce(delete_when, F.lit(False)).alias(DELETED)] if delete_when is not None else []
-        applied = applied.select(*columns, *gone)
-    elif delete_when is not None:
-        applied = applied.withColumn(DELETED, F.coalesce(delete_when, F.lit(False)))
+        columns, added = _fitted(src, before.schema, new_columns)
+    else:
+        columns = [F.col(c) for c in src.columns if not (gone and c == DELETED)]
+    fit = lambda df: df.select(*columns, *gone)
     seq = _next_seq(spark, path)
     folder = os.path.join(path, f"{SEQ}={seq}", name)
-    applied.write.parquet(folder)
+    if one_per_key:
+        applied = fit(src)
+        _write(applied, folder)
+    elif set(src.columns) <= set(fit(src).columns) and not (gone and DELETED in src.columns):
+        applied = fit(src)
+        _write_latest(spark, path, seq, name, applied, keys, latest)
+    else:
+        # The order of the rows may need columns that the table does not take in.
+        applied = fit(latest(src))
+        _write(applied, folder)
     written = spark.read.schema(applied.schema).parquet(folder)
     kept = written.where(~F.col(DELETED)).drop(DELETED) if delete_when is not None else written
 
@@ -162,7 +183,7 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
         else:
             old = before.select("*", *[F.lit(None).cast(kept.schema[c].dataType).alias(c) for c in added])
             diff = table_changes(old.join(written.select(*keys), keys, "left_semi"), kept, keys)
-        diff.write.mode("overwrite").parquet(feed)
+        _write(diff, feed, mode="overwrite")
     counts = _counts(before, written, keys, delete_when is not None) if count_changes else (None, None, None)
     _record(spark, path, seq, name, MERGED, committed_at, written.count(), counts, added)
     if len(_live(spark, path)) > snapshot_after:
@@ -170,6 +191,44 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     return written
 
 
+def _write(df: DataFrame, folder: str, mode: str = "error", complete: bool = True) -> None:
+    """Write one folder of a merged table, without its marker if not ``complete``."""
+    marker = str(complete).lower()
+    df.write.mode(mode).option("compression", "zstd").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", marker).parquet(folder)
+
+
+def _write_latest(spark: SparkSession, path: str, seq: int, name: str, rows: DataFrame, keys: list[str],
+                  latest: Callable[[DataFrame], DataFrame]) -> None:
+    """Write ``rows`` as the folder ``name`` of number ``seq``, those of repeated keys as ``latest`` keeps them."""
+    folder = os.path.join(path, f"{SEQ}={seq}", name)
+    _write(rows, folder, complete=False)
+    repeated = _repeated_keys(spark.read.schema(rows.schema).parquet(folder), keys).persist()
+    try:
+        n = repeated.count()
+        fs, at = _file(spark, folder)
+        if not n:
+            fs.create(_file(spark, os.path.join(folder, "_SUCCESS"))[1]).close()
+            return
+        waiting = os.path.join(path, f"{REPEATS}={seq}")
+        if not fs.rename(at, _file(spark, waiting)[1]):
+            raise OSError(f"{folder} could not be set aside")
+        written = spark.read.schema(rows.schema).parquet(waiting)
+        if n <= BROADCAST_KEYS:
+            few = F.broadcast(repeated)
+            kept = written.join(few, keys, "left_anti").unionByName(latest(written.join(few, keys, "left_semi")))
+        else:
+            kept = latest(written)
+        _write(kept.select(*rows.columns), folder)
+        fs.delete(_file(spark, waiting)[1], True)
+    finally:
+        repeated.unpersist()
+
+
+def _repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys, NULL ones aside, of more than one row."""
+    return rows.where(key_not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys)
+
+
 def _fitted(source: DataFrame, table: T.StructType, new_columns: str) -> tuple[list[Column], list[str]]:
     """(the source's columns in the table's order, names of columns the table gets)."""
     if new_columns not in ("fail", "drop", "add"):
@@ -219,7 +278,7 @@ def write_snapshot(spark: SparkSession, path: str, keys: Sequence[str], keep: in
     older = [seq for seq, name in _complete(spark, path) if name.startswith(SNAPSHOT)]
     seq = _next_seq(spark, path)
     name = f"{SNAPSHOT}={seq}"
-    contents.write.parquet(os.path.join(path, f"{SEQ}={seq}", name))
+    _write(contents, os.path.join(path, f"{SEQ}={seq}", name))
     _record(spark, path, seq, name, SNAPSHOTTED, committed_at, None, (0, 0, 0), [])
     if len(older) >= max(1, keep - 1):
         fs, root = _file(spark, path)
@@ -231,8 +290,9 @@ def write_snapshot(spark: SparkSession, path: str, keys: Sequence[str], keep: in
 def read_table(spark: SparkSession, path: str, keys: Sequence[str], version: int | None = None, as_of=None) -> DataFrame:
     """Contents of a table written by ``merge_into``: now, as of a version, or as of a time.
 
-    The newest snapshot (or first batch) is not shuffled unless the batches
-    after it are too large to broadcast: it is anti-joined with their keys.
+    The keys alone are looked through first.  Where few of them (or none) are in
+    several batches, the other rows are read as they are; else the newest
+    snapshot (or first batch) is anti-joined with the keys of the batches after it.
     A version is the number that ``commit_history`` lists; ``as_of`` (a
     timestamp or its text) takes the last version committed by then.
     """
@@ -247,7 +307,7 @@ def read_table(spark: SparkSession, path: str, keys: Sequence[str], version: int
         oldest, newest = min(_sequence_numbers(spark, path)), max(seq for seq, _ in _complete(spark, path))
         if not oldest <= version <= newest:
             raise ValueError(f"version {version} of {path} can't be read: {oldest} to {newest} are kept")
-    contents = _contents(spark, path, _live(spark, path, version), list(keys))
+    contents = _contents(spark, path, _live(spark, path, version), list(keys), look=True)
     if contents is None:
         raise FileNotFoundError(f"no merged table at {path}")
     return contents
@@ -294,7 +354,8 @@ def _record_missing(spark: SparkSession, path: str) -> None:
             _record(spark, path, seq, name, SNAPSHOTTED if name.startswith(SNAPSHOT) else MERGED, at, None, (None, None, None), [])
 
 
-def _contents(spark: SparkSession, path: str, folders: list[tuple[int, str]], keys: list[str]) -> DataFrame | None:
+def _contents(spark: SparkSession, path: str, folders: list[tuple[int, str]], keys: list[str], look: bool = False) -> DataFrame | None:
+    """The folders' rows put together; ``look``: repeated keys are counted first, and only their rows compared."""
     if not folders:
         return None
     first, *later = paths = [os.path.join(path, f"{SEQ}={seq}", name) for seq, name in folders]
@@ -304,11 +365,28 @@ def _contents(spark: SparkSession, path: str, folders: list[tuple[int, str]], ke
     base = spark.read.schema(schema).parquet(first)
     if later:
         rows = spark.read.schema(schema).option("basePath", path).parquet(*later)
-        newest = dedupe_latest(rows.where(key_not_null(keys)), keys, [SEQ], tie_break=[])
-        base = upsert(base, newest.unionByName(rows.where(~key_not_null(keys))), keys, dedupe=False, null_keys="insert")
+        repeated = _repeated_keys(base.select(*keys).unionByName(rows.select(*keys)), keys) if look else None
+        n = repeated.count() if look else BROADCAST_KEYS + 1
+        if not n:
+            base = base.unionByName(rows.select(*base.columns))
+        elif n <= BROADCAST_KEYS:
+            few = F.broadcast(repeated)
+            alone = [df.join(few, keys, "left_anti").select(*base.columns) for df in (base, rows)]
+            several = _over(base.join(few, keys, "left_semi").select(*base.columns), rows.join(few, keys, "left_semi"), keys, len(later))
+            base = alone[0].unionByName(alone[1]).unionByName(several)
+        else:
+            base = _over(base, rows, keys, len(later))
     return base.where(~F.coalesce(DELETED, F.lit(False))).drop(DELETED)
 
 
+def _over(base: DataFrame, rows: DataFrame, keys: list[str], folders: int) -> DataFrame:
+    """``base`` with the newest of the later ``rows``; a single folder has a key once."""
+    if folders > 1:
+        newest = dedupe_latest(rows.where(key_not_null(keys)), keys, [SEQ], tie_break=[])
+        rows = newest.unionByName(rows.where(~key_not_null(keys)))
+    return upsert(base, rows, keys, dedupe=False, null_keys="insert")
+
+
 def _live(spark: SparkSession, path: str, version: int | None = None) -> list[tuple[int, str]]:
     """(number, name) of the folders that make up the table (as of a version), oldest first."""
     complete = [(seq, name) for seq, name in _complete(spark, path) if version is None or seq <= version]
