@@ -48,6 +48,18 @@ def silver_orders(orders_raw: DataFrame, load_ts=None, reference_compat: bool =
     return df.select(*out, *keep)
 
 
+def latest_items(orders_raw: DataFrame, load_ts=None, order_by: Sequence[str | Column] = ("record_timestamp",)) -> DataFrame:
+    """Silver items of documents that have one row per ``order_id``, kept latest per key.
+
+    Items can only repeat within a document then, so only documents that have two
+    items of one product go through the keep-latest window (and its shuffle).
+    """
+    products = F.filter(F.transform("items", lambda i: to_bigint(i["product_id"])), lambda p: p.isNotNull())
+    twice = F.coalesce(F.size(F.array_distinct(products)) < F.size(products), F.lit(False))
+    kept = dedupe_latest(silver_orders(orders_raw.where(twice), load_ts), KEYS["orders"], order_by)
+    return silver_orders(orders_raw.where(~twice), load_ts).unionByName(kept)
+
+
 def item_changes(changes: DataFrame, load_ts=None) -> DataFrame:
     """A change feed of order documents -> the last change of each of their items.
 

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 def land_order_documents(docs: DataFrame, path: str, record_dt) -> None:
     """Write documents as JSON lines under ``year=YYYY/record_dt=YYYY-MM-DD/``.
 
-    Each output line is one order object; the reader accepts this and the
+    The files are gzipped (readers go by their ending).  Each output line is one order object; the reader accepts this and the
     one-array-per-file form alike.  Re-landing a day replaces that day only.
     """
     day = F.lit(record_dt).cast("date")
     out = docs.select("*", F.year(day).cast("string").alias("year"),
                       F.date_format(day, "yyyy-MM-dd").alias("record_dt"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "gzip")
         .partitionBy("year", "record_dt").json(path))
 
 

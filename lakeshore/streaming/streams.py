@@ -23,7 +23,7 @@ from lakeshore.functions.logline import CORRUPT_COL
 from lakeshore.operators.changes import CHANGE_TYPE
 from lakeshore.operators.quality import run_suite
 from lakeshore.operators.upsert import DELETED, merge_into, read_table
-from lakeshore.plans.orders import item_changes, silver_orders
+from lakeshore.plans.orders import item_changes, latest_items
 from lakeshore.plans.suites import ORDERS_RAW_SUITE, ORDERS_SUITE
 from lakeshore.plans.weblogs import QUARANTINED, bronze_logs, parse_lines, silver_logs
 from lakeshore.schemas import KEYS, LOGS_COLUMNS, LOGS_RAW, ORDERS_COLUMNS, ORDERS_RAW
@@ -84,9 +84,8 @@ def orders_batch(df: DataFrame, batch_id: int, bronze_path: str, silver_path: st
         if dq_path:
             raw_dq = run_suite(applied, ORDERS_RAW_SUITE, run_id, fail_on_error=False)
             _save_dq(raw_dq, dq_path, ORDERS_RAW_SUITE.name, run_id, fail_on_error)
-        items = silver_orders(applied, load_ts=load_ts)
-        merged = merge_into(spark, silver_path, items, KEYS["orders"], batch_id,
-                            order_by=["record_timestamp"], count_changes=False)
+        merged = merge_into(spark, silver_path, latest_items(applied, load_ts), KEYS["orders"], batch_id,
+                            count_changes=False, one_per_key=True)
         if dq_path:
             _save_dq(run_suite(merged, ORDERS_SUITE, run_id), dq_path, ORDERS_SUITE.name, run_id, False)
     finally:
@@ -126,7 +125,7 @@ def orders_changes_batch(df: DataFrame, batch_id: int, silver_path: str, load_ts
     """One micro-batch of the bronze change feed applied to silver, deletions included."""
     merge_into(df.sparkSession, silver_path, item_changes(df, load_ts), KEYS["orders"], batch_id,
                order_by=[F.col(DELETED).asc()], delete_when=F.col(DELETED), new_columns="drop",
-               changes_path=changes_path, count_changes=False)
+               changes_path=changes_path, count_changes=False, one_per_key=True)
 
 
 def start_silver_from_changes_stream(spark: SparkSession, changes_path: str, silver_path: str, checkpoint: str,
