@@ -316,7 +316,7 @@ def _staged(df: DataFrame, root: str, name: str) -> DataFrame:
     import os
 
     path = os.path.join(root, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -464,12 +464,14 @@ def _orders_with_replay(spark: SparkSession, sf: str) -> tuple[str, str]:
     from lakeshore.sources import quarantine as q
 
     root = _run_dir(spark, "replay")
-    lines = _staged(d.order_lines(spark, sf), root, "lines")
+    # The documents are staged, the longer lines made from them; a text is kept where it goes to quarantine.
+    lines = d.lines_of(_staged(d.order_documents(spark, sf), root, "documents"))
     table, kept = os.path.join(root, "orders_raw"), os.path.join(root, "quarantine")
-    tagged = _staged(q.tag_order_lines(lines.select(F.col("damaged").alias("value")), d.LOAD_DATE), root, "tagged")
+    tagged = q.tag_order_lines(lines.select(F.col("damaged").alias("value")), d.LOAD_DATE)
+    tagged = _staged(tagged.withColumn("value", F.when(F.size(q.REASONS) > 0, F.col("value"))), root, "tagged")
     merge_into(spark, table, q.clean(tagged), KEYS["orders_raw"], batch_id=1, order_by=["record_timestamp"], count_changes=False)
     q.keep_quarantined(spark, kept, tagged, batch_id=1)
-    corrections = lines.where(F.col("damaged") != F.col("value")).select(q.record_id("damaged").alias(q.RECORD), "value")
+    corrections = _staged(lines.where(F.col("damaged") != F.col("value")).select(q.record_id("damaged").alias(q.RECORD), "value"), root, "corrections")
     for day in (15, 16):
         q.replay_orders(spark, kept, corrections, table, KEYS["orders_raw"], batch_id=day, load_date=f"2022-11-{day}")
     return table, kept

@@ -111,13 +111,17 @@ def replay_orders(spark: SparkSession, path: str, corrections: DataFrame, table_
     kept = read_table(spark, path, [RECORD])
     mine = kept.where((F.col("status") == OPEN) | (F.col("replayed_in") == F.lit(str(batch_id))))
     sent = corrections.select(RECORD, "value").join(mine.select(RECORD), RECORD, "left_semi")
-    tagged = tag_order_lines(sent, load_date)
-    violated = (tagged.select(RECORD, F.explode_outer(REASONS).alias("r")).groupBy(RECORD)
-                      .agg(F.array_sort(F.collect_set("r")).alias("reasons")))
-    good = tagged.join(violated.where(F.size("reasons") == 0), RECORD, "left_semi")
-    merge_into(spark, table_path, clean(good).drop(RECORD), keys, f"replay-{batch_id}", order_by=order_by, count_changes=False)
-    fixed = F.size("reasons") == 0
-    rows = mine.select(RECORD, "value", F.col("reasons").alias("_before")).join(violated, RECORD).select(
-        RECORD, "value", F.when(fixed, F.col("_before")).otherwise(F.col("reasons")).alias("reasons"),
-        F.when(fixed, REPLAYED).otherwise(OPEN).alias("status"), F.when(fixed, F.lit(str(batch_id))).alias("replayed_in"))
-    merge_into(spark, path, rows, [RECORD], f"replay-{batch_id}", order_by=["value"], count_changes=False)
+    # Parsed once for the reasons and both merges.
+    tagged = tag_order_lines(sent, load_date).persist()
+    try:
+        violated = (tagged.select(RECORD, F.explode_outer(REASONS).alias("r")).groupBy(RECORD)
+                          .agg(F.array_sort(F.collect_set("r")).alias("reasons")))
+        good = tagged.join(violated.where(F.size("reasons") == 0), RECORD, "left_semi")
+        merge_into(spark, table_path, clean(good).drop(RECORD), keys, f"replay-{batch_id}", order_by=order_by, count_changes=False)
+        fixed = F.size("reasons") == 0
+        rows = mine.select(RECORD, "value", F.col("reasons").alias("_before")).join(violated, RECORD).select(
+            RECORD, "value", F.when(fixed, F.col("_before")).otherwise(F.col("reasons")).alias("reasons"),
+            F.when(fixed, REPLAYED).otherwise(OPEN).alias("status"), F.when(fixed, F.lit(str(batch_id))).alias("replayed_in"))
+        merge_into(spark, path, rows, [RECORD], f"replay-{batch_id}", order_by=["value"], count_changes=False)
+    finally:
+        tagged.unpersist()
