@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,17 @@ class ParsedOrders:
     docs: DataFrame         # per element: raw text, typed struct, string map (persist to parse once)
 
 
+def _elements(line_col: str) -> Column:
+    v = F.trim(F.col(line_col))
+    return (F.when(v.startswith("["), F.from_json(v, "array<string>"))
+             .when(v.startswith("{"), F.array(v)))
+
+
+def order_elements(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    """``_doc``: the text of every order element, unparsed."""
+    return lines.select(F.explode(_elements(line_col)).alias("_doc"))
+
+
 def parse_order_lines(lines: DataFrame, load_date=None, line_col: str = "value", schema: T.StructType = ORDER_DOC) -> ParsedOrders:
     """Split landed order lines into parsed orders and quarantined records.
 
@@ -57,10 +68,7 @@ def parse_order_lines(lines: DataFrame, load_date=None, line_col: str = "value",
     become their own pruned parse).  Quarantined: lines that are neither,
     arrays that do not parse, and elements that are not a JSON object.
     """
-    v = F.trim(F.col(line_col))
-    elems = (F.when(v.startswith("["), F.from_json(v, "array<string>"))
-              .when(v.startswith("{"), F.array(v)))
-    tagged = lines.select(F.col(line_col).alias("_line"), elems.alias("_elems"))
+    tagged = lines.select(F.col(line_col).alias("_line"), _elements(line_col).alias("_elems"))
     blank = F.trim(F.col("_line")) == ""
     bad_lines = tagged.where(F.col("_elems").isNull() & ~blank).select(F.col("_line").alias("value"))
     docs = tagged.where(F.col("_elems").isNotNull()).select(F.inline(F.transform(

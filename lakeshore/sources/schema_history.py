@@ -15,7 +15,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lakeshore.sources.files import parse_order_lines, schema_drift
+from lakeshore.sources.files import order_elements, parse_order_lines, schema_drift
 
 HISTORY_COLUMNS = "position int, column string, type string, added boolean"
 
@@ -52,13 +52,13 @@ def add_version(spark: SparkSession, path: str, schema: T.StructType, new: list[
 def evolve(spark: SparkSession, path: str, lines: DataFrame, first: T.StructType) -> tuple[int, T.StructType]:
     """The version to load these landed lines under: the latest, or a new one if they have keys it lacks.
 
-    The keys are found in one pass over the lines and counted per key; what comes
+    The keys are found in one pass over the lines, which parses nothing else, and counted per key; what comes
     to the driver is the list of unknown keys.
     """
     if not _numbers(spark, path):
         add_version(spark, path, first, first.names)
     n, schema = schema_at(spark, path)
-    unknown = sorted(r["key"] for r in schema_drift(parse_order_lines(lines, schema=schema).docs, schema=schema).collect())
+    unknown = sorted(r["key"] for r in schema_drift(order_elements(lines), schema=schema).collect())
     if not unknown:
         return n, schema
     wider = T.StructType([*schema.fields, *[T.StructField(k, T.StringType()) for k in unknown]])
