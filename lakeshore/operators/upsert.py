@@ -13,12 +13,13 @@ import os
 from collections.abc import Callable, Sequence
 from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeshore.operators.changes import CHANGE_TYPE, INSERT, table_changes
+from lakeshore.operators.changes import CHANGE_TYPE, DELETE, INSERT, UPDATE_POST, UPDATE_PRE, table_changes
 from lakeshore.operators.dedupe import dedupe_latest, tie_break_columns
+from lakeshore.operators.places import FILE, ROW, at_places, bitmaps, but_places, placed
 
 #: Folder names: a running number, and below it a batch or a snapshot.
 SEQ, BATCH, SNAPSHOT = "_seq", "_batch", "_snapshot"
@@ -129,7 +130,8 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     With ``changes_path`` the batch's row-level change feed (see
     ``changes.table_changes``) is written to ``changes_path/version=<batch id>``:
     the batch against the table without it, at the batch's own keys.  A replay
-    keeps a feed that was completed.
+    keeps a feed that was completed.  Pre-images and deleted rows are written
+    before the rows that take their place (``_write_changes``).
 
     The version's commit record has the rows in the batch and, with
     ``count_changes`` (a join of the batch's keys with the table's), how many
@@ -179,11 +181,11 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     feed = os.path.join(changes_path, f"version={batch_id}") if changes_path else None
     if feed and not _is_complete(spark, feed):
         if before is None:
-            diff = kept.withColumn(CHANGE_TYPE, F.lit(INSERT))
+            _write(kept.withColumn(CHANGE_TYPE, F.lit(INSERT)), feed, mode="overwrite")
         else:
-            old = before.select("*", *[F.lit(None).cast(kept.schema[c].dataType).alias(c) for c in added])
-            diff = table_changes(old.join(written.select(*keys), keys, "left_semi"), kept, keys)
-        _write(diff, feed, mode="overwrite")
+            old = _contents(spark, path, [f for f in _live(spark, path) if f[1] != name], keys, look=True, places=True)
+            old = old.select("*", *[F.lit(None).cast(kept.schema[c].dataType).alias(c) for c in added])
+            _write_changes(old, placed(written), keys, feed)
     counts = _counts(before, written, keys, delete_when is not None) if count_changes else (None, None, None)
     _record(spark, path, seq, name, MERGED, committed_at, written.count(), counts, added)
     if len(_live(spark, path)) > snapshot_after:
@@ -224,6 +226,54 @@ def _write_latest(spark: SparkSession, path: str, seq: int, name: str, rows: Dat
         repeated.unpersist()
 
 
+def _write_changes(old: DataFrame, new: DataFrame, keys: list[str], feed: str) -> None:
+    """Write the change feed of a batch: placed rows ``new`` (with DELETED or without) over the placed table ``old``.
+
+    The keys alone are joined, with a hash of the other columns (those without
+    maps) and the places of the rows; whole rows are shuffled only where the
+    hashes of old and new are equal, to compare them.  The rows that go are written before those that
+    come, so that a reader of the files in their order never sees a row go that
+    came in the same version.
+    """
+    columns = [c for c in old.columns if c not in (FILE, ROW)]
+    values = [c for c in columns if c not in keys]
+    gone = F.col(DELETED) if DELETED in new.columns else F.lit(False)
+    # Maps can't be hashed, and NULLs leave no trace in a hash: unequal ones show a change, equal ones nothing.
+    digest = F.xxhash64(F.lit(0), *[F.col(c) for c in values if "map<" not in old.schema[c].dataType.simpleString()])
+    narrow = lambda df, side, *more: df.select(*keys, digest.alias(f"_hash{side}"), F.struct(FILE, ROW).alias(f"_at{side}"), *more)
+    j = narrow(new, "_n", gone.alias("_gone")).join(narrow(old, "_o"), keys, "left")
+    there = F.col("_at_o").isNotNull()
+    one = lambda side, kind: F.struct(F.lit(kind).alias(CHANGE_TYPE), F.col(f"_at{side}.{FILE}").alias(FILE), F.col(f"_at{side}.{ROW}").alias(ROW))
+    kinds = (F.when(there & F.col("_gone"), F.array(one("_o", DELETE)))
+              .when(F.col("_gone"), F.array().cast(f"array<struct<{CHANGE_TYPE}:string,{FILE}:bigint,{ROW}:bigint>>"))
+              .when(~there, F.array(one("_n", INSERT)))
+              .when(F.col("_hash_o") != F.col("_hash_n"), F.array(one("_o", UPDATE_PRE), one("_n", UPDATE_POST)))
+              .otherwise(F.array(one("_o", ""), one("_n", ""))))
+    bits = bitmaps(j.select(F.explode(kinds).alias("_k")).select("_k.*"), (CHANGE_TYPE,)).persist()
+    try:
+        n = {r[0]: r[1] for r in bits.groupBy(CHANGE_TYPE).count().collect()}
+        picked = lambda df, kind: at_places(df, bits.where(F.col(CHANGE_TYPE) == kind).drop(CHANGE_TYPE), n.get(kind, 0)).select(*columns)
+        go = [picked(old, kind).withColumn(CHANGE_TYPE, F.lit(kind)) for kind in (DELETE, UPDATE_PRE) if kind in n]
+        come = [picked(new, kind).withColumn(CHANGE_TYPE, F.lit(kind)) for kind in (INSERT, UPDATE_POST) if kind in n]
+        if "" in n:
+            both = table_changes(picked(old, ""), picked(new, ""), keys).select(*columns, CHANGE_TYPE)
+            going = F.col(CHANGE_TYPE) == UPDATE_PRE
+            go, come = [*go, both.where(going)], [*come, both.where(~going)]
+        none = new.limit(0).select(*columns, F.lit(INSERT).alias(CHANGE_TYPE))
+        _write(_union(go or [none]), feed, mode="overwrite", complete=not come)
+        if come:
+            _write(_union(come), feed, mode="append")
+    finally:
+        bits.unpersist()
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out, *more = parts
+    for p in more:
+        out = out.unionByName(p)
+    return out
+
+
 def _repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The keys, NULL ones aside, of more than one row."""
     return rows.where(key_not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys)
@@ -290,9 +340,9 @@ def write_snapshot(spark: SparkSession, path: str, keys: Sequence[str], keep: in
 def read_table(spark: SparkSession, path: str, keys: Sequence[str], version: int | None = None, as_of=None) -> DataFrame:
     """Contents of a table written by ``merge_into``: now, as of a version, or as of a time.
 
-    The keys alone are looked through first.  Where few of them (or none) are in
-    several batches, the other rows are read as they are; else the newest
-    snapshot (or first batch) is anti-joined with the keys of the batches after it.
+    The keys alone are looked through first.  Where none is in several batches,
+    the rows are read as they are; else those that a later batch replaces are
+    left out by their places in the files (``operators.places``).
     A version is the number that ``commit_history`` lists; ``as_of`` (a
     timestamp or its text) takes the last version committed by then.
     """
@@ -354,8 +404,14 @@ def _record_missing(spark: SparkSession, path: str) -> None:
             _record(spark, path, seq, name, SNAPSHOTTED if name.startswith(SNAPSHOT) else MERGED, at, None, (None, None, None), [])
 
 
-def _contents(spark: SparkSession, path: str, folders: list[tuple[int, str]], keys: list[str], look: bool = False) -> DataFrame | None:
-    """The folders' rows put together; ``look``: repeated keys are counted first, and only their rows compared."""
+def _contents(spark: SparkSession, path: str, folders: list[tuple[int, str]], keys: list[str], look: bool = False,
+              places: bool = False) -> DataFrame | None:
+    """The folders' rows put together.
+
+    ``look``: the keys are looked through first, and the rows that a later folder
+    replaces are left out by their places, so no whole row is shuffled.
+    ``places`` (with ``look``) keeps the columns of the rows' places.
+    """
     if not folders:
         return None
     first, *later = paths = [os.path.join(path, f"{SEQ}={seq}", name) for seq, name in folders]
@@ -363,20 +419,27 @@ def _contents(spark: SparkSession, path: str, folders: list[tuple[int, str]], ke
     columns = [f for f in spark.read.parquet(paths[-1]).schema.fields if f.name != DELETED]
     schema = T.StructType([*columns, T.StructField(DELETED, T.BooleanType())])
     base = spark.read.schema(schema).parquet(first)
+    if look:
+        base = placed(base)
     if later:
         rows = spark.read.schema(schema).option("basePath", path).parquet(*later)
-        repeated = _repeated_keys(base.select(*keys).unionByName(rows.select(*keys)), keys) if look else None
-        n = repeated.count() if look else BROADCAST_KEYS + 1
-        if not n:
-            base = base.unionByName(rows.select(*base.columns))
-        elif n <= BROADCAST_KEYS:
-            few = F.broadcast(repeated)
-            alone = [df.join(few, keys, "left_anti").select(*base.columns) for df in (base, rows)]
-            several = _over(base.join(few, keys, "left_semi").select(*base.columns), rows.join(few, keys, "left_semi"), keys, len(later))
-            base = alone[0].unionByName(alone[1]).unionByName(several)
+        if look:
+            every = base.unionByName(placed(rows).select(*base.columns))
+            bits = _replaced(base, placed(rows), keys).persist()
+            n = bits.count()
+            base = but_places(every, bits, n) if n else every
         else:
             base = _over(base, rows, keys, len(later))
-    return base.where(~F.coalesce(DELETED, F.lit(False))).drop(DELETED)
+    out = base.where(~F.coalesce(DELETED, F.lit(False))).drop(DELETED)
+    return out if places or not look else out.drop(FILE, ROW)
+
+
+def _replaced(base: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Bitmaps of the places of rows whose key is in a later folder; a folder has a key once, and NULL keys stay."""
+    narrow = [*keys, SEQ, FILE, ROW]
+    every = base.withColumn(SEQ, F.lit(-1).cast(rows.schema[SEQ].dataType)).select(*narrow).unionByName(rows.select(*narrow))
+    newest = F.max(SEQ).over(Window.partitionBy(*keys))
+    return bitmaps(every.where(key_not_null(keys)).withColumn("_newest", newest).where(F.col(SEQ) < F.col("_newest")))
 
 
 def _over(base: DataFrame, rows: DataFrame, keys: list[str], folders: int) -> DataFrame:

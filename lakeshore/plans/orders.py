@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeshore.functions.casts import to_bigint, to_date, to_double, to_int
 from lakeshore.operators.changes import CHANGE_TYPE, DELETE, UPDATE_PRE
 from lakeshore.operators.dedupe import dedupe_latest
-from lakeshore.operators.upsert import DELETED
+from lakeshore.operators.upsert import BROADCAST_KEYS, DELETED
 from lakeshore.schemas import KEYS, ORDERS_COLUMNS
 
 
@@ -60,18 +60,71 @@ def latest_items(orders_raw: DataFrame, load_ts=None, order_by: Sequence[str | C
     return silver_orders(orders_raw.where(~twice), load_ts).unionByName(kept)
 
 
-def item_changes(changes: DataFrame, load_ts=None) -> DataFrame:
+def _gone() -> Column:
+    return F.col(CHANGE_TYPE).isin(DELETE, UPDATE_PRE)
+
+
+def _product_ids() -> Column:
+    return F.coalesce(F.transform("items", lambda i: to_bigint(i["product_id"])), F.array().cast("array<bigint>"))
+
+
+def change_marks(changes: DataFrame) -> DataFrame:
+    """(order_id, _several, _lost) of the orders in a change feed whose last items take more than their document to tell.
+
+    ``_several``: the order has several documents of a kind, a document that goes
+    after the one that comes, an item twice, or no id; its items are put in order row
+    by row.  ``_lost``: products that went and did not come again.  Only ids are
+    shuffled.
+    """
+    gone, ids = _gone(), _product_ids()
+    unknown = F.col("order_id").isNull()
+    slim = changes.select("order_id", "version", gone.alias("_gone"), F.when(~unknown, F.array_distinct(ids)).alias("_ids"),
+                          (unknown | (F.size(F.array_distinct(ids)) < F.size(ids))).alias("_twice"))
+    of = lambda cond, value: F.when(cond, value)
+    come, go = ~F.col("_gone"), F.col("_gone")
+    per = slim.groupBy("order_id").agg(
+        F.count_if(come).alias("_n"), F.count_if(go).alias("_m"), F.max(of(come, F.col("version"))).alias("_v"),
+        F.max(of(go, F.col("version"))).alias("_w"), F.max("_twice").alias("_twice"),
+        F.flatten(F.collect_list(of(come, F.col("_ids")))).alias("_come"), F.flatten(F.collect_list(of(go, F.col("_ids")))).alias("_go"))
+    several = F.col("_twice") | (F.col("_n") > 1) | (F.col("_m") > 1) | F.coalesce(F.col("_w") > F.col("_v"), F.lit(False))
+    marks = per.select("order_id", several.alias("_several"), F.array_except("_go", "_come").alias("_lost"))
+    return marks.where(F.col("_several") | (F.size("_lost") > 0))
+
+
+def item_changes(changes: DataFrame, load_ts=None, marks: DataFrame | None = None) -> DataFrame:
     """A change feed of order documents -> the last change of each of their items.
 
     ``changes`` has the documents' columns, ``_change_type`` and ``version``.
     Pre-images and deleted documents take their items away, post-images and
     inserted ones bring theirs; of an item's changes the highest version wins,
     and within a version the one that brings it.  So an item that a new version
-    of its order no longer has ends as a tombstone (``_deleted``).
+    of its order no longer has ends as a tombstone (``_deleted``), of which only
+    the key counts.
+
+    Most orders have one document that comes, one that goes or one of each:
+    their items are told apart by ``marks`` (``change_marks``, persisted by a
+    caller that can let them go), and only those of other orders go through the
+    keep-latest window.
     """
-    gone = F.col(CHANGE_TYPE).isin(DELETE, UPDATE_PRE)
-    items = silver_orders(changes.select("*", gone.alias(DELETED)), load_ts, keep=["version", DELETED])
-    return dedupe_latest(items, KEYS["orders"], ["version", F.col(DELETED).asc()]).drop("version")
+    marks = change_marks(changes) if marks is None else marks
+    several = marks.where("_several").select("order_id")
+    n = several.count()
+    marked = changes.select("*", _gone().alias(DELETED))
+    plain = marked.where(~F.col(DELETED))
+    if n:
+        few = several.select(F.col("order_id").alias("_id"))
+        few = F.broadcast(few) if n <= BROADCAST_KEYS else few
+        same = F.col("order_id").eqNullSafe(F.col("_id"))
+        plain, whole = plain.join(few, same, "left_anti"), marked.join(few, same, "left_semi")
+    brought = silver_orders(plain, load_ts, keep=[DELETED])
+    lost = marks.where("NOT _several").select("order_id", F.explode("_lost").alias("product_id"))
+    lost = lost.select(*[F.col(f.name) if f.name in KEYS["orders"] else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in brought.schema.fields if f.name != DELETED], F.lit(True).alias(DELETED))
+    out = brought.unionByName(lost)
+    if not n:
+        return out
+    ordered = dedupe_latest(silver_orders(whole, load_ts, keep=["version", DELETED]), KEYS["orders"], ["version", F.col(DELETED).asc()])
+    return out.unionByName(ordered.drop("version"))
 
 
 def dropped_orders(orders_raw: DataFrame) -> DataFrame:

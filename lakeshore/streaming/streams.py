@@ -23,7 +23,7 @@ from lakeshore.functions.logline import CORRUPT_COL
 from lakeshore.operators.changes import CHANGE_TYPE
 from lakeshore.operators.quality import run_suite
 from lakeshore.operators.upsert import DELETED, merge_into, read_table
-from lakeshore.plans.orders import item_changes, latest_items
+from lakeshore.plans.orders import change_marks, item_changes, latest_items
 from lakeshore.plans.suites import ORDERS_RAW_SUITE, ORDERS_SUITE
 from lakeshore.plans.weblogs import QUARANTINED, bronze_logs, parse_lines, silver_logs
 from lakeshore.schemas import KEYS, LOGS_COLUMNS, LOGS_RAW, ORDERS_COLUMNS, ORDERS_RAW
@@ -123,9 +123,13 @@ def start_orders_stream(spark: SparkSession, landing_path: str, bronze_path: str
 
 def orders_changes_batch(df: DataFrame, batch_id: int, silver_path: str, load_ts=None, changes_path: str | None = None) -> None:
     """One micro-batch of the bronze change feed applied to silver, deletions included."""
-    merge_into(df.sparkSession, silver_path, item_changes(df, load_ts), KEYS["orders"], batch_id,
-               order_by=[F.col(DELETED).asc()], delete_when=F.col(DELETED), new_columns="drop",
-               changes_path=changes_path, count_changes=False, one_per_key=True)
+    marks = change_marks(df).persist()
+    try:
+        merge_into(df.sparkSession, silver_path, item_changes(df, load_ts, marks), KEYS["orders"], batch_id,
+                   order_by=[F.col(DELETED).asc()], delete_when=F.col(DELETED), new_columns="drop",
+                   changes_path=changes_path, count_changes=False, one_per_key=True)
+    finally:
+        marks.unpersist()
 
 
 def start_silver_from_changes_stream(spark: SparkSession, changes_path: str, silver_path: str, checkpoint: str,
@@ -136,9 +140,10 @@ def start_silver_from_changes_stream(spark: SparkSession, changes_path: str, sil
 
     The feed's files are read in the order they were written, so a micro-batch
     holds no older version than the one before it; versions that meet in one
-    micro-batch are put in order there (``plans.orders.item_changes``).  The
-    rows of a document and version share a file.  A replayed micro-batch
-    replaces its own folder.
+    micro-batch are put in order there (``plans.orders.item_changes``).  Within
+    a version the images that go are written before those that come, so a
+    micro-batch that ends between them leaves the items to the next one.  A
+    replayed micro-batch replaces its own folder.
     """
     schema = T.StructType([*ORDERS_RAW.fields, T.StructField(CHANGE_TYPE, T.StringType()), T.StructField("version", T.LongType())])
     reader = spark.readStream.schema(schema)
