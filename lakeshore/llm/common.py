@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ SPACE = r"\x20\x09-\x0D"
 WORD = re.compile(rf"[^{SPACE}]+")
 #: Entries a per-worker cache may hold before it is emptied.
 CACHE_ENTRIES = 300_000
+#: Rows and bytes of an Arrow batch of texts where these are compared or read as sets.
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 #: Parts in which a class is ranked before it is ranked whole.
 SAMPLE_PARTS = 32
 
@@ -36,6 +40,30 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS, nbytes: int = BATCH_BYTES) -> Iterator[None]:
+    """Jobs run inside send texts to Python in batches of at most ``rows`` rows and about ``nbytes`` bytes.
+
+    A batch is held several times over, by the JVM outside its heap and by the worker.
+    """
+    wanted = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": nbytes}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        # A smaller bound that is set stays.
+        spark.conf.set(k, str(min(v, int(before[k])) if (before[k] or "").isdigit() and int(before[k]) else v))
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; after the last one the worker, which Spark keeps for further tasks, returns Arrow's free memory."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def id_remainder(doc_id: str, modulus: int):
     """crc32 of the id as text, modulo ``modulus``; a NULL id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % F.lit(modulus)

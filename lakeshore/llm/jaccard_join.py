@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lakeshore.llm.common import materialise, some_texts, text_list, unused
+from lakeshore.llm.common import materialise, released, small_batches, some_texts, text_list, unused
 from lakeshore.llm.components import components
 
 WORDS = 5
@@ -141,7 +141,7 @@ def read_sets(docs: DataFrame, ranges: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([own, *columns], names=["doc_id", *schema.names])
 
     rows = docs.select("doc_id", "text", text_print())
-    return rows.mapInArrow(run, f"doc_id {kind}, print long, n int, node long, part int, short binary, times binary")
+    return rows.mapInArrow(lambda b: released(run(b)), f"doc_id {kind}, print long, n int, node long, part int, short binary, times binary")
 
 
 def _short(tokens: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
@@ -274,7 +274,7 @@ def _listed(docs: DataFrame, shared: Broadcast) -> DataFrame:
                                                      names=["key", "node", "n", "reach"])
                     keys, nodes, sizes, reach, held = [], [], [], [], 0
 
-    return docs.select("text").mapInArrow(run, "key long, node long, n int, reach int")
+    return docs.select("text").mapInArrow(lambda b: released(run(b)), "key long, node long, n int, reach int")
 
 
 # -- candidates and comparisons ------------------------------------------------------------------------------------------
@@ -356,11 +356,16 @@ def confirm(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
             a, b = zip(*out) if out else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return both.mapInArrow(lambda b: released(run(b)), "a long, b long").distinct()
 
 
 def named_sets(docs: DataFrame) -> DataFrame:
     """doc_id, n, node (the shared name of equal sets), comp (one node of the component) for every row; NULL names for empty sets."""
+    with small_batches(docs.sparkSession):
+        return _named_sets(docs)
+
+
+def _named_sets(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     read = materialise(read_sets(docs, ranges), "sets")
@@ -408,7 +413,7 @@ def with_sets(docs: DataFrame, name: str) -> DataFrame:
             nodes = pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, nodes], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+    return docs.mapInArrow(lambda b: released(run(b)), StructType([*docs.schema.fields, StructField(name, LongType())]))
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeshore.llm.common import id_remainder, sample_per_class, some_texts, text_list, texts_of
+from lakeshore.llm.common import id_remainder, released, sample_per_class, some_texts, text_list, texts_of
 
 UND = "und"
 ORDERS = (2, 3, 4, 5)
@@ -206,4 +206,4 @@ def keep_identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array([not model.predict(t)[2] for part in some_texts(batch.column(place)) for t in part], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lambda b: released(run(b)), docs.schema)

@@ -353,3 +353,12 @@ def test_sample_per_class_is_the_first_by_hash(spark):
     got = sample_per_class(rows, 700, 2).collect()
     assert sorted(r.doc_id for r in got) == sorted(want)
     assert sample_per_class(rows.limit(0), 700).count() == 0
+
+
+def test_near_groups_send_texts_in_small_batches(spark, odd, monkeypatch):
+    key, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    real = jaccard_join.materialise
+    monkeypatch.setattr(jaccard_join, "materialise", lambda df, name: seen.append(int(df.sparkSession.conf.get(key))) or real(df, name))
+    before = spark.conf.get(key)
+    jaccard_join.named_sets(odd)
+    assert seen and max(seen) <= 2000 and spark.conf.get(key) == before

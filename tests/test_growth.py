@@ -5,10 +5,11 @@ import os
 from pyspark.sql import functions as F
 
 from lakeshore.operators import upsert as u
+from lakeshore.operators.changes import CHANGE_TYPE, DELETE, INSERT, UPDATE_POST, UPDATE_PRE
 from lakeshore.operators.dedupe import dedupe_latest
 from lakeshore.plans import registry
-from lakeshore.plans.orders import latest_items, silver_orders
-from lakeshore.schemas import KEYS
+from lakeshore.plans.orders import item_changes, latest_items, silver_orders
+from lakeshore.schemas import KEYS, ORDERS_RAW
 from lakeshore.sources import driver as d
 
 
@@ -86,3 +87,52 @@ def test_staged_lines_are_not_kept_twice(spark, tmp_dir, monkeypatch):
     out = registry.q_orders_after_replay(spark, _tables(spark, tmp_dir))
     assert out.count() > 0 and "value" not in seen["documents"].columns
     assert seen["tagged"].where((F.size("_reasons") == 0) & F.col("value").isNotNull()).count() == 0
+
+
+def test_feed_and_reads_pick_rows_by_place(spark, tmp_dir, monkeypatch):
+    path, feed, compared = os.path.join(tmp_dir, "t"), os.path.join(tmp_dir, "feed"), []
+    real = u.table_changes
+    monkeypatch.setattr(u, "table_changes", lambda old, new, keys: compared.extend(r.k for r in new.collect()) or real(old, new, keys))
+    monkeypatch.setattr(u, "BROADCAST_KEYS", 0)
+    put = lambda n, *r: u.merge_into(spark, path, spark.createDataFrame(r, "k string, v int, m map<string,int>, updated_dt int, gone boolean"), ["k"], n,
+                                     changes_path=feed, delete_when=F.col("gone"))
+    put(1, *[(k, 1, {"x": 1}, 1, False) for k in "abcdf"])
+    put(2, ("a", 2, {"x": 1}, 1, False), ("b", 1, {"x": 1}, 1, False), ("c", 1, {"x": 2}, 1, False), ("d", 1, None, 1, True),
+        ("e", 1, {"x": 1}, 1, False), ("z", 1, None, 1, True))
+    # Whole rows are compared only where the hashes don't show a change.
+    assert sorted(compared) == ["b", "c"]
+    got = u.read_changes(spark, feed).where("version = 2").select("k", "v", "m", CHANGE_TYPE, F.col("_metadata.file_modification_time").alias("at")).collect()
+    assert sorted((r.k, r[CHANGE_TYPE], r.v, r.m["x"]) for r in got) == [
+        ("a", UPDATE_POST, 2, 1), ("a", UPDATE_PRE, 1, 1), ("c", UPDATE_POST, 1, 2), ("c", UPDATE_PRE, 1, 1), ("d", DELETE, 1, 1), ("e", INSERT, 1, 1)]
+    goes = lambda r: r[CHANGE_TYPE] in (DELETE, UPDATE_PRE)
+    assert max(r["at"] for r in got if goes(r)) <= min(r["at"] for r in got if not goes(r))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    read = u.read_table(spark, path, ["k"])
+    plan = _plan(read)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" not in plan
+    assert sorted((r.k, r.v, r.m["x"]) for r in read.collect()) == [("a", 2, 1), ("b", 1, 1), ("c", 1, 2), ("e", 1, 1), ("f", 1, 1)]
+
+
+def _changes(spark, *rows):
+    """Changes (order id, product ids, kind, version) of documents."""
+    full = [(None, None, None, [{"product_id": p, "amount": str(v)} for p in products], None, k, None, None, None, None, kind, v)
+            for k, products, kind, v in rows]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ORDERS_RAW.fields)
+    return spark.createDataFrame(full, f"{ddl}, {CHANGE_TYPE} string, version long")
+
+
+def test_items_of_changes_are_told_apart_by_ids(spark):
+    simple = [("a", ["1", "2", "3"], UPDATE_PRE, 2), ("a", ["2", "4"], UPDATE_POST, 2), ("b", ["1"], INSERT, 2), ("c", ["1", "x"], DELETE, 2), ("d", [], INSERT, 2)]
+    others = [("e", ["1"], INSERT, 1), ("e", ["1"], UPDATE_PRE, 2), ("e", ["2"], UPDATE_POST, 2), ("f", ["1", "1"], INSERT, 2),
+              ("g", ["1", "2"], INSERT, 1), ("g", ["1", "2"], DELETE, 2), (None, ["1"], INSERT, 2), ("h", ["1"], DELETE, 1), ("h", ["1", "2"], INSERT, 2)]
+    assert "Window" not in _plan(item_changes(_changes(spark, *simple)))
+    for rows in (simple, others, simple + others):
+        changes = _changes(spark, *rows)
+        gone = F.col(CHANGE_TYPE).isin(DELETE, UPDATE_PRE)
+        items = silver_orders(changes.select("*", gone.alias("_deleted")), keep=["version", "_deleted"])
+        want = dedupe_latest(items, KEYS["orders"], ["version", F.col("_deleted").asc()])
+        last = lambda df: sorted((r.order_id, r.product_id, r._deleted, None if r._deleted else r.amount)
+                                 for r in df.where("order_id IS NOT NULL AND product_id IS NOT NULL").collect())
+        assert last(item_changes(changes)) == last(want)
