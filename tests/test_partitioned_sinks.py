@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeshore.operators.geo import ranges_from_cidr_blocks
 from lakeshore.plans.reports import daily_orders
-from lakeshore.sinks.partitioned import SLACK, file_slots, write_bounded
+from lakeshore.sinks.partitioned import FILES_PER_TASK, SLACK, file_slots, write_bounded
 from lakeshore.sources.files import read_job_runs
 from lakeshore.streaming import streams
 
@@ -33,6 +33,23 @@ def test_a_hot_country_is_split_and_rare_ones_make_one_file(spark, tmp_dir):
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(n))
 
 
+def test_many_small_files_come_from_few_tasks(spark, tmp_dir):
+    n = 30_000
+    country = (F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 997 == 1, None).when(F.col("id") % 5 == 0, "twins")
+                .otherwise(F.concat(F.lit("c"), F.col("id") % 40)))
+    rows = spark.range(0, n, 1, 24).select(F.when(F.col("id") % 5 == 0, 7).otherwise(F.col("id")).alias("id"), country.alias("country"),
+                                           F.create_map(F.lit("x"), F.col("id") % 2).alias("m"), F.lit("x").alias("_slot_n"))
+    path = os.path.join(tmp_dir, "logs")
+    write_bounded(rows, path, ["country"], 20)
+    assert files(spark, path, "country") == {r.country: (-(-r["count"] // 20), min(20, r["count"])) for r in rows.groupBy("country").count().collect()}
+    written = spark.read.parquet(path)
+    text = lambda df: sorted(df.select(F.to_json(F.struct("country", "id", "m", "_slot_n")).alias("t")).toPandas()["t"])
+    assert text(written) == text(rows)
+    # Files are named by their task: about n / 20 of them by n / 20 / FILES_PER_TASK tasks, and a few for the rows over.
+    tasks = {os.path.basename(r.f).split("-")[1] for r in written.select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    assert len(tasks) <= n // 20 // FILES_PER_TASK + 5
+
+
 def test_slots_do_not_overlap(spark):
     rows = spark.range(5000).select(F.when(F.col("id") < 2500, "a").when(F.col("id") < 4000, "b").otherwise((F.col("id") % 7).cast("string")).alias("k"))
     got = {r.k: r for r in file_slots(rows, ["k"], 1000).collect()}
