@@ -154,12 +154,13 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
         return kept.unionByName(df.where(~key_not_null(keys))) if null_keys == "insert" else kept
 
     name = f"{BATCH}={quote(str(batch_id), safe='')}"
-    before = _contents(spark, path, [f for f in _live(spark, path) if f[1] != name], keys)
+    there = [f for f in _live(spark, path) if f[1] != name]
+    table = _columns(spark, path, there) if there else None
     added: list[str] = []
     gone = [F.coalesce(delete_when, F.lit(False)).alias(DELETED)] if delete_when is not None else []
-    if before is not None:
+    if table is not None:
         _record_missing(spark, path)
-        columns, added = _fitted(src, before.schema, new_columns)
+        columns, added = _fitted(src, table, new_columns)
     else:
         columns = [F.col(c) for c in src.columns if not (gone and c == DELETED)]
     fit = lambda df: df.select(*columns, *gone)
@@ -180,13 +181,15 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
 
     feed = os.path.join(changes_path, f"version={batch_id}") if changes_path else None
     if feed and not _is_complete(spark, feed):
-        if before is None:
+        if table is None:
             _write(kept.withColumn(CHANGE_TYPE, F.lit(INSERT)), feed, mode="overwrite")
         else:
-            old = _contents(spark, path, [f for f in _live(spark, path) if f[1] != name], keys, look=True, places=True)
+            old = _contents(spark, path, there, keys, look=True, places=True)
             old = old.select("*", *[F.lit(None).cast(kept.schema[c].dataType).alias(c) for c in added])
             _write_changes(old, placed(written), keys, feed)
-    counts = _counts(before, written, keys, delete_when is not None) if count_changes else (None, None, None)
+    counts = (None, None, None)
+    if count_changes:
+        counts = _counts(_contents(spark, path, there, keys), written, keys, delete_when is not None)
     _record(spark, path, seq, name, MERGED, committed_at, written.count(), counts, added)
     if len(_live(spark, path)) > snapshot_after:
         write_snapshot(spark, path, keys, committed_at=committed_at)
@@ -322,7 +325,7 @@ def write_snapshot(spark: SparkSession, path: str, keys: Sequence[str], keep: in
     at least), and versions before the oldest kept snapshot can't be read any more.
     """
     live = _live(spark, path)
-    contents = _contents(spark, path, live, list(keys))
+    contents = _contents(spark, path, live, list(keys), look=True)
     if contents is None:
         return
     older = [seq for seq, name in _complete(spark, path) if name.startswith(SNAPSHOT)]
@@ -414,10 +417,8 @@ def _contents(spark: SparkSession, path: str, folders: list[tuple[int, str]], ke
     """
     if not folders:
         return None
-    first, *later = paths = [os.path.join(path, f"{SEQ}={seq}", name) for seq, name in folders]
-    # Columns are only ever added, so the newest folder has all of them.
-    columns = [f for f in spark.read.parquet(paths[-1]).schema.fields if f.name != DELETED]
-    schema = T.StructType([*columns, T.StructField(DELETED, T.BooleanType())])
+    first, *later = [os.path.join(path, f"{SEQ}={seq}", name) for seq, name in folders]
+    schema = T.StructType([*_columns(spark, path, folders).fields, T.StructField(DELETED, T.BooleanType())])
     base = spark.read.schema(schema).parquet(first)
     if look:
         base = placed(base)
@@ -434,6 +435,13 @@ def _contents(spark: SparkSession, path: str, folders: list[tuple[int, str]], ke
     return out if places or not look else out.drop(FILE, ROW)
 
 
+def _columns(spark: SparkSession, path: str, folders: list[tuple[int, str]]) -> T.StructType:
+    """The columns of the folders' table: they are only ever added, so the newest folder has all of them."""
+    seq, name = folders[-1]
+    fields = spark.read.parquet(os.path.join(path, f"{SEQ}={seq}", name)).schema.fields
+    return T.StructType([f for f in fields if f.name != DELETED])
+
+
 def _replaced(base: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """Bitmaps of the places of rows whose key is in a later folder; a folder has a key once, and NULL keys stay."""
     narrow = [*keys, SEQ, FILE, ROW]

@@ -36,30 +36,57 @@ def silver_orders(orders_raw: DataFrame, load_ts=None, reference_compat: bool =
         "status": F.col("status"),
         "order_total_price": to_double("total_price"),
         "record_timestamp": ts.cast("timestamp"),
+        **_item_columns(item),
+    }
+    out = [cols[c].alias(c) for c in ORDERS_COLUMNS]
+    if with_product_name:
+        out.append(item["name"].alias("product_name"))
+    return df.select(*out, *keep)
+
+
+def _item_columns(item: Column) -> dict[str, Column]:
+    """The silver columns that come from an item."""
+    return {
         "amount": to_int(item["amount"]),
         "cuit": to_bigint(item["cuit"]),
         "item_price_default": to_double(item["price_default"]),
         "item_price": to_double(item["price"]),
         "product_id": to_bigint(item["product_id"]),
     }
-    out = [cols[c].alias(c) for c in ORDERS_COLUMNS]
-    if with_product_name:
-        out.append(item["name"].alias("product_name"))
-    return df.select(*out, *keep)
 
 
 def latest_items(orders_raw: DataFrame, load_ts=None, order_by: Sequence[str | Column] = ("record_timestamp",)) -> DataFrame:
     """Silver items of documents that have one row per ``order_id``, kept latest per key.
 
-    Items can only repeat within a document then, so only documents that have two
-    items of one product go through the keep-latest window (and its shuffle).
+    Items can only repeat within a document then.  Ordered by named columns, those of
+    documents that have two items of one product are kept latest inside the array, in
+    one pass and without a shuffle; other orders take such documents through the
+    keep-latest window.
     """
-    products = F.filter(F.transform("items", lambda i: to_bigint(i["product_id"])), lambda p: p.isNotNull())
-    twice = F.coalesce(F.size(F.array_distinct(products)) < F.size(products), F.lit(False))
+    # An array in an array is bound by the lambda, so that it is made once.
+    products = F.transform("items", lambda i: to_bigint(i["product_id"]))
+    repeats = lambda ids: F.size(F.array_distinct(ids)) < F.size(ids)
+    twice = F.coalesce(F.transform(F.array(products), lambda ids: repeats(F.array_compact(ids)))[0], F.lit(False))
+    if all(isinstance(c, str) for c in order_by):
+        return silver_orders(orders_raw.withColumn("items", F.when(twice, _latest_in(order_by)).otherwise(F.col("items"))), load_ts)
     kept = dedupe_latest(silver_orders(orders_raw.where(twice), load_ts), KEYS["orders"], order_by)
     return silver_orders(orders_raw.where(~twice), load_ts).unionByName(kept)
 
 
+def _latest_in(order_by: Sequence[str]) -> Column:
+    """A document's items, one per product: the one ``dedupe_latest`` keeps of their silver rows."""
+    def rank(item: Column, n: Column) -> Column:
+        values = _item_columns(item)
+        # The other columns are the document's: they tell no item of it from another.
+        by = [c for c in dict.fromkeys(("product_id", *order_by, *ORDERS_COLUMNS)) if c in values]
+        return F.struct(*[values[c].alias(c) for c in by], n.alias("_n"))
+
+    ranks = F.sort_array(F.transform("items", rank), asc=False)
+    firsts = F.transform(F.array(ranks), lambda r: F.filter(
+        r, lambda x, k: (k == 0) | ~x["product_id"].eqNullSafe(F.get(r, k - 1)["product_id"])))[0]
+    return F.transform(firsts, lambda x: F.get("items", x["_n"]))
+
+
 def _gone() -> Column:
     return F.col(CHANGE_TYPE).isin(DELETE, UPDATE_PRE)
 

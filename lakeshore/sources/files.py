@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +43,7 @@ class ParsedOrders:
     orders: DataFrame       # ORDERS_RAW columns (+ _bad_fields array)
     bad_records: DataFrame  # value: lines that are not JSON orders
     docs: DataFrame         # per element: raw text, typed struct, string map (persist to parse once)
+    troubled: DataFrame     # the bad records (value), and order_id and _bad_fields of the orders that have some
 
 
 def _elements(line_col: str) -> Column:
@@ -56,7 +57,8 @@ def order_elements(lines: DataFrame, line_col: str = "value") -> DataFrame:
     return lines.select(F.explode(_elements(line_col)).alias("_doc"))
 
 
-def parse_order_lines(lines: DataFrame, load_date=None, line_col: str = "value", schema: T.StructType = ORDER_DOC) -> ParsedOrders:
+def parse_order_lines(lines: DataFrame, load_date=None, line_col: str = "value", schema: T.StructType = ORDER_DOC,
+                      seen: Observation | None = None) -> ParsedOrders:
     """Split landed order lines into parsed orders and quarantined records.
 
     ``schema`` is the stored schema the documents are read under.
@@ -67,27 +69,36 @@ def parse_order_lines(lines: DataFrame, load_date=None, line_col: str = "value",
     generator (field accesses on a ``from_json`` result would otherwise each
     become their own pruned parse).  Quarantined: lines that are neither,
     arrays that do not parse, and elements that are not a JSON object.
+
+    ``seen`` receives the numbers of bad_records and of orders with bad_fields from
+    the pass that reads any of the parts.
     """
     tagged = lines.select(F.col(line_col).alias("_line"), _elements(line_col).alias("_elems"))
     blank = F.trim(F.col("_line")) == ""
-    bad_lines = tagged.where(F.col("_elems").isNull() & ~blank).select(F.col("_line").alias("value"))
-    docs = tagged.where(F.col("_elems").isNotNull()).select(F.inline(F.transform(
-        "_elems", lambda e: F.struct(e.alias("_doc"), F.from_json(e, schema).alias("s"),
-                                     F.from_json(e, "map<string,string>").alias("m")))))
-    bad_docs = docs.where(F.col("m").isNull()).select(F.col("_doc").alias("value"))
-    parsed = docs.where(F.col("m").isNotNull())
-    known = F.array(*[F.lit(c) for c in schema.names])
-    extra = F.map_filter("m", lambda k, v: ~F.array_contains(known, k))
-    rescued = F.when(F.size(extra) > 0, F.to_json(extra))
+    # A bad line makes one element without text.
+    elems = F.coalesce("_elems", F.when(~blank, F.array(F.lit(None).cast("string"))))
+    rows = tagged.select(F.when(F.col("_elems").isNull(), F.col("_line")).alias("_line"), F.inline(F.transform(
+        elems, lambda e: F.struct(e.alias("_doc"), F.from_json(e, schema).alias("s"),
+                                  F.from_json(e, "map<string,string>").alias("m")))))
     # A field present in the document that did not convert to its type.
     bad_fields = F.array_compact(F.array(*[
         F.when(F.col("m")[c].isNotNull() & F.col("s")[c].isNull(), F.lit(c)) for c in schema.names]))
+    rows = rows.withColumn("_bad_fields", bad_fields)
+    bad, odd = F.col("m").isNull(), F.size("_bad_fields") > 0
+    if seen is not None:
+        rows = rows.observe(seen, F.count_if(bad).alias("bad_records"), F.count_if(odd).alias("bad_fields"))
+    text = F.coalesce("_line", "_doc").alias("value")
+    parsed = rows.where(~bad)
+    known = F.array(*[F.lit(c) for c in schema.names])
+    extra = F.map_filter("m", lambda k, v: ~F.array_contains(known, k))
+    rescued = F.when(F.size(extra) > 0, F.to_json(extra))
     stamp = F.current_date() if load_date is None else F.lit(load_date).cast("date")
     orders = parsed.select(
         *[F.col("s")[c].alias(c) for c in schema.names],
         rescued.alias("_rescued_data"), stamp.alias("record_timestamp"),
-        bad_fields.alias("_bad_fields"))
-    return ParsedOrders(orders, bad_lines.unionByName(bad_docs), docs)
+        "_bad_fields")
+    troubled = rows.where(bad | odd).select(bad.alias("_bad"), text, F.col("s")["order_id"].alias("order_id"), "_bad_fields")
+    return ParsedOrders(orders, rows.where(bad).select(text), rows.where(F.col("_line").isNull()).select("_doc", "s", "m"), troubled)
 
 
 def read_order_documents(spark: SparkSession, path: str, load_date=None) -> ParsedOrders:

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -64,34 +64,40 @@ def orders_batch(df: DataFrame, batch_id: int, bronze_path: str, silver_path: st
     spark = df.sparkSession
     # Of an order's documents in a batch: the latest load date, then order time, then any status before "pending".
     newest_order = ["record_timestamp", "order_dt", F.col("status").eqNullSafe("pending").asc()]
-    lines = df.persist()
-    parsed_orders = None
+    lines = _spread(df)
+    # The lines are parsed in the pass that writes bronze, which counts the bad ones on its way.
+    seen = Observation()
+    good = parse_order_lines(lines, load_date, seen=seen).orders.drop("_bad_fields")
+    applied = merge_into(spark, bronze_path, good, KEYS["orders_raw"], batch_id,
+                         order_by=newest_order, changes_path=changes_path, count_changes=bool(changes_path))
+    counts = seen.get
+    if any(counts.get(k) != 0 for k in ("bad_records", "bad_fields")):
+        _quarantine(lines, quarantine_path, batch_id, load_date)
+    run_id = f"batch-{batch_id}"
+    if dq_path:
+        raw_dq = run_suite(applied, ORDERS_RAW_SUITE, run_id, fail_on_error=False)
+        _save_dq(raw_dq, dq_path, ORDERS_RAW_SUITE.name, run_id, fail_on_error)
+    merged = merge_into(spark, silver_path, latest_items(applied, load_ts), KEYS["orders"], batch_id,
+                        count_changes=False, one_per_key=True)
+    if dq_path:
+        _save_dq(run_suite(merged, ORDERS_SUITE, run_id), dq_path, ORDERS_SUITE.name, run_id, False)
+
+
+def _spread(lines: DataFrame) -> DataFrame:
+    """A batch's lines dealt to all cores: a landed file that can't be split is one task, a bounded batch a few files."""
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    return lines if lines.rdd.getNumPartitions() >= cores else lines.repartition(cores, F.xxhash64("value"))
+
+
+def _quarantine(lines: DataFrame, quarantine_path: str, batch_id: int, load_date) -> None:
+    """Write a batch's bad records and field errors, in folders only for what there is."""
+    troubled = parse_order_lines(lines, load_date).troubled.persist()
     try:
-        parsed = parse_order_lines(lines, load_date)
-        # Elements parsed once for the batch: the quarantine check, the field
-        # report and the merge all read the cached parse.
-        parsed_orders = parsed.docs.persist()
-        # Quarantine folders only for batches that have bad input.
-        if not parsed.bad_records.isEmpty():
-            _write_batch_folder(parsed.bad_records, os.path.join(quarantine_path, "lines"), batch_id)
-        field_errors = parsed.orders.where(F.size("_bad_fields") > 0).select("order_id", "_bad_fields")
-        if not field_errors.isEmpty():
-            _write_batch_folder(field_errors, os.path.join(quarantine_path, "fields"), batch_id)
-        good = parsed.orders.drop("_bad_fields")
-        applied = merge_into(spark, bronze_path, good, KEYS["orders_raw"], batch_id,
-                             order_by=newest_order, changes_path=changes_path, count_changes=bool(changes_path))
-        run_id = f"batch-{batch_id}"
-        if dq_path:
-            raw_dq = run_suite(applied, ORDERS_RAW_SUITE, run_id, fail_on_error=False)
-            _save_dq(raw_dq, dq_path, ORDERS_RAW_SUITE.name, run_id, fail_on_error)
-        merged = merge_into(spark, silver_path, latest_items(applied, load_ts), KEYS["orders"], batch_id,
-                            count_changes=False, one_per_key=True)
-        if dq_path:
-            _save_dq(run_suite(merged, ORDERS_SUITE, run_id), dq_path, ORDERS_SUITE.name, run_id, False)
+        for name, rows in (("lines", troubled.where("_bad").select("value")), ("fields", troubled.where("NOT _bad").select("order_id", "_bad_fields"))):
+            if not rows.isEmpty():
+                _write_batch_folder(rows, os.path.join(quarantine_path, name), batch_id)
     finally:
-        if parsed_orders is not None:
-            parsed_orders.unpersist()
-        lines.unpersist()
+        troubled.unpersist()
 
 
 def _save_dq(results: DataFrame, dq_path: str, suite: str, run_id: str, fail_on_error: bool) -> None:

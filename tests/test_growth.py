@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from lakeshore.operators import upsert as u
@@ -80,6 +81,35 @@ def test_items_of_a_document_are_kept_latest_in_it(spark, tmp_dir):
     assert _rows(latest_items(docs, when)) == _rows(dedupe_latest(silver_orders(docs, when), KEYS["orders"], ["record_timestamp"]))
 
 
+def test_repeated_items_are_put_in_order_without_a_shuffle(spark):
+    item = lambda pid, amount, price, cuit="1": {"product_id": pid, "amount": amount, "price": price, "price_default": "1", "cuit": cuit, "name": "n"}
+    orders = [("a", [item("1", "2", "5"), item(" 1", "3", "4"), item("2", "9", "1"), item("01", None, "8"), item(None, "1", "1"), item("x", "4", "1")]),
+              ("b", [item("1", "2", "5"), item("1", "2", "7"), item("1", "2", None), item("3", "NaN", "NaN"), item("3", "1", "1", None)]),
+              ("c", [item("1", "2", "5"), item("2", "2", "5")]), ("d", []), ("e", None), ("f", [item("7", "1", "1"), item("7", "1", "1")])]
+    docs = spark.createDataFrame([(o, i, "finished", "2022-11-14") for o, i in orders],
+                                 "order_id string, items array<map<string,string>>, status string, order_dt string").selectExpr(
+        "*", "date'1990-01-01' customer_birth_day", "'7' customer_document_number", "'Ann' customer_name", "'1' total_price", "date'2022-11-14' record_timestamp")
+    when = F.lit("2022-11-14 21:00:03").cast("timestamp")
+    for order_by in (["record_timestamp"], ["item_price"], [F.col("item_price").asc()]):
+        got = latest_items(docs, when, order_by)
+        assert _rows(got) == _rows(dedupe_latest(silver_orders(docs, when), KEYS["orders"], order_by))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("Window" in plan) == (not isinstance(order_by[0], str))
+
+
+def test_snapshots_shuffle_no_whole_rows(spark, tmp_dir, monkeypatch):
+    path = os.path.join(tmp_dir, "t")
+    put = lambda n, *r: u.merge_into(spark, path, spark.createDataFrame(r, "k string, v int, updated_dt int, gone boolean"), ["k"], n,
+                                     delete_when=F.col("gone"), new_columns="drop", null_keys="insert", count_changes=False)
+    put(1, ("a", 1, 1, False), ("b", 2, 1, False), ("d", 7, 1, False), (None, 0, 1, False))
+    put(2, ("b", 3, 2, False), ("d", 7, 2, True))
+    put(3, ("b", 4, 3, False), ("c", 5, 3, False))
+    monkeypatch.setattr(u, "_over", lambda *a: pytest.fail("whole rows are put in order"))
+    u.write_snapshot(spark, path, ["k"])
+    rows = spark.read.parquet(os.path.join(path, f"{u.SEQ}=4", f"{u.SNAPSHOT}=4"))
+    assert sorted(((r.k, r.v) for r in rows.collect()), key=str) == [("a", 1), ("b", 4), ("c", 5), (None, 0)]
+
+
 def test_staged_lines_are_not_kept_twice(spark, tmp_dir, monkeypatch):
     seen = {}
     real = registry._staged

@@ -66,6 +66,26 @@ def test_orders_stream_restart_reads_no_file_twice(spark, tmp_dir):
     assert raw.count() == 3 and raw.where(F.col("order_id") == "a").first().record_timestamp is not None
 
 
+def test_a_landed_file_is_parsed_on_all_cores_and_bad_input_set_apart(spark, tmp_dir):
+    land, quar = os.path.join(tmp_dir, "land"), os.path.join(tmp_dir, "quarantine")
+    lines = [json.dumps([doc(f"o{i}", i)]) for i in range(200)]
+    write(os.path.join(land, "1.json"), "\n".join(lines))
+    write(os.path.join(land, "2.json"), "\n".join([
+        "", "  ", "no json", "[oops", json.dumps([doc("x", 1), [1]]), json.dumps(doc("y", 1) | {"items": "oops"}), "[null]"]))
+
+    def batch(name, n):
+        bronze = os.path.join(tmp_dir, "bronze")
+        streams.orders_batch(text_files(spark, os.path.join(land, name)), n, bronze, os.path.join(tmp_dir, "silver"), quar, load_date="2022-11-14")
+        return [f for f in os.listdir(os.path.join(bronze, f"_seq={n + 1}", f"_batch={n}")) if f.endswith(".parquet")]
+
+    assert len(batch("1.json", 0)) > 1 and not os.path.exists(quar)
+    batch("2.json", 1)
+    read = lambda kind: spark.read.parquet(os.path.join(quar, kind, "batch=1"))
+    assert sorted((r.value for r in read("lines").collect()), key=str) == sorted(["no json", "[oops", "[1]", None], key=str)
+    assert [(r.order_id, r._bad_fields) for r in read("fields").collect()] == [("y", ["items"])]
+    assert streams.read_silver_orders(spark, os.path.join(tmp_dir, "silver")).count() == 201
+
+
 def test_logs_streams_partition_by_country(spark, tmp_dir):
     land = os.path.join(tmp_dir, "land")
     lines = [
