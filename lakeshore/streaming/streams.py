@@ -52,7 +52,7 @@ def _write_batch_folder(df: DataFrame, root: str, batch_id: int) -> None:
 def orders_batch(df: DataFrame, batch_id: int, bronze_path: str, silver_path: str, quarantine_path: str,
                  load_date=None, load_ts=None, dq_path: str | None = None,
                  fail_on_error: bool = False, changes_path: str | None = None) -> None:
-    """One micro-batch of landed order lines: quarantine, bronze upsert, silver upsert.
+    """One micro-batch of landed order lines: bronze upsert, quarantine, silver upsert.
 
     Silver is computed from the batch's own upserted documents, not by
     re-streaming the rewritten bronze table.  With ``dq_path`` the raw suite
